@@ -1,0 +1,296 @@
+"""Avro: Spark's own module where the cluster has it, else an Arrow fallback.
+
+The fallback covers records, primitives, enums, fixed, arrays, maps and unions with null.
+It hands rows to Spark as Arrow batches and leaves all distribution to Spark.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import json
+import struct
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.avro import functions as native
+
+# Fixed values (Avro 1.11): primitive and logical type names with their Spark and Arrow types.
+PRIMITIVES = {
+    "null": (T.NullType(), pa.null()),
+    "boolean": (T.BooleanType(), pa.bool_()),
+    "int": (T.IntegerType(), pa.int32()),
+    "long": (T.LongType(), pa.int64()),
+    "float": (T.FloatType(), pa.float32()),
+    "double": (T.DoubleType(), pa.float64()),
+    "bytes": (T.BinaryType(), pa.binary()),
+    "string": (T.StringType(), pa.string()),
+}
+LOGICAL = {
+    ("int", "date"): (T.DateType(), pa.date32()),
+    ("long", "timestamp-millis"): (T.TimestampType(), pa.timestamp("us", "UTC")),
+    ("long", "timestamp-micros"): (T.TimestampType(), pa.timestamp("us", "UTC")),
+    ("long", "local-timestamp-millis"): (T.TimestampNTZType(), pa.timestamp("us")),
+    ("long", "local-timestamp-micros"): (T.TimestampNTZType(), pa.timestamp("us")),
+}
+EPOCH = dt.datetime(1970, 1, 1)
+MICRO = dt.timedelta(microseconds=1)
+
+
+def native_available(spark: SparkSession) -> bool:
+    """Whether Spark's Avro module is on the class path."""
+    try:
+        spark.range(0).select(native.from_avro(F.lit(b""), '"int"'))
+        return True
+    except AnalysisException:
+        return False
+
+
+class Schema:
+    """A parsed Avro schema with its Spark and Arrow types, decoder and encoder."""
+
+    def __init__(self, text: str) -> None:
+        self.named: dict[str, dict] = {}
+        self.root = self._resolve(json.loads(text))
+
+    def _resolve(self, s):
+        """Branch lists and named references replaced by their definitions."""
+        if isinstance(s, list):
+            return {"type": "union", "branches": [self._resolve(b) for b in s]}
+        if isinstance(s, str):
+            return {"type": s} if s in PRIMITIVES else self.named[s]
+        kind = s["type"]
+        if not isinstance(kind, str) or (kind not in PRIMITIVES and kind in self.named):
+            return self._resolve(kind)
+        if kind in ("record", "enum", "fixed"):
+            space = s.get("namespace")
+            self.named[s["name"]] = self.named[f"{space}.{s['name']}"] = s = dict(s)
+        if kind == "record":
+            s["fields"] = [{"name": f["name"], "type": self._resolve(f["type"])} for f in s["fields"]]
+        elif kind in ("array", "map"):
+            inner = "items" if kind == "array" else "values"
+            s = {**s, inner: self._resolve(s[inner])}
+        return s
+
+    @property
+    def spark_type(self) -> T.DataType:
+        return _types(self.root)[0]
+
+    @property
+    def arrow_type(self) -> pa.DataType:
+        return _types(self.root)[1]
+
+
+def _optional(s: dict) -> dict:
+    """The only non-null branch of a union."""
+    rest = [b for b in s["branches"] if b["type"] != "null"]
+    if len(rest) != 1:
+        raise ValueError("only unions of null and one other type are supported without spark-avro")
+    return rest[0]
+
+
+def _types(s: dict) -> tuple[T.DataType, pa.DataType]:
+    kind, logical = s["type"], s.get("logicalType")
+    if kind == "union":
+        return _types(_optional(s))
+    if kind == "record":
+        fields = [(f["name"], *_types(f["type"])) for f in s["fields"]]
+        return (
+            T.StructType([T.StructField(n, t) for n, t, _ in fields]),
+            pa.struct([(n, a) for n, _, a in fields]),
+        )
+    if kind == "array":
+        t, a = _types(s["items"])
+        return T.ArrayType(t), pa.list_(a)
+    if kind == "map":
+        t, a = _types(s["values"])
+        return T.MapType(T.StringType(), t), pa.map_(pa.string(), a)
+    if kind in ("bytes", "fixed") and logical == "decimal":
+        p, q = s["precision"], s.get("scale", 0)
+        return T.DecimalType(p, q), pa.decimal128(p, q)
+    if kind == "enum":
+        return PRIMITIVES["string"]
+    if kind == "fixed":
+        return PRIMITIVES["bytes"]
+    return LOGICAL.get((kind, logical)) or PRIMITIVES[kind]
+
+
+class Bytes:
+    """A read position in Avro binary data."""
+
+    def __init__(self, data: bytes) -> None:
+        self.data, self.at = data, 0
+
+    def take(self, n: int) -> bytes:
+        part = self.data[self.at:self.at + n]
+        if n < 0 or len(part) != n:
+            raise ValueError("Avro data ends early")
+        self.at += n
+        return part
+
+    def long(self) -> int:
+        value = shift = 0
+        while True:
+            byte = self.take(1)[0]
+            value |= (byte & 0x7F) << shift
+            if byte < 0x80:
+                return (value >> 1) ^ -(value & 1)
+            shift += 7
+
+
+def long_bytes(n: int) -> bytes:
+    n = n << 1 if n >= 0 else (-n << 1) - 1
+    out = bytearray()
+    while n > 0x7F:
+        out.append(n & 0x7F | 0x80)
+        n >>= 7
+    out.append(n)
+    return bytes(out)
+
+
+def _blocks(src: Bytes, item: Callable) -> Iterator:
+    while count := src.long():
+        if count < 0:
+            count = -count
+            src.long()
+        for _ in range(count):
+            yield item(src)
+
+
+def decoder(s: dict) -> Callable[[Bytes], object]:
+    """Function that reads one value of schema ``s``."""
+    kind, logical = s["type"], s.get("logicalType")
+    if kind == "record":
+        fields = [(f["name"], decoder(f["type"])) for f in s["fields"]]
+        return lambda b: {name: read(b) for name, read in fields}
+    if kind == "union":
+        branches = [decoder(x) for x in s["branches"]]
+        return lambda b: branches[b.long()](b)
+    if kind == "array":
+        item = decoder(s["items"])
+        return lambda b: list(_blocks(b, item))
+    if kind == "map":
+        value = decoder(s["values"])
+        return lambda b: list(_blocks(b, lambda x: (x.take(x.long()).decode(), value(x))))
+    if kind in ("bytes", "fixed"):
+        size = s.get("size")
+        raw = (lambda b: b.take(size)) if kind == "fixed" else (lambda b: b.take(b.long()))
+        if logical == "decimal":
+            scale = s.get("scale", 0)
+            return lambda b: decimal.Decimal(int.from_bytes(raw(b), signed=True)).scaleb(-scale)
+        return raw
+    if kind == "enum":
+        return lambda b: s["symbols"][b.long()]
+    if kind in ("int", "long"):
+        if logical in ("timestamp-millis", "local-timestamp-millis"):
+            return lambda b: b.long() * 1000
+        return Bytes.long
+    return {
+        "null": lambda b: None,
+        "boolean": lambda b: b.take(1) == b"\x01",
+        "float": lambda b: struct.unpack("<f", b.take(4))[0],
+        "double": lambda b: struct.unpack("<d", b.take(8))[0],
+        "string": lambda b: b.take(b.long()).decode(),
+    }[kind]
+
+
+def encoder(s: dict) -> Callable[[object], bytes]:
+    """Function that writes one Python value of schema ``s``."""
+    kind, logical = s["type"], s.get("logicalType")
+    if kind == "record":
+        fields = [(f["name"], encoder(f["type"])) for f in s["fields"]]
+        return lambda v: b"".join(write(v[name]) for name, write in fields)
+    if kind == "union":
+        null = [b["type"] for b in s["branches"]].index("null")
+        body = encoder(_optional(s))
+        return lambda v: long_bytes(null) if v is None else long_bytes(1 - null) + body(v)
+    if kind == "array":
+        item = encoder(s["items"])
+        return lambda v: (long_bytes(len(v)) + b"".join(map(item, v)) if v else b"") + b"\x00"
+    if kind == "map":
+        key, value = encoder({"type": "string"}), encoder(s["values"])
+        return lambda v: (
+            (long_bytes(len(v)) if v else b"")
+            + b"".join(key(k) + value(x) for k, x in dict(v).items()) + b"\x00"
+        )
+    if logical == "decimal":
+        scale = s.get("scale", 0)
+
+        def unscaled(v):
+            n = int(v.scaleb(scale))
+            return n.to_bytes(n.bit_length() // 8 + 1, signed=True)
+
+        return lambda v: (lambda raw: long_bytes(len(raw)) + raw)(unscaled(v))
+    if logical == "date":
+        return lambda v: long_bytes((v - EPOCH.date()).days)
+    if logical in ("timestamp-micros", "local-timestamp-micros"):
+        return lambda v: long_bytes((v.replace(tzinfo=None) - EPOCH) // MICRO)
+    if kind == "bytes":
+        return lambda v: long_bytes(len(v)) + v
+    return {
+        "null": lambda v: b"",
+        "boolean": lambda v: b"\x01" if v else b"\x00",
+        "int": long_bytes,
+        "long": long_bytes,
+        "float": lambda v: struct.pack("<f", v),
+        "double": lambda v: struct.pack("<d", v),
+        "string": lambda v: (lambda raw: long_bytes(len(raw)) + raw)(v.encode()),
+    }[kind]
+
+
+def avro_schema(t: T.DataType, name: str = "topLevelRecord") -> object:
+    """Avro schema (as JSON data) that holds every value of Spark type ``t``, nulls included."""
+    if isinstance(t, T.StructType):
+        fields = [
+            {"name": f.name, "type": [avro_schema(f.dataType, f"{name}_{f.name}"), "null"]}
+            for f in t.fields
+        ]
+        return {"type": "record", "name": name, "fields": fields}
+    if isinstance(t, T.ArrayType):
+        return {"type": "array", "items": [avro_schema(t.elementType, name), "null"]}
+    if isinstance(t, T.MapType):
+        return {"type": "map", "values": [avro_schema(t.valueType, name), "null"]}
+    if isinstance(t, T.DecimalType):
+        return {"type": "bytes", "logicalType": "decimal", "precision": t.precision, "scale": t.scale}
+    if isinstance(t, (T.ByteType, T.ShortType)):
+        return "int"
+    for (kind, logical), (spark_type, _) in LOGICAL.items():
+        if t == spark_type and not logical.endswith("millis"):
+            return {"type": kind, "logicalType": logical}
+    for kind, (spark_type, _) in PRIMITIVES.items():
+        if t == spark_type:
+            return kind
+    raise ValueError(f"no Avro type for {t.simpleString()}")
+
+
+def from_avro(value: Column, schema: str) -> Column:
+    """Decode Avro bytes into a struct, with Spark's function where it is available."""
+    if native_available(SparkSession.active()):
+        return native.from_avro(value, schema)
+    parsed = Schema(schema)
+    arrow = parsed.arrow_type
+
+    @F.arrow_udf(parsed.spark_type)
+    def decode(values: pa.Array) -> pa.Array:
+        read = decoder(Schema(schema).root)
+        rows = [None if v is None else read(Bytes(v)) for v in values.to_pylist()]
+        return pa.array(rows, arrow)
+
+    return decode(value)
+
+
+def to_avro(value: Column, schema: str) -> Column:
+    """Encode a struct column as Avro bytes, with Spark's function where it is available."""
+    if native_available(SparkSession.active()):
+        return native.to_avro(value, schema)
+
+    @F.arrow_udf(T.BinaryType())
+    def encode(values: pa.Array) -> pa.Array:
+        write = encoder(Schema(schema).root)
+        return pa.array([None if v is None else write(v) for v in values.to_pylist()], pa.binary())
+
+    return encode(value)

@@ -1,0 +1,198 @@
+"""Avro container files for clusters without Spark's Avro module.
+
+A file is read in byte-range splits, as Spark reads other formats, so one huge file is
+shared among many tasks. A block belongs to the split in which the sync marker before it
+starts.
+"""
+
+from __future__ import annotations
+
+import bz2
+import json
+import lzma
+import os
+import zlib
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.avro import Bytes, Schema, avro_schema, decoder, encoder, long_bytes
+from ..operators.files import locate, put
+from ..tables import io_tasks
+
+# Fixed values (Avro 1.11): file magic and sync marker length.
+MAGIC = b"Obj\x01"
+SYNC = 16
+
+SPLIT_BYTES = 64 << 20
+BATCH_ROWS = 8192
+FILE_COLUMN = "__file_path"
+
+
+def _snappy(data: bytes) -> bytes:
+    size = shift = 0
+    for byte in data:
+        size |= (byte & 0x7F) << shift
+        shift += 7
+        if byte < 0x80:
+            break
+    return pa.decompress(data[:-4], decompressed_size=size, codec="snappy", asbytes=True)
+
+
+DECOMPRESS = {
+    "null": lambda d: d,
+    "deflate": lambda d: zlib.decompress(d, -15),
+    "bzip2": bz2.decompress,
+    "xz": lzma.decompress,
+    "snappy": _snappy,
+    "zstandard": lambda d: pa.CompressedInputStream(pa.BufferReader(d), "zstd").read(),
+}
+
+
+def read_header(f) -> tuple[dict[str, bytes], bytes, int]:
+    """(metadata, sync marker, length of the header) of an open container file."""
+    size = 64 << 10
+    while True:
+        f.seek(0)
+        data = f.read(size)
+        if data[:4] != MAGIC:
+            raise ValueError("not an Avro container file")
+        src = Bytes(data)
+        src.at = 4
+        try:
+            meta = decoder({"type": "map", "values": {"type": "bytes"}})(src)
+            return dict(meta), src.take(SYNC), src.at
+        except ValueError:
+            if len(data) < size:
+                raise
+            size *= 4
+
+
+def _find(f, sync: bytes, start: int, end: int) -> int | None:
+    """Position in [start, end) of the first sync marker."""
+    f.seek(start)
+    at, tail = start, b""
+    while at < end + SYNC and (chunk := f.read(1 << 20)):
+        hit = (tail + chunk).find(sync)
+        if hit >= 0:
+            found = at - len(tail) + hit
+            return found if found < end else None
+        at += len(chunk)
+        tail = (tail + chunk)[-(SYNC - 1):]
+    return None
+
+
+def read_split(uri: str, start: int, size: int) -> Iterator[list[dict]]:
+    """Records of one split, a list per block."""
+    fs, path = locate(uri)
+    with fs.open_input_file(path) as f:
+        meta, sync, head = read_header(f)
+        read = decoder(Schema(meta["avro.schema"].decode()).root)
+        unpack = DECOMPRESS[meta.get("avro.codec", b"null").decode()]
+        at = head - SYNC if start <= head - SYNC else _find(f, sync, start, start + size)
+        while at is not None and at < start + size:
+            f.seek(at + SYNC)
+            counts = Bytes(f.read(20))
+            if not counts.data:
+                return
+            n, length = counts.long(), counts.long()
+            f.seek(at + SYNC + counts.at)
+            block = Bytes(unpack(f.read(length)))
+            yield [read(block) for _ in range(n)]
+            at += SYNC + counts.at + length
+
+
+def arrow_schema(schema: T.StructType) -> pa.Schema:
+    return pa.schema(list(Schema(json.dumps(avro_schema(schema))).arrow_type))
+
+
+def decode_files(files: DataFrame, schema: T.StructType) -> DataFrame:
+    """Records of the container files named by ``file_path, length`` rows.
+
+    Fields are matched by name with ``schema``; the source file is in ``FILE_COLUMN``.
+    """
+    target = pa.struct(list(arrow_schema(schema)))
+
+    def batch(uri: str, rows: list[dict]) -> pa.RecordBatch:
+        columns = pa.array(rows, target).flatten()
+        names = [*target.names, FILE_COLUMN]
+        return pa.RecordBatch.from_arrays([*columns, pa.array([uri] * len(rows))], names=names)
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for splits in batches:
+            for split in splits.to_pylist():
+                rows: list[dict] = []
+                for block in read_split(split["file_path"], split["start"], SPLIT_BYTES):
+                    rows += block
+                    if len(rows) >= BATCH_ROWS:
+                        yield batch(split["file_path"], rows)
+                        rows = []
+                if rows:
+                    yield batch(split["file_path"], rows)
+
+    offsets = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(SPLIT_BYTES).cast("long"))
+    splits = files.select("file_path", F.explode(offsets).alias("start"))
+    spread = splits.repartition(io_tasks(files.sparkSession), "file_path", "start")
+    return spread.mapInArrow(decode, T.StructType([*schema.fields, T.StructField(FILE_COLUMN, T.StringType())]))
+
+
+def header_schemas(files: DataFrame) -> list[str]:
+    """The distinct writer schemas among the files named by ``file_path`` rows."""
+
+    def headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            found = set()
+            for uri in rows["file_path"]:
+                fs, path = locate(uri)
+                with fs.open_input_file(path) as f:
+                    found.add(read_header(f)[0]["avro.schema"].decode())
+            yield pd.DataFrame({"schema": sorted(found)}, dtype=object)
+
+    spread = files.select("file_path").repartition(io_tasks(files.sparkSession), "file_path")
+    found = spread.mapInPandas(headers, "schema string").distinct()
+    return sorted(r.schema for r in found.collect())
+
+
+def _container(schema_text: str, batches: Iterator[pa.RecordBatch], rows_seen: list[int]) -> Iterator[bytes]:
+    write = encoder(Schema(schema_text).root)
+    sync = os.urandom(SYNC)
+    meta = {"avro.schema": schema_text.encode(), "avro.codec": b"deflate"}
+    yield MAGIC + encoder({"type": "map", "values": {"type": "bytes"}})(meta) + sync
+    for big in batches:
+        for at in range(0, big.num_rows, 1024):
+            rows = big.slice(at, 1024).to_pylist()
+            rows_seen.append(len(rows))
+            packer = zlib.compressobj(wbits=-15)
+            body = packer.compress(b"".join(map(write, rows))) + packer.flush()
+            yield long_bytes(len(rows)) + long_bytes(len(body)) + body + sync
+
+
+def write_files(df: DataFrame, name: str) -> DataFrame:
+    """Write each non-empty partition as one container file; returns ``file_path, rows``.
+
+    ``name`` is the target URI with ``{part}`` for the partition number, so a retried task
+    replaces its own file. Writing happens when the result is evaluated.
+    """
+    text = json.dumps(avro_schema(df.schema))
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = next((b for b in batches if b.num_rows), None)
+        if first is None:
+            return
+        uri = name.format(part=f"{TaskContext.get().partitionId():05d}")
+        fs, path = locate(uri)
+        seen: list[int] = []
+
+        def all_batches():
+            yield first
+            yield from batches
+
+        put(fs, path, _container(text, all_batches(), seen))
+        yield pa.RecordBatch.from_pydict({"file_path": [uri], "rows": [sum(seen)]})
+
+    return df.mapInArrow(write, "file_path string, rows long")
