@@ -59,6 +59,12 @@ def exists(fs: pafs.FileSystem, path: str) -> bool:
     return fs.get_file_info(path).type == pafs.FileType.File
 
 
+def drop_dir(uri: str) -> None:
+    """Remove a directory this package made for its own staging."""
+    fs, path = locate(uri)
+    fs.delete_dir(path)
+
+
 def move_file(
     source: str, target: str, spare: str | None = None, not_after: int | None = None
 ) -> tuple[str, str]:

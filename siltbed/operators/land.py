@@ -13,7 +13,7 @@ from ..paths import encoded, qualify
 from ..sources.avro_files import write_files
 from ..sources.listing import list_files
 from ..spec import DatasetSpec
-from .files import copy_files, move_files
+from .files import copy_files, drop_dir, move_files
 
 # Largest data that is put into one file; more is landed as several files.
 SINGLE_FILE_BYTES = 128 << 20
@@ -25,15 +25,18 @@ TEXT_OPTIONS = {
 }
 WRITE_OPTIONS = {"json": TEXT_OPTIONS, "csv": {"delimiter": ";", **TEXT_OPTIONS}}
 
+# Task and chunk number in the names Spark gives its output files.
+PART = r"/part-(\d+)-[^/]*?(?:-c(\d+))?\.[^/]*$"
+
 
 def _names(spec: DatasetSpec, now: dt.datetime | None) -> tuple[str, str]:
     """(dated directory, file name stem) for files landed at ``now`` (UTC).
 
-    The stem has second resolution, so it ends in a short unique part.
+    The time in the stem is in seconds, so it ends in a short unique part.
     """
     now = now or dt.datetime.now(dt.timezone.utc)
-    stem = f"{spec.datasource}-{spec.dataset.replace('/', '-')}-{now:%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
-    return f"{spec.landing_dir}/{now:%Y/%m/%d}", stem
+    name = f"{spec.datasource}-{spec.dataset}".replace("/", "-")
+    return f"{spec.landing_dir}/{now:%Y/%m/%d}", f"{name}-{now:%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
 
 
 def land_dataframe(
@@ -44,11 +47,10 @@ def land_dataframe(
     as_parquet: bool = False,
     single_file: bool = True,
     single_file_bytes: int = SINGLE_FILE_BYTES,
-    max_records_per_file: int = 0,
     options: dict[str, str] | None = None,
     now: dt.datetime | None = None,
 ) -> str:
-    """Write ``df`` under ``{landing}/{datasource}/{dataset}/YYYY/MM/DD``; returns what to load.
+    """Write ``df`` under ``{landing}/{datasource}/{dataset}/YYYY/MM/DD``; returns that folder.
 
     Files are named ``{datasource}-{dataset}-{YYYYmmddHHMMSS}-{unique}.{fmt}``. With
     ``single_file`` there is one, as long as the data fits ``single_file_bytes``; beyond
@@ -61,38 +63,42 @@ def land_dataframe(
         df.write.mode("overwrite").parquet(folder)
         return folder
     staging = f"{spec.landing}/_staging/{uuid.uuid4().hex}"
+    own_avro = fmt == "avro" and not avro.native_available(spark)
     if single_file:
-        # Computed once, in parallel; merged only when it turned out small.
+        # Computed once and in parallel; brought together only when it turned out small.
         df.write.parquet(f"{staging}/rows")
         df = spark.read.parquet(f"{staging}/rows")
         size = list_files(spark, f"{staging}/rows", "part-*").agg(F.sum("length")).first()[0]
         single_file = (size or 0) <= single_file_bytes
         if single_file:
             df = df.coalesce(1)
-    part = "" if single_file else "-{part}"
-    if fmt == "avro" and not avro.native_available(spark):
-        landed = write_files(df, encoded(f"{folder}/{stem}") + f"{part}.avro")
-        landed.agg(F.sum("rows")).collect()
+    if own_avro:
+        name = encoded(f"{folder}/{stem}") + ("" if single_file else "-{part}") + ".avro"
+        write_files(df, name).agg(F.sum("rows")).collect()
     else:
         writer = df.write.format(fmt).options(**WRITE_OPTIONS.get(fmt, {})).options(**(options or {}))
-        if max_records_per_file:
-            writer = writer.option("maxRecordsPerFile", max_records_per_file)
         writer.save(f"{staging}/files")
-        source = F.col("file_path")
-        number = F.regexp_extract(source, r"/part-(\d+)-[^/]*?(?:-c(\d+))?\.[^/]*$", 1)
-        chunk = F.regexp_extract(source, r"/part-(\d+)-[^/]*?(?:-c(\d+))?\.[^/]*$", 2)
-        tail = F.lit("") if single_file and not max_records_per_file else F.concat(F.lit("-"), number, chunk)
-        staged = list_files(spark, f"{staging}/files", f"part-*.{fmt}")
-        moved = move_files(staged.select(
-            source.alias("source"),
-            F.concat(F.lit(encoded(f"{folder}/{stem}")), tail, F.lit(f".{fmt}")).alias("target"),
+        _publish(spark, f"{staging}/files", fmt, f"{folder}/{stem}", numbered=not single_file)
+    if single_file or not own_avro:
+        drop_dir(staging)
+    return folder
+
+
+def _publish(spark: SparkSession, staged: str, fmt: str, target: str, *, numbered: bool) -> None:
+    """Rename the part files of a finished write to their landing names."""
+    path = F.col("file_path")
+    number = F.concat(F.lit("-"), F.regexp_extract(path, PART, 1), F.regexp_extract(path, PART, 2))
+    moved = move_files(
+        list_files(spark, staged, f"part-*.{fmt}").select(
+            path.alias("source"),
+            F.concat(F.lit(encoded(target)), number if numbered else F.lit(""), F.lit(f".{fmt}")).alias("target"),
             F.lit(None).cast("string").alias("spare"),
             F.lit(None).cast("long").alias("not_after"),
-        ))
-        n, failed = moved.agg(F.count("*"), F.count_if(F.col("outcome") != "moved")).first()
-        if not n or failed:
-            raise FileNotFoundError(f"{failed} of {n} staged .{fmt} files could not be landed")
-    return folder
+        )
+    )
+    n, failed = moved.agg(F.count("*"), F.count_if(F.col("outcome") != "moved")).first()
+    if failed or not n:
+        raise FileNotFoundError(f"{failed} of {n} staged .{fmt} files could not be landed")
 
 
 def land_images(
@@ -110,6 +116,6 @@ def land_images(
             F.lit(encoded(f"{folder}/{stem}-")), F.hex(F.xxhash64("file_path")), F.lit(f".{fmt}")
         ).alias("target"),
     )
-    log = f"{spec.landing}/_staging/{uuid.uuid4().hex}/copies"
+    log = f"{spec.bronze}/{spec.datasource}/{spec.dataset}_landed/{stem}"
     copy_files(files).write.parquet(log)
     return spark.read.parquet(log)
