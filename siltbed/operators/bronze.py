@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 from ..paths import qualify
 from ..sources.schema_store import widen
 from ..spec import DatasetSpec
-from ..tables import read_or_empty
+from ..tables import one_row, read_or_empty
 
 RUN, BATCH = "_run", "_batch_id"
 COMMIT_SCHEMA = (
@@ -66,6 +67,15 @@ def _nullable(t: T.DataType) -> T.DataType:
     return t
 
 
+def _partition_spec(path: str) -> str:
+    """``a=1/b=x%2Fy`` as the inside of a PARTITION clause."""
+    pairs = (part.split("=", 1) for part in path.split("/"))
+    values = {_quote(unquote(k)): unquote(v).replace("\\", "\\\\").replace("'", "\\'") for k, v in pairs}
+    return ", ".join(
+        f"{k} = null" if v == "__HIVE_DEFAULT_PARTITION__" else f"{k} = '{v}'" for k, v in values.items()
+    )
+
+
 class BronzeTable:
     """The bronze table of one dataset."""
 
@@ -136,11 +146,14 @@ class BronzeTable:
 
     def commit(self, run: str, batch_id: int) -> None:
         """Make a written batch count."""
-        record = self.spark.createDataFrame(
-            [(self.schema.json(), self.partition_by)], "fields string, partition_by array<string>"
-        ).withColumn("committed_at", F.current_timestamp())
+        record = one_row(
+            self.spark,
+            fields=self.schema.json(),
+            partition_by=F.array(*map(F.lit, self.partition_by)).cast("array<string>"),
+            committed_at=F.current_timestamp(),
+        )
         path = f"{self.spec.commits_dir}/run={run}/batch={batch_id}"
-        record.coalesce(1).write.mode("overwrite").parquet(path)
+        record.write.mode("overwrite").parquet(path)
         self.committed[run] = batch_id
 
     def read(self) -> DataFrame:
@@ -148,9 +161,7 @@ class BronzeTable:
         if self.schema is None:
             raise ValueError(f"nothing is committed to {self.spec.table} yet")
         self.register()
-        committed = F.lit(False)
-        for run, batch in self.committed.items():
-            committed |= (F.col(RUN) == run) & (F.col(BATCH) <= batch)
+        committed = self._is_committed(F.col(RUN), F.col(BATCH))
         rows = self.spark.table(self.spec.table).where(committed)
         return rows.select(*[F.col(_quote(n)) for n in self.schema.fieldNames()])
 
@@ -220,9 +231,27 @@ class BronzeTable:
             f"PARTITIONED BY ({keys}) LOCATION '{spec.table_dir}'"
         )
         if self.committed:
-            # A catalog that does not know this table yet: find the partitions once. Later
-            # batches register their own.
+            # A catalog that does not know this table yet: find the partitions once, without
+            # those of batches that never got committed. Later batches register their own.
             spark.sql(f"MSCK REPAIR TABLE {spec.table}")
+            self._forget_uncommitted()
+
+    def _forget_uncommitted(self) -> None:
+        """Take partitions of uncommitted batches out of the catalog; files stay."""
+        found = self.spark.sql(f"SHOW PARTITIONS {self.spec.table}")
+        path = F.col("partition")
+        run = F.regexp_extract(path, f"^{RUN}=([^/]*)", 1)
+        batch = F.regexp_extract(path, f"/{BATCH}=([^/]*)", 1).cast("long")
+        left = [r.partition for r in found.where(~self._is_committed(run, batch)).collect()]
+        if left:
+            drops = ", ".join(f"PARTITION ({_partition_spec(p)})" for p in left)
+            self.spark.sql(f"ALTER TABLE {self.spec.table} DROP IF EXISTS {drops}")
+
+    def _is_committed(self, run: Column, batch: Column) -> Column:
+        committed = F.lit(False)
+        for name, last in self.committed.items():
+            committed |= (run == name) & (batch <= last)
+        return committed
 
 
 def read_bronze(spark: SparkSession, spec: DatasetSpec) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import avro
 from ..paths import encoded, qualify
 from ..sources.avro_files import write_files
-from ..sources.listing import list_files
+from ..sources.listing import list_files, listing_session
 from ..spec import DatasetSpec
 from .files import copy_files, drop_dir, move_files
 
@@ -68,7 +68,7 @@ def land_dataframe(
         # Computed once and in parallel; brought together only when it turned out small.
         df.write.parquet(f"{staging}/rows")
         df = spark.read.parquet(f"{staging}/rows")
-        size = list_files(spark, f"{staging}/rows", "part-*").agg(F.sum("length")).first()[0]
+        size = list_files(listing_session(spark), f"{staging}/rows", "part-*").agg(F.sum("length")).first()[0]
         single_file = (size or 0) <= single_file_bytes
         if single_file:
             df = df.coalesce(1)
@@ -89,7 +89,7 @@ def _publish(spark: SparkSession, staged: str, fmt: str, target: str, *, numbere
     path = F.col("file_path")
     number = F.concat(F.lit("-"), F.regexp_extract(path, PART, 1), F.regexp_extract(path, PART, 2))
     moved = move_files(
-        list_files(spark, staged, f"part-*.{fmt}").select(
+        list_files(listing_session(spark), staged, f"part-*.{fmt}").select(
             path.alias("source"),
             F.concat(F.lit(encoded(target)), number if numbered else F.lit(""), F.lit(f".{fmt}")).alias("target"),
             F.lit(None).cast("string").alias("spare"),
@@ -110,7 +110,7 @@ def land_images(
     so running a task again replaces its own copy.
     """
     folder, stem = _names(spec, now)
-    files = list_files(spark, qualify(source), f"*.{fmt}").select(
+    files = list_files(listing_session(spark), qualify(source), f"*.{fmt}").select(
         F.col("file_path").alias("source"),
         F.concat(
             F.lit(encoded(f"{folder}/{stem}-")), F.hex(F.xxhash64("file_path")), F.lit(f".{fmt}")

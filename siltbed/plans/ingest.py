@@ -13,7 +13,7 @@ from ..operators.archive import archive_files
 from ..operators.bronze import BronzeTable
 from ..sources.landing import FORMATS, read_landing_files
 from ..sources.listing import list_files, listing_session
-from ..sources.manifest import FILE_KEY, add_to_manifest, new_files, read_manifest
+from ..sources.manifest import FILE_KEY, add_to_manifest, new_files, read_manifest, still_listed
 from ..spec import DatasetSpec
 
 # Run name of batches that come from the manifest; streams use their query id.
@@ -47,22 +47,25 @@ def ingest(
     known = read_manifest(session, spec)
     if archive and done >= 0:
         # Committed files an interrupted call did not get to move.
-        left = listing.join(known.where(F.col("batch") <= done), FILE_KEY, "left_semi")
-        if not left.isEmpty():
-            archive_files(spec, left, f"{RUN}-late", done, not_after=F.col("modified"))
-    add_to_manifest(spec, new_files(listing, known), files_per_batch)
+        late = listing.join(known.where(F.col("batch") <= done), FILE_KEY, "left_semi")
+        if not late.isEmpty():
+            archive_files(spec, late, f"{RUN}-late", done, not_after=F.col("modified"))
+    left_over = known.where(F.col("batch") > done)
+    if not left_over.isEmpty():
+        # A file changed or removed in the meantime is not read under its old entry.
+        left_over = still_listed(spec, left_over, listing)
+    fresh = add_to_manifest(spec, new_files(listing, known), files_per_batch)
 
-    pending = read_manifest(session, spec).where(F.col("batch") > done)
-    # A file changed or removed since it was listed is not read under its old entry.
-    pending = pending.join(listing, FILE_KEY, "left_semi")
-    batches = sorted(r.batch for r in pending.select("batch").distinct().collect())
-    for batch in batches:
-        files = pending.where(F.col("batch") == batch)
-        paths = [r.file_path for r in files.select("file_path").collect()]
-        df = read_landing_files(
-            spark, spec, fmt, files=paths, schema=schema, options=reader_options, label_pattern=label_pattern
-        )
-        table.append(df, RUN, batch)
-        if archive:
-            archive_files(spec, files, RUN, batch, not_after=F.col("modified"))
-    return len(batches)
+    n = 0
+    for pending in (left_over, fresh):
+        for batch in sorted(r.batch for r in pending.select("batch").distinct().collect()):
+            files = pending.where(F.col("batch") == batch)
+            paths = [r.file_path for r in files.select("file_path").collect()]
+            df = read_landing_files(
+                spark, spec, fmt, files=paths, schema=schema, options=reader_options, label_pattern=label_pattern
+            )
+            table.append(df, RUN, batch)
+            if archive:
+                archive_files(spec, files, RUN, batch, not_after=F.col("modified"))
+            n += 1
+    return n

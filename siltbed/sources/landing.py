@@ -13,7 +13,7 @@ from ..functions.metadata import LABEL_PATTERN, add_file_metadata
 from ..paths import load_path
 from ..spec import DatasetSpec
 from . import avro_files
-from .listing import list_files
+from .listing import list_files, listing_session
 from .schema_store import CORRUPT, SchemaStore, widen
 
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -50,7 +50,7 @@ def infer_schema(
         return T.StructType.fromDDL(BINARY_SCHEMA)
     if fmt == "avro":
         seen = T.StructType()
-        for text in avro_files.header_schemas(list_files(spark, paths)):
+        for text in avro_files.header_schemas(list_files(listing_session(spark), paths)):
             seen, _ = widen(seen, avro.Schema(text).spark_type)
         return seen
     reader = spark.read.format(source).options(**fixed).option("recursiveFileLookup", "true")

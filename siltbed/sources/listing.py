@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..tables import no_rows
+
 FILE_SCHEMA = "file_path string, modified timestamp, length bigint"
 
 
@@ -28,7 +30,7 @@ def list_files(
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], FILE_SCHEMA)
+        return no_rows(spark, FILE_SCHEMA)
     return files.select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_modification_time").alias("modified"),
@@ -40,9 +42,11 @@ def listing_session(spark: SparkSession) -> SparkSession:
     """A session whose scans are packed for listing.
 
     A scan packs files into tasks by their length, which would make a task of every large
-    file although only its name is read. Settings of the caller's session stay untouched.
+    file although only its name is read. A file that vanishes while the listing runs is
+    simply not in it. Settings of the caller's session stay untouched.
     """
     session = spark.newSession()
     session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     session.conf.set("spark.sql.files.maxPartitionBytes", str(64 << 30))
+    session.conf.set("spark.sql.files.ignoreMissingFiles", "true")
     return session

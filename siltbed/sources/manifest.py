@@ -27,8 +27,18 @@ def new_files(listing: DataFrame, manifest: DataFrame) -> DataFrame:
     return listing.join(manifest, FILE_KEY, "left_anti")
 
 
-def add_to_manifest(spec: DatasetSpec, files: DataFrame, files_per_batch: int) -> int:
-    """Assign ``files`` to new batches of about ``files_per_batch``; returns how many there are.
+def still_listed(spec: DatasetSpec, pending: DataFrame, listing: DataFrame) -> DataFrame:
+    """Pending manifest rows whose file is there in the same version, as a written table.
+
+    Written, because evaluating the listing again while batches move files would change it.
+    """
+    path = f"{spec.manifest_dir}_found/left_over"
+    pending.join(listing, FILE_KEY, "left_semi").write.mode("overwrite").parquet(path)
+    return pending.sparkSession.read.schema(pending.schema).parquet(path)
+
+
+def add_to_manifest(spec: DatasetSpec, files: DataFrame, files_per_batch: int) -> DataFrame:
+    """Assign ``files`` to new batches of about ``files_per_batch``; returns their rows.
 
     The assignment is written before anything is read, so a restart works on the same
     batches. ``files`` is evaluated once.
@@ -44,7 +54,7 @@ def add_to_manifest(spec: DatasetSpec, files: DataFrame, files_per_batch: int) -
         batches = math.ceil(n / files_per_batch)
         batch = F.lit(first) + F.pmod(F.xxhash64("file_path"), F.lit(batches))
         rows.withColumn("batch", batch).write.mode("overwrite").parquet(f"{spec.manifest_dir}/first={first}")
-    return n
+    return read_manifest(spark, spec).where(F.col("batch") >= first)
 
 
 def file_states(spark: SparkSession, spec: DatasetSpec, last_committed: int) -> DataFrame:

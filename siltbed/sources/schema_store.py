@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..tables import read_or_empty
+from ..tables import one_row, read_or_empty
 
 CORRUPT = "_corrupt_record"
 
@@ -77,8 +77,8 @@ class SchemaStore:
         return version, T.StructType.fromJson(json.loads(fields))
 
     def put(self, version: int, schema: T.StructType) -> None:
-        one = self.spark.createDataFrame([(schema.json(),)], "fields string").coalesce(1)
-        one.write.mode("overwrite").parquet(f"{self.directory}/version={version}")
+        row = one_row(self.spark, fields=schema.json())
+        row.write.mode("overwrite").parquet(f"{self.directory}/version={version}")
 
     def evolve(self, seen: T.StructType, *, quarantine: bool) -> T.StructType:
         """Merge ``seen`` into the stored schema and keep the result.

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -13,7 +15,17 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return no_rows(spark, schema)
+
+
+def no_rows(spark: SparkSession, schema: str) -> DataFrame:
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(schema)]
+    return spark.range(0, 0, 1, 1).select(*nulls)
+
+
+def one_row(spark: SparkSession, **columns) -> DataFrame:
+    """A row of literals in one partition, made without Python workers."""
+    return spark.range(0, 1, 1, 1).select(*[F.lit(v).alias(k) for k, v in columns.items()])
 
 
 def io_tasks(spark: SparkSession) -> int:

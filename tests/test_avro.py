@@ -1,0 +1,134 @@
+"""The Avro fallback, checked against Avro's own Java reader where that is possible."""
+
+import datetime as dt
+import decimal
+import io
+import json
+
+import pytest
+from conftest import rows
+from hypothesis import given
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import siltbed as sb
+from siltbed.functions import avro
+from siltbed.sources import avro_files
+from siltbed.sources.listing import list_files
+
+
+@given(st.integers(-(2**63), 2**63 - 1))
+def test_long_round_trip(n):
+    assert avro.Bytes(avro.long_bytes(n)).long() == n
+
+
+def test_known_bytes():
+    assert [avro.long_bytes(n).hex() for n in (0, -1, 1, -64, 64)] == ["00", "01", "02", "7f", "8001"]
+
+
+RICH = """id long, i int, f float, d double, b boolean, s string, y binary, day date,
+    at timestamp, ntz timestamp_ntz, money decimal(12,3),
+    l array<string>, m map<string,long>, n struct<x:int,y:array<double>>"""
+RICH_ROWS = [
+    (2**62, -5, 1.5, 0.1, True, "añ", bytearray(b"\0\xff"), dt.date(2024, 2, 29),
+     dt.datetime(2024, 1, 1, 1, 2, 3, 456789), dt.datetime(1969, 12, 31, 23, 59, 59, 1),
+     decimal.Decimal("-123.456"), ["a", None], {"k": 1, "z": None}, (7, [1.0, 2.5])),
+    tuple([None] * 14),
+    (0, 0, 0.0, -0.0, False, "", bytearray(), dt.date(1970, 1, 1), dt.datetime(1970, 1, 1),
+     dt.datetime(1970, 1, 1), decimal.Decimal("0.000"), [], {}, (None, None)),
+]
+
+
+def test_all_types_round_trip_through_files(spark, spec):
+    df = spark.createDataFrame(RICH_ROWS, RICH)
+    sb.land_dataframe(df, spec, "avro", single_file=False)
+    back = sb.read_landing_files(spark, spec, "avro").select(df.columns)
+    assert back.dtypes == df.dtypes
+    assert rows(back, "*") == rows(df, "*")
+
+
+def test_all_types_round_trip_through_columns(spark):
+    df = spark.createDataFrame(RICH_ROWS, RICH)
+    schema = json.dumps(avro.avro_schema(df.schema))
+    packed = df.select(avro.to_avro(F.struct(*df.columns), schema).alias("v"))
+    assert rows(packed.select(avro.from_avro(F.col("v"), schema).alias("r")).select("r.*"), "*") == rows(df, "*")
+
+
+def test_java_reader_reads_our_files(spark, spec):
+    """Avro's Java library is on Spark's class path, although Spark's module is not."""
+    df = spark.range(5000).selectExpr("id", "concat('n', id) AS name", "id / 4 AS q")
+    folder = sb.land_dataframe(df, spec, "avro")
+    lines = spark.sparkContext.hadoopFile(
+        folder, "org.apache.avro.mapred.AvroAsTextInputFormat",
+        "org.apache.hadoop.io.Text", "org.apache.hadoop.io.Text",
+    ).map(lambda kv: json.loads(kv[0])).collect()
+    assert sorted(((r["id"], r["name"], r["q"]) for r in lines), key=repr) == rows(df, "*")
+
+
+@pytest.mark.parametrize("size", [1, 500, 3000, 10**9])
+def test_splits_hold_every_record_once(spark, spec, size):
+    df = spark.range(0, 20_000, 1, 1).selectExpr("id", "repeat('x', cast(id % 50 AS int)) AS pad")
+    sb.land_dataframe(df, spec, "avro")
+    file = list_files(spark, spec.landing_dir).first()
+    step = max(size, file.length // 400)
+    got = [
+        r["id"] for start in range(0, file.length, step)
+        for block in avro_files.read_split(file.file_path, start, step) for r in block
+    ]
+    assert got == list(range(20_000))
+
+
+@pytest.mark.parametrize("codec", ["null", "bzip2", "xz", "snappy", "zstandard"])
+def test_codecs(codec):
+    import bz2
+    import lzma
+
+    import pyarrow as pa
+    import zstandard
+
+    data = bytes(range(256)) * 20
+    size = len(data)
+    varint = bytes([size & 0x7F | 0x80, size >> 7])
+    packed = {
+        "null": lambda: data,
+        "bzip2": lambda: bz2.compress(data),
+        "xz": lambda: lzma.compress(data),
+        "snappy": lambda: pa.compress(data, codec="snappy", asbytes=True) + b"crc!",
+        "zstandard": lambda: zstandard.ZstdCompressor().compress(data),
+    }[codec]()
+    if codec == "snappy":
+        assert packed.startswith(varint)
+    assert avro_files.DECOMPRESS[codec](packed) == data
+
+
+def test_schema_features():
+    schema = avro.Schema(json.dumps({
+        "type": "record", "name": "Node", "namespace": "x", "fields": [
+            {"name": "kind", "type": {"type": "enum", "name": "Kind", "symbols": ["A", "B"]}},
+            {"name": "again", "type": ["null", "Kind"]},
+            {"name": "hash", "type": {"type": "fixed", "name": "H", "size": 2}},
+            {"name": "ms", "type": {"type": "long", "logicalType": "timestamp-millis"}},
+        ],
+    }))
+    assert schema.spark_type.simpleString() == "struct<kind:string,again:string,hash:binary,ms:timestamp>"
+    data = avro.long_bytes(1) + avro.long_bytes(1) + avro.long_bytes(0) + b"\1\2" + avro.long_bytes(5)
+    assert avro.decoder(schema.root)(avro.Bytes(data)) == {"kind": "B", "again": "A", "hash": b"\1\2", "ms": 5000}
+
+
+def test_wide_unions_are_refused():
+    with pytest.raises(ValueError, match="unions"):
+        avro.Schema('["null", "long", "string"]').spark_type
+
+
+def test_not_a_container():
+    with pytest.raises(ValueError, match="container"):
+        avro_files.read_header(io.BytesIO(b"PAR1"))
+
+
+def test_writer_schemas_of_all_files_are_merged(spark, spec):
+    sb.land_dataframe(spark.range(3), spec, "avro")
+    sb.ingest_stream(spark, spec, "avro", merge_schema=True)
+    sb.land_dataframe(spark.range(3, 5).selectExpr("id", "'n' AS extra"), spec, "avro")
+    sb.ingest_stream(spark, spec, "avro", merge_schema=True)
+    got = rows(sb.read_bronze(spark, spec), "id", "extra")
+    assert got == [(0, None), (1, None), (2, None), (3, "n"), (4, "n")]

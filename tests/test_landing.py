@@ -1,0 +1,154 @@
+"""File sources: formats, metadata, inference, evolution."""
+
+import pytest
+from conftest import rows
+
+import siltbed as sb
+from siltbed.sources.schema_store import CORRUPT, widen
+from pyspark.sql import types as T
+
+EVENTS = '{"id":1,"x":1.5}\n{"id":2,"x":2.5}\n'
+
+
+def ddl(text):
+    return T.StructType.fromDDL(text)
+
+
+def test_json_basic(spark, spec, drop_file):
+    drop_file("a.json", EVENTS)
+    df = sb.read_landing_files(spark, spec, "json")
+    assert df.columns == ["_ingested_at", "_ingested_filename", "id", "x"]
+    assert rows(df, "id", "x") == [(1, 1.5), (2, 2.5)]
+    assert df.where("_ingested_at IS NULL").isEmpty()
+    assert {r[0] for r in rows(df, "_ingested_filename")} == {f"{spec.raw_dir}/2024/01/01/a.json"}
+
+
+def test_blank_in_name_is_archived(spark, spec, drop_file, tmp_path):
+    drop_file("b c[1].json", '{"id":3,"x":3.5}\n')
+    sb.ingest_stream(spark, spec, "json")
+    df = sb.read_bronze(spark, spec)
+    assert rows(df, "id") == [(3,)]
+    assert df.first()["_ingested_filename"].endswith("/b%20c%5B1%5D.json")
+    assert (tmp_path / "raw/crm/events/2024/01/01/b c[1].json").exists()
+
+
+def test_blank_in_name_with_manifest(spark, spec, drop_file, tmp_path):
+    drop_file("b c{1}*.json", '{"id":3,"x":3.5}\n')
+    assert sb.ingest(spark, spec, "json") == 1
+    assert rows(sb.read_bronze(spark, spec), "id") == [(3,)]
+    assert (tmp_path / "raw/crm/events/2024/01/01/b c{1}*.json").exists()
+
+
+def test_json_new_column(spark, spec, drop_file):
+    drop_file("a.json", EVENTS)
+    sb.ingest_stream(spark, spec, "json", merge_schema=True)
+    drop_file("b.json", '{"id":4,"x":4,"n":"new"}\n')
+    sb.ingest_stream(spark, spec, "json", merge_schema=True)
+    df = sb.read_bronze(spark, spec)
+    assert df.columns[2:] == ["id", "x", "n"]
+    assert rows(df, "id", "n") == [(1, None), (2, None), (4, "new")]
+
+
+def test_nested_new_field(spark, spec, drop_file):
+    drop_file("a.json", '{"id":1,"s":{"a":1},"l":[{"p":1}]}\n')
+    sb.ingest(spark, spec, "json", merge_schema=True)
+    drop_file("b.json", '{"id":2,"s":{"a":2,"b":"n"},"l":[{"p":2,"q":3}]}\n')
+    sb.ingest(spark, spec, "json", merge_schema=True)
+    got = {r.id: r.asDict(recursive=True) for r in sb.read_bronze(spark, spec).select("id", "s", "l").collect()}
+    assert got[1] == {"id": 1, "s": {"a": 1, "b": None}, "l": [{"p": 1, "q": None}]}
+    assert got[2] == {"id": 2, "s": {"a": 2, "b": "n"}, "l": [{"p": 2, "q": 3}]}
+
+
+def test_json_type_clash(spark, spec, drop_file):
+    drop_file("a.json", '{"id":1}\n')
+    sb.ingest(spark, spec, "json", merge_schema=True)
+    drop_file("b.json", '{"id":"abc"}\n{bad\n')
+    sb.ingest(spark, spec, "json", merge_schema=True)
+    df = sb.read_bronze(spark, spec)
+    assert dict(df.dtypes)["id"] == "bigint"
+    assert rows(df, "id", CORRUPT) == [(1, None), (None, '{"id":"abc"}'), (None, "{bad")]
+
+
+def test_csv_basic(spark, spec, drop_file):
+    drop_file("a.csv", "1;x;2024-01-01\n2;y;2024-01-02\n")
+    df = sb.read_landing_files(spark, spec, "csv")
+    assert df.dtypes[2:] == [("_c0", "int"), ("_c1", "string"), ("_c2", "date")]
+    assert df.count() == 2
+
+
+def test_csv_ragged(spark, spec, drop_file):
+    drop_file("a.csv", "1;a;EXTRA\n2\n3;c\n")
+    schema = f"_c0 int, _c1 string, {CORRUPT} string"
+    df = sb.read_landing_files(spark, spec, "csv", schema=schema)
+    assert rows(df, "_c0", "_c1", CORRUPT) == [(1, "a", "1;a;EXTRA"), (2, None, "2"), (3, "c", None)]
+
+
+def test_parquet_schema_covers_all_files(spark, spec):
+    spark.range(3).write.parquet(f"{spec.landing_dir}/2024/01/01")
+    spark.range(2).selectExpr("id", "'v' AS extra").write.parquet(f"{spec.landing_dir}/2024/01/02")
+    df = sb.read_landing_files(spark, spec, "parquet")
+    assert sorted(df.columns[2:]) == ["extra", "id"]
+    assert df.count() == 5
+
+
+def test_stream_reader_reads_dated_tree(spark, spec, drop_file, tmp_path):
+    drop_file("a.json", EVENTS, "2024/01/01")
+    drop_file("b.json", EVENTS, "2024/12/31")
+    stream = sb.read_landing_stream(spark, spec, "json", schema="id long, x double")
+    assert stream.isStreaming
+    query = (
+        stream.writeStream.format("memory").queryName("dated_tree").trigger(availableNow=True)
+        .option("checkpointLocation", str(tmp_path / "ck")).start()
+    )
+    query.awaitTermination()
+    assert spark.table("dated_tree").count() == 4
+
+
+@pytest.mark.parametrize("call", [sb.read_landing_files, sb.read_landing_stream, sb.ingest])
+def test_unknown_format(spark, spec, call):
+    with pytest.raises(ValueError, match="not supported"):
+        call(spark, spec, "orc")
+
+
+def test_reserved_column_name(spark, spec, drop_file):
+    drop_file("a.json", '{"id":1,"_ingested_at":"x"}\n')
+    with pytest.raises(ValueError, match="_ingested_at"):
+        sb.read_landing_files(spark, spec, "json")
+
+
+def test_raw_rewrite_only_at_the_root(spark, spec):
+    inner = f"{spec.landing}/crm{spec.landing.removeprefix('file:')}/x.json"
+    outside = "file:/elsewhere/landing/x.json"
+    df = spark.createDataFrame([(inner,), (outside,), (inner.replace("file:/", "file:///"),)], "p string")
+    got = [r[0] for r in df.select(sb.raw_file_name(spec, df.p)).collect()]
+    want = f"{spec.raw}/crm{spec.landing.removeprefix('file:')}/x.json"
+    assert got == [want, outside, want]
+
+
+def test_path_label(spark):
+    df = spark.createDataFrame([("file:/l/flower_photos/daisy/a.jpg",), ("file:/l/x.jpg",)], "p string")
+    assert [r[0] for r in df.select(sb.path_label("p")).collect()] == ["daisy", ""]
+
+
+def test_widen_keeps_stored_types():
+    wide, clash = widen(ddl("a bigint, b double"), ddl("b bigint, a int, c string"))
+    assert wide == ddl("a bigint, b double, c string") and not clash
+    assert widen(ddl("a bigint"), ddl("a string"))[1]
+    assert widen(ddl("a array<struct<x:int>>"), ddl("a array<struct<x:int,y:int>>"))[0] == ddl(
+        "a array<struct<x:int,y:int>>"
+    )
+
+
+def test_widen_refuses_case_twins():
+    with pytest.raises(ValueError, match="case"):
+        widen(ddl("id bigint"), ddl("ID bigint"))
+
+
+def test_schema_versions(spark, spec):
+    store = sb.SchemaStore(spark, spec.schema_dir)
+    assert store.latest() is None
+    store.evolve(ddl("a int"), quarantine=False)
+    store.evolve(ddl("a int"), quarantine=False)
+    assert store.latest() == (1, ddl("a int"))
+    store.evolve(ddl("b int"), quarantine=False)
+    assert store.latest() == (2, ddl("a int, b int"))
