@@ -30,6 +30,7 @@ def ingest(
     merge_schema: bool | str = False,
     archive: bool = True,
     files_per_batch: int = 10_000,
+    bytes_per_batch: int = 1 << 40,
     reader_options: dict[str, str] | None = None,
     label_pattern: str = LABEL_PATTERN,
 ) -> int:
@@ -54,7 +55,7 @@ def ingest(
     if not left_over.isEmpty():
         # A file changed or removed in the meantime is not read under its old entry.
         left_over = still_listed(spec, left_over, listing)
-    fresh = add_to_manifest(spec, new_files(listing, known), files_per_batch)
+    fresh = add_to_manifest(spec, new_files(listing, known), files_per_batch, bytes_per_batch)
 
     n = 0
     for pending in (left_over, fresh):

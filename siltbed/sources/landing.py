@@ -121,17 +121,20 @@ def read_landing_stream(
     *,
     schema: T.StructType | str | None = None,
     refresh: bool = True,
-    max_files: int = 10_000,
+    max_files: int | None = 10_000,
     options: dict[str, str] | None = None,
     label_pattern: str = LABEL_PATTERN,
 ) -> DataFrame:
     """Stream of the files that arrive in landing, ``max_files`` at most per micro-batch.
 
+    ``max_files=None`` leaves the limit to ``options`` (``maxBytesPerTrigger``).
     Without ``schema`` it is inferred from the files there now and merged into the stored
     one; with ``refresh=False`` a stored schema is used as it is.
     """
     if schema is None:
         stored = None if refresh else SchemaStore(spark, spec.schema_dir).latest()
         schema = stored[1] if stored else resolve_schema(spark, spec, fmt, None, options)
-    reader = spark.readStream.option("maxFilesPerTrigger", max_files)
+    reader = spark.readStream
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     return _load(reader, spark, spec, fmt, spec.landing_dir, _schema(schema), options, label_pattern)

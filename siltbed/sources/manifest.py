@@ -37,8 +37,10 @@ def still_listed(spec: DatasetSpec, pending: DataFrame, listing: DataFrame) -> D
     return pending.sparkSession.read.schema(pending.schema).parquet(path)
 
 
-def add_to_manifest(spec: DatasetSpec, files: DataFrame, files_per_batch: int) -> DataFrame:
-    """Assign ``files`` to new batches of about ``files_per_batch``; returns their rows.
+def add_to_manifest(
+    spec: DatasetSpec, files: DataFrame, files_per_batch: int, bytes_per_batch: int
+) -> DataFrame:
+    """Assign ``files`` to new batches of about the given size; returns their rows.
 
     The assignment is written before anything is read, so a restart works on the same
     batches. ``files`` is evaluated once.
@@ -49,9 +51,9 @@ def add_to_manifest(spec: DatasetSpec, files: DataFrame, files_per_batch: int) -
     found = f"{spec.manifest_dir}_found/first={first}"
     files.select(*FILE_KEY).write.mode("overwrite").parquet(found)
     rows = spark.read.schema("file_path string, modified timestamp, length bigint").parquet(found)
-    n = rows.count()
+    n, size = rows.agg(F.count("*"), F.sum("length")).first()
     if n:
-        batches = math.ceil(n / files_per_batch)
+        batches = max(math.ceil(n / files_per_batch), math.ceil(size / bytes_per_batch))
         batch = F.lit(first) + F.pmod(F.xxhash64("file_path"), F.lit(batches))
         rows.withColumn("batch", batch).write.mode("overwrite").parquet(f"{spec.manifest_dir}/first={first}")
     return read_manifest(spark, spec).where(F.col("batch") >= first)

@@ -100,7 +100,7 @@ def ingest_stream(
     fmt: str,
     *,
     schema: T.StructType | str | None = None,
-    max_files: int = 10_000,
+    max_files: int | None = 10_000,
     reader_options: dict[str, str] | None = None,
     trigger: dict | None = None,
     merge_schema: bool | str = False,
@@ -125,7 +125,7 @@ def ingest_stream(
 
         def check(files: DataFrame) -> None:
             landing = files.select(landing_file_name(spec, F.col("_ingested_filename")).alias("p"))
-            # At most max_files names: the size of a micro-batch.
+            # As many names as a micro-batch has files.
             paths = [load_path(r.p) for r in landing.collect()]
             if paths:
                 resolve_schema(spark, spec, fmt, paths, reader_options)
