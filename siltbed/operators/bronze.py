@@ -3,7 +3,9 @@
 A batch is one static partition (``_run``, ``_batch_id``) of an external Parquet table and is
 written with INSERT OVERWRITE of just that partition, so a replay replaces its own rows. A
 one-row commit record written afterwards makes the batch count: readers prune to committed
-batches, and a replay of a committed batch is skipped. Each table has one writer at a time.
+batches, and a replay of a committed batch is skipped. The batches of a run commit in order,
+so its last record stands for all before it and older ones are dropped. Each table has one
+writer at a time.
 """
 
 from __future__ import annotations
@@ -20,12 +22,16 @@ from ..paths import qualify
 from ..sources.schema_store import widen
 from ..spec import DatasetSpec
 from ..tables import one_row, read_or_empty
+from .files import drop_dir
 
 RUN, BATCH = "_run", "_batch_id"
 COMMIT_SCHEMA = (
     "fields string, partition_by array<string>, committed_at timestamp, run string, batch bigint"
 )
 
+# Fixed value: the directory name Spark gives to a null partition value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 
 class SchemaMismatch(ValueError):
     """The batch does not fit the table and merging is off or impossible."""
@@ -67,12 +73,16 @@ def _nullable(t: T.DataType) -> T.DataType:
     return t
 
 
+def _text(value: str) -> str:
+    """``value`` as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _partition_spec(path: str) -> str:
     """``a=1/b=x%2Fy`` as the inside of a PARTITION clause."""
-    pairs = (part.split("=", 1) for part in path.split("/"))
-    values = {_quote(unquote(k)): unquote(v).replace("\\", "\\\\").replace("'", "\\'") for k, v in pairs}
+    pairs = [part.split("=", 1) for part in path.split("/")]
     return ", ".join(
-        f"{k} = null" if v == "__HIVE_DEFAULT_PARTITION__" else f"{k} = '{v}'" for k, v in values.items()
+        f"{_quote(unquote(k))} = " + ("null" if v == NO_VALUE else _text(unquote(v))) for k, v in pairs
     )
 
 
@@ -90,12 +100,14 @@ class BronzeTable:
         self.spark, self.spec = spark, spec
         self.merge_schema = str(merge_schema).lower() == "true"
         commits = read_or_empty(spark, spec.commits_dir, COMMIT_SCHEMA)
-        # One row per run: batches of a run commit in order, so the last one says it all.
+        # As many rows as there are runs, each with the two or three records kept of it.
         per_run = commits.groupBy("run").agg(
             F.max("batch").alias("batch"),
+            F.sort_array(F.collect_set("batch")).alias("records"),
             F.max_by(F.struct("committed_at", "fields", "partition_by"), "batch").alias("last"),
         ).collect()
         self.committed: dict[str, int] = {r.run: r.batch for r in per_run}
+        self._records: dict[str, list[int]] = {r.run: list(r.records) for r in per_run}
         self.schema: T.StructType | None = None
         asked = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
         self.partition_by = asked
@@ -145,7 +157,10 @@ class BronzeTable:
         )
 
     def commit(self, run: str, batch_id: int) -> None:
-        """Make a written batch count."""
+        """Make a written batch count.
+
+        The record before the last is kept, for readers that are just looking at it.
+        """
         record = one_row(
             self.spark,
             fields=self.schema.json(),
@@ -154,7 +169,11 @@ class BronzeTable:
         )
         path = f"{self.spec.commits_dir}/run={run}/batch={batch_id}"
         record.write.mode("overwrite").parquet(path)
+        outdated = self._records.get(run, [])[:-1]
+        self._records[run] = [*self._records.get(run, [])[-1:], batch_id]
         self.committed[run] = batch_id
+        for old in outdated:
+            drop_dir(f"{self.spec.commits_dir}/run={run}/batch={old}")
 
     def read(self) -> DataFrame:
         """Rows of committed batches, columns in the order they were first written."""
@@ -199,7 +218,7 @@ class BronzeTable:
     def _prepare(self, schema: T.StructType) -> None:
         """Create the database and table, or bring the table's columns up to ``schema``."""
         spec, spark = self.spec, self.spark
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quote(spec.database)} LOCATION '{spec.bronze}'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quote(spec.database)} LOCATION {_text(spec.bronze)}")
         if not spark.catalog.tableExists(spec.table):
             self._create(schema)
             return
@@ -228,7 +247,7 @@ class BronzeTable:
         keys = ", ".join([RUN, BATCH, *map(_quote, self.partition_by)])
         spark.sql(
             f"CREATE TABLE {spec.table} ({ddl}) USING parquet "
-            f"PARTITIONED BY ({keys}) LOCATION '{spec.table_dir}'"
+            f"PARTITIONED BY ({keys}) LOCATION {_text(spec.table_dir)}"
         )
         if self.committed:
             # A catalog that does not know this table yet: find the partitions once, without

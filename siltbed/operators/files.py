@@ -11,6 +11,7 @@ import pandas as pd
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 
+from ..paths import encoded
 from ..tables import io_tasks
 
 # Hadoop connector schemes with the names Arrow knows them by.
@@ -60,9 +61,10 @@ def exists(fs: pafs.FileSystem, path: str) -> bool:
 
 
 def drop_dir(uri: str) -> None:
-    """Remove a directory this package made for its own staging."""
-    fs, path = locate(uri)
-    fs.delete_dir(path)
+    """Remove a directory this package made for its own bookkeeping, if it is there."""
+    fs, path = locate(encoded(uri))
+    if fs.get_file_info(path).type == pafs.FileType.Directory:
+        fs.delete_dir(path)
 
 
 def move_file(

@@ -13,7 +13,9 @@ from ..operators.archive import archive_files
 from ..operators.bronze import BronzeTable
 from ..sources.landing import FORMATS, read_landing_files
 from ..sources.listing import list_files, listing_session
-from ..sources.manifest import FILE_KEY, add_to_manifest, new_files, read_manifest, still_listed
+from ..sources.manifest import (
+    FILE_KEY, add_to_manifest, forget_archived, new_files, read_manifest, still_listed,
+)
 from ..spec import DatasetSpec
 
 # Run name of batches that come from the manifest; streams use their query id.
@@ -55,7 +57,7 @@ def ingest(
     if not left_over.isEmpty():
         # A file changed or removed in the meantime is not read under its old entry.
         left_over = still_listed(spec, left_over, listing)
-    fresh = add_to_manifest(spec, new_files(listing, known), files_per_batch, bytes_per_batch)
+    fresh = add_to_manifest(spec, new_files(listing, known), done, files_per_batch, bytes_per_batch)
 
     n = 0
     for pending in (left_over, fresh):
@@ -69,4 +71,6 @@ def ingest(
             if archive:
                 archive_files(spec, files, RUN, batch, not_after=F.col("modified"))
             n += 1
+    if archive:
+        forget_archived(spec)
     return n

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.avro import Bytes, Schema, avro_schema, decoder, encoder, long_bytes
-from ..operators.files import locate, put
+from ..operators.files import exists, locate, put
 from ..tables import io_tasks
 
 # Fixed values (Avro 1.11): file magic and sync marker length.
@@ -181,11 +181,14 @@ def write_files(df: DataFrame, name: str) -> DataFrame:
     text = json.dumps(avro_schema(df.schema))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        uri = name.format(part=f"{TaskContext.get().partitionId():05d}")
+        fs, path = locate(uri)
         first = next((b for b in batches if b.num_rows), None)
         if first is None:
+            if exists(fs, path):
+                # An earlier attempt had rows here that are in other partitions now.
+                fs.delete_file(path)
             return
-        uri = name.format(part=f"{TaskContext.get().partitionId():05d}")
-        fs, path = locate(uri)
         seen: list[int] = []
 
         def all_batches():

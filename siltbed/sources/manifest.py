@@ -1,6 +1,8 @@
 """Which landing files belong to which batch.
 
 A file is known by path, modification time and length, so an overwritten file counts as new.
+Entries are needed while their files are in landing; once these are archived they are
+dropped, so the manifest does not outgrow landing. The archive log keeps the history.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.files import MOVED_SCHEMA
+from ..operators.files import MOVED_SCHEMA, drop_dir
 from ..spec import DatasetSpec
 from ..tables import read_or_empty
 
@@ -38,16 +40,16 @@ def still_listed(spec: DatasetSpec, pending: DataFrame, listing: DataFrame) -> D
 
 
 def add_to_manifest(
-    spec: DatasetSpec, files: DataFrame, files_per_batch: int, bytes_per_batch: int
+    spec: DatasetSpec, files: DataFrame, done: int, files_per_batch: int, bytes_per_batch: int
 ) -> DataFrame:
     """Assign ``files`` to new batches of about the given size; returns their rows.
 
-    The assignment is written before anything is read, so a restart works on the same
+    Batch numbers go on after ``done``, the last committed one. The assignment is written before anything is read, so a restart works on the same
     batches. ``files`` is evaluated once.
     """
     spark = files.sparkSession
     last = read_manifest(spark, spec).agg(F.max("batch")).first()[0]
-    first = 0 if last is None else last + 1
+    first = max(done, -1 if last is None else last) + 1
     found = f"{spec.manifest_dir}_found/first={first}"
     files.select(*FILE_KEY).write.mode("overwrite").parquet(found)
     rows = spark.read.schema("file_path string, modified timestamp, length bigint").parquet(found)
@@ -59,17 +61,23 @@ def add_to_manifest(
     return read_manifest(spark, spec).where(F.col("batch") >= first)
 
 
+def forget_archived(spec: DatasetSpec) -> None:
+    """Drop the entries, once every file in them is committed and has left landing."""
+    drop_dir(spec.manifest_dir)
+    drop_dir(f"{spec.manifest_dir}_found")
+
+
 def file_states(spark: SparkSession, spec: DatasetSpec, last_committed: int) -> DataFrame:
-    """The manifest with ``state``: pending, committed or archived; and the raw file name."""
+    """``file_path, state, raw_file`` of all files ever listed.
+
+    The state is pending, committed or archived; only archived files have a raw file.
+    """
     log = read_or_empty(spark, spec.archive_log_dir, MOVED_SCHEMA).where("outcome = 'moved'")
-    moved = log.select(
-        F.col("source").alias("file_path"), F.col("not_after").alias("modified_ms"), F.col("target").alias("raw_file")
-    ).distinct()
-    files = read_manifest(spark, spec).withColumn("modified_ms", F.unix_millis("modified"))
-    state = (
-        F.when(F.col("raw_file").isNotNull(), "archived")
-        .when(F.col("batch") <= last_committed, "committed")
-        .otherwise("pending")
+    archived = log.groupBy("source", "not_after").agg(F.min("target").alias("raw_file"))
+    there = read_manifest(spark, spec)
+    moved = (there.file_path == archived.source) & (F.unix_millis(there.modified) == archived.not_after)
+    state = F.when(F.col("batch") <= last_committed, "committed").otherwise("pending")
+    left = there.join(archived, moved, "left_anti")
+    return left.select("file_path", state.alias("state"), F.lit(None).cast("string").alias("raw_file")).unionByName(
+        archived.select(F.col("source").alias("file_path"), F.lit("archived").alias("state"), "raw_file")
     )
-    joined = files.join(moved, ["file_path", "modified_ms"], "left")
-    return joined.select(*FILE_KEY, "batch", state.alias("state"), "raw_file")

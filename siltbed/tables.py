@@ -9,9 +9,12 @@ from pyspark.sql import types as T
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Parquet at ``path`` under ``schema``; no rows when nothing was written there yet."""
+    """Parquet at ``path`` under ``schema``; no rows when nothing was written there yet.
+
+    Files that their writer drops as outdated during the read are left out.
+    """
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.option("ignoreMissingFiles", "true").schema(schema).parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -63,6 +63,18 @@ def test_many_batches_with_archive(spark, spec, drop_file, tmp_path):
     assert not list((tmp_path / "landing").rglob("*.json"))
 
 
+def test_bookkeeping_does_not_grow(spark, spec, drop_file, tmp_path):
+    """The manifest holds files in landing only, the commit records the last two batches."""
+    for i in range(5):
+        drop_file(f"{i}.json", f'{{"id":{i}}}\n')
+        sb.ingest(spark, spec, "json", schema=SCHEMA)
+    assert manifest.read_manifest(spark, spec).isEmpty()
+    records = sorted(p.name for p in (tmp_path / "bronze/crm/events_commits/run=ingest").iterdir())
+    assert records == ["batch=3", "batch=4"]
+    assert rows(sb.read_bronze(spark, spec), "id") == [(i,) for i in range(5)]
+    assert states(spark, spec) == {"archived": 5}
+
+
 def test_empty_file_is_left_alone(spark, spec, drop_file):
     """Spark's scans skip files without bytes, so there is nothing to ingest or archive."""
     drop_file("a.json", '{"id":1}\n')
