@@ -12,6 +12,7 @@ from ..functions import avro
 from ..functions.metadata import LABEL_PATTERN, add_file_metadata
 from ..paths import load_path
 from ..spec import DatasetSpec
+from ..tables import few_listing_tasks
 from . import avro_files
 from .listing import list_files, listing_session
 from .schema_store import CORRUPT, SchemaStore, widen
@@ -55,7 +56,8 @@ def infer_schema(
         return seen
     reader = spark.read.format(source).options(**fixed).option("recursiveFileLookup", "true")
     reader = reader.option("mergeSchema" if fmt == "parquet" else "inferSchema", "true")
-    return reader.options(**(options or {})).load(paths).schema
+    with few_listing_tasks(spark):
+        return reader.options(**(options or {})).load(paths).schema
 
 
 def resolve_schema(
@@ -111,7 +113,8 @@ def read_landing_files(
     """
     paths = spec.landing_dir if files is None else [load_path(f) for f in files]
     schema = _schema(schema or resolve_schema(spark, spec, fmt, paths, options))
-    return _load(spark.read, spark, spec, fmt, paths, schema, options, label_pattern)
+    with few_listing_tasks(spark):
+        return _load(spark.read, spark, spec, fmt, paths, schema, options, label_pattern)
 
 
 def read_landing_stream(

@@ -18,6 +18,7 @@ from ..paths import load_path
 from ..sources.landing import FORMATS, read_landing_stream, resolve_schema
 from ..sources.schema_store import SchemaStore
 from ..spec import DatasetSpec
+from ..tables import few_listing_tasks
 
 
 class SchemaEvolved(RuntimeError):
@@ -133,11 +134,11 @@ def ingest_stream(
                 raise SchemaEvolved(f"new columns arrived in {spec.landing_dir}")
 
         evolves = schema is None and FORMATS[fmt][2]
-        query = start_bronze_query(
-            stream, spec, trigger=trigger, merge_schema=merge_schema, check=check if evolves else None, **options
-        )
+        options["check"] = check if evolves else None
         try:
-            query.awaitTermination()
+            with few_listing_tasks(spark):
+                query = start_bronze_query(stream, spec, trigger=trigger, merge_schema=merge_schema, **options)
+                query.awaitTermination()
             return query
         except StreamingQueryException:
             if not evolves or version() == known:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,3 +41,15 @@ def io_tasks(spark: SparkSession) -> int:
     coalescing, scan packing) would put thousands of them in one task.
     """
     return 3 * spark.sparkContext.defaultParallelism
+
+
+@contextmanager
+def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Look up many explicit paths in a few tasks; by default Spark makes a task of each."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), io_tasks(spark))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
