@@ -15,7 +15,7 @@ from ..spec import DatasetSpec
 from ..tables import few_listing_tasks
 from . import avro_files
 from .listing import list_files, listing_session
-from .schema_store import CORRUPT, SchemaStore, widen
+from .schema_store import CORRUPT, SchemaStore, common, widen
 
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
@@ -43,8 +43,8 @@ def infer_schema(
 ) -> T.StructType:
     """Schema of all records below ``paths`` (arguments for ``load``).
 
-    JSON and CSV are read whole, since a column may first appear in the last record. Parquet
-    and Avro need only file headers.
+    JSON and CSV are read whole, since a column may first appear in the last record (CSV once
+    more, to find such records). Parquet and Avro need only file headers.
     """
     source, fixed, evolves = _format(fmt)
     if not evolves:
@@ -54,12 +54,51 @@ def infer_schema(
         for text in avro_files.header_schemas(list_files(listing_session(spark), paths)):
             seen, _ = widen(seen, avro.Schema(text).spark_type)
         return seen
-    reader = spark.read.format(source).options(**fixed).option("recursiveFileLookup", "true")
-    reader = reader.option("mergeSchema" if fmt == "parquet" else "inferSchema", "true")
     with few_listing_tasks(spark):
+        if fmt == "csv":
+            return _infer_csv(spark, {**fixed, **(options or {})}, paths)
+        reader = spark.read.format(source).options(**fixed).option("recursiveFileLookup", "true")
+        if fmt == "parquet":
+            reader = reader.option("mergeSchema", "true")
         return reader.options(**(options or {})).load(paths).schema
 
 
+def _infer_csv(spark: SparkSession, options: dict[str, str], paths: str | Sequence[str]) -> T.StructType:
+    """Schema with every column of every file.
+
+    Spark takes the number of columns from one line. Files with records that are wider than
+    that are inferred again by themselves; records wider than their own file's first line
+    are kept in the quarantine column.
+    """
+
+    def reader():
+        return spark.read.format("csv").options(**options).option("recursiveFileLookup", "true")
+
+    def infer(paths) -> T.StructType:
+        return reader().option("inferSchema", "true").load(paths).schema
+
+    seen = infer(paths)
+    separator = options.get("sep", options["delimiter"])
+    while True:
+        # Without pruning: Spark compares a record with the columns that are asked for, and
+        # wants a column of the data among them.
+        wide = T.StructType([*seen, T.StructField(CORRUPT, T.StringType())])
+        rows = reader().option("columnPruning", "false").schema(wide).load(paths)
+        line = F.col(CORRUPT)
+        parts = (F.length(line) - F.length(F.replace(line, F.lit(separator), F.lit("")))) / len(separator)
+        some = F.col(f"`{seen.fieldNames()[0]}`").alias("some")
+        misfits = rows.where(parts >= len(seen.fields)).select("_metadata.file_path", some)
+        # Names of files, of a micro-batch at most.
+        found = misfits.groupBy("file_path").agg(F.count("some")).collect()
+        files = [load_path(r.file_path) for r in found]
+        if not files:
+            return seen
+        wider = common(seen, infer(files))
+        if len(wider.fields) == len(seen.fields):
+            return wide
+        seen, paths = wider, files
+
+
 def resolve_schema(
     spark: SparkSession,
     spec: DatasetSpec,

@@ -83,6 +83,43 @@ def test_csv_ragged(spark, spec, drop_file):
     assert rows(df, "_c0", "_c1", CORRUPT) == [(1, "a", "1;a;EXTRA"), (2, None, "2"), (3, "c", None)]
 
 
+def test_csv_files_of_different_width(spark, spec, drop_file):
+    """The longest file has the fewest columns; the others still keep all of theirs."""
+    drop_file("a.csv", "".join(f"{i};x\n" for i in range(50)))
+    drop_file("b.csv", "100;y;2.5\n")
+    drop_file("c.csv", "zz;y;3;true\n")
+    df = sb.read_landing_files(spark, spec, "csv")
+    assert df.dtypes[2:] == [("_c0", "string"), ("_c1", "string"), ("_c2", "double"), ("_c3", "boolean")]
+    got = rows(df.where("_c1 = 'y'"), "_c0", "_c1", "_c2", "_c3")
+    assert got == [("100", "y", 2.5, None), ("zz", "y", 3.0, True)]
+    assert df.count() == 52
+
+
+def test_csv_record_wider_than_its_file(spark, spec, drop_file):
+    drop_file("a.csv", "1;x\n2;y;lost?\n3;'z;1'\n")
+    sb.ingest_stream(spark, spec, "csv")
+    df = sb.read_bronze(spark, spec)
+    assert df.columns[2:] == ["_c0", "_c1", CORRUPT]
+    assert (2, "y", "2;y;lost?") in rows(df, "_c0", "_c1", CORRUPT)
+
+
+def test_csv_separator_inside_quotes(spark, spec, drop_file):
+    drop_file("a.csv", '1;"x;y;z"\n2;w\n')
+    df = sb.read_landing_files(spark, spec, "csv")
+    assert df.columns[2:] == ["_c0", "_c1"]
+    assert rows(df, "_c0", "_c1") == [(1, "x;y;z"), (2, "w")]
+
+
+def test_csv_wider_file_later(spark, spec, drop_file):
+    drop_file("a.csv", "1;x\n")
+    sb.ingest_stream(spark, spec, "csv", merge_schema=True)
+    drop_file("b.csv", "2;y\n3;z\n4;w\n")
+    drop_file("c.csv", "5;v;new\n")
+    sb.ingest_stream(spark, spec, "csv", merge_schema=True)
+    got = rows(sb.read_bronze(spark, spec), "_c0", "_c1", "_c2")
+    assert got == [(1, "x", None), (2, "y", None), (3, "z", None), (4, "w", None), (5, "v", "new")]
+
+
 def test_parquet_schema_covers_all_files(spark, spec):
     spark.range(3).write.parquet(f"{spec.landing_dir}/2024/01/01")
     spark.range(2).selectExpr("id", "'v' AS extra").write.parquet(f"{spec.landing_dir}/2024/01/02")
