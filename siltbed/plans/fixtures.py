@@ -18,7 +18,7 @@ from ..spec import DatasetSpec
 from ..tables import io_tasks
 
 # Rows per landing file where a query wants files of a known name.
-FILE_ROWS = 100_000
+FILE_ROWS = 10_000
 
 
 def workspace(spark: SparkSession, datasource: str, dataset: str) -> DatasetSpec:

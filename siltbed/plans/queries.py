@@ -337,7 +337,7 @@ _WIDER = """SELECT event_id, event_type,
     CASE WHEN event_type NOT IN ('click', 'view') THEN props END AS props FROM events"""
 _FRAMES = """SELECT 'events' AS _topic, CAST(event_id % 4 AS INTEGER) AS _partition,
     event_id AS _offset, event_id, user_id, event_type, value FROM events"""
-_FILE = "'raw/crm/events/2024/01/01/' || event_type || '-' || CAST(event_id // 100000 AS VARCHAR) || '.json'"
+_FILE = "'raw/crm/events/2024/01/01/' || event_type || '-' || CAST(event_id // 10000 AS VARCHAR) || '.json'"
 
 ORACLES = {
     "landing_json": "SELECT event_id, ts, user_id, event_type, value, props FROM events",

@@ -49,6 +49,8 @@ def infer_schema(
     source, fixed, evolves = _format(fmt)
     if not evolves:
         return T.StructType.fromDDL(BINARY_SCHEMA)
+    if not paths:
+        raise ValueError("there are no files to infer a schema from")
     if fmt == "avro":
         seen = T.StructType()
         for text in avro_files.header_schemas(list_files(listing_session(spark), paths)):
@@ -156,6 +158,12 @@ def read_landing_files(
         return _load(spark.read, spark, spec, fmt, paths, schema, options, label_pattern)
 
 
+def _oldest(spark: SparkSession, spec: DatasetSpec, fmt: str, n: int | None) -> list[str]:
+    glob = _format(fmt)[1].get("pathGlobFilter")
+    files = list_files(listing_session(spark), spec.landing_dir, glob).orderBy("modified", "file_path")
+    return [load_path(r.file_path) for r in files.limit(n or 10_000).collect()]
+
+
 def read_landing_stream(
     spark: SparkSession,
     spec: DatasetSpec,
@@ -171,11 +179,15 @@ def read_landing_stream(
 
     ``max_files=None`` leaves the limit to ``options`` (``maxBytesPerTrigger``).
     Without ``schema`` it is inferred from the files there now and merged into the stored
-    one; with ``refresh=False`` a stored schema is used as it is.
+    one. With ``refresh=False`` a stored schema is used as it is, and the first one comes from
+    the oldest files, as many as a micro-batch has; this is for streams that check each
+    micro-batch for new columns, as :func:`siltbed.ingest_stream` does.
     """
-    if schema is None:
-        stored = None if refresh else SchemaStore(spark, spec.schema_dir).latest()
-        schema = stored[1] if stored else resolve_schema(spark, spec, fmt, None, options)
+    if schema is None and refresh:
+        schema = resolve_schema(spark, spec, fmt, None, options)
+    elif schema is None:
+        stored = SchemaStore(spark, spec.schema_dir).latest()
+        schema = stored[1] if stored else resolve_schema(spark, spec, fmt, _oldest(spark, spec, fmt, max_files), options)
     reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

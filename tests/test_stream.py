@@ -87,6 +87,20 @@ def test_column_that_arrives_while_the_stream_runs(spark, spec, drop_file):
     assert got == [(1, None, None), (2, None, None), (3, "x", None), (4, None, True)]
 
 
+def test_first_schema_comes_from_one_micro_batch(spark, spec, drop_file):
+    """Columns and wider types that only later files have still arrive."""
+    for i, text in enumerate(['{"id":1}\n', '{"id":2,"n":"x"}\n', '{"id":2.5}\n']):
+        drop_file(f"{i}.json", text)
+    sb.ingest_stream(spark, spec, "json", merge_schema=True, max_files=1)
+    got = rows(sb.read_bronze(spark, spec), "id", "n", "_corrupt_record")
+    assert got == [(1, None, None), (2, "x", None), (None, None, '{"id":2.5}')]
+
+
+def test_nothing_to_infer_from(spark, spec):
+    with pytest.raises(ValueError, match="no files"):
+        sb.ingest_stream(spark, spec, "json")
+
+
 def test_new_column_without_merging_stops_the_stream(spark, spec, drop_file):
     drop_file("a.json", '{"id":1}\n')
     sb.ingest_stream(spark, spec, "json")
