@@ -12,11 +12,13 @@ from .sources.landing import read_landing_files, read_landing_stream
 from .sources.schema_store import SchemaStore
 from .ship import ship
 from .spec import DatasetSpec
-from .streaming.sink import bronze_sink, ingest_stream, start_bronze_query
+from .streaming.sink import (
+    SchemaEvolved, bronze_sink, column_check, ingest_stream, start_bronze_query,
+)
 
 __all__ = [
-    "BronzeTable", "DatasetSpec", "SchemaStore", "add_file_metadata", "add_kafka_metadata",
-    "archive_files", "bronze_sink", "decode_avro", "decode_json", "distinct_source_files",
+    "BronzeTable", "DatasetSpec", "SchemaEvolved", "SchemaStore", "add_file_metadata", "add_kafka_metadata",
+    "archive_files", "bronze_sink", "column_check", "decode_avro", "decode_json", "distinct_source_files",
     "ingest", "ingest_stream", "jpeg_size", "land_dataframe", "land_images", "path_label",
     "prefix_columns", "raw_file_name", "read_bronze", "read_kafka_stream",
     "read_landing_files", "read_landing_stream", "ship", "start_bronze_query",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,10 +43,13 @@ def frame_size(data: bytes | None) -> tuple[int, int] | None:
     return None
 
 
-@F.pandas_udf(SIZE)
-def _size(content: pd.Series) -> pd.DataFrame:
-    sizes = [frame_size(data) or (None, None) for data in content]
-    return pd.DataFrame(sizes, columns=["width", "height"], dtype="Int32")
+@F.arrow_udf(SIZE)
+def _size(content: pa.Array) -> pa.Array:
+    sizes = [frame_size(data) or (None, None) for data in content.to_pylist()]
+    width, height = zip(*sizes) if sizes else ((), ())
+    return pa.StructArray.from_arrays(
+        [pa.array(width, pa.int32()), pa.array(height, pa.int32())], ["width", "height"]
+    )
 
 
 def jpeg_size(content: Column) -> Column:

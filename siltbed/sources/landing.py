@@ -19,6 +19,9 @@ from .schema_store import CORRUPT, SchemaStore, common, widen
 
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
+# Most file names the driver holds at a time.
+FILES_AT_ONCE = 10_000
+
 # Spark source, reader options and whether the schema evolves, per format name.
 FORMATS: dict[str, tuple[str, dict[str, str], bool]] = {
     "json": ("json", {"columnNameOfCorruptRecord": CORRUPT}, True),
@@ -90,15 +93,15 @@ def _infer_csv(spark: SparkSession, options: dict[str, str], paths: str | Sequen
         parts = (F.length(line) - F.length(F.replace(line, F.lit(separator), F.lit("")))) / len(separator)
         some = F.col(f"`{seen.fieldNames()[0]}`").alias("some")
         misfits = rows.where(parts >= len(seen.fields)).select("_metadata.file_path", some)
-        # Names of files, of a micro-batch at most.
-        found = misfits.groupBy("file_path").agg(F.count("some")).collect()
+        found = misfits.groupBy("file_path").agg(F.count("some")).limit(FILES_AT_ONCE).collect()
         files = [load_path(r.file_path) for r in found]
         if not files:
             return seen
         wider = common(seen, infer(files))
         if len(wider.fields) == len(seen.fields):
             return wide
-        seen, paths = wider, files
+        # With more such files than were looked at, the next turn finds the others.
+        seen, paths = wider, paths if len(files) == FILES_AT_ONCE else files
 
 
 def resolve_schema(
@@ -161,7 +164,7 @@ def read_landing_files(
 def _oldest(spark: SparkSession, spec: DatasetSpec, fmt: str, n: int | None) -> list[str]:
     glob = _format(fmt)[1].get("pathGlobFilter")
     files = list_files(listing_session(spark), spec.landing_dir, glob).orderBy("modified", "file_path")
-    return [load_path(r.file_path) for r in files.limit(n or 10_000).collect()]
+    return [load_path(r.file_path) for r in files.limit(n or FILES_AT_ONCE).collect()]
 
 
 def read_landing_stream(
@@ -171,7 +174,7 @@ def read_landing_stream(
     *,
     schema: T.StructType | str | None = None,
     refresh: bool = True,
-    max_files: int | None = 10_000,
+    max_files: int | None = FILES_AT_ONCE,
     options: dict[str, str] | None = None,
     label_pattern: str = LABEL_PATTERN,
 ) -> DataFrame:
@@ -179,7 +182,8 @@ def read_landing_stream(
 
     ``max_files=None`` leaves the limit to ``options`` (``maxBytesPerTrigger``).
     Without ``schema`` it is inferred from the files there now and merged into the stored
-    one. With ``refresh=False`` a stored schema is used as it is, and the first one comes from
+    one; give the sink a :func:`siltbed.column_check` if files with other columns may arrive
+    while the stream runs. With ``refresh=False`` a stored schema is used as it is, and the first one comes from
     the oldest files, as many as a micro-batch has; this is for streams that check each
     micro-batch for new columns, as :func:`siltbed.ingest_stream` does.
     """

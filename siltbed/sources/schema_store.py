@@ -86,6 +86,10 @@ class SchemaStore:
         version, fields = rows["last"]
         return version, T.StructType.fromJson(json.loads(fields))
 
+    def version(self) -> int:
+        """Number of the latest version, 0 when there is none."""
+        return (self.latest() or (0, None))[0]
+
     def put(self, version: int, schema: T.StructType) -> None:
         row = one_row(self.spark, fields=schema.json())
         row.write.mode("overwrite").parquet(f"{self.directory}/version={version}")

@@ -25,6 +25,9 @@ class DatasetSpec:
     def __post_init__(self) -> None:
         for zone in ("landing", "raw", "bronze"):
             object.__setattr__(self, zone, qualify(getattr(self, zone)))
+        for part in (self.landing, self.raw, self.bronze, self.datasource, self.dataset):
+            if re.search(r"[*?\[\]{}\\]", part):
+                raise ValueError(f"{part!r} has characters that Spark reads as a path pattern")
 
     @property
     def landing_dir(self) -> str:

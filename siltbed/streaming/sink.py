@@ -74,6 +74,30 @@ def bronze_sink(
     return append_to_bronze
 
 
+def column_check(
+    spark: SparkSession, spec: DatasetSpec, fmt: str, reader_options: dict[str, str] | None = None
+) -> Callable[[DataFrame], None]:
+    """A ``check`` for the sink: no file of a batch has columns the stored schema lacks.
+
+    Make it after the stream's reader. Where there are such columns it stores the wider
+    schema and raises :class:`SchemaEvolved`, before the batch is committed; a query started
+    with that schema on the same checkpoint reads the batch again.
+    """
+    store = SchemaStore(spark, spec.schema_dir)
+    known = store.version()
+
+    def check(files: DataFrame) -> None:
+        landing = files.select(landing_file_name(spec, F.col("_ingested_filename")).alias("p"))
+        # As many names as a micro-batch has files.
+        paths = [load_path(r.p) for r in landing.collect()]
+        if paths:
+            resolve_schema(spark, spec, fmt, paths, reader_options)
+        if store.version() != known:
+            raise SchemaEvolved(f"new columns arrived in {spec.landing_dir}")
+
+    return check
+
+
 def start_bronze_query(
     df: DataFrame,
     spec: DatasetSpec,
@@ -114,32 +138,18 @@ def ingest_stream(
     with the wider schema and reads that batch again, so no column is lost.
     """
     store = SchemaStore(spark, spec.schema_dir)
-
-    def version() -> int:
-        return (store.latest() or (0, None))[0]
-
+    evolves = schema is None and FORMATS[fmt][2]
     while True:
         stream = read_landing_stream(
             spark, spec, fmt, schema=schema, refresh=False, max_files=max_files, options=reader_options
         )
-        known = version()
-
-        def check(files: DataFrame) -> None:
-            landing = files.select(landing_file_name(spec, F.col("_ingested_filename")).alias("p"))
-            # As many names as a micro-batch has files.
-            paths = [load_path(r.p) for r in landing.collect()]
-            if paths:
-                resolve_schema(spark, spec, fmt, paths, reader_options)
-            if version() != known:
-                raise SchemaEvolved(f"new columns arrived in {spec.landing_dir}")
-
-        evolves = schema is None and FORMATS[fmt][2]
-        options["check"] = check if evolves else None
+        known = store.version()
+        options["check"] = column_check(spark, spec, fmt, reader_options) if evolves else None
         try:
             with few_listing_tasks(spark):
                 query = start_bronze_query(stream, spec, trigger=trigger, merge_schema=merge_schema, **options)
                 query.awaitTermination()
             return query
         except StreamingQueryException:
-            if not evolves or version() == known:
+            if store.version() == known:
                 raise

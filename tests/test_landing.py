@@ -95,6 +95,17 @@ def test_csv_files_of_different_width(spark, spec, drop_file):
     assert df.count() == 52
 
 
+def test_csv_width_with_few_files_at_once(spark, spec, drop_file, monkeypatch):
+    from siltbed.sources import landing
+
+    monkeypatch.setattr(landing, "FILES_AT_ONCE", 1)
+    drop_file("a.csv", "".join(f"{i};x\n" for i in range(50)))
+    for i in range(3, 6):
+        drop_file(f"{i}.csv", ";".join("9" * i) + "\n")
+    df = sb.read_landing_files(spark, spec, "csv")
+    assert df.columns[2:] == ["_c0", "_c1", "_c2", "_c3", "_c4"]
+
+
 def test_csv_record_wider_than_its_file(spark, spec, drop_file):
     drop_file("a.csv", "1;x\n2;y;lost?\n3;'z;1'\n")
     sb.ingest_stream(spark, spec, "csv")
@@ -189,3 +200,27 @@ def test_schema_versions(spark, spec):
     assert store.latest() == (1, ddl("a int"))
     store.evolve(ddl("b int"), quarantine=False)
     assert store.latest() == (2, ddl("a int, b int"))
+
+
+@pytest.mark.parametrize("how", ["stream", "manifest"])
+def test_odd_characters_in_every_path(spark, tmp_path, how):
+    root = tmp_path / "año 50% 'a'"
+    folder = root / "landing/c d/e+f/2024/01/01"
+    folder.mkdir(parents=True)
+    names = ["ñ b.json", "100%.json", "a+b.json", "x#y?.json", "{z}.json", "[q]*.json"]
+    for i, name in enumerate(names):
+        (folder / name).write_text(f'{{"id":{i}}}\n')
+    spec = sb.DatasetSpec("c d", "e+f", f"{root}/landing", f"{root}/raw", f"{root}/bronze", f"bronze_odd_{how}")
+    if how == "stream":
+        sb.ingest_stream(spark, spec, "json")
+    else:
+        sb.ingest(spark, spec, "json")
+    assert rows(sb.read_bronze(spark, spec), "id") == [(i,) for i in range(len(names))]
+    assert sorted(p.name for p in (root / "raw/c d/e+f/2024/01/01").iterdir()) == sorted(names)
+    sb.land_dataframe(spark.range(3), spec, "json", single_file=False)
+    assert sb.read_landing_files(spark, spec, "json").count() == 3
+
+
+def test_patterns_in_roots_are_refused():
+    with pytest.raises(ValueError, match="pattern"):
+        sb.DatasetSpec("a", "b{1}", "/l", "/r", "/b")
