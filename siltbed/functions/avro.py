@@ -123,23 +123,29 @@ class Bytes:
     """A read position in Avro binary data."""
 
     def __init__(self, data: bytes) -> None:
-        self.data, self.at = data, 0
+        self.data, self.at, self.end = data, 0, len(data)
 
     def take(self, n: int) -> bytes:
-        part = self.data[self.at:self.at + n]
-        if n < 0 or len(part) != n:
+        start, stop = self.at, self.at + n
+        if n < 0 or stop > self.end:
             raise ValueError("Avro data ends early")
-        self.at += n
-        return part
+        self.at = stop
+        return self.data[start:stop]
 
     def long(self) -> int:
-        value = shift = 0
-        while True:
-            byte = self.take(1)[0]
-            value |= (byte & 0x7F) << shift
-            if byte < 0x80:
-                return (value >> 1) ^ -(value & 1)
-            shift += 7
+        data, at = self.data, self.at
+        try:
+            byte = data[at]
+            value, shift = byte & 0x7F, 7
+            while byte > 0x7F:
+                at += 1
+                byte = data[at]
+                value |= (byte & 0x7F) << shift
+                shift += 7
+        except IndexError:
+            raise ValueError("Avro data ends early") from None
+        self.at = at + 1
+        return (value >> 1) ^ -(value & 1)
 
 
 def long_bytes(n: int) -> bytes:
@@ -189,11 +195,12 @@ def decoder(s: dict) -> Callable[[Bytes], object]:
         if logical in ("timestamp-millis", "local-timestamp-millis"):
             return lambda b: b.long() * 1000
         return Bytes.long
+    as_float, as_double = struct.Struct("<f").unpack, struct.Struct("<d").unpack
     return {
         "null": lambda b: None,
         "boolean": lambda b: b.take(1) == b"\x01",
-        "float": lambda b: struct.unpack("<f", b.take(4))[0],
-        "double": lambda b: struct.unpack("<d", b.take(8))[0],
+        "float": lambda b: as_float(b.take(4))[0],
+        "double": lambda b: as_double(b.take(8))[0],
         "string": lambda b: b.take(b.long()).decode(),
     }[kind]
 

@@ -12,7 +12,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 
 from ..paths import encoded
-from ..tables import io_tasks
+from ..tables import spread_out
 
 # Hadoop connector schemes with the names Arrow knows them by.
 ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs"}
@@ -114,9 +114,7 @@ def move_files(plan: DataFrame) -> DataFrame:
     Returns ``source, not_after, outcome, target``. The moves happen when the result is evaluated, so
     write it once rather than using it twice.
     """
-    spread = plan.select("source", "target", "spare", "not_after").repartition(
-        io_tasks(plan.sparkSession), "source"
-    )
+    spread = spread_out(plan.select("source", "target", "spare", "not_after"))
     return spread.mapInPandas(_move_batches, MOVED_SCHEMA)
 
 
@@ -133,5 +131,5 @@ def _copy_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def copy_files(plan: DataFrame) -> DataFrame:
     """Copy the files named by ``source, target`` rows; returns ``source, target, size``."""
-    spread = plan.select("source", "target").repartition(io_tasks(plan.sparkSession), "source")
+    spread = spread_out(plan.select("source", "target"))
     return spread.mapInPandas(_copy_batches, "source string, target string, size long")

@@ -15,7 +15,7 @@ from ..operators.land import TEXT_OPTIONS
 from ..paths import encoded, qualify
 from ..sources.listing import list_files
 from ..spec import DatasetSpec
-from ..tables import io_tasks
+from ..tables import spread_out
 
 # Rows per landing file where a query wants files of a known name.
 FILE_ROWS = 10_000
@@ -96,7 +96,7 @@ def write_images(images: DataFrame) -> int:
                 put(fs, path, iter([grey_jpeg(r.width, r.height)]))
             yield pd.DataFrame({"n": [len(rows)]})
 
-    spread = images.select("path", "width", "height").repartition(io_tasks(images.sparkSession), "path")
+    spread = spread_out(images.select("path", "width", "height"))
     return spread.mapInPandas(write, "n long").agg(F.sum("n")).first()[0] or 0
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from ..functions.avro import Bytes, Schema, avro_schema, decoder, encoder, long_bytes
 from ..operators.files import exists, locate, put
-from ..tables import io_tasks
+from ..tables import spread_out
 
 # Fixed values (Avro 1.11): file magic and sync marker length.
 MAGIC = b"Obj\x01"
@@ -137,7 +137,7 @@ def decode_files(files: DataFrame, schema: T.StructType) -> DataFrame:
 
     offsets = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(SPLIT_BYTES).cast("long"))
     splits = files.select("file_path", F.explode(offsets).alias("start"))
-    spread = splits.repartition(io_tasks(files.sparkSession), "file_path", "start")
+    spread = spread_out(splits)
     return spread.mapInArrow(decode, T.StructType([*schema.fields, T.StructField(FILE_COLUMN, T.StringType())]))
 
 
@@ -153,7 +153,7 @@ def header_schemas(files: DataFrame) -> list[str]:
                     found.add(read_header(f)[0]["avro.schema"].decode())
             yield pd.DataFrame({"schema": sorted(found)}, dtype=object)
 
-    spread = files.select("file_path").repartition(io_tasks(files.sparkSession), "file_path")
+    spread = spread_out(files.select("file_path"))
     found = spread.mapInPandas(headers, "schema string").distinct()
     return sorted(r.schema for r in found.collect())
 

@@ -35,12 +35,17 @@ def one_row(spark: SparkSession, **columns) -> DataFrame:
 
 
 def io_tasks(spark: SparkSession) -> int:
-    """Task count for work whose cost is in the files named by the rows, not in the rows.
+    """Task count for work whose cost is in the files named by the rows, not in the rows."""
+    return 3 * spark.sparkContext.defaultParallelism
+
 
-    Rows that only name files are a few bytes each, so size-based planning (AQE
-    coalescing, scan packing) would put thousands of them in one task.
+def spread_out(rows: DataFrame) -> DataFrame:
+    """Rows that name files, evenly over the cluster.
+
+    They are a few bytes each, so size-based planning (AQE coalescing, scan packing) would
+    put thousands of files in one task.
     """
-    return 3 * spark.sparkContext.defaultParallelism
+    return rows.repartition(io_tasks(rows.sparkSession))
 
 
 @contextmanager
