@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing
+from . import bpe, packing, trie
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -19,11 +19,26 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op5_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal texts, A to Z in lower case; the row with the largest id stays."""
+    return trie.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every text and what they decode to, as digests."""
     return bpe.encode_documents(table(spark, sf_dir, "documents"), WORD_BPE, digests=True)
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op9_bpe)}
+QUERIES = {f.__name__: f for f in (op2_packing, op5_trie, op9_bpe)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_trie": f"""
+        WITH folded AS (
+            SELECT doc_id, translate(coalesce(text, ''), '{trie.UPPER}', '{trie.LOWER}') AS content FROM documents
+        ), grouped AS (
+            SELECT doc_id, content, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size
+            FROM folded WINDOW same AS (PARTITION BY content)
+        )
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS text_sha256 FROM grouped
+    """,
+}
