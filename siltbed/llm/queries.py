@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, trie
+from . import bpe, minhash, packing, trie
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -29,7 +29,12 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), WORD_BPE, digests=True)
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op5_trie, op9_bpe)}
+def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of near duplicates at a probability Jaccard similarity of 0.8."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_packing, op5_trie, op9_bpe, op10_probminhash)}
 
 ORACLES: dict[str, str] = {
     "op5_trie": f"""
