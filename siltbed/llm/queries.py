@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, minhash, packing, trie
+from . import bpe, minhash, packing, trie, vafile
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -24,6 +24,12 @@ def op5_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_vafile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five largest inner products of every fiftieth vector."""
+    vectors = vafile.scaled(table(spark, sf_dir, "embeddings"))
+    return vafile.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every text and what they decode to, as digests."""
     return bpe.encode_documents(table(spark, sf_dir, "documents"), WORD_BPE, digests=True)
@@ -34,7 +40,7 @@ def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op5_trie, op9_bpe, op10_probminhash)}
+QUERIES = {f.__name__: f for f in (op2_packing, op5_trie, op7_vafile, op9_bpe, op10_probminhash)}
 
 ORACLES: dict[str, str] = {
     "op5_trie": f"""
@@ -46,4 +52,16 @@ ORACLES: dict[str, str] = {
         )
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS text_sha256 FROM grouped
     """,
+    "op7_vafile": """
+        WITH usable AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vector FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.vector, c.vector) AS BIGINT) AS score
+            FROM usable q JOIN usable c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
 }
