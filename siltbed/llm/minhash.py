@@ -241,4 +241,4 @@ def without_near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text_
     """The rows of ``docs`` that stay, one document of each class. Rows without an id stay."""
     found = near_duplicates(docs, id_column=id_column, text_column=text_column, similarity=similarity)
     gone = found.where("not kept").select(id_column).distinct()
-    return docs.join(gone, id_column, "left_anti").select(*docs.columns)
+    return docs.join(gone, id_column, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

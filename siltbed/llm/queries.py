@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, minhash, packing, trie, vafile
+from . import bpe, langid, minhash, ordinal, packing, toxicity, trie, vafile
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -19,17 +20,37 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of every text and their proportions."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
 def op5_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts, A to Z in lower case; the row with the largest id stays."""
     return trie.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text by weak supervision."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_vafile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five largest inner products of every fiftieth vector."""
     vectors = vafile.scaled(table(spark, sf_dir, "embeddings"))
     return vafile.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
 
 
+def op8_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade of every text: 0 of low quality, 1 toxic but else good, 2 good; at least 1 is kept."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality").isNotNull() & F.col("toxic").isNotNull(), 2)
+    model = ordinal.train(docs, labels.select("doc_id", grade.alias("grade")), 3)
+    return ordinal.grade_documents(docs, model, at_least=1)
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every text and what they decode to, as digests."""
     return bpe.encode_documents(table(spark, sf_dir, "documents"), WORD_BPE, digests=True)
@@ -40,7 +61,12 @@ def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op5_trie, op7_vafile, op9_bpe, op10_probminhash)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_packing, op4_langid, op5_trie, op6_toxicity, op7_vafile, op8_ordinal, op9_bpe, op10_probminhash,
+    )
+}
 
 ORACLES: dict[str, str] = {
     "op5_trie": f"""
