@@ -3,19 +3,53 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from siltbed.llm import langid, minhash, packing, toxicity, trie
 from siltbed.llm.queries import WORD_BPE, table
 from siltbed.llm.shared import stored
-from siltbed.llm.packing import pack_documents
 from siltbed.ship import ship
 
 
-def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language; those that are null or without a letter go."""
+    ship(spark)
+    found = langid.mixture(langid.train(docs), F.col("text"))
+    return docs.where(found["lang_pred"] != langid.UNKNOWN)
+
+
+def low_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted to be toxic."""
+    ship(spark)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return docs.where(toxicity.toxicity(model, F.col("text")) < toxicity.THRESHOLD)
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each text, that with the largest id."""
+    ship(spark)
+    return trie.kept_documents(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates, that with the smallest id."""
+    ship(spark)
+    return minhash.without_near_duplicates(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents that are left, with their place in the sequences."""
-    return pack_documents(docs, WORD_BPE)
+    ship(spark)
+    return packing.pack_documents(docs, WORD_BPE)
 
 
-STAGES = [("packing", packing)]
+STAGES = [
+    ("language_id", language_id),
+    ("toxicity", low_toxicity),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("packing", pack),
+]
 
 # Learned stages, hashed banding and packing have no SQL form.
 ORACLE_SQL = None
