@@ -7,10 +7,11 @@ register with the probability that is their probability Jaccard similarity. A sh
 process is left as soon as its next arrival is later than all registers' first ones.
 
 Texts with equal weighted sets become one node. Nodes that agree in a band meet in a bucket.
-In two rounds each node is compared with the hub of one of its buckets; what such a round
-does not connect is compared by whole sketches, in blocks of a bucket, and only pairs of
-different components whose sketches are similar go on. Every link is verified on the whole
-sets before it counts. No bucket is dropped or cut.
+In two rounds each node is verified against the node of its buckets whose sketch is most
+like its own, among those not yet connected with it. In buckets that still hold several
+components, all pairs between components whose sketches are similar are then verified in
+place, in blocks of a bucket, each pair in the first bucket that it shares. Only links leave
+a block, so that nothing grows with the square of a group. No bucket is dropped or cut.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .shared import stored
-from .wordhash import combined, mix, shingles, word_hashes
+from .wordhash import combined, mix, shingles, slices, word_hashes
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -33,8 +34,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 20, 6
 # Sketches of pairs at 0.8 agree in a share of the registers below this once in 10,000.
 SKETCH_SIMILARITY = 0.66
-# Members of a bucket that are compared in one place.
-BLOCK = 512
+# Members of a block; two blocks of a bucket are compared in one place.
+BLOCK = 256
 
 _STEP = np.uint64(0xD1B54A32D192ED03)
 
@@ -94,7 +95,7 @@ def probability_jaccard(e1: np.ndarray, w1: np.ndarray, e2: np.ndarray, w2: np.n
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, "text")):
         hashes, bounds = shingles(*word_hashes(batch.column("text")), WORDS)
         nodes, keys, sketches = [], [], []
         for start, end in zip(bounds, bounds[1:]):
@@ -113,7 +114,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, "text")):
         hashes, bounds = shingles(*word_hashes(batch.column("text")), WORDS)
         sets = [weighted_set(hashes[start:end]) for start, end in zip(bounds, bounds[1:])]
         yield pa.RecordBatch.from_arrays(
@@ -135,35 +136,105 @@ def _verified(threshold: float):
     return run
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of similar sketches with different labels; rows come ordered by bucket and block pair."""
-    key, members = None, []
-
-    def pairs() -> Iterator[tuple[bytes, bytes]]:
-        if len(members) < 2:
-            return
-        sketches = np.stack([np.frombuffer(m[2], "<u4") for m in members])
-        labels = np.unique([m[1].hex() for m in members], return_inverse=True)[1]
-        blocks = np.array([m[3] for m in members])
-        across = key[1] != key[2]
-        for i in range(len(members) - 1):
-            differ = (labels[i + 1:] != labels[i]) & ((blocks[i + 1:] != blocks[i]) if across else True)
-            others = i + 1 + np.flatnonzero(differ)
-            if len(others):
-                alike = (sketches[others] == sketches[i]).mean(axis=1) >= SKETCH_SIMILARITY
-                for j in others[alike]:
-                    yield tuple(sorted((members[i][0], members[j][0])))
-
+class _Block:
+    """Members of a bucket, or of two of its blocks, in one place."""
+
+    def __init__(self, key: tuple, rows: list[dict]):
+        self.key, self.rows = key, rows
+        self.sketches = np.stack([np.frombuffer(r["sketch"], "<u4") for r in rows])
+        self.bands = np.array([r["bands"] for r in rows], np.int64)
+        self.labels = np.unique([r["label"].hex() for r in rows], return_inverse=True)[1]
+        self.blocks = np.array([r["block"] for r in rows])
+
+    def others(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """Members with other labels and similar sketches that this block answers for, and how similar."""
+        bucket, low, high = self.key
+        apart = self.labels != self.labels[i]
+        if low != high:
+            apart &= self.blocks != self.blocks[i]
+        others = np.flatnonzero(apart)
+        alike = (self.sketches[others] == self.sketches[i]).mean(axis=1)
+        near = alike >= SKETCH_SIMILARITY
+        others, alike = others[near], alike[near]
+        # Of the buckets that a pair shares the first one answers for it.
+        own = np.argmax(self.bands[i] == bucket)
+        first = np.argmax(self.bands[others] == self.bands[i], axis=1) == own if len(others) else np.zeros(0, bool)
+        return others[first], alike[first]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
+    """Rows that come ordered by bucket and pair of blocks, a pair at a time."""
+    key, rows = None, []
     for batch in batches:
+        for row in batch.to_pylist():
+            own = row["bucket"], row["low"], row["high"]
+            if own != key:
+                if len(rows) > 1:
+                    yield _Block(key, rows)
+                key, rows = own, []
+            rows.append(row)
+    if len(rows) > 1:
+        yield _Block(key, rows)
+
+
+def _nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each member the one of another label whose sketch is most like its own."""
+    names = ["a", "b", "alike"]
+    kinds = [pa.binary(), pa.binary(), pa.float64()]
+    for block in _blocks(batches):
         found = []
-        for bucket, low, high, *member in zip(*(batch.column(c).to_pylist() for c in ("bucket", "low", "high", "node", "label", "sketch", "block"))):
-            if (bucket, low, high) != key:
-                found += pairs()
-                key, members = (bucket, low, high), []
-            members.append(member)
-        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.binary()) for k in (0, 1)], ["a", "b"])
-    found = list(pairs())
-    yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.binary()) for k in (0, 1)], ["a", "b"])
+        for i, row in enumerate(block.rows):
+            others, alike = block.others(i)
+            if len(others):
+                best = int(np.argmax(alike))
+                found.append((row["node"], block.rows[others[best]]["node"], float(alike[best])))
+        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], kind) for k, kind in enumerate(kinds)], names)
+
+
+_BLOCK_ROW = "bucket long, low int, high int, node binary, label binary, block int, sketch binary, bands array<bigint>"
+
+
+def _unsettled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The members that some other of another label may be linked with."""
+    for block in _blocks(batches):
+        rows = [row for i, row in enumerate(block.rows) if len(block.others(i)[0])]
+        columns = [c.split()[0] for c in _BLOCK_ROW.split(", ")]
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
+        yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], k) for c, k in zip(columns, kinds)], columns)
+
+
+def _settled(threshold: float):
+    """Links between members of different labels, as many as connect what can be connected."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches):
+            sets = [(np.frombuffer(r["elements"], np.uint64), np.frombuffer(r["weights"], np.uint32)) for r in block.rows]
+            plain = np.array([w.max(initial=1) == 1 for _, w in sets])
+            sizes = np.array([len(e) for e, _ in sets])
+            links = []
+            for i in range(len(sets)):
+                others = block.others(i)[0]
+                others = others[others > i]
+                while len(others):
+                    # Sets without weights are counted together, some millions of elements at a time.
+                    part = others[:max(1, int(np.searchsorted(np.cumsum(sizes[others]), 2_000_000)))]
+                    others = others[len(part):]
+                    simple = part[plain[part]] if plain[i] else part[:0]
+                    linked = []
+                    if len(simple):
+                        at = np.searchsorted(sets[i][0], together := np.concatenate([sets[j][0] for j in simple]))
+                        common = np.add.reduceat(sets[i][0][np.minimum(at, sizes[i] - 1)] == together, np.concatenate([[0], np.cumsum(sizes[simple])[:-1]]), dtype=np.int64)
+                        linked += list(simple[common / (sizes[i] + sizes[simple] - common) >= threshold - 1e-12])
+                    linked += [j for j in np.setdiff1d(part, simple) if probability_jaccard(*sets[i], *sets[j]) >= threshold - 1e-12]
+                    for j in linked:
+                        if block.labels[i] != block.labels[j]:
+                            links.append((block.rows[i]["node"], block.rows[j]["node"]))
+                            block.labels[block.labels == block.labels[j]] = block.labels[i]
+                    if linked and len(others):
+                        others = others[block.labels[others] != block.labels[i]]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)], ["a", "b"])
+
+    return run
 
 
 def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -184,7 +255,8 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text_column:
     shared = met.groupBy("bucket").count().where("count > 1").select("bucket")
     members = stored(met.join(shared, "bucket", "left_semi"), "members")
     candidates = stored(
-        signed.join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("content").alias("content"), F.first("sketch").alias("sketch")),
+        signed.join(members.select("node").distinct(), "node", "left_semi").groupBy("node")
+        .agg(F.min("content").alias("content"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")),
         "candidates",
     )
     texts = rows.groupBy("content").agg(F.first("text").alias("text"))
@@ -196,36 +268,34 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text_column:
             pairs = pairs.join(own, side)
         return stored(pairs.mapInArrow(_verified(similarity), "a binary, b binary"), "verified")
 
-    def labelled(labels: DataFrame | None) -> DataFrame:
+    def in_blocks(labels: DataFrame | None) -> DataFrame:
+        """Members of buckets that hold several components, dealt to pairs of blocks of the bucket."""
         if labels is None:
-            return members.withColumn("label", F.col("node"))
-        return members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+            now = members.withColumn("label", F.col("node"))
+        else:
+            now = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        parts = now.groupBy("bucket", "label").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("n").alias("n"))
+        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+        return (
+            now.join(parts.where("parts > 1").select("bucket", blocks.alias("blocks")), "bucket")
+            .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node", "label", "block")
+        )
+
+    def together(rows: DataFrame) -> DataFrame:
+        return rows.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
 
     links, labels = None, None
     for _ in range(2):
-        rows_now = labelled(labels)
-        parts = rows_now.groupBy("bucket", "label").agg(F.min("node").alias("hub"), F.count("*").alias("n"))
-        hubs = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.min(F.struct("n", "label", "hub")).alias("least")).where("parts > 1")
-        hubs = hubs.select("bucket", F.col("least.hub").alias("hub"), F.col("least.label").alias("hub_label"))
-        one_each = rows_now.join(hubs, "bucket").where("label <> hub_label").groupBy("node").agg(F.min("hub").alias("hub"))
-        found = verified(one_each.select(F.col("node").alias("a"), F.col("hub").alias("b")))
+        near = together(in_blocks(labels).join(candidates.drop("content"), "node")).mapInArrow(_nearest, "a binary, b binary, alike double")
+        one_each = near.groupBy("a").agg(F.max(F.struct("alike", "b")).alias("best")).select("a", "best.b")
+        found = verified(one_each.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         links = found if links is None else links.union(found)
         labels = components(links)
-
-    rows_now = labelled(labels)
-    open_buckets = rows_now.groupBy("bucket", "label").agg(F.count("*").alias("n")).groupBy("bucket")
-    open_buckets = open_buckets.agg(F.count("*").alias("parts"), F.sum("n").alias("n")).where("parts > 1")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    dealt = (
-        rows_now.join(open_buckets.select("bucket", blocks.alias("blocks")), "bucket")
-        .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node", "label", "block")
-        .join(candidates.select("node", "sketch"), "node")
-        .repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
-    )
-    pairs = dealt.mapInArrow(_compare, "a binary, b binary").distinct()
-    labels = components(links.union(verified(pairs)))
+    open_rows = together(in_blocks(labels).join(candidates.drop("content"), "node")).mapInArrow(_unsettled, _BLOCK_ROW)
+    last = together(stored(open_rows, "unsettled").join(sets, "node")).mapInArrow(_settled(similarity), "a binary, b binary")
+    labels = components(links.union(last))
 
     classed = signed.select("id", "node").join(labels, "node", "left").withColumn("class", F.coalesce("label", "node"))
     sizes = classed.where("class is not null").groupBy("class").agg(F.min("id").alias("least"), F.count("*").alias("n"))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .features import FeatureTable, Rows, feature_sets, known, screened, sigmoid
 from .sampling import first_rows, held_out
-from .wordhash import buffer_of, mix, word_hashes
+from .wordhash import buffer_of, mix, slices, word_hashes
 
 # Rows of a grade that the model is fitted on, at most.
 ROWS_PER_GRADE = 3000
@@ -117,7 +117,7 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int) -> OrdinalModel:
     rows = rows.select("grade", _text("text").alias("text"), F.lower(_text("text")).alias("lowered"))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             pairs = zip(feature_sets(batch.column("lowered")), form_features(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("grade"), pa.array([np.union1d(a, b).tobytes() for a, b in pairs], pa.binary())], ["grade", "features"])
 
@@ -146,7 +146,7 @@ def grade_documents(docs: DataFrame, model: OrdinalModel, *, at_least: int | Non
     rows = docs.select(F.col(id_column).alias("id"), _text(text_column).alias("text"), F.lower(_text(text_column)).alias("lowered"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             chances = model.at_least(model.places(batch.column("lowered"), batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(chances.sum(axis=1)), pa.array(chances[:, tail])], ["id", "expected_grade", "tail_probability"])
 

@@ -82,6 +82,16 @@ def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole, at - at[0] if len(at) else np.zeros(1, np.int64)
 
 
+def slices(batch: pa.RecordBatch, column: str, size: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about ``size`` bytes of text (a longer text by itself)."""
+    _, bounds = buffer_of(batch.column(column))
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(bounds, bounds[at] + size, side="right")) - 1)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def chunks(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, Chunk]]:
     """The buffer in stretches that no word crosses, each with its place."""
     at, n = 0, len(data)
