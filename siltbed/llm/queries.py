@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, minhash, ordinal, packing, toxicity, trie, vafile
+from . import bpe, langid, minhash, ordinal, packing, toxicity, transcript, trie, vafile, warc
+from .shared import stored
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -15,6 +16,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of every page, taken as a WARC response."""
+    made = warc.derive(warc.response_records(table(spark, sf_dir, "pages")), id_column="page_id")
+    return made.withColumn("record_sha256", F.sha2("record", 256)).drop("record")
+
+
+# How a transcript may mark its speakers, in the order system, user, assistant.
+MARKS = (
+    ("System:", "User:", "Assistant:"),
+    ("### System:", "### Instruction:", "### Response:"),
+    ("**Instructions:**", "**Human:**", "**AI:**"),
+    ("[SYSTEM]:", "[CUSTOMER]:", "[AGENT]:"),
+)
+
+
+def transcripts(conversations: DataFrame) -> DataFrame:
+    """``conv_id, turn, text`` with a marker before three of four messages, in a style of the conversation."""
+    style = F.pmod(F.xxhash64("conv_id"), F.lit(len(MARKS)))
+    marks = F.array(*[F.array(*map(F.lit, marks)) for marks in MARKS])
+    which = F.when(F.col("role") == "system", 0).when(F.col("role") == "user", 1).when(F.col("role") == "assistant", 2)
+    marker = F.when(F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4)) > 0, F.concat(marks[style.cast("int")][which], F.lit(" ")))
+    return conversations.select("conv_id", "turn", F.concat(F.coalesce(marker, F.lit("")), F.coalesce("text", F.lit(""))).alias("text"), "role")
+
+
+def op3_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns recovered from transcripts of all conversations; a quarter of their messages have no marker."""
+    messages = transcripts(table(spark, sf_dir, "conversations"))
+    return transcript.parse(messages.drop("role"), transcript.train(messages), stored=stored)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into full sequences of 2048 tokens or a smaller power of two."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
@@ -64,7 +95,7 @@ def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_packing, op4_langid, op5_trie, op6_toxicity, op7_vafile, op8_ordinal, op9_bpe, op10_probminhash,
+        op1_warc, op2_packing, op3_transcripts, op4_langid, op5_trie, op6_toxicity, op7_vafile, op8_ordinal, op9_bpe, op10_probminhash,
     )
 }
 
