@@ -13,14 +13,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .sampling import held_out
 from .wordhash import _IN_WORD, buffer_of, chunks
 
 BUCKETS = 1 << 16
-# Documents that a language is learned from, at most.
+# Documents that a language is learned from, about, at most.
 ROWS_PER_LANGUAGE = 3000
 SMOOTHING = 0.05
 ROUNDS = 8
@@ -169,19 +169,14 @@ class LanguageModel:
 def train(docs: DataFrame, *, rows_per_language: int = ROWS_PER_LANGUAGE) -> LanguageModel:
     """Trigram distributions from ``doc_id, text, lang`` of rows that are not held out.
 
-    At most ``rows_per_language`` rows of a language, those with the least hash of their id.
+    About ``rows_per_language`` rows of a language at most, those with the least hashes.
     Null texts and languages teach nothing.
     """
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    key = F.xxhash64("doc_id")
-    # A task keeps its own least hashes first, so a large language is no single task's.
-    whole = Window.partitionBy("lang").orderBy("key", "doc_id")
-    ids = rows.select("lang", "doc_id", key.alias("key"), F.spark_partition_id().alias("part"))
-    local = Window.partitionBy("lang", "part").orderBy("key", "doc_id")
-    for window in (local, whole):
-        ids = ids.withColumn("place", F.row_number().over(window)).where(F.col("place") <= rows_per_language)
-    limit = ids.groupBy("lang").agg(F.max("key").alias("last"))
-    taken = rows.join(F.broadcast(limit), "lang").where(key <= F.col("last")).select("lang", F.lower("text").alias("text"))
+    # The share of a language's rows that is about as many as wanted, by a hash of the row.
+    shares = rows.groupBy("lang").agg((F.lit(float(rows_per_language)) / F.count("*")).alias("share"))
+    place = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 11) * 2.0 ** -53
+    taken = rows.join(F.broadcast(shares), "lang").where(place < F.col("share")).select("lang", F.lower("text").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, np.ndarray] = {}
