@@ -22,7 +22,7 @@ from .features import FeatureTable, Rows, feature_sets, known, screened, sigmoid
 from .sampling import first_rows, held_out
 
 # Rows that a model is fitted on, at most: rated toxic, rated clean, not rated.
-TOXIC_ROWS, CLEAN_ROWS, UNRATED_ROWS = 3000, 5000, 1000
+TOXIC_ROWS, CLEAN_ROWS, UNRATED_ROWS = 2000, 3000, 500
 ENTRIES = 96
 FEATURES = 4096
 THRESHOLD = 0.3
