@@ -21,7 +21,7 @@ from .sampling import first_rows, held_out
 from .wordhash import buffer_of, mix, slices, word_hashes
 
 # Rows of a grade that the model is fitted on, at most.
-ROWS_PER_GRADE = 3000
+ROWS_PER_GRADE = 2000
 FEATURES = 4096
 BINS = 12
 # A text is kept if it has at least this probability of the grade asked for.

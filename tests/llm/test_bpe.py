@@ -1,0 +1,65 @@
+import hashlib
+import random
+
+import pytest
+from siltbed.llm import bpe
+from siltbed.llm.queries import WORD_BPE
+from tokenizers import Tokenizer
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(WORD_BPE)
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return bpe.TextEncoder(WORD_BPE)
+
+
+PARTS = [
+    "a", "the", "ing", " ", "'s", "'ll", "É", "ß", "İ", "Σ", "ς", "́", "①", "९", "中", "😀", "<|endoftext|>", "\x1c", "\x85",
+    "　", ".", "!!", "don't", "<|startoftext", "|>", "﻿", "ﬁ", "Å", "가", "\n", "x" * 80, "aaaaaaa", "0", "ŋ", "Ɲķ",
+]
+
+
+def test_ids_equal_the_library(encoder, library):
+    rnd = random.Random(5)
+    vocabulary = [t.replace("</w>", "") for t in library.get_vocab()]
+    for k in range(6000):
+        source = PARTS if k % 2 else vocabulary
+        text = "".join(rnd.choice(source) for _ in range(rnd.randint(0, 12)))
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert encoder.encode(text) == ids, repr(text)
+        assert encoder.decode(ids) == library.decode(ids, skip_special_tokens=False)
+
+
+def test_library_words_and_cache_give_the_same(encoder, library, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 3)
+    cached = bpe.TextEncoder(WORD_BPE, by_library=True)
+    rnd = random.Random(6)
+    for _ in range(300):
+        text = " ".join(rnd.choice(PARTS) for _ in range(12))
+        assert [i for ids in cached.lookup(bpe.words_of(text)) for i in ids] == encoder.encode(text)
+
+
+def test_merges_of_equal_letters(library):
+    small = bpe.PrefixEncoder({"a": 0, "aa": 1, "aaaa": 2, "b": 3, "ab": 4}, [("a", "a"), ("aa", "aa"), ("a", "b")], "")
+    assert small.encode("aaa") == [1, 0]
+    assert small.encode("aaaaab") == [2, 4]
+    assert small.encode("aaab") == [1, 4]
+
+
+def test_documents(edge_docs, no_docs, library):
+    rows = bpe.encode_documents(edge_docs, WORD_BPE).collect()
+    texts = {r.doc_id: r.text for r in edge_docs.collect() if r.doc_id is not None}
+    assert len(rows) == edge_docs.count()
+    for row in rows:
+        if row.doc_id is not None:
+            ids = library.encode(texts[row.doc_id] or "", add_special_tokens=False).ids
+            assert (row.ids, row.n_tokens, row.decoded) == (ids, len(ids), library.decode(ids, skip_special_tokens=False))
+    for row in bpe.encode_documents(edge_docs.where("doc_id is not null"), WORD_BPE, digests=True).collect():
+        ids = library.encode(texts[row.doc_id] or "", add_special_tokens=False).ids
+        assert row.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+    assert bpe.encode_documents(no_docs, WORD_BPE).count() == 0
