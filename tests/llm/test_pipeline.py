@@ -24,7 +24,7 @@ def test_each_stage_decides_on_what_is_left(spark):
     assert ids(spoken) == ids(docs) and spoken.columns == docs.columns
     kind = stage["toxicity"](spark, docs, SF)
     gone = ids(docs) - ids(kind)
-    assert gone and sum(labels.get(i, 1) for i in gone) >= 0.9 * len(gone)
+    assert gone and sum(labels.get(i, 1) for i in gone) >= 0.8 * len(gone)
     exact = stage["exact_dedup"](spark, docs, SF)
     rows = exact.collect()
     assert len({r.text.lower() for r in rows}) <= len(rows) < docs.count()
