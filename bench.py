@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -19,7 +20,6 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import siltbed as sb  # noqa: E402
-from siltbed.functions.avro import avro_schema, to_avro  # noqa: E402
 from siltbed.plans.fixtures import (  # noqa: E402
     frames, label_images, land_events_by_type, table, workspace, write_images,
 )
@@ -38,12 +38,12 @@ def drain(df: DataFrame) -> None:
 
 def land_json(spark):
     spec, events = workspace(spark, "crm", "events"), table(spark, SF_DIR, "events")
-    return lambda: sb.land_dataframe(events, spec, "json", single_file=False)
+    return lambda: sb.land_dataframe(events, spec, "json")
 
 
 def landed(spark, name, fmt):
     spec = workspace(spark, "erp", name)
-    sb.land_dataframe(table(spark, SF_DIR, name), spec, fmt, single_file=False)
+    sb.land_dataframe(table(spark, SF_DIR, name), spec, fmt)
     return spec
 
 
@@ -69,11 +69,6 @@ def ingest_parquet_partitioned(spark):
     return lambda: sb.ingest_stream(spark, spec, "parquet", partition_by="o_orderstatus")
 
 
-def ingest_avro(spark):
-    spec = landed(spark, "customer", "avro")
-    return lambda: sb.ingest_stream(spark, spec, "avro")
-
-
 def ingest_manifest(spark):
     spec = workspace(spark, "crm", "events")
     land_events_by_type(spec, table(spark, SF_DIR, "events"))
@@ -91,14 +86,6 @@ def kafka_json(spark):
     return lambda: drain(sb.add_kafka_metadata(df, schema_format="json", schema=PAYLOAD_SCHEMA))
 
 
-def kafka_avro(spark):
-    customer = table(spark, SF_DIR, "customer")
-    schema = json.dumps(avro_schema(customer.schema))
-    value = F.concat(F.lit(b"\0\0\0\0\7"), to_avro(F.struct(*customer.columns), schema))
-    df = stored(frames(customer, "customer", "c_custkey", value), workspace(spark, "bus", "c"))
-    return lambda: drain(sb.add_kafka_metadata(df, schema_format="avro", schema=schema))
-
-
 def pictures(spark):
     spec = workspace(spark, "photos", "labels")
     write_images(label_images(table(spark, SF_DIR, "labels"), spec.landing_dir))
@@ -131,10 +118,8 @@ OPERATIONS = {
     "ingest_csv_inferred": (ingest_csv_inferred, "lineitem"),
     "ingest_csv_given_schema": (ingest_csv_given_schema, "lineitem"),
     "ingest_parquet_partitioned": (ingest_parquet_partitioned, "orders"),
-    "ingest_avro": (ingest_avro, "customer"),
     "ingest_manifest": (ingest_manifest, "events"),
     "kafka_json": (kafka_json, "events"),
-    "kafka_avro": (kafka_avro, "customer"),
     "jpeg_header": (jpeg_header, "labels"),
     "discovery": (discovery, "labels"),
     "archive": (archive, "labels"),
@@ -150,6 +135,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -6,14 +6,14 @@ from .functions.metadata import add_file_metadata, path_label, raw_file_name
 from .operators.archive import archive_files, distinct_source_files
 from .operators.bronze import BronzeTable, read_bronze
 from .operators.land import land_dataframe, land_images
-from .plans.ingest import ingest
+from .plans.ingest import ingest, ingest_stream
 from .sources.kafka import read_kafka_stream
 from .sources.landing import read_landing_files, read_landing_stream
 from .sources.schema_store import SchemaStore
 from .ship import ship
 from .spec import DatasetSpec
 from .streaming.sink import (
-    SchemaEvolved, bronze_sink, column_check, ingest_stream, start_bronze_query,
+    SchemaEvolved, bronze_sink, column_check, start_bronze_query,
 )
 
 __all__ = [

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-
-from . import avro
+from pyspark.sql.avro.functions import from_avro
 
 _PAYLOAD = "__payload"
 
@@ -20,7 +19,9 @@ def _flatten(df: DataFrame, payload: Column) -> DataFrame:
     # The payload sits under a reserved name, so a payload field of any name survives.
     wide = df.withColumn(_PAYLOAD, payload)
     fields = wide.schema[_PAYLOAD].dataType.fieldNames()
-    clash = sorted(set(fields) & set(df.columns))
+    # Spark compares names without case.
+    taken = {c.lower() for c in df.columns}
+    clash = sorted(f for f in fields if f.lower() in taken)
     if clash:
         raise ValueError(f"payload fields clash with frame columns: {clash}")
     return wide.select(*[F.col(f"`{c}`") for c in df.columns], f"{_PAYLOAD}.*")
@@ -40,18 +41,18 @@ def registry_body(value: Column) -> Column:
     """The bytes behind the 5-byte registry header; raises when byte 1 is not zero."""
     body = F.substring(value, F.lit(6), F.length(value) - 5)
     framed = (F.substring(value, 1, 1) == F.lit(b"\x00")) & (F.length(value) >= 5)
-    wrong = F.raise_error(F.lit("value is not registry-framed Avro: first byte is not 0"))
+    wrong = F.raise_error(F.lit("value is not registry-framed: first byte is not 0"))
     return F.when(value.isNull() | framed, body).otherwise(wrong.cast("binary"))
 
 
 def decode_avro(df: DataFrame, schema: str, *, schema_id: bool = False) -> DataFrame:
-    """Payload fields of registry-framed Avro in ``_value``.
+    """Payload fields of registry-framed Avro in ``_value``; needs Spark's Avro module.
 
     ``schema_id`` keeps the writer's schema id as ``_schema_id``.
     """
     if schema_id:
         df = df.withColumn("_schema_id", registry_schema_id(F.col("_value")))
-    return _flatten(df, avro.from_avro(registry_body(F.col("_value")), schema))
+    return _flatten(df, from_avro(registry_body(F.col("_value")), schema))
 
 
 def add_kafka_metadata(

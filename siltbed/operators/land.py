@@ -8,16 +8,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import avro
 from ..paths import encoded, qualify
-from ..sources.avro_files import write_files
 from ..sources.listing import list_files, listing_session
 from ..spec import DatasetSpec
 from .files import copy_files, drop_dir, move_files
 
-# Largest data that is put into one file; more is landed as several files.
-SINGLE_FILE_BYTES = 128 << 20
-
 # Text formats keep microseconds only when told to.
 TEXT_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -45,16 +40,13 @@ def land_dataframe(
     fmt: str,
     *,
     as_parquet: bool = False,
-    single_file: bool = True,
-    single_file_bytes: int = SINGLE_FILE_BYTES,
     options: dict[str, str] | None = None,
     now: dt.datetime | None = None,
 ) -> str:
     """Write ``df`` under ``{landing}/{datasource}/{dataset}/YYYY/MM/DD``; returns that folder.
 
-    Files are named ``{datasource}-{dataset}-{YYYYmmddHHMMSS}-{unique}.{fmt}``. With
-    ``single_file`` there is one, as long as the data fits ``single_file_bytes``; beyond
-    that, and without it, every task lands files of its own with a part number in the name.
+    Every task lands files of its own, named
+    ``{datasource}-{dataset}-{YYYYmmddHHMMSS}-{unique}-{part}.{fmt}``, when all are written.
     ``as_parquet`` writes a Parquet directory, replacing the one of that day.
     """
     spark = df.sparkSession
@@ -63,35 +55,22 @@ def land_dataframe(
         df.write.mode("overwrite").parquet(folder)
         return folder
     staging = f"{spec.landing}/_staging/{uuid.uuid4().hex}"
-    own_avro = fmt == "avro" and not avro.native_available(spark)
-    if single_file:
-        # Computed once and in parallel; brought together only when it turned out small.
-        df.write.parquet(f"{staging}/rows")
-        df = spark.read.parquet(f"{staging}/rows")
-        size = list_files(listing_session(spark), f"{staging}/rows", "part-*").agg(F.sum("length")).first()[0]
-        single_file = (size or 0) <= single_file_bytes
-        if single_file:
-            df = df.coalesce(1)
-    if own_avro:
-        name = encoded(f"{folder}/{stem}") + ("" if single_file else "-{part}") + ".avro"
-        write_files(df, name).agg(F.sum("rows")).collect()
-    else:
-        writer = df.write.format(fmt).options(**WRITE_OPTIONS.get(fmt, {})).options(**(options or {}))
-        writer.save(f"{staging}/files")
-        _publish(spark, f"{staging}/files", fmt, f"{folder}/{stem}", numbered=not single_file)
-    if single_file or not own_avro:
+    try:
+        df.write.format(fmt).options(**WRITE_OPTIONS.get(fmt, {})).options(**(options or {})).save(staging)
+        _publish(spark, staging, fmt, f"{folder}/{stem}")
+    finally:
         drop_dir(staging)
     return folder
 
 
-def _publish(spark: SparkSession, staged: str, fmt: str, target: str, *, numbered: bool) -> None:
+def _publish(spark: SparkSession, staged: str, fmt: str, target: str) -> None:
     """Rename the part files of a finished write to their landing names."""
     path = F.col("file_path")
     number = F.concat(F.lit("-"), F.regexp_extract(path, PART, 1), F.regexp_extract(path, PART, 2))
     moved = move_files(
         list_files(listing_session(spark), staged, f"part-*.{fmt}").select(
             path.alias("source"),
-            F.concat(F.lit(encoded(target)), number if numbered else F.lit(""), F.lit(f".{fmt}")).alias("target"),
+            F.concat(F.lit(encoded(target)), number, F.lit(f".{fmt}")).alias("target"),
             F.lit(None).cast("string").alias("spare"),
             F.lit(None).cast("long").alias("not_after"),
         )
@@ -113,7 +92,7 @@ def land_images(
     files = list_files(listing_session(spark), qualify(source), f"*.{fmt}").select(
         F.col("file_path").alias("source"),
         F.concat(
-            F.lit(encoded(f"{folder}/{stem}-")), F.hex(F.xxhash64("file_path")), F.lit(f".{fmt}")
+            F.lit(encoded(f"{folder}/{stem}-")), F.sha2("file_path", 256), F.lit(f".{fmt}")
         ).alias("target"),
     )
     log = f"{spec.bronze}/{spec.datasource}/{spec.dataset}_landed/{stem}"

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
+import re
 import uuid
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,8 +24,8 @@ FILE_ROWS = 10_000
 
 
 def workspace(spark: SparkSession, datasource: str, dataset: str) -> DatasetSpec:
-    """Zones and a database of their own below the folder the cluster shares."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="siltbed-")
+    """Zones and a database of their own below the folder the cluster shares, or its warehouse."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     unique = uuid.uuid4().hex[:12]
     root = f"{qualify(shared)}/siltbed-{unique}"
     return DatasetSpec(
@@ -130,3 +132,18 @@ def stream_of(df: DataFrame, folder: str) -> DataFrame:
     """``df`` as a stream, by way of a written table."""
     df.write.mode("overwrite").parquet(folder)
     return df.sparkSession.readStream.schema(df.schema).parquet(folder)
+
+
+def age_files(files: DataFrame, days: int) -> int:
+    """Set the modification time of files back, on local file systems only; returns how many."""
+
+    def age(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for r in rows.itertuples():
+                path = unquote(re.sub("^file:/+", "/", r.file_path))
+                then = os.stat(path).st_mtime - days * 86400
+                os.utime(path, (then, then))
+            yield pd.DataFrame({"n": [len(rows)]})
+
+    local = files.where(F.col("file_path").startswith("file:")).select("file_path")
+    return local.mapInPandas(age, "n long").agg(F.sum("n")).first()[0] or 0

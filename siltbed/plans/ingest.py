@@ -1,27 +1,94 @@
-"""Incremental batch ingestion that also sees overwritten files."""
+"""Incremental ingestion by manifest: no file is lost or read twice.
+
+Discovery appends every new or changed landing file to the manifest, with a batch number.
+A stream over the manifest, or a plain call, then reads the files of each batch. Both commit
+under the same name, so one goes on where the other ended.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.query import StreamingQuery
 
 from ..functions.metadata import LABEL_PATTERN
 from ..operators.archive import archive_files
 from ..operators.bronze import BronzeTable
-from ..sources.landing import FORMATS, read_landing_files
+from ..sources.landing import FORMATS, read_landing_files, resolve_schema
 from ..sources.listing import list_files, listing_session
 from ..sources.manifest import (
-    FILE_KEY, add_to_manifest, forget_archived, new_files, read_manifest, still_listed,
+    FILE_KEY, MANIFEST_SCHEMA, add_to_manifest, forget_archived, new_files, read_manifest, still_listed,
 )
 from ..spec import DatasetSpec
 
-# Run name of batches that come from the manifest; streams use their query id.
+# Run name of batches that come from the manifest.
 RUN = "ingest"
 
 
+class Ingestion:
+    """One call of :func:`ingest` or :func:`ingest_stream`."""
+
+    def __init__(
+        self, spark: SparkSession, spec: DatasetSpec, fmt: str, *, schema, partition_by, merge_schema, archive,
+        files_per_batch, bytes_per_batch, reader_options, label_pattern,
+    ) -> None:
+        if fmt not in FORMATS:
+            raise ValueError(f"format {fmt!r} is not supported; choose one of {sorted(FORMATS)}")
+        self.spark, self.spec, self.fmt = spark, spec, fmt
+        self.schema, self.archive, self.options, self.label_pattern = schema, archive, reader_options, label_pattern
+        self.limits = files_per_batch, bytes_per_batch
+        self.table = BronzeTable(spark, spec, partition_by=partition_by, merge_schema=merge_schema)
+        self.session = listing_session(spark)
+
+    def discover(self) -> list[DataFrame]:
+        """Files to read, with their batches: those left over from an interrupted call, and new ones."""
+        listing = list_files(self.session, self.spec.landing_dir, FORMATS[self.fmt][1].get("pathGlobFilter"))
+        done = self.table.committed.get(RUN, -1)
+        known = read_manifest(self.session, self.spec)
+        if self.archive and done >= 0:
+            # Committed files an interrupted call did not get to move.
+            late = listing.join(known.where(F.col("batch") <= done), FILE_KEY, "left_semi")
+            if not late.isEmpty():
+                archive_files(self.spec, late, f"{RUN}-late", done, not_after=F.col("modified"))
+        left_over = known.where(F.col("batch") > done)
+        if not left_over.isEmpty():
+            # A file changed or removed in the meantime is not read under its old entry.
+            left_over = still_listed(self.spec, left_over, listing)
+        fresh = add_to_manifest(self.spec, new_files(listing, known), done, *self.limits)
+        pending = [left_over, fresh]
+        if self.schema is None and FORMATS[self.fmt][2] and not all(p.isEmpty() for p in pending):
+            # Over all of landing, so that types do not depend on how files fall into batches.
+            self.schema = resolve_schema(self.spark, self.spec, self.fmt, None, self.options)
+        return pending
+
+    def read(self, pending: DataFrame) -> int:
+        """Append the batches that are not committed yet; returns how many.
+
+        The driver holds the file names of one batch at a time, never data.
+        """
+        n = 0
+        for batch in sorted(r.batch for r in pending.select("batch").distinct().collect()):
+            if self.table.is_committed(RUN, batch):
+                continue
+            files = pending.where(F.col("batch") == batch)
+            paths = [r.file_path for r in files.select("file_path").collect()]
+            df = read_landing_files(
+                self.spark, self.spec, self.fmt, files=paths, schema=self.schema, options=self.options, label_pattern=self.label_pattern
+            )
+            self.table.append(df, RUN, batch)
+            if self.archive:
+                archive_files(self.spec, files, RUN, batch, not_after=F.col("modified"))
+            n += 1
+        return n
+
+    def finish(self) -> None:
+        if self.archive:
+            forget_archived(self.spec)
+
+
 def ingest(
     spark: SparkSession,
     spec: DatasetSpec,
@@ -39,38 +106,54 @@ def ingest(
     """Append every new or overwritten landing file to bronze; returns the batches committed.
 
     Batches left over from an interrupted call are finished first, with the same files.
-    The driver holds the file names of one batch at a time, never data.
+    Without ``schema`` it is inferred from all files in landing and merged into the stored one.
     """
-    if fmt not in FORMATS:
-        raise ValueError(f"format {fmt!r} is not supported; choose one of {sorted(FORMATS)}")
-    table = BronzeTable(spark, spec, partition_by=partition_by, merge_schema=merge_schema)
-    session = listing_session(spark)
-    listing = list_files(session, spec.landing_dir, FORMATS[fmt][1].get("pathGlobFilter"))
-    done = table.committed.get(RUN, -1)
-    known = read_manifest(session, spec)
-    if archive and done >= 0:
-        # Committed files an interrupted call did not get to move.
-        late = listing.join(known.where(F.col("batch") <= done), FILE_KEY, "left_semi")
-        if not late.isEmpty():
-            archive_files(spec, late, f"{RUN}-late", done, not_after=F.col("modified"))
-    left_over = known.where(F.col("batch") > done)
-    if not left_over.isEmpty():
-        # A file changed or removed in the meantime is not read under its old entry.
-        left_over = still_listed(spec, left_over, listing)
-    fresh = add_to_manifest(spec, new_files(listing, known), done, files_per_batch, bytes_per_batch)
-
-    n = 0
-    for pending in (left_over, fresh):
-        for batch in sorted(r.batch for r in pending.select("batch").distinct().collect()):
-            files = pending.where(F.col("batch") == batch)
-            paths = [r.file_path for r in files.select("file_path").collect()]
-            df = read_landing_files(
-                spark, spec, fmt, files=paths, schema=schema, options=reader_options, label_pattern=label_pattern
-            )
-            table.append(df, RUN, batch)
-            if archive:
-                archive_files(spec, files, RUN, batch, not_after=F.col("modified"))
-            n += 1
-    if archive:
-        forget_archived(spec)
+    call = Ingestion(
+        spark, spec, fmt, schema=schema, partition_by=partition_by, merge_schema=merge_schema, archive=archive,
+        files_per_batch=files_per_batch, bytes_per_batch=bytes_per_batch, reader_options=reader_options, label_pattern=label_pattern,
+    )
+    n = sum(call.read(pending) for pending in call.discover())
+    call.finish()
     return n
+
+
+def ingest_stream(
+    spark: SparkSession,
+    spec: DatasetSpec,
+    fmt: str,
+    *,
+    schema: T.StructType | str | None = None,
+    max_files: int = 10_000,
+    partition_by: str | Sequence[str] | None = None,
+    merge_schema: bool | str = False,
+    archive: bool = True,
+    bytes_per_batch: int = 1 << 40,
+    reader_options: dict[str, str] | None = None,
+    label_pattern: str = LABEL_PATTERN,
+) -> StreamingQuery | None:
+    """:func:`ingest` as a stream over the manifest that ends when all is read; None if nothing is new.
+
+    A file written again under its name, one of any age and one that another call has seen
+    but not read are all read, and none is twice. ``max_files`` is about the most files of a
+    batch. A micro-batch that is run again finds its batches committed.
+    """
+    call = Ingestion(
+        spark, spec, fmt, schema=schema, partition_by=partition_by, merge_schema=merge_schema, archive=archive,
+        files_per_batch=max_files, bytes_per_batch=bytes_per_batch, reader_options=reader_options, label_pattern=label_pattern,
+    )
+    left_over, fresh = call.discover()
+    # The stream has seen the entries of an interrupted call before.
+    call.read(left_over)
+    query = None
+    if not fresh.isEmpty():
+        entries = spark.readStream.schema(MANIFEST_SCHEMA).option("maxFileAge", "36500d").parquet(spec.manifest_dir)
+        query = (
+            entries.writeStream.foreachBatch(lambda rows, _: call.read(rows))
+            .option("checkpointLocation", f"{spec.checkpoint_dir}_manifest")
+            .queryName(spec.query_name).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        # Entries that the checkpoint had already: of a call that ended before it read them.
+        call.read(fresh)
+    call.finish()
+    return query

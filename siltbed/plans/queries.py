@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.avro import avro_schema, to_avro
-from ..functions.frames import add_kafka_metadata
+from ..functions.frames import add_kafka_metadata, decode_json, prefix_columns, registry_body, registry_schema_id
 from ..functions.metadata import path_label
 from ..operators.archive import distinct_source_files
 from ..operators.bronze import BronzeTable, SchemaMismatch, read_bronze
@@ -17,9 +14,10 @@ from ..operators.land import land_dataframe, land_images
 from ..sources.landing import read_landing_files, read_landing_stream
 from ..sources.listing import list_files
 from ..sources.manifest import file_states
-from ..streaming.sink import bronze_sink, ingest_stream, start_bronze_query
+from ..streaming.sink import bronze_sink, start_bronze_query
 from . import ingest as batch
 from .fixtures import (
+    age_files,
     frames,
     label_images,
     land_events_by_type,
@@ -53,7 +51,7 @@ def _early_late(events: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def landing_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = workspace(spark, "crm", "events")
-    land_dataframe(table(spark, sf_dir, "events"), spec, "json", single_file=False)
+    land_dataframe(table(spark, sf_dir, "events"), spec, "json")
     ingest_stream(spark, spec, "json", schema=EVENT_SCHEMA)
     return read_bronze(spark, spec).select("event_id", "ts", "user_id", "event_type", "value", "props")
 
@@ -61,7 +59,7 @@ def landing_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landing_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = workspace(spark, "erp", "lineitem")
     lineitem = table(spark, sf_dir, "lineitem")
-    land_dataframe(lineitem, spec, "csv", single_file=False)
+    land_dataframe(lineitem, spec, "csv")
     ingest_stream(spark, spec, "csv")
     types = [f.dataType for f in lineitem.schema.fields]
     rows = read_bronze(spark, spec)
@@ -71,19 +69,11 @@ def landing_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landing_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = workspace(spark, "erp", "orders")
     orders = table(spark, sf_dir, "orders")
-    land_dataframe(orders, spec, "parquet", single_file=False)
+    land_dataframe(orders, spec, "parquet")
     batch.ingest(spark, spec, "parquet")
     return read_bronze(spark, spec).select(*orders.columns)
 
 
-def landing_avro(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = workspace(spark, "erp", "customer")
-    customer = table(spark, sf_dir, "customer")
-    land_dataframe(customer, spec, "avro", single_file=False)
-    ingest_stream(spark, spec, "avro")
-    return read_bronze(spark, spec).select(*customer.columns)
-
-
 def landing_jpg(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = workspace(spark, "photos", "labels")
     write_images(label_images(table(spark, sf_dir, "labels"), spec.landing_dir))
@@ -104,7 +94,7 @@ def landing_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landing_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = workspace(spark, "crm", "events")
     for drop in _early_late(table(spark, sf_dir, "events")):
-        land_dataframe(drop, spec, "json", single_file=False)
+        land_dataframe(drop, spec, "json")
         ingest_stream(spark, spec, "json", schema=EVENT_SCHEMA, archive=False)
     ingest_stream(spark, spec, "json", schema=EVENT_SCHEMA, archive=False)
     return read_bronze(spark, spec).select("event_id", "event_type", "value")
@@ -121,11 +111,54 @@ def landing_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze(spark, spec).select("event_id", "event_type", "value")
 
 
+def landing_overwrite_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files written again under their names after they were archived, through the stream."""
+    spec = workspace(spark, "crm", "events")
+    events = table(spark, sf_dir, "events")
+    for value in (F.col("value"), F.col("value") + 1):
+        land_events_by_type(spec, events.withColumn("value", value))
+        ingest_stream(spark, spec, "json", schema=EVENT_SCHEMA)
+    return read_bronze(spark, spec).select("event_id", "ts", "user_id", "event_type", "value", "props")
+
+
+def landing_late_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second drop whose files are older than anything the stream has seen."""
+    spec = workspace(spark, "crm", "events")
+    for early, drop in enumerate(_early_late(table(spark, sf_dir, "events"))):
+        land_dataframe(drop, spec, "json")
+        if early:
+            age_files(list_files(spark, spec.landing_dir), days=40)
+        ingest_stream(spark, spec, "json", schema=EVENT_SCHEMA)
+    return read_bronze(spark, spec).select("event_id", "ts", "user_id", "event_type", "value", "props")
+
+
+def landing_two_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream, then the batch call, then the stream again, on files that stay in landing."""
+    spec = workspace(spark, "crm", "events")
+    for drop, call in zip(_early_late(table(spark, sf_dir, "events")), (ingest_stream, batch.ingest)):
+        land_dataframe(drop, spec, "json")
+        call(spark, spec, "json", schema=EVENT_SCHEMA, archive=False)
+    ingest_stream(spark, spec, "json", schema=EVENT_SCHEMA, archive=False)
+    return read_bronze(spark, spec).select("event_id", "ts", "user_id", "event_type", "value", "props")
+
+
+def landing_csv_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitem in files of 3, 7 and 11 columns; the widest comes last."""
+    spec = workspace(spark, "erp", "lineitem")
+    lineitem = table(spark, sf_dir, "lineitem")
+    for third, width in enumerate((3, 7, 11)):
+        part = lineitem.where(F.col("l_linenumber") % 3 == third)
+        land_dataframe(part.select(*lineitem.columns[:width]), spec, "csv")
+    ingest_stream(spark, spec, "csv", merge_schema=True)
+    rows = read_bronze(spark, spec)
+    return rows.select(*[F.col(f"_c{i}").cast(f.dataType).alias(f"_c{i}") for i, f in enumerate(lineitem.schema.fields)])
+
+
 def landing_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = workspace(spark, "crm", "events")
     early, late = _early_late(table(spark, sf_dir, "events").select("event_id", "event_type", "props"))
     for drop in (early.drop("props"), late):
-        land_dataframe(drop, spec, "json", single_file=False)
+        land_dataframe(drop, spec, "json")
         ingest_stream(spark, spec, "json", merge_schema=True)
     return read_bronze(spark, spec).select("event_id", "event_type", "props")
 
@@ -152,15 +185,15 @@ def kafka_json_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("_offset", "user_id")
 
 
-def kafka_avro(spark: SparkSession, sf_dir: str) -> DataFrame:
-    record = F.struct("c_custkey", "c_name", "c_acctbal")
+def kafka_registry_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schema id and body of frames that carry JSON behind a registry header."""
     customer = table(spark, sf_dir, "customer")
-    schema = json.dumps(avro_schema(customer.select("c_custkey", "c_name", "c_acctbal").schema))
-    value = F.concat(F.lit(b"\x00\x00\x00\x00\x07"), to_avro(record, schema))
-    rows = add_kafka_metadata(
-        frames(customer, "customer", "c_custkey", value), schema_format="avro", schema=schema
-    )
-    return rows.select("_offset", "c_custkey", "c_name", "c_acctbal")
+    body = F.to_json(F.struct("c_custkey", "c_name", "c_acctbal", "c_mktsegment"))
+    value = F.concat(F.lit(b"\x00\x00\x00\x01\x07"), body.cast("binary"))
+    rows = prefix_columns(frames(customer, "customer", "c_custkey", value))
+    rows = rows.withColumn("_schema_id", registry_schema_id(F.col("_value"))).withColumn("_value", registry_body(F.col("_value")))
+    decoded = decode_json(rows, "c_custkey long, c_name string, c_acctbal double, c_mktsegment string")
+    return decoded.select("_offset", "_schema_id", "c_custkey", "c_name", "c_acctbal", "c_mktsegment")
 
 
 def kafka_multiplex(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,7 +247,7 @@ def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     building = F.col("c_mktsegment") == "BUILDING"
     for drop in (customer.where(building), customer.where(~building)):
-        land_dataframe(drop, spec, "parquet", single_file=False)
+        land_dataframe(drop, spec, "parquet")
         ingest_stream(spark, spec, "parquet", cache=True)
     return read_bronze(spark, spec).select(*customer.columns)
 
@@ -222,7 +255,7 @@ def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = workspace(spark, "erp", "orders")
     orders = table(spark, sf_dir, "orders")
-    land_dataframe(orders, spec, "parquet", single_file=False)
+    land_dataframe(orders, spec, "parquet")
     ingest_stream(spark, spec, "parquet", partition_by="o_orderstatus")
     return read_bronze(spark, spec).select(*orders.columns)
 
@@ -236,7 +269,7 @@ def _two_shapes(spark: SparkSession, sf_dir: str, spec) -> tuple[DataFrame, Data
 def bronze_merge_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = workspace(spark, "crm", "events")
     for drop in _two_shapes(spark, sf_dir, spec):
-        land_dataframe(drop, spec, "json", single_file=False)
+        land_dataframe(drop, spec, "json")
         batch.ingest(spark, spec, "json", merge_schema=True)
     return read_bronze(spark, spec).select("event_id", "event_type", "props")
 
@@ -255,7 +288,7 @@ def bronze_schema_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = workspace(spark, "crm", "events")
-    land_dataframe(table(spark, sf_dir, "events"), spec, "json", single_file=False)
+    land_dataframe(table(spark, sf_dir, "events"), spec, "json")
 
     def fail(files: DataFrame) -> None:
         raise RuntimeError("stopped after the write, before the commit")
@@ -275,14 +308,13 @@ def raw_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return file_states(spark, spec, last).select(_relative("raw_file").alias("raw_file"), "state")
 
 
-def land_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+def land_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of landed files, and whether their file has a dated name with a part number."""
     spec = workspace(spark, "erp", "supplier")
     supplier = table(spark, sf_dir, "supplier")
     folder = land_dataframe(supplier, spec, "json")
-    rows = spark.read.schema(supplier.schema).json(folder)
-    return rows.select(F.col("_metadata.file_path").alias("file")).agg(
-        F.countDistinct("file").alias("n_files"), F.count("*").alias("n_rows")
-    )
+    named = F.col("_metadata.file_path").rlike(r"/\d{4}/\d\d/\d\d/erp-supplier-\d{14}-[0-9a-f]{8}-\d{5,}\.json$")
+    return spark.read.schema(supplier.schema).json(folder).select(*supplier.columns, named.alias("dated_name"))
 
 
 def land_parquet_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -304,15 +336,18 @@ QUERIES = {
     "landing_json": landing_json,
     "landing_csv": landing_csv,
     "landing_parquet": landing_parquet,
-    "landing_avro": landing_avro,
     "landing_jpg": landing_jpg,
     "landing_glob": landing_glob,
     "landing_incremental": landing_incremental,
     "landing_overwrite": landing_overwrite,
+    "landing_overwrite_stream": landing_overwrite_stream,
+    "landing_late_file": landing_late_file,
+    "landing_two_paths": landing_two_paths,
+    "landing_csv_widths": landing_csv_widths,
     "landing_evolution": landing_evolution,
     "kafka_json": kafka_json,
     "kafka_json_bad": kafka_json_bad,
-    "kafka_avro": kafka_avro,
+    "kafka_registry_frame": kafka_registry_frame,
     "kafka_multiplex": kafka_multiplex,
     "kafka_to_bronze": kafka_to_bronze,
     "file_metadata": file_metadata,
@@ -324,7 +359,7 @@ QUERIES = {
     "bronze_schema_reject": bronze_schema_reject,
     "bronze_replay": bronze_replay,
     "raw_archive": raw_archive,
-    "land_single_file": land_single_file,
+    "land_files": land_files,
     "land_parquet_dir": land_parquet_dir,
     "land_images": landed_images,
 }
@@ -339,11 +374,12 @@ _FRAMES = """SELECT 'events' AS _topic, CAST(event_id % 4 AS INTEGER) AS _partit
     event_id AS _offset, event_id, user_id, event_type, value FROM events"""
 _FILE = "'raw/crm/events/2024/01/01/' || event_type || '-' || CAST(event_id // 10000 AS VARCHAR) || '.json'"
 
+_EVENTS = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
+
 ORACLES = {
     "landing_json": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
     "landing_csv": f"SELECT {', '.join(f'{c} AS _c{i}' for i, c in enumerate(_LINEITEM))} FROM lineitem",
     "landing_parquet": "SELECT * FROM orders",
-    "landing_avro": "SELECT * FROM customer",
     "landing_jpg": """SELECT doc_id, 'q' || CAST(quality AS VARCHAR) AS _label,
         CAST(1 + doc_id % 640 AS INTEGER) AS width, CAST(1 + doc_id % 480 AS INTEGER) AS height
         FROM labels""",
@@ -351,11 +387,18 @@ ORACLES = {
     "landing_incremental": "SELECT event_id, event_type, value FROM events",
     "landing_overwrite": """SELECT event_id, event_type, value FROM events
         UNION ALL SELECT event_id, event_type, value + 1 FROM events WHERE event_type = 'click'""",
+    "landing_overwrite_stream": f"{_EVENTS} UNION ALL SELECT event_id, ts, user_id, event_type, value + 1, props FROM events",
+    "landing_late_file": _EVENTS,
+    "landing_two_paths": _EVENTS,
+    "landing_csv_widths": " UNION ALL ".join(
+        f"SELECT {', '.join(f'{c} AS _c{i}' if i < width else f'NULL AS _c{i}' for i, c in enumerate(_LINEITEM))} FROM lineitem WHERE l_linenumber % 3 = {third}"
+        for third, width in reversed(list(enumerate((3, 7, 11))))
+    ),
     "landing_evolution": _WIDER,
     "kafka_json": _FRAMES,
     "kafka_json_bad": """SELECT event_id AS _offset,
         CASE WHEN event_type <> 'error' THEN user_id END AS user_id FROM events""",
-    "kafka_avro": "SELECT c_custkey AS _offset, c_custkey, c_name, c_acctbal FROM customer",
+    "kafka_registry_frame": "SELECT c_custkey AS _offset, CAST(263 AS INTEGER) AS _schema_id, c_custkey, c_name, c_acctbal, c_mktsegment FROM customer",
     "kafka_multiplex": """SELECT 'events' AS _topic, event_id AS _offset,
         '{"k":' || CAST(event_id AS VARCHAR) || '}' AS _value_text FROM events
         UNION ALL SELECT 'orders', o_orderkey, '{"k":' || CAST(o_orderkey AS VARCHAR) || '}' FROM orders""",
@@ -369,7 +412,7 @@ ORACLES = {
     "bronze_schema_reject": "SELECT event_id, event_type FROM events WHERE event_type IN ('click', 'view')",
     "bronze_replay": "SELECT event_id, value FROM events",
     "raw_archive": f"SELECT DISTINCT {_FILE} AS raw_file, 'archived' AS state FROM events",
-    "land_single_file": "SELECT CAST(1 AS BIGINT) AS n_files, count(*) AS n_rows FROM supplier",
+    "land_files": "SELECT *, true AS dated_name FROM supplier",
     "land_parquet_dir": "SELECT * FROM supplier",
     "land_images": "SELECT doc_id, true AS copied FROM labels",
 }

@@ -2,24 +2,22 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import avro
 from ..functions.metadata import LABEL_PATTERN, add_file_metadata
 from ..paths import load_path
 from ..spec import DatasetSpec
 from ..tables import few_listing_tasks
-from . import avro_files
-from .listing import list_files, listing_session
-from .schema_store import CORRUPT, SchemaStore, common, widen
+from .schema_store import CORRUPT, SchemaStore
 
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
-# Most file names the driver holds at a time.
+# Files of a micro-batch.
 FILES_AT_ONCE = 10_000
 
 # Spark source, reader options and whether the schema evolves, per format name.
@@ -46,19 +44,14 @@ def infer_schema(
 ) -> T.StructType:
     """Schema of all records below ``paths`` (arguments for ``load``).
 
-    JSON and CSV are read whole, since a column may first appear in the last record (CSV once
-    more, to find such records). Parquet and Avro need only file headers.
+    JSON and CSV are read whole (CSV twice), since a column may first appear in the last
+    record. Parquet and Avro need only file headers.
     """
     source, fixed, evolves = _format(fmt)
     if not evolves:
         return T.StructType.fromDDL(BINARY_SCHEMA)
     if not paths:
         raise ValueError("there are no files to infer a schema from")
-    if fmt == "avro":
-        seen = T.StructType()
-        for text in avro_files.header_schemas(list_files(listing_session(spark), paths)):
-            seen, _ = widen(seen, avro.Schema(text).spark_type)
-        return seen
     with few_listing_tasks(spark):
         if fmt == "csv":
             return _infer_csv(spark, {**fixed, **(options or {})}, paths)
@@ -68,40 +61,44 @@ def infer_schema(
         return reader.options(**(options or {})).load(paths).schema
 
 
+# What a text must look like to be read as a type, in the order in which they are tried.
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^NaN$|^[+-]?Inf(inity)?$"
+_CSV_TYPES = (
+    ("int", r"^[+-]?\d+$"), ("bigint", r"^[+-]?\d+$"), ("double", _NUMBER), ("date", r"^\d{4}-\d{1,2}-\d{1,2}$"),
+    ("timestamp", r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d.*)?$"), ("boolean", r"(?i)^(true|false)$"),
+)
+
+
 def _infer_csv(spark: SparkSession, options: dict[str, str], paths: str | Sequence[str]) -> T.StructType:
-    """Schema with every column of every file.
+    """As many columns as the widest record of any file has, each of a type that all its values have.
 
-    Spark takes the number of columns from one line. Files with records that are wider than
-    that are inferred again by themselves; records wider than their own file's first line
-    are kept in the quarantine column.
+    Two passes, each an aggregate to one row, so the order and number of files are no matter.
+    Files with a header line are left to Spark's own inference.
     """
-
-    def reader():
-        return spark.read.format("csv").options(**options).option("recursiveFileLookup", "true")
-
-    def infer(paths) -> T.StructType:
-        return reader().option("inferSchema", "true").load(paths).schema
-
-    seen = infer(paths)
-    separator = options.get("sep", options["delimiter"])
-    while True:
-        # Without pruning: Spark compares a record with the columns that are asked for, and
-        # wants a column of the data among them.
-        wide = T.StructType([*seen, T.StructField(CORRUPT, T.StringType())])
-        rows = reader().option("columnPruning", "false").schema(wide).load(paths)
-        line = F.col(CORRUPT)
-        parts = (F.length(line) - F.length(F.replace(line, F.lit(separator), F.lit("")))) / len(separator)
-        some = F.col(f"`{seen.fieldNames()[0]}`").alias("some")
-        misfits = rows.where(parts >= len(seen.fields)).select("_metadata.file_path", some)
-        found = misfits.groupBy("file_path").agg(F.count("some")).limit(FILES_AT_ONCE).collect()
-        files = [load_path(r.file_path) for r in found]
-        if not files:
-            return seen
-        wider = common(seen, infer(files))
-        if len(wider.fields) == len(seen.fields):
-            return wide
-        # With more such files than were looked at, the next turn finds the others.
-        seen, paths = wider, paths if len(files) == FILES_AT_ONCE else files
+    reader = spark.read.format("csv").options(**options).option("recursiveFileLookup", "true")
+    if str(options.get("header", "false")).lower() == "true":
+        return reader.option("inferSchema", "true").load(paths).schema
+    separator, quote, escape = (re.escape(options.get(k, d)) for k, d in (("sep", options["delimiter"]), ("quote", '"'), ("escape", "\\")))
+    quoted = f"(^|{separator}){quote}(?:[^{quote}{escape}]|{escape}.|{quote}{quote})*{quote}"
+    bare = F.regexp_replace("value", quoted, "$1")
+    fields = F.size(F.split(bare, separator, -1))
+    lines = spark.read.option("recursiveFileLookup", "true").text(paths)
+    width = lines.where(F.trim("value") != "").agg(F.max(fields)).first()[0] or 0
+    names = [f"_c{k}" for k in range(width)]
+    if not names:
+        return T.StructType()
+    rows = reader.schema(", ".join(f"{n} string" for n in names)).load(paths)
+
+    def fits(name: str, kind: str, pattern: str) -> Column:
+        value = F.col(name)
+        return F.coalesce(F.every(value.isNull() | (value.rlike(pattern) & F.expr(f"try_cast({name} AS {kind}) IS NOT NULL"))), F.lit(True))
+
+    found = rows.agg(
+        *[F.count(n).alias(f"{n}_values") for n in names],
+        *[fits(n, kind, pattern).alias(f"{n}_{kind}") for n in names for kind, pattern in _CSV_TYPES],
+    ).first()
+    kinds = [next((k for k, _ in _CSV_TYPES if found[f"{n}_values"] and found[f"{n}_{k}"]), "string") for n in names]
+    return T.StructType.fromDDL(", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
 
 
 def resolve_schema(
@@ -122,22 +119,13 @@ def _schema(schema: T.StructType | str) -> T.StructType:
     return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
-def _load(reader, spark, spec, fmt, paths, schema, options, label_pattern) -> DataFrame:
+def _load(reader, spark, spec, fmt, paths, schema, options, label_pattern, image=None) -> DataFrame:
     """The part that batch and stream readers share."""
     source, fixed, evolves = _format(fmt)
     reader = reader.option("recursiveFileLookup", "true")
-    if fmt == "avro" and not avro.native_available(spark):
-        files = (
-            reader.format("binaryFile").schema(BINARY_SCHEMA).options(**(options or {})).load(paths)
-            .select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("length"))
-        )
-        rows = avro_files.decode_files(files, schema)
-        path = F.col(avro_files.FILE_COLUMN)
-        data = add_file_metadata(rows, spec, file_path=path)
-        return data.drop(avro_files.FILE_COLUMN)
     reader = reader.format(source).options(**fixed).options(**(options or {})).schema(schema)
     return reader.load(paths).transform(
-        add_file_metadata, spec, image=not evolves, label_pattern=label_pattern
+        add_file_metadata, spec, image=not evolves if image is None else image, label_pattern=label_pattern
     )
 
 
@@ -150,21 +138,17 @@ def read_landing_files(
     schema: T.StructType | str | None = None,
     options: dict[str, str] | None = None,
     label_pattern: str = LABEL_PATTERN,
+    image: bool | None = None,
 ) -> DataFrame:
     """Batch read of landing, or of just ``files`` (``_metadata.file_path`` values).
 
     Without ``schema`` it is inferred from those files and merged into the stored one.
+    ``image`` adds label and size of pictures, by default for the format ``jpg``.
     """
     paths = spec.landing_dir if files is None else [load_path(f) for f in files]
     schema = _schema(schema or resolve_schema(spark, spec, fmt, paths, options))
     with few_listing_tasks(spark):
-        return _load(spark.read, spark, spec, fmt, paths, schema, options, label_pattern)
-
-
-def _oldest(spark: SparkSession, spec: DatasetSpec, fmt: str, n: int | None) -> list[str]:
-    glob = _format(fmt)[1].get("pathGlobFilter")
-    files = list_files(listing_session(spark), spec.landing_dir, glob).orderBy("modified", "file_path")
-    return [load_path(r.file_path) for r in files.limit(n or FILES_AT_ONCE).collect()]
+        return _load(spark.read, spark, spec, fmt, paths, schema, options, label_pattern, image)
 
 
 def read_landing_stream(
@@ -173,26 +157,21 @@ def read_landing_stream(
     fmt: str,
     *,
     schema: T.StructType | str | None = None,
-    refresh: bool = True,
     max_files: int | None = FILES_AT_ONCE,
     options: dict[str, str] | None = None,
     label_pattern: str = LABEL_PATTERN,
 ) -> DataFrame:
     """Stream of the files that arrive in landing, ``max_files`` at most per micro-batch.
 
-    ``max_files=None`` leaves the limit to ``options`` (``maxBytesPerTrigger``).
-    Without ``schema`` it is inferred from the files there now and merged into the stored
-    one; give the sink a :func:`siltbed.column_check` if files with other columns may arrive
-    while the stream runs. With ``refresh=False`` a stored schema is used as it is, and the first one comes from
-    the oldest files, as many as a micro-batch has; this is for streams that check each
-    micro-batch for new columns, as :func:`siltbed.ingest_stream` does.
+    This is Spark's file source: it knows a file by its path alone, so one that is written
+    again under its name is not read again; :func:`siltbed.ingest_stream` does that. Files are
+    read whatever their age. ``max_files=None`` leaves the limit to ``options``
+    (``maxBytesPerTrigger``). Without ``schema`` it is inferred from all files there now and
+    merged into the stored one; give the sink a :func:`siltbed.column_check` if files with
+    other columns may arrive while the stream runs.
     """
-    if schema is None and refresh:
-        schema = resolve_schema(spark, spec, fmt, None, options)
-    elif schema is None:
-        stored = SchemaStore(spark, spec.schema_dir).latest()
-        schema = stored[1] if stored else resolve_schema(spark, spec, fmt, _oldest(spark, spec, fmt, max_files), options)
-    reader = spark.readStream
+    schema = _schema(schema or resolve_schema(spark, spec, fmt, None, options))
+    reader = spark.readStream.option("maxFileAge", "36500d")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return _load(reader, spark, spec, fmt, spec.landing_dir, _schema(schema), options, label_pattern)
+    return _load(reader, spark, spec, fmt, spec.landing_dir, schema, options, label_pattern)

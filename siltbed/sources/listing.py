@@ -46,7 +46,9 @@ def listing_session(spark: SparkSession) -> SparkSession:
     simply not in it. Settings of the caller's session stay untouched.
     """
     session = spark.newSession()
-    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    for key, value in spark.conf.getAll.items():
+        if session.conf.get(key, None) != value and session.conf.isModifiable(key):
+            session.conf.set(key, value)
     session.conf.set("spark.sql.files.maxPartitionBytes", str(64 << 30))
     session.conf.set("spark.sql.files.ignoreMissingFiles", "true")
     return session

@@ -59,16 +59,6 @@ def _reads_as(seen: T.DataType, stored: T.DataType) -> bool:
     return isinstance(seen, T.DateType) and isinstance(stored, (T.TimestampType, T.TimestampNTZType))
 
 
-def common(first: T.StructType, second: T.StructType) -> T.StructType:
-    """Flat schema that both files of the one and of the other shape parse as."""
-    types = {f.name: f.dataType for f in first.fields}
-    for field in second.fields:
-        mine = types.setdefault(field.name, field.dataType)
-        if not _reads_as(field.dataType, mine):
-            types[field.name] = field.dataType if _reads_as(mine, field.dataType) else T.StringType()
-    return T.StructType([T.StructField(n, t, True) for n, t in types.items()])
-
-
 class SchemaStore:
     """Versions of one dataset's reader schema below ``directory``."""
 

@@ -5,20 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..functions.metadata import landing_file_name
 from ..operators.archive import archive_files, distinct_source_files
 from ..operators.bronze import BronzeTable
 from ..paths import load_path
-from ..sources.landing import FORMATS, read_landing_stream, resolve_schema
+from ..sources.landing import resolve_schema
 from ..sources.schema_store import SchemaStore
 from ..spec import DatasetSpec
-from ..tables import few_listing_tasks
 
 
 class SchemaEvolved(RuntimeError):
@@ -43,7 +40,7 @@ def bronze_sink(
     """
     state: dict[str, BronzeTable] = {}
 
-    def append_to_bronze(batch: DataFrame, batch_id: int) -> None:
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         run = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         # Taken out and put back at the end: after a failure the state is read anew.
@@ -71,7 +68,7 @@ def bronze_sink(
             archive_files(spec, files, run, batch_id, not_after=F.col("read_at"))
         state["table"] = table
 
-    return append_to_bronze
+    return write_batch
 
 
 def column_check(
@@ -117,39 +114,3 @@ def start_bronze_query(
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
-
-
-def ingest_stream(
-    spark: SparkSession,
-    spec: DatasetSpec,
-    fmt: str,
-    *,
-    schema: T.StructType | str | None = None,
-    max_files: int | None = 10_000,
-    reader_options: dict[str, str] | None = None,
-    trigger: dict | None = None,
-    merge_schema: bool | str = False,
-    **options,
-) -> StreamingQuery:
-    """Run the landing stream into bronze until it ends, widening the schema on the way.
-
-    Without ``schema``, each micro-batch's own files are checked for columns the reader did
-    not know, before the batch is committed; where there are any, the query starts again
-    with the wider schema and reads that batch again, so no column is lost.
-    """
-    store = SchemaStore(spark, spec.schema_dir)
-    evolves = schema is None and FORMATS[fmt][2]
-    while True:
-        stream = read_landing_stream(
-            spark, spec, fmt, schema=schema, refresh=False, max_files=max_files, options=reader_options
-        )
-        known = store.version()
-        options["check"] = column_check(spark, spec, fmt, reader_options) if evolves else None
-        try:
-            with few_listing_tasks(spark):
-                query = start_bronze_query(stream, spec, trigger=trigger, merge_schema=merge_schema, **options)
-                query.awaitTermination()
-            return query
-        except StreamingQueryException:
-            if store.version() == known:
-                raise

@@ -1,9 +1,12 @@
 """File sources: formats, metadata, inference, evolution."""
 
+import itertools
+
 import pytest
 from conftest import rows
 
 import siltbed as sb
+from siltbed.sources.landing import infer_schema
 from siltbed.sources.schema_store import CORRUPT, widen
 from pyspark.sql import types as T
 
@@ -95,23 +98,39 @@ def test_csv_files_of_different_width(spark, spec, drop_file):
     assert df.count() == 52
 
 
-def test_csv_width_with_few_files_at_once(spark, spec, drop_file, monkeypatch):
-    from siltbed.sources import landing
-
-    monkeypatch.setattr(landing, "FILES_AT_ONCE", 1)
-    drop_file("a.csv", "".join(f"{i};x\n" for i in range(50)))
-    for i in range(3, 6):
-        drop_file(f"{i}.csv", ";".join("9" * i) + "\n")
-    df = sb.read_landing_files(spark, spec, "csv")
-    assert df.columns[2:] == ["_c0", "_c1", "_c2", "_c3", "_c4"]
+def test_csv_schema_does_not_depend_on_file_order(spark, spec, drop_file):
+    """A ragged record beside files of three and of seven columns."""
+    texts = ["1;x;2.5\n2;y;3\n", "3;z;1;more\n4;w;2\n", "5;v;7;a;b;true;2024-01-02\n"]
+    for order in itertools.permutations(range(3)):
+        for day, k in enumerate(order):
+            drop_file(f"{'abc'[day]}.csv", texts[k])
+        df = sb.read_landing_files(spark, spec, "csv", schema=infer_schema(spark, "csv", spec.landing_dir))
+        assert df.dtypes[2:] == [("_c0", "int"), ("_c1", "string"), ("_c2", "double"), ("_c3", "string"), ("_c4", "string"), ("_c5", "boolean"), ("_c6", "date")]
+        assert rows(df.where("_c0 IN (3, 5)"), "_c0", "_c3") == [(3, "more"), (5, "a")]
 
 
 def test_csv_record_wider_than_its_file(spark, spec, drop_file):
-    drop_file("a.csv", "1;x\n2;y;lost?\n3;'z;1'\n")
+    drop_file("a.csv", "1;x\n2;y;kept\n3;'z;1'\n")
     sb.ingest_stream(spark, spec, "csv")
     df = sb.read_bronze(spark, spec)
-    assert df.columns[2:] == ["_c0", "_c1", CORRUPT]
-    assert (2, "y", "2;y;lost?") in rows(df, "_c0", "_c1", CORRUPT)
+    assert df.columns[2:] == ["_c0", "_c1", "_c2"]
+    assert (2, "y", "kept") in rows(df, "_c0", "_c1", "_c2")
+
+
+def test_csv_types(spark, spec, drop_file):
+    drop_file("a.csv", "1;3000000000;1e3;2024-01-01;2024-01-01 10:00:00;TRUE;;007x; 1\n")
+    drop_file("b.csv", "2;1;2;2024-01-02;2024-01-02;false;;1;2\n")
+    found = [f.dataType.simpleString() for f in infer_schema(spark, "csv", spec.landing_dir)]
+    assert found == ["int", "bigint", "double", "date", "timestamp", "boolean", "string", "string", "string"]
+
+
+def test_json_types_do_not_depend_on_batch_size(spark, spec, drop_file):
+    for size in (1, 2, 10_000):
+        for i, text in enumerate(['{"v":1}\n', '{"v":2.5}\n']):
+            drop_file(f"{size}-{i}.json", text)
+        sb.ingest_stream(spark, spec, "json", max_files=size)
+    df = sb.read_bronze(spark, spec)
+    assert dict(df.dtypes)["v"] == "double" and rows(df, "v") == [(1.0,)] * 3 + [(2.5,)] * 3
 
 
 def test_csv_separator_inside_quotes(spark, spec, drop_file):
@@ -217,7 +236,7 @@ def test_odd_characters_in_every_path(spark, tmp_path, how):
         sb.ingest(spark, spec, "json")
     assert rows(sb.read_bronze(spark, spec), "id") == [(i,) for i in range(len(names))]
     assert sorted(p.name for p in (root / "raw/c d/e+f/2024/01/01").iterdir()) == sorted(names)
-    sb.land_dataframe(spark.range(3), spec, "json", single_file=False)
+    sb.land_dataframe(spark.range(3), spec, "json")
     assert sb.read_landing_files(spark, spec, "json").count() == 3
 
 
