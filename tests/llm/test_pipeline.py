@@ -6,8 +6,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 import corpus_pipeline  # noqa: E402
 from siltbed.llm import trie  # noqa: E402
 
-from tests.llm.test_minhash import classes  # noqa: E402
-from tests.llm.test_packing import check  # noqa: E402
+from .test_minhash import classes  # noqa: E402
+from .test_packing import check  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
