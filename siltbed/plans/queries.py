@@ -16,6 +16,7 @@ from ..sources.listing import list_files
 from ..sources.manifest import file_states
 from ..streaming.sink import bronze_sink, start_bronze_query
 from . import ingest as batch
+from .ingest import ingest_stream
 from .fixtures import (
     age_files,
     frames,
@@ -97,7 +98,7 @@ def landing_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         land_dataframe(drop, spec, "json")
         ingest_stream(spark, spec, "json", schema=EVENT_SCHEMA, archive=False)
     ingest_stream(spark, spec, "json", schema=EVENT_SCHEMA, archive=False)
-    return read_bronze(spark, spec).select("event_id", "event_type", "value")
+    return read_bronze(spark, spec).select("event_id", "ts", "user_id", "event_type", "value", "props")
 
 
 def landing_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +109,7 @@ def landing_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     clicks = events.where("event_type = 'click'").withColumn("value", F.col("value") + 1)
     land_events_by_type(spec, clicks)
     batch.ingest(spark, spec, "json", schema=EVENT_SCHEMA, archive=False)
-    return read_bronze(spark, spec).select("event_id", "event_type", "value")
+    return read_bronze(spark, spec).select("event_id", "ts", "user_id", "event_type", "value", "props")
 
 
 def landing_overwrite_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,11 +169,21 @@ def _event_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames(table(spark, sf_dir, "events"), "events", "event_id", payload)
 
 
+def _all_of_frames(rows: DataFrame) -> DataFrame:
+    """All columns of decoded frames in forms that SQL can compare."""
+    value = F.from_json(F.col("_value").cast("string"), PAYLOAD_SCHEMA)
+    return rows.select(
+        F.col("_key").cast("string").alias("_key"), value["event_id"].alias("_value_id"), "_topic", "_partition", "_offset",
+        F.col("_timestamp").cast("date").alias("_day"), "_timestampType", F.col("_ingested_at").isNotNull().alias("_has_time"),
+        "event_id", "user_id", "event_type", "value",
+    )
+
+
 def kafka_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = add_kafka_metadata(
         _event_frames(spark, sf_dir), method="singleplex", schema_format="json", schema=PAYLOAD_SCHEMA
     )
-    return rows.drop("_key", "_value", "_timestamp", "_timestampType", "_ingested_at")
+    return _all_of_frames(rows)
 
 
 def kafka_json_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,7 +229,7 @@ def kafka_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         schema_format="json", schema=PAYLOAD_SCHEMA,
     )
     start_bronze_query(stream, spec, archive=False).awaitTermination()
-    return read_bronze(spark, spec).drop("_key", "_value", "_timestamp", "_timestampType", "_ingested_at")
+    return _all_of_frames(read_bronze(spark, spec))
 
 
 def _events_by_type(spark: SparkSession, sf_dir: str):
@@ -229,7 +240,11 @@ def _events_by_type(spark: SparkSession, sf_dir: str):
 
 def file_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_landing_files(spark, _events_by_type(spark, sf_dir), "json", schema=EVENT_SCHEMA)
-    return rows.select("event_id", _relative("_ingested_filename").alias("rel_file"))
+    first = rows.columns[:2] == ["_ingested_at", "_ingested_filename"]
+    return rows.select(
+        "event_id", _relative("_ingested_filename").alias("rel_file"),
+        F.col("_ingested_at").isNotNull().alias("has_time"), F.lit(first).alias("metadata_first"),
+    )
 
 
 def distinct_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,7 +263,7 @@ def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     building = F.col("c_mktsegment") == "BUILDING"
     for drop in (customer.where(building), customer.where(~building)):
         land_dataframe(drop, spec, "parquet")
-        ingest_stream(spark, spec, "parquet", cache=True)
+        start_bronze_query(read_landing_stream(spark, spec, "parquet"), spec, cache=True).awaitTermination()
     return read_bronze(spark, spec).select(*customer.columns)
 
 
@@ -298,7 +313,7 @@ def bronze_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
         start_bronze_query(stream, spec, sink=bronze_sink(spec, check=fail)).awaitTermination()
     except StreamingQueryException:
         start_bronze_query(stream, spec).awaitTermination()
-    return read_bronze(spark, spec).select("event_id", "value")
+    return read_bronze(spark, spec).select("event_id", "ts", "user_id", "event_type", "value", "props")
 
 
 def raw_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -370,8 +385,9 @@ _LINEITEM = (
 )
 _WIDER = """SELECT event_id, event_type,
     CASE WHEN event_type NOT IN ('click', 'view') THEN props END AS props FROM events"""
-_FRAMES = """SELECT 'events' AS _topic, CAST(event_id % 4 AS INTEGER) AS _partition,
-    event_id AS _offset, event_id, user_id, event_type, value FROM events"""
+_FRAMES = """SELECT CAST(event_id AS VARCHAR) AS _key, event_id AS _value_id, 'events' AS _topic,
+    CAST(event_id % 4 AS INTEGER) AS _partition, event_id AS _offset, DATE '2024-01-01' AS _day,
+    CAST(0 AS INTEGER) AS "_timestampType", true AS _has_time, event_id, user_id, event_type, value FROM events"""
 _FILE = "'raw/crm/events/2024/01/01/' || event_type || '-' || CAST(event_id // 10000 AS VARCHAR) || '.json'"
 
 _EVENTS = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
@@ -384,9 +400,8 @@ ORACLES = {
         CAST(1 + doc_id % 640 AS INTEGER) AS width, CAST(1 + doc_id % 480 AS INTEGER) AS height
         FROM labels""",
     "landing_glob": "SELECT doc_id FROM labels WHERE toxic = 0",
-    "landing_incremental": "SELECT event_id, event_type, value FROM events",
-    "landing_overwrite": """SELECT event_id, event_type, value FROM events
-        UNION ALL SELECT event_id, event_type, value + 1 FROM events WHERE event_type = 'click'""",
+    "landing_incremental": _EVENTS,
+    "landing_overwrite": f"{_EVENTS} UNION ALL SELECT event_id, ts, user_id, event_type, value + 1, props FROM events WHERE event_type = 'click'",
     "landing_overwrite_stream": f"{_EVENTS} UNION ALL SELECT event_id, ts, user_id, event_type, value + 1, props FROM events",
     "landing_late_file": _EVENTS,
     "landing_two_paths": _EVENTS,
@@ -403,14 +418,14 @@ ORACLES = {
         '{"k":' || CAST(event_id AS VARCHAR) || '}' AS _value_text FROM events
         UNION ALL SELECT 'orders', o_orderkey, '{"k":' || CAST(o_orderkey AS VARCHAR) || '}' FROM orders""",
     "kafka_to_bronze": _FRAMES,
-    "file_metadata": f"SELECT event_id, {_FILE} AS rel_file FROM events",
+    "file_metadata": f"SELECT event_id, {_FILE} AS rel_file, true AS has_time, true AS metadata_first FROM events",
     "distinct_files": f"SELECT DISTINCT {_FILE} AS rel_file FROM events",
     "path_label": "SELECT page_id, regexp_extract(url, '^https?://[^/]+/([^/]+)', 1) AS label FROM pages",
     "bronze_append": "SELECT * FROM customer",
     "bronze_partitioned": "SELECT * FROM orders",
     "bronze_merge_schema": _WIDER,
     "bronze_schema_reject": "SELECT event_id, event_type FROM events WHERE event_type IN ('click', 'view')",
-    "bronze_replay": "SELECT event_id, value FROM events",
+    "bronze_replay": _EVENTS,
     "raw_archive": f"SELECT DISTINCT {_FILE} AS raw_file, 'archived' AS state FROM events",
     "land_files": "SELECT *, true AS dated_name FROM supplier",
     "land_parquet_dir": "SELECT * FROM supplier",

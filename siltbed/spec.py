@@ -29,6 +29,7 @@ class DatasetSpec:
             if re.search(r"[*?\[\]{}\\]", part):
                 raise ValueError(f"{part!r} has characters that Spark reads as a path pattern")
 
+    # The templates of paths and names below.
     @property
     def landing_dir(self) -> str:
         return f"{self.landing}/{self.datasource}/{self.dataset}"
