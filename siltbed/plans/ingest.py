@@ -142,13 +142,14 @@ def ingest_stream(
         files_per_batch=max_files, bytes_per_batch=bytes_per_batch, reader_options=reader_options, label_pattern=label_pattern,
     )
     left_over, fresh = call.discover()
-    # The stream has seen the entries of an interrupted call before.
+    # Of an interrupted call, as far as the files are still what they were.
     call.read(left_over)
     query = None
     if not fresh.isEmpty():
+        first = fresh.agg(F.min("batch")).first()[0]
         entries = spark.readStream.schema(MANIFEST_SCHEMA).option("maxFileAge", "36500d").parquet(spec.manifest_dir)
         query = (
-            entries.writeStream.foreachBatch(lambda rows, _: call.read(rows))
+            entries.writeStream.foreachBatch(lambda rows, _: call.read(rows.where(F.col("batch") >= first)))
             .option("checkpointLocation", f"{spec.checkpoint_dir}_manifest")
             .queryName(spec.query_name).trigger(availableNow=True).start()
         )

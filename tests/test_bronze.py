@@ -144,7 +144,7 @@ def test_odd_dataset_name(spark, spec):
 def test_lost_checkpoint(spark, spec, drop_file, tmp_path):
     drop_file("a.json", '{"id":1}\n')
     sb.ingest_stream(spark, spec, "json", schema="id long")
-    shutil.move(tmp_path / "bronze/crm/events_checkpoint", tmp_path / "lost")
+    shutil.move(tmp_path / "bronze/crm/events_checkpoint_manifest", tmp_path / "lost")
     drop_file("b.json", '{"id":2}\n')
     sb.ingest_stream(spark, spec, "json", schema="id long")
     assert rows(sb.read_bronze(spark, spec), "id") == [(1,), (2,)]
