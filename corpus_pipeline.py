@@ -11,35 +11,48 @@ from siltbed.llm.shared import stored
 from siltbed.ship import ship
 
 
+# Rows that go to a Python worker together. Workers serve all stages and keep what memory they
+# once took, so small batches bound them.
+BATCH_ROWS = 1000
+
+
+def ready(spark: SparkSession) -> None:
+    """Make tasks able to import the package, and bound the batches that they hold."""
+    ship(spark)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language; those that are null or without a letter go."""
-    ship(spark)
+    ready(spark)
     found = langid.mixture(langid.train(docs), F.col("text"))
     return docs.where(found["lang_pred"] != langid.UNKNOWN)
 
 
 def low_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted to be toxic."""
-    ship(spark)
+    ready(spark)
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return docs.where(toxicity.toxicity(model, F.col("text")) < toxicity.THRESHOLD)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text, that with the largest id."""
-    ship(spark)
+    ready(spark)
     return trie.kept_documents(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates, that with the smallest id."""
-    ship(spark)
+    ready(spark)
     return minhash.without_near_duplicates(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents that are left, with their place in the sequences."""
-    ship(spark)
+    ready(spark)
     return packing.pack_documents(docs, WORD_BPE)
 
 
@@ -57,7 +70,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written as Parquet and read again by the next."""
-    ship(spark)
+    ready(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
