@@ -41,9 +41,15 @@ def transcripts(conversations: DataFrame) -> DataFrame:
 
 
 def op3_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns recovered from transcripts of all conversations; a quarter of their messages have no marker."""
+    """Turns recovered from the lines of all conversations, a quarter of whose messages have no marker.
+
+    A half of the conversations is parsed by what is learned from the other half.
+    """
     messages = transcripts(table(spark, sf_dir, "conversations"))
-    return transcript.parse(messages.drop("role"), transcript.train(messages), stored=stored)
+    half = F.coalesce(F.crc32(F.col("conv_id").cast("string").cast("binary")) % 2, F.lit(0))
+    first, second = messages.where(half == 0), messages.where(half == 1)
+    found = [transcript.parse(own.drop("role"), transcript.train(other), stored=stored) for own, other in ((first, second), (second, first))]
+    return found[0].union(found[1])
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

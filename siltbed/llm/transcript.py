@@ -1,7 +1,8 @@
 """Roles of transcript lines by a hidden Markov model, and canonical turns.
 
+A transcript is its lines, in however many pieces they come: borders of pieces tell nothing.
 A state is a role and whether a line begins its turn or goes on with it. What a line shows is
-its speaker marker, if any, and classes of its form. Viterbi runs in segments: the best score
+its speaker marker, if any, and classes of its form, each by itself. Viterbi runs in segments: the best score
 from every state before a segment to every state at its end is a small table, the tables of a
 conversation are chained to find the state at each border, and each segment is then traced
 back by itself. So a conversation of any length is shared out over tasks, and the result is
@@ -16,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -24,9 +25,11 @@ ROLES = ("system", "user", "assistant")
 # Begin and go on for each role, then the state before the first line.
 STATES = 2 * len(ROLES)
 START = STATES
-# Messages of a conversation in a segment.
-SEGMENT = 64
+# Pieces whose lines are numbered together, and lines of a conversation in a segment.
+PIECES, SEGMENT = 64, 256
 SMOOTHING = 0.5
+# Share of what all states show in what a state shows, so that what none ever showed tells nothing.
+SHARED = 0.01
 
 # The words that name a speaker before a colon or in a heading.
 SPEAKERS = {
@@ -46,16 +49,17 @@ def split_marker(line: str) -> tuple[str | None, str]:
     return (_NAMED[m[1].lower()], line[m.end():]) if m else (None, line)
 
 
-# Classes of a line: marker x question x length x first of its message x a break before it.
+# Classes of a line: marker x question x length x a break before it.
 MARKERS, LENGTHS = (None, *ROLES), (0, 40, 120, 400)
-SYMBOLS = len(MARKERS) * 2 * len(LENGTHS) * 2 * 2
+CLASSES = (len(MARKERS), 2, len(LENGTHS), 2)
+SYMBOLS = int(np.prod(CLASSES))
 
 
-def symbol(line: str, first: bool, after_break: bool) -> int:
+def symbol(line: str, after_break: bool) -> int:
     role, rest = split_marker(line)
     length = sum(len(rest) > x for x in LENGTHS[1:])
     code = MARKERS.index(role)
-    for value, size in (("?" in rest, 2), (length, len(LENGTHS)), (first, 2), (after_break, 2)):
+    for value, size in zip(("?" in rest, length, after_break), CLASSES[1:]):
         code = code * size + int(value)
     return code
 
@@ -69,14 +73,26 @@ class RoleModel:
 
     @classmethod
     def from_counts(cls, moves: np.ndarray, shows: np.ndarray) -> RoleModel:
-        moves, shows = moves + SMOOTHING, shows + SMOOTHING * 0.02
+        moves = moves + SMOOTHING
         for before in range(STATES + 1):
             for after in range(STATES):
                 # A line goes on with the turn before it, so with its role; a first line begins one.
                 if after % 2 and (before == START or before // 2 != after // 2):
                     moves[before, after] = 0
         with np.errstate(divide="ignore"):
-            return cls(np.log(moves / moves.sum(axis=1, keepdims=True)), np.log(shows / shows.sum(axis=1, keepdims=True)))
+            return cls(np.log(moves / moves.sum(axis=1, keepdims=True)), cls._shown(shows.reshape(STATES, *CLASSES)).reshape(STATES, SYMBOLS))
+
+    @staticmethod
+    def _shown(counts: np.ndarray) -> np.ndarray:
+        """Class by class, so that a marker tells the same on lines of any form."""
+        total = np.zeros(counts.shape)
+        for axis in range(1, counts.ndim):
+            own = counts.sum(axis=tuple(a for a in range(1, counts.ndim) if a != axis))
+            every = (own.sum(axis=0) + SMOOTHING) / (own + SMOOTHING / STATES).sum()
+            seen = own.sum(axis=1, keepdims=True)
+            rate = np.where(seen > 0, (1 - SHARED) * own / np.maximum(seen, 1) + SHARED * every, every)
+            total += np.log(rate).reshape(STATES, *[-1 if a == axis else 1 for a in range(1, counts.ndim)])
+        return total
 
     def passage(self, symbols: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """From each state before the lines (START last) to each at their end: the best score, and whether that way begins a turn."""
@@ -115,20 +131,6 @@ def chain(passages: list[np.ndarray]) -> list[int]:
     return states[::-1]
 
 
-def _lines(text: str) -> list[tuple[str, int]]:
-    """Lines of a message that are not blank (at least one), with their symbols."""
-    found, broke = [], False
-    for line in text.split("\n"):
-        if line.strip() or not text.strip():
-            found.append((line, symbol(line, not found, broke)))
-            broke = False
-            if not text.strip():
-                break
-        else:
-            broke = True
-    return found
-
-
 def _groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[tuple[tuple, list[dict]]]:
     at, rows = None, []
     for batch in batches:
@@ -155,38 +157,72 @@ def _batches_of(groups: Iterator, size: int = 256) -> Iterator[list]:
         yield held
 
 
-def _segment(position: Column) -> Column:
-    return F.coalesce(F.floor(position / SEGMENT), F.lit(-1)).cast("long")
-
+def _lines(messages: DataFrame, conversation: str, position: str, text: str, role: str | None = None) -> DataFrame:
+    """Lines of every conversation that are not blank, numbered over all its pieces.
 
-def _dealt(messages: DataFrame, conversation: str, position: str, text: str, role: str | None = None) -> DataFrame:
-    """Messages by segment, in order; ties in position by text."""
+    Pieces are in order of position, ties by text, and joined by line ends. ``before`` is the
+    number of the last such line before (null for the first), ``opens`` whether a line is the
+    first of its piece. Numbers are summed within stretches of PIECES positions, then over
+    the stretches, so no task has a whole conversation.
+    """
+    split = F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), "\n", -1)
     rows = messages.select(
-        F.col(conversation).alias("conversation"), _segment(F.col(position)).alias("segment"), F.col(position).alias("position"),
-        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), *([F.col(role).alias("role")] if role else []),
+        F.col(conversation).alias("conversation"), F.coalesce(F.floor(F.col(position) / PIECES), F.lit(-1)).cast("long").alias("stretch"), F.col(position).alias("position"),
+        F.col(text).cast("string").alias("text"), F.size(split).cast("long").alias("n"),
+        F.filter(F.transform(split, lambda x, k: F.struct(k.alias("k"), x.alias("text"))), lambda x: x["text"].rlike(r"\S")).alias("found"), *([F.col(role).alias("role")] if role else []),
+    ).withColumn("final", F.when(F.size("found") > 0, F.element_at("found", -1)["k"].cast("long")))
+    earlier = (Window.unboundedPreceding, -1)
+    within = Window.partitionBy("conversation", "stretch").orderBy("position", "text").rowsBetween(*earlier)
+    placed = rows.withColumn("start", F.coalesce(F.sum("n").over(within), F.lit(0))).drop("text")
+    placed = placed.withColumn("final", F.col("start") + F.col("final")).withColumn("text_before", F.max("final").over(within.orderBy("start").rowsBetween(*earlier)))
+    over = Window.partitionBy("owner").orderBy("part").rowsBetween(*earlier)
+    stretches = placed.groupBy(F.col("conversation").alias("owner"), F.col("stretch").alias("part")).agg(F.sum("n").alias("n"), F.max("final").alias("final"))
+    stretches = stretches.withColumn("offset", F.coalesce(F.sum("n").over(over), F.lit(0)))
+    stretches = stretches.withColumn("before_all", F.max(F.col("offset") + F.col("final")).over(over)).select("owner", "part", "offset", "before_all")
+    placed = placed.join(stretches, F.col("conversation").eqNullSafe(F.col("owner")) & (F.col("stretch") == F.col("part")))
+    lead = F.coalesce(F.col("offset") + F.col("text_before"), F.col("before_all"))
+    # Each line with the one before it in its piece, so that no row carries more than its line.
+    linked = F.transform("found", lambda x, at: F.struct(x["k"].alias("k"), x["text"].alias("text"), F.get("found", at - 1)["k"].alias("before")))
+    lines = placed.select("conversation", "position", *(["role"] if role else []), (F.col("offset") + F.col("start")).alias("start"), lead.alias("lead"), F.explode(linked).alias("line"))
+    number = F.col("start") + F.col("line.k")
+    previous = F.coalesce(F.col("start") + F.col("line.before"), F.col("lead"))
+    return lines.select(
+        "conversation", F.floor(number / SEGMENT).cast("long").alias("segment"), number.alias("number"), previous.alias("before"), "position",
+        F.col("line.text").alias("text"), F.col("line.before").isNull().alias("opens"), *(["role"] if role else []),
     )
-    return rows.repartition("conversation", "segment").sortWithinPartitions("conversation", "segment", "position", "text")
+
+
+def _dealt(lines: DataFrame, *also: str) -> DataFrame:
+    return lines.repartition("conversation", "segment").sortWithinPartitions("conversation", "segment", *also, "number")
+
+
+def _gap(row: dict) -> int:
+    """Blank lines right before a line; those before the first of all do not count."""
+    return 0 if row["before"] is None else row["number"] - row["before"] - 1
+
+
+def _symbols(rows: list[dict]) -> list[int]:
+    return [symbol(row["text"], _gap(row) > 0) for row in rows]
 
 
 def train(messages: DataFrame, *, conversation: str = "conv_id", position: str = "turn", text: str = "text", role: str = "role") -> RoleModel:
     """Counts over all messages whose role is given: of moves within segments and of what lines show.
 
-    A message is a turn of its role. Messages of other or null roles are passed over. Without
+    A message is a turn of its role, its blank lines aside. Messages of other or null roles are passed over. Without
     any the model is even.
     """
-    rows = _dealt(messages.where(F.col(role).isin(*ROLES)), conversation, position, text, role)
+    rows = _dealt(_lines(messages.where(F.col(role).isin(*ROLES)), conversation, position, text, role))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         moves, shows = np.zeros((STATES + 1, STATES), np.int64), np.zeros((STATES, SYMBOLS), np.int64)
-        for (_, segment), group in _groups(batches, "conversation", "segment"):
-            before = START if segment <= 0 else None
-            for row in group:
-                for k, (_, shown) in enumerate(_lines(row["text"])):
-                    state = 2 * ROLES.index(row["role"]) + (k > 0)
-                    if before is not None:
-                        moves[before, state] += 1
-                    shows[state, shown] += 1
-                    before = state
+        for _, group in _groups(batches, "conversation", "segment"):
+            before = START if group[0]["before"] is None else None
+            for row, shown in zip(group, _symbols(group)):
+                state = 2 * ROLES.index(row["role"]) + (not row["opens"])
+                if before is not None:
+                    moves[before, state] += 1
+                shows[state, shown] += 1
+                before = state
         flat = np.concatenate([moves.ravel(), shows.ravel()])
         used = np.flatnonzero(flat)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(flat[used])], ["place", "n"])
@@ -198,8 +234,8 @@ def train(messages: DataFrame, *, conversation: str = "conv_id", position: str =
     return RoleModel.from_counts(counts[:cut].reshape(STATES + 1, STATES), counts[cut:].reshape(STATES, SYMBOLS))
 
 
-def render(role: str, text: str, begins: bool, ends: bool) -> str:
-    return (f"<|im_start|>{role}\n" if begins else "\n") + text + ("<|im_end|>\n" if ends else "")
+def render(role: str, text: str, begins: bool, ends: bool, glue: str = "\n") -> str:
+    return (f"<|im_start|>{role}\n" if begins else glue) + text + ("<|im_end|>\n" if ends else "")
 
 
 def parse(
@@ -207,24 +243,27 @@ def parse(
 ) -> DataFrame:
     """Turns of transcripts whose roles are not given, in canonical form.
 
-    Input: pieces of transcripts in the order of ``position``. Returns a row for each turn, or
+    Input: transcripts as whole texts or in pieces (messages, pages, lines) in the order of
+    ``position``; pieces are joined by line ends and need not begin or end with a turn. Returns a row for each turn, or
     for each part of one that goes on in the next segment: the conversation, ``segment``,
     ``part`` (order in it), ``position`` (of its first piece), ``role``, ``begins``, ``ends``, ``lines``,
-    ``content`` without the marker, and ``rendered``, which put together in order are the
-    canonical transcript. Null texts are empty lines; null positions come first, null
+    ``content`` without the marker but with the blank lines inside the turn, and ``rendered``, which put together in order are the
+    canonical transcript. Null texts are empty lines; conversations without any text have no turns; null positions come first, null
     conversations are one conversation; pieces with the same position go by text. ``stored``
     may write a small table that is used twice.
     """
-    dealt = _dealt(messages, conversation, position, text)
+    lines = _lines(messages, conversation, position, text)
+    dealt = _dealt(lines)
     owner_type, position_type = (to_arrow_type(dealt.schema[c].dataType) for c in ("conversation", "position"))
     kind, place = dealt.schema["conversation"].dataType.simpleString(), dealt.schema["position"].dataType.simpleString()
 
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["conversation", "segment", "passage", "opens"]
+        names = ["conversation", "segment", "passage", "opens", "bare"]
         for batch in _batches_of(_groups(batches, "conversation", "segment")):
-            tables = [model.passage([s for row in rows for _, s in _lines(row["text"])]) for _, rows in batch]
+            tables = [model.passage(_symbols(rows)) for _, rows in batch]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k, _ in batch], owner_type), pa.array([k[1] for k, _ in batch], pa.int64()), pa.array([t.astype("<f8").tobytes() for t, _ in tables], pa.binary()), pa.array([f.tobytes() for _, f in tables], pa.binary())], names
+                [pa.array([k[0] for k, _ in batch], owner_type), pa.array([k[1] for k, _ in batch], pa.int64()), pa.array([t.astype("<f8").tobytes() for t, _ in tables], pa.binary()), pa.array([f.tobytes() for _, f in tables], pa.binary()),
+                 pa.array([split_marker(rows[-1]["text"])[1] == "" for _, rows in batch])], names
             )
 
     def chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,16 +272,18 @@ def parse(
             before, n = [START, *ends[:-1]], len(rows)
             opens = [np.frombuffer(r["opens"], bool).reshape(STATES + 1, STATES)[b, e] for r, b, e in zip(rows, before, ends)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([owner] * n, owner_type), pa.array([r["segment"] for r in rows], pa.int64()), pa.array(before, pa.int32()), pa.array(ends, pa.int32()), pa.array([*map(bool, opens[1:]), True])],
-                ["conversation", "segment", "before", "last", "ends"],
+                [pa.array([owner] * n, owner_type), pa.array([r["segment"] for r in rows], pa.int64()), pa.array(before, pa.int32()), pa.array(ends, pa.int32()), pa.array([*map(bool, opens[1:]), True]), pa.array([False, *[r["bare"] for r in rows[:-1]]])],
+                ["conversation", "segment", "entered", "last", "ends", "bare"],
             )
 
-    tables = dealt.mapInArrow(passages, f"conversation {kind}, segment long, passage binary, opens binary")
-    borders = tables.repartition("conversation").sortWithinPartitions("conversation", "segment").mapInArrow(chained, f"conversation {kind}, segment long, before int, last int, ends boolean")
+    tables = dealt.mapInArrow(passages, f"conversation {kind}, segment long, passage binary, opens binary, bare boolean")
+    borders = tables.repartition("conversation").sortWithinPartitions("conversation", "segment").mapInArrow(chained, f"conversation {kind}, segment long, entered int, last int, ends boolean, bare boolean")
     borders = stored(borders, "borders")
-    side = dealt.select("conversation", "segment", F.lit(1).alias("kind"), "position", "text", *[F.lit(None).cast(t).alias(c) for c, t in (("before", "int"), ("last", "int"), ("ends", "boolean"))])
-    head = borders.select("conversation", "segment", F.lit(0).alias("kind"), F.lit(None).cast(place).alias("position"), F.lit(None).cast("string").alias("text"), "before", "last", "ends")
-    both = head.union(side).repartition("conversation", "segment").sortWithinPartitions("conversation", "segment", "kind", "position", "text")
+    given, known = (("number", "long"), ("before", "long"), ("position", place), ("text", "string")), (("entered", "int"), ("last", "int"), ("ends", "boolean"), ("bare", "boolean"))
+    none = lambda columns: [F.lit(None).cast(t).alias(c) for c, t in columns]
+    side = lines.select("conversation", "segment", F.lit(1).alias("kind"), *[c for c, _ in given], *none(known))
+    head = borders.select("conversation", "segment", F.lit(0).alias("kind"), *none(given), *[c for c, _ in known])
+    both = _dealt(head.union(side), "kind")
 
     def turns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["conversation", "segment", "part", "position", "role", "begins", "ends", "lines", "content", "rendered"]
@@ -251,19 +292,22 @@ def parse(
             out = []
             for (owner, segment), rows in group:
                 border, rows = rows[0], rows[1:]
-                lines = [(line, s, row["position"]) for row in rows for line, s in _lines(row["text"])]
-                states = model.trace([s for _, s, _ in lines], border["before"], border["last"])
+                states = model.trace(_symbols(rows), border["entered"], border["last"])
                 first = [k for k, state in enumerate(states) if k == 0 or state % 2 == 0]
                 for part, (start, end) in enumerate(zip(first, [*first[1:], len(states)])):
                     role, begins = ROLES[states[start] // 2], states[start] % 2 == 0
-                    own = [line for line, _, _ in lines[start:end]]
+                    own = [row["text"] for row in rows[start:end]]
+                    gaps = [_gap(row) for row in rows[start:end]]
                     if begins:
                         own[0] = split_marker(own[0])[1]
-                        own = own[1:] if len(own) > 1 and not own[0] else own
+                        # A marker on a line of its own is no line of the content.
+                        drop = len(own) > 1 and not own[0]
+                        own, gaps = own[drop:], gaps[drop:]
                     # What goes on in the next segment ends there.
                     ends = end < len(states) or border["ends"]
-                    content = "\n".join(own)
-                    out.append((owner, segment, part, lines[start][2], role, begins, ends, end - start, content, render(role, content, begins, ends)))
+                    content = own[0] + "".join("\n" * (gap + 1) + line for gap, line in zip(gaps[1:], own[1:]))
+                    glue = "" if border["bare"] and border["entered"] % 2 == 0 else "\n" * (gaps[0] + 1)
+                    out.append((owner, segment, part, rows[start]["position"], role, begins, ends, end - start, content, render(role, content, begins, ends, glue)))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(kinds)], names)
 
     return both.mapInArrow(turns, f"conversation {kind}, segment long, part int, position {place}, role string, begins boolean, ends boolean, lines int, content string, rendered string").withColumnRenamed("conversation", conversation)

@@ -66,3 +66,27 @@ def test_empty_table_and_no_roles(spark, model):
 def test_markers():
     for line, role, rest in (("User: hi", "user", "hi"), ("### Response: x", "assistant", "x"), ("**Human:** y", "user", "y"), ("<|assistant|> z", None, "<|assistant|> z"), ("Note: no", None, "Note: no"), ("[SYSTEM]: a", "system", "a"), ("A: b", "assistant", "b"), ("### User", "user", "")):
         assert transcript.split_marker(line) == (role, rest), line
+
+
+def test_one_text_of_many_turns(spark, model, monkeypatch):
+    """Borders of pieces tell nothing: markers alone do, wherever they stand."""
+    text = "\n\nUser: what is it?\nsay more\n\n\nplease\n\nAssistant:\n\nwell\nit is so\nUser: thanks\nAssistant: welcome\n \n"
+    want = [("user", "what is it?\nsay more\n\n\nplease"), ("assistant", "well\nit is so"), ("user", "thanks"), ("assistant", "welcome")]
+    whole = spark.createDataFrame([(1, 0, text)], "conv_id long, turn long, text string")
+    lines = spark.createDataFrame([(1, k, x) for k, x in enumerate(text.split("\n"))], whole.schema)
+    for size in (256, 1, 3):
+        monkeypatch.setattr(transcript, "SEGMENT", size)
+        monkeypatch.setattr(transcript, "PIECES", size)
+        for frame in (whole, lines):
+            turns = transcript.parse(frame, model).collect()
+            assert canonical(turns) == "".join(f"<|im_start|>{r}\n{c}<|im_end|>\n" for r, c in want)
+
+
+def test_query_learns_from_other_conversations(spark, monkeypatch):
+    train, parse, learned, parsed = transcript.train, transcript.parse, [], []
+    ids = lambda rows: {r.conv_id for r in rows.select("conv_id").distinct().collect()}
+    monkeypatch.setattr(transcript, "train", lambda rows: (learned.append(ids(rows)), train(rows))[1])
+    monkeypatch.setattr(transcript, "parse", lambda rows, model, **k: (parsed.append(ids(rows)), parse(rows, model, **k))[1])
+    found = queries.op3_transcripts(spark, SF)
+    assert all(not a & b for a, b in zip(learned, parsed))
+    assert set.union(*parsed) == ids(spark.read.parquet(f"{SF}/conversations.parquet")) == ids(found)
