@@ -4,8 +4,9 @@ Voters are lexicon entries (words and stems that occur in toxic texts, chosen on
 another so that each explains texts no earlier one does) and patterns over them and over the
 text's form. A generative label model holds, for every voter, how often it fires for either
 class, and for pairs of voters how they go together within a class; voters that say the same
-share their say. Given ratings are one more voter. Its posterior labels train a linear
-classifier over words and stems, which alone scores texts.
+share their say. It is fitted on the votes over all texts that are not held out, rated or
+not; given ratings are one more voter there. What the voters say of a sample of texts trains
+a linear classifier over words and stems, which alone scores texts.
 """
 
 from __future__ import annotations
@@ -20,16 +21,23 @@ from pyspark.sql import functions as F
 
 from .features import FeatureTable, Rows, feature_sets, known, screened, sigmoid
 from .sampling import first_rows, held_out
+from .wordhash import slices
 
-# Rows that a model is fitted on, at most: rated toxic, rated clean, not rated.
+# Rows that the linear model is fitted on, at most: rated toxic, rated clean, not rated.
 TOXIC_ROWS, CLEAN_ROWS, UNRATED_ROWS = 2000, 3000, 500
 ENTRIES = 96
 FEATURES = 4096
 THRESHOLD = 0.3
+# Rows that must have a lexicon entry or feature.
+HITS = 2
 # How often a given rating is taken to be right.
 RATING_ACCURACY = 0.97
 # Correlation within a class above which two voters share their say.
 CORRELATED = 0.2
+# Voters beside the lexicon entries.
+PATTERNS = 6
+# Combinations of votes that are summed together.
+BLOCK = 1 << 14
 
 
 def mine_entries(sets: list[np.ndarray], toxic: np.ndarray, most: int = ENTRIES) -> np.ndarray:
@@ -40,11 +48,10 @@ def mine_entries(sets: list[np.ndarray], toxic: np.ndarray, most: int = ENTRIES)
     cuts = np.searchsorted(columns[order], np.arange(len(names) + 1))
     clean = np.bincount(columns, weights=(toxic == 0)[rows], minlength=len(names))
     open_rows = toxic == 1
-    least = 2 if open_rows.sum() < 200 else 4
     chosen: list[int] = []
     hits = np.bincount(columns, weights=open_rows[rows], minlength=len(names))
     while len(chosen) < most:
-        score = np.where(hits >= least, hits - 4 * clean, -np.inf)
+        score = np.where(hits >= HITS, hits - 4 * clean, -np.inf)
         best = int(np.argmax(score)) if len(score) else -1
         if best < 0 or not score[best] > 0:
             break
@@ -74,41 +81,84 @@ class LabelModel:
         belief = np.where(rating == 1, RATING_ACCURACY, np.where(rating == 0, 1 - RATING_ACCURACY, prior))
         model = cls(np.full((2, votes.shape[1]), 0.5), np.ones(votes.shape[1]), prior)
         for _ in range(rounds):
-            for y, of in ((0, weight * (1 - belief)), (1, weight * belief)):
-                model.fires[y] = (of @ votes + 0.02) / (of.sum() + 1.0)
-            model.share = model._shares(votes, belief, weight)
+            total, fired, both = cls._moments(votes, belief, weight)
+            model.fires = (fired + 0.02) / (total[:, None] + 1.0)
+            model.share = model._shares(total, fired, both)
             belief = model.posterior(votes, rating)
         return model
 
-    def _shares(self, votes: np.ndarray, belief: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    @staticmethod
+    def _moments(votes: np.ndarray, belief: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of either class: its weight, that of each voter's votes and that of votes of two together."""
+        k = votes.shape[1]
+        total, fired, both = np.zeros(2), np.zeros((2, k)), np.zeros((2, k, k))
+        for at in range(0, len(votes), BLOCK):
+            own, part = votes[at:at + BLOCK].astype(np.float64), slice(at, at + BLOCK)
+            for y, of in ((0, weight[part] * (1 - belief[part])), (1, weight[part] * belief[part])):
+                total[y] += of.sum()
+                fired[y] += of @ own
+                both[y] += (own * of[:, None]).T @ own
+        return total, fired, both
+
+    def _shares(self, total: np.ndarray, fired: np.ndarray, both: np.ndarray) -> np.ndarray:
         """One over the number of voters that say the same within a class."""
-        both = np.zeros((votes.shape[1],) * 2)
-        total = weight.sum()
-        for y, of in ((0, weight * (1 - belief)), (1, weight * belief)):
-            rest = votes - self.fires[y]
-            spread = np.sqrt(np.maximum((of[:, None] * rest ** 2).sum(axis=0), 1e-9))
-            both += (of.sum() / total) * ((rest * of[:, None]).T @ rest) / np.outer(spread, spread)
-        both = np.where(both > CORRELATED, both, 0)
-        np.fill_diagonal(both, 1)
-        return 1 / both.sum(axis=1)
+        alike = np.zeros(both.shape[1:])
+        for y in (0, 1):
+            crossed = np.outer(self.fires[y], fired[y])
+            rest = both[y] - crossed - crossed.T + total[y] * np.outer(self.fires[y], self.fires[y])
+            spread = np.sqrt(np.maximum(np.diag(rest), 1e-9))
+            alike += (total[y] / max(total.sum(), 1e-9)) * rest / np.outer(spread, spread)
+        alike = np.where(alike > CORRELATED, alike, 0)
+        np.fill_diagonal(alike, 1)
+        return 1 / alike.sum(axis=1)
 
     def posterior(self, votes: np.ndarray, rating: np.ndarray) -> np.ndarray:
         fired = np.log(self.fires[1] / self.fires[0]) * self.share
         silent = np.log((1 - self.fires[1]) / (1 - self.fires[0])) * self.share
-        odds = np.log(self.prior / (1 - self.prior)) + votes @ fired + (1 - votes) @ silent
+        odds = np.full(len(votes), np.log(self.prior / (1 - self.prior)) + silent.sum())
+        for at in range(0, len(votes), BLOCK):
+            odds[at:at + BLOCK] += votes[at:at + BLOCK].astype(np.float64) @ (fired - silent)
         say = np.log(RATING_ACCURACY / (1 - RATING_ACCURACY))
-        odds += np.where(rating == 1, say, np.where(rating == 0, -say, 0)) * 2
+        odds += np.where(rating == 1, say, np.where(rating == 0, -say, 0))
         return sigmoid(odds)
 
 
-def cast_votes(sets: list[np.ndarray], form: np.ndarray, entries: np.ndarray) -> np.ndarray:
+def with_patterns(votes: np.ndarray, form: np.ndarray) -> np.ndarray:
     """Entry by entry, then patterns: no entry, several entries, and the text's form."""
-    votes = np.zeros((len(sets), len(entries)))
-    for row, places in enumerate(known(sets, entries)):
-        votes[row, places] = 1
     many = votes.sum(axis=1)
     patterns = [many == 0, many >= 2, many >= 4, form[:, 0] > 0.3, form[:, 1] > 0.02, form[:, 2] > 0.1]
-    return np.hstack([votes, np.stack(patterns, axis=1).astype(np.float64)])
+    return np.hstack([votes, np.stack(patterns, axis=1).astype(votes.dtype)])
+
+
+def cast_votes(sets: list[np.ndarray], form: np.ndarray, entries: np.ndarray) -> np.ndarray:
+    votes = np.zeros((len(sets), len(entries)), np.uint8)
+    for row, places in enumerate(known(sets, entries)):
+        votes[row, places] = 1
+    return with_patterns(votes, form)
+
+
+def count_votes(docs: DataFrame, rated: DataFrame, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Votes over all rows of ``docs``: the different combinations with a rating (-1 for none) and how many rows have each.
+
+    Rows leave Python as an id and bits, so ratings are joined to these and not to texts.
+    """
+    table = FeatureTable(entries, np.ones(len(entries)))
+    width = len(entries) + PATTERNS
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def cast(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
+            votes = np.zeros((batch.num_rows, len(entries)), np.uint8)
+            votes[table.hits(batch.column("text"))] = 1
+            form = np.stack([batch.column(c).to_numpy() for c in _FORM], axis=1)
+            bits = np.packbits(with_patterns(votes, form), axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([b.tobytes() for b in bits], pa.binary())], ["doc_id", "votes"])
+
+    texts = docs.select("doc_id", F.lower(_text("text")).alias("text"), *_form(_text("text")))
+    cast_rows = texts.mapInArrow(cast, f"doc_id {kind}, votes binary").join(rated, "doc_id", "left")
+    found = cast_rows.groupBy("votes", F.coalesce("rating", F.lit(-1)).alias("rating")).agg(F.count("*").alias("n")).orderBy("votes", "rating").toArrow()
+    bits = np.frombuffer(b"".join(found.column("votes").to_pylist()), np.uint8).reshape(found.num_rows, -1)
+    return np.unpackbits(bits, axis=1, count=width), found.column("rating").to_numpy(), found.column("n").to_numpy().astype(np.float64)
 
 
 def fit_linear(sets: list[np.ndarray], target: np.ndarray, weight: np.ndarray, features: np.ndarray, rounds: int = 300) -> tuple[np.ndarray, float]:
@@ -153,8 +203,10 @@ def _form(text) -> list:
 
 
 def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic") -> ToxicityModel:
-    """Fit on at most TOXIC_ROWS + CLEAN_ROWS rated and UNRATED_ROWS other rows that are not held out.
+    """Fit the label model on all rows that are not held out, the others on a sample of them.
 
+    Entries are mined from at most TOXIC_ROWS + CLEAN_ROWS rated rows; the linear model also
+    has UNRATED_ROWS others. The driver holds a row for each different combination of votes.
     ``docs`` has ``doc_id, text``; ``labels`` has ``doc_id`` and the 0/1 ``label``. Null ids,
     labels and texts teach nothing; of labels that repeat the largest counts. Without rated
     rows of both classes every score is the share of toxic ones (0 without any).
@@ -188,8 +240,10 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic") -> Toxici
     rated_rows = np.flatnonzero(rating >= 0)
     entries = mine_entries([sets[k] for k in rated_rows], rating[rated_rows])
     votes = cast_votes(sets, form, entries)
-    belief = LabelModel.fit(votes, rating, weight).posterior(votes, rating)
-    features = screened(sets, belief, np.ones(len(sets)), FEATURES)
+    model = LabelModel.fit(*count_votes(own.where(~held_out(F.col("doc_id"))), rated, entries))
+    # Targets are what the voters say; the ratings had their say in the fit.
+    belief = model.posterior(votes, np.full(len(votes), -1))
+    features = screened(sets, belief, np.ones(len(sets)), FEATURES, HITS)
     features = np.union1d(features, entries)
     return ToxicityModel(*_fitted(sets, belief, weight, features))
 

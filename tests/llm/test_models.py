@@ -83,6 +83,34 @@ def test_label_model_discounts_voters_that_say_the_same():
     assert auc(model.posterior(votes, np.full(4000, -1)), truth) > 0.93
 
 
+def test_label_model_sees_every_row(spark, monkeypatch):
+    """Not only a sample of those without a rating, and given ratings have no say in the targets."""
+    monkeypatch.setattr(toxicity, "UNRATED_ROWS", 5)
+    fit, seen = toxicity.LabelModel.fit, []
+    monkeypatch.setattr(toxicity.LabelModel, "fit", lambda votes, rating, weight: (seen.append((votes, rating, weight)), fit(votes, rating, weight))[1])
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    toxicity.train(docs, labels)
+    (votes, rating, weight), = seen
+    own = [i for i, r in column("documents", "doc_id").items() if r["text"] is not None and not out(i)]
+    rated = {i for i, r in column("labels", "doc_id").items() if r["toxic"] is not None}
+    assert weight.sum() == len(own) and weight[rating < 0].sum() == len(set(own) - rated) > 5
+    assert len(np.unique(np.column_stack([votes, rating]), axis=0)) == len(votes)
+
+
+def test_a_rating_is_one_vote():
+    model = toxicity.LabelModel(np.array([[0.1], [0.6]]), np.ones(1), 0.1)
+    odds = [np.log(p / (1 - p)) for p in model.posterior(np.ones((3, 1)), np.array([-1, 0, 1]))]
+    say = np.log(toxicity.RATING_ACCURACY / (1 - toxicity.RATING_ACCURACY))
+    assert odds == pytest.approx([odds[0], odds[0] - say, odds[0] + say])
+
+
+def test_rare_toxic_words_are_entries_at_any_size():
+    """Three hundred toxic texts share words by twos only."""
+    sets = [np.array([1 + k // 2], np.uint64) for k in range(300)] + [np.array([10_000 + k], np.uint64) for k in range(300)]
+    entries = toxicity.mine_entries(sets, np.repeat([1, 0], 300), most=400)
+    assert entries.tolist() == list(range(1, 151))
+
+
 def test_quality(spark, edge_docs, no_docs):
     rows = {r.doc_id: r for r in queries.op8_ordinal(spark, SF).collect()}
     labels = column("labels", "doc_id")
