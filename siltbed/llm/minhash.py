@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
@@ -38,6 +38,9 @@ SKETCH_SIMILARITY = 0.66
 BLOCK = 512
 
 _STEP = np.uint64(0xD1B54A32D192ED03)
+# Beyond ASCII: what is neither letter, mark nor digit, and letters of scripts that set no blanks between words.
+_BETWEEN = r"[^\x00-\x7F\p{L}\p{M}\p{N}]+"
+_UNSPACED = "[" + "".join(rf"\p{{Is{s}}}" for s in ("Han", "Hiragana", "Katakana", "Bopomofo", "Yi", "Thai", "Lao", "Khmer", "Myanmar", "Tai_Le", "New_Tai_Lue", "Tai_Tham", "Tai_Viet", "Javanese", "Balinese")) + r"]\p{M}*"
 
 
 def weighted_set(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -237,16 +240,22 @@ def _settled(threshold: float):
     return run
 
 
+def in_words(text: Column) -> Column:
+    """Lower-case text in which every byte beyond ASCII is part of a word, and unspaced letters are words."""
+    return F.regexp_replace(F.regexp_replace(F.lower(text), _BETWEEN, " "), _UNSPACED, " $0 ")
+
+
 def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """One row per row: id, ``class_id`` (smallest id of its class), ``class_size``, ``kept``.
 
     Classes are the connected components of pairs whose probability Jaccard similarity is at
-    least ``similarity``; words are runs of letters and digits in lower case. A text of less
+    least ``similarity``; words are runs of letters, marks and digits in lower case, and single letters in
+    scripts without blanks between words (Chinese, Japanese, Thai and others). A text of less
     than five words is one shingle; a null text or one without words is a class of its own.
     ``kept`` holds for rows with the class's id, so for all rows that repeat that id. In a
     class a null id is named only where all are null. Empty tables give no rows.
     """
-    text = F.lower(F.coalesce(F.col(text_column).cast("string"), F.lit("")))
+    text = in_words(F.coalesce(F.col(text_column).cast("string"), F.lit("")))
     rows = docs.select(F.col(id_column).alias("id"), text.alias("text"), F.unhex(F.md5(text)).alias("content"))
     kind = rows.schema["id"].dataType.simpleString()
     signed = stored(rows.mapInArrow(_sign, f"id {kind}, content binary, node binary, bands array<bigint>, sketch binary"), "signed")

@@ -1,4 +1,5 @@
 import re
+import unicodedata
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -107,3 +108,31 @@ def test_equals_brute_force(spark, monkeypatch):
             text[at] = f"edit{copy}"
         rows.append((10_000 + copy, " ".join(text)))
     assert result(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)) == classes(rows)
+
+
+def unicode_words(text):
+    """Runs of letters, marks and digits; Han, kana and Thai letters (with their marks) by themselves."""
+    found, run = [], ""
+    for c in text.lower():
+        inside, apart = unicodedata.category(c)[0] in "LMN", re.match("[\u3041-\u30fa\u4e00-\u9fff\u0e01-\u0e4f]", c) and unicodedata.category(c)[0] == "L"
+        if run and (apart or not inside or (len(run) and re.match("[\u3041-\u30fa\u4e00-\u9fff\u0e01-\u0e4f]", run[0]) and unicodedata.category(c)[0] != "M")):
+            found.append(run)
+            run = ""
+        if inside:
+            run += c
+    return found + [run] * bool(run)
+
+
+def test_words_by_unicode_classes(spark, monkeypatch):
+    """Typographic marks and blanks part words, and scripts without blanks have words."""
+    rnd = np.random.default_rng(7)
+    plain = " ".join(f"w{k}" for k in range(60))
+    marked = plain.replace("w10 ", "\u201cw10\u201d\u00a0").replace("w30 ", "w30\u2014").replace("w45 ", "w45\u3000").replace("w20 ", "w20\u2026 ")
+    pages = ["".join(chr(c) for c in rnd.integers(low, low + size, 200)) for low, size in ((0x4E00, 2000), (0x3042, 60), (0x0E01, 46))]
+    rows = [(1, plain), (2, marked)]
+    for k, page in enumerate(pages):
+        rows += [(10 + 10 * k, page), (11 + 10 * k, page[:100] + "\u3002" + page[100:150] + page[151:]), (12 + 10 * k, page[::-1])]
+    monkeypatch.setitem(globals(), "words", lambda text: unicode_words(text or ""))
+    found = result(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert found == classes(rows)
+    assert {i: c for i, c, _ in found} == {1: 1, 2: 1, **{10 * k + j: 10 * k + (j if j == 2 else 0) for k in (1, 2, 3) for j in (0, 1, 2)}}
