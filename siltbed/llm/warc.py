@@ -17,13 +17,20 @@ from pyspark.sql import functions as F
 VERSION = "WARC/1.1"
 # Elements whose content is not text, and those that begin a line of their own.
 HIDDEN = ("script", "style", "noscript", "template", "textarea", "select", "svg", "iframe", "head")
+# Those of raw text, which last to the end of the page where they are not closed, and the others.
+RAW = ("script", "style", "textarea")
+OTHER = tuple(name for name in HIDDEN if name not in RAW)
 LINES = (
     "address article aside blockquote br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " header hr li main nav ol p pre section table tbody tfoot thead title tr ul"
 ).split()
 
 _COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>", re.S)
-_HIDDEN = re.compile(rf"<({'|'.join(HIDDEN)})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+_REST = r"\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
+_OPENING = {names: re.compile(rf"<({'|'.join(names)}){_REST}", re.I) for names in (RAW, OTHER)}
+_END = {name: re.compile(rf"</{name}\s*>" + (r"|(?=<body\b)" if name == "head" else ""), re.I) for name in HIDDEN}
+# What a head without an end consists of.
+_IN_HEAD = re.compile(rf"(?:\s+|<title{_REST}.*?</title\s*>|<(?:meta|link|base){_REST})*", re.S | re.I)
 _TAG = re.compile(r"</?([A-Za-z][A-Za-z0-9:-]*)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>?")
 _ATTRIBUTE = re.compile(r"""\b(href|src|lang|charset|content|http-equiv)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 _ANCHOR = re.compile(r"<a\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>", re.I)
@@ -84,9 +91,29 @@ def _attributes(tag: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in reversed(list(_ATTRIBUTE.finditer(tag)))}
 
 
+def _without(page: str, names: tuple[str, ...]) -> str:
+    """The page without these elements; of one that is empty or never closed only the tag goes, except for raw text."""
+    kept, at, open_names = [], 0, set()
+    while m := _OPENING[names].search(page, at):
+        name = m[1].lower()
+        kept += page[at:m.start()], "\n"
+        at = m.end()
+        if m[0].endswith("/>"):
+            continue
+        end = None if name in open_names else _END[name].search(page, at)
+        if end:
+            at = end.end()
+        elif name in RAW:
+            at = len(page)
+        else:
+            open_names.add(name)
+            at = _IN_HEAD.match(page, at).end() if name == "head" else at
+    return "".join([*kept, page[at:]])
+
+
 def plain_text(page: str) -> str:
     """The text of a page: no hidden elements, a line for each block, single blanks, no empty lines."""
-    page = _HIDDEN.sub("\n", _COMMENT.sub("", page))
+    page = _without(_without(_COMMENT.sub("", page), RAW), OTHER)
     page = _TAG.sub(lambda m: "\n" if (name := m[1].lower()) in _LINE_SET else " " if name in ("td", "th") else "", page)
     lines = (_BLANKS.sub(" ", line).strip() for line in html.unescape(page).split("\n"))
     return "\n".join(line for line in lines if line)

@@ -90,3 +90,15 @@ def test_broken_records():
     for bad in (b"", b"WARC/1.1\r\nContent-Length: 5\r\n\r\nab", b"WARC/1.1\r\n\r\n", b"x\r\n\r\n"):
         with pytest.raises(ValueError):
             warc.parse_record(bad)
+
+
+def test_hidden_elements_without_an_end():
+    for page, text in (
+        ("<html><head><title>x</title><body><p>hello world</p></body></html>", "hello world"),
+        ("<html><head><meta charset=utf-8><title>x</title><p>hello world", "hello world"),
+        ("<head><script>var a = '<body>';</script><title>x</title></head><body>hello world", "hello world"),
+        ("<body><svg width=1/><p>hello world", "hello world"), ("<body><svg width=1><p>hello world", "hello world"),
+        ("<svg><text>no</text></svg>hello<svg/> world<iframe src='x'>", "hello\nworld"), ("hello<noscript>world<select>", "hello\nworld"),
+        ("hello world<script>var a = 1", "hello world"), ("hello world<style>p {}", "hello world"), ("hello world<textarea>no", "hello world"),
+    ):
+        assert warc.plain_text(page) == text, page
