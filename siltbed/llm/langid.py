@@ -26,8 +26,6 @@ SMOOTHING = 0.05
 ROUNDS = 8
 # Rounds with all languages, which only put them in order.
 ORDER_ROUNDS = 3
-# Languages of a text at most; texts of more keep the likeliest.
-LANGUAGES_OF_TEXT = 4
 # Penalty of a further language, in units of half the logarithm of the number of words.
 PENALTY = 2.0
 # Words whose likelihoods are held together; a longer text is taken by itself.
@@ -90,7 +88,7 @@ def best_mixture(likelihood: np.ndarray, words: np.ndarray, penalty: float = PEN
     if languages == 1 or not len(going):
         return share, size
     order = None
-    for k in range(2, min(languages, LANGUAGES_OF_TEXT) + 1):
+    for k in range(2, languages + 1):
         inside = np.zeros(n, bool)
         inside[going] = True
         own = np.flatnonzero(np.repeat(inside, words))

@@ -56,6 +56,15 @@ def test_mixture_of_two_languages():
     assert abs(share[0, 0] - (likelihood[:, 0] == -5).mean()) < 0.02
 
 
+def test_mixture_of_all_languages():
+    rnd = np.random.default_rng(3)
+    spoken = rnd.permutation(np.repeat(np.arange(7), 200))
+    likelihood = np.full((1400, 9), -20.0, np.float32)
+    likelihood[np.arange(1400), spoken] = -5
+    share, size = langid.best_mixture(likelihood, np.array([1400]))
+    assert size.tolist() == [7] and share[0] == pytest.approx([1 / 7] * 7 + [0, 0], abs=1e-3)
+
+
 def test_toxicity(spark, edge_docs, no_docs):
     rows = {r.doc_id: r for r in queries.op6_toxicity(spark, SF).collect()}
     labels = column("labels", "doc_id")
