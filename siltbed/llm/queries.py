@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, minhash, ordinal, packing, toxicity, transcript, trie, vafile, warc
+from . import bpe, collocation, counts, langid, minhash, ordinal, packing, toxicity, transcript, trie, vafile, warc, whiten
 from .shared import stored
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,14 +99,67 @@ def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of two to five words of each language by their weakest cut."""
+    return collocation.phrases(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the eight leading components of all, whitened."""
+    return whiten.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every text."""
+    return counts.token_counts(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_warc, op2_packing, op3_transcripts, op4_langid, op5_trie, op6_toxicity, op7_vafile, op8_ordinal, op9_bpe, op10_probminhash,
+        op11_collocations, op12_whitening, op13_token_counts,
     )
 }
 
 ORACLES: dict[str, str] = {
+    "op11_collocations": f"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                unnest(regexp_split_to_array(translate(coalesce(text, ''), '{trie.UPPER}', '{trie.LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+            FROM documents
+        ), lists AS (
+            SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS w FROM pieces
+        ), spread AS (
+            SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+            FROM lists, (VALUES (1), (2), (3), (4), (5)) AS sizes(k)
+        ), counted AS (
+            SELECT lang, k, phrase, count(*) AS a FROM spread GROUP BY ALL
+        ), totals AS (
+            SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM counted WHERE k = 1 GROUP BY lang
+        ), candidates AS (
+            SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM counted WHERE k > 1 AND a >= 100
+        ), parts AS (
+            SELECT lang, a, size, unnest(list_transform(range(1, k - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+            FROM candidates, (VALUES (2), (3), (4)) AS sizes(size) WHERE size < k
+        ), held AS (
+            SELECT lang, phrase, max(a) AS most FROM parts GROUP BY ALL
+        ), kept AS (
+            SELECT c.* FROM candidates c LEFT JOIN held h USING (lang, phrase) WHERE h.most IS NULL OR 100 * h.most < 100 * c.a
+        ), cuts AS (
+            SELECT lang, k, phrase, a, w, unnest(range(1, k)) AS cut FROM kept
+        ), scored AS (
+            SELECT c.lang, c.phrase, c.a, t.n, c.cut, x.a AS l, y.a AS r,
+                CAST(1000::HUGEINT * c.a * t.n // (x.a::HUGEINT * y.a) AS BIGINT) AS score
+            FROM cuts c JOIN totals t USING (lang)
+            JOIN counted x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.cut], ' ')
+            JOIN counted y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.cut + 1:c.k], ' ')
+        ), weakest AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM weakest QUALIFY rank <= 2000
+    """,
     "op5_trie": f"""
         WITH folded AS (
             SELECT doc_id, translate(coalesce(text, ''), '{trie.UPPER}', '{trie.LOWER}') AS content FROM documents

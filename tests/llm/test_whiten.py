@@ -1,0 +1,102 @@
+import math
+
+import numpy as np
+import pytest
+from siltbed.llm import queries, whiten
+
+SF = "/root/testdata/sf0.001"
+
+
+def matrices():
+    rnd = np.random.default_rng(1)
+    for size in (1, 2, 3, 9, 24):
+        wide = rnd.standard_normal((size + 5, size))
+        yield "plain", wide.T @ wide / size
+        yield "equal eigenvalues", np.eye(size) * 3
+        yield "zero", np.zeros((size, size))
+        turn, _ = np.linalg.qr(rnd.standard_normal((size, size)))
+        yield "clusters", turn @ np.diag([5, 5, 2, 2, 2, 2 + 1e-9, *[1e-9] * size][:size]) @ turn.T
+        yield "large", wide.T @ wide * 1e150
+        yield "rank one", np.outer(wide[0], wide[0])
+
+
+@pytest.mark.parametrize("name, matrix", list(matrices()))
+def test_counts_and_vectors(name, matrix):
+    values = np.linalg.eigvalsh(matrix)
+    size = max(abs(values).max(), 1e-300)
+    for shift in (values.mean() + size / 7, -size, 2 * size, 0.3 * size):
+        if np.abs(values - shift).min() > 1e-9 * size:
+            assert whiten.inertia((matrix - shift * np.eye(len(matrix))) / size) == ((values > shift).sum(), 0, (values < shift).sum())
+    found, vectors = whiten.leading(matrix, 8)
+    k = min(8, len(matrix))
+    assert np.allclose(found, values[::-1][:k], rtol=1e-12, atol=1e-13 * size)
+    assert np.abs(vectors.T @ vectors - np.eye(k)).max() < 1e-12
+    assert (np.abs(matrix @ (vectors / size) - vectors * (found / size)) < 1e-12).all()
+
+
+def test_inertia_of_zero_diagonal():
+    assert whiten.inertia(np.array([[0.0, 1], [1, 0]])) == (1, 0, 1)
+    assert whiten.inertia(np.array([[0.0, 2, 0], [2, 0, 0], [0, 0, 0]])) == (1, 1, 1)
+
+
+def brute(rows, k=8):
+    """Everything by exact integers and the library's eigenvalues."""
+    own = [(i, [math.floor(1024 * float(c)) + 100_000 for c in v]) for i, v in rows]
+    n = len(own)
+    sums = [sum(column) for column in zip(*(x for _, x in own))]
+    x = np.array([[(n * c - s) / n for c, s in zip(v, sums)] for _, v in own])
+    covariance = x.T @ x / n
+    values, vectors = np.linalg.eigh(covariance)
+    values, vectors = values[::-1][:k], vectors[:, ::-1][:, :k]
+    return [(i, n, sum((n * c - s) ** 2 for c, s in zip(v, sums))) for i, v in own], x @ vectors / np.sqrt(values), values / np.trace(covariance)
+
+
+def check(found, rows, k=8):
+    facts, white, explained = brute(rows, k)
+    width = white.shape[1]
+    table = {(r.vec_id, r.component): r for r in found}
+    assert len(found) == len(table) == len(facts) * width
+    got = np.array([[table[i, c + 1].whitened for c in range(width)] for i, _, _ in facts])
+    signs = np.sign((got * white).sum(axis=0))
+    assert np.abs(got * signs - white).max() < 1e-9
+    for i, n, deviation in facts:
+        for c in range(width):
+            r = table[i, c + 1]
+            assert (r.n, r.deviation) == (n, deviation) and abs(r.explained / explained[c] - 1) < 1e-9 and r.identity_error < 1e-9
+
+
+def test_query(spark):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect() if r.embedding is not None]
+    rows = [(i, v) for i, v in rows if all(c is not None and math.isfinite(c) for c in v)]
+    found = queries.op12_whitening(spark, SF)
+    assert found.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+    check(found.collect(), rows)
+
+
+def test_edges(spark):
+    """Nulls, other lengths, repeated rows and ids, and columns with names of the result."""
+    nan, inf = float("nan"), float("inf")
+    rnd = np.random.default_rng(2)
+    usable = [(k, rnd.standard_normal(3).tolist()) for k in range(40)]
+    rows = [(*r, 1, 2.0) for r in usable] + [(50, None, 1, None), (51, [None, 1.0, 2.0], 1, 1.0), (52, [nan, 1.0, 1.0], 1, 1.0), (53, [1.0, inf, 1.0], None, 1.0), (54, [], 1, 1.0)]
+    schema = "vec_id long, embedding array<double>, n int, whitened double"
+    docs = spark.createDataFrame(rows, schema).repartition(3)
+    check(whiten.whiten(docs).collect(), usable)
+    assert whiten.whiten(docs.where("false")).collect() == []
+    # Vectors of another length have a fit of their own, and repeated rows and null ids count.
+    more = spark.createDataFrame([(60, [1.0, 5.0], 1, 1.0), (60, [1.0, 5.0], 1, 1.0), (None, [2.0, 5.0], 1, 1.0)], schema)
+    both = whiten.whiten(docs.union(more)).collect()
+    check([r for r in both if r.vec_id is not None and r.vec_id < 50], usable)
+    short = [r for r in both if r.vec_id is None or r.vec_id >= 60]
+    assert len(short) == 6 and {r.n for r in short} == {3}
+    # All agree along the second component: nothing to whiten there.
+    assert all((r.whitened is None) == (r.component == 2) for r in short)
+    one = whiten.whiten(more.limit(1)).collect()
+    assert [(r.component, r.n, r.deviation, r.whitened, r.explained, r.identity_error) for r in one] == [(1, 1, 0, None, 0.0, 0.0), (2, 1, 0, None, 0.0, 0.0)]
+
+
+def test_large_entries(spark):
+    """Entries beyond 2**53 are held there; a deviation that does not fit is null."""
+    rows = [(1, [1e300, 0.5]), (2, [-1e300, 0.25]), (3, [1e11, 0.75])]
+    found = whiten.whiten(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert len(found) == 6 and all(r.deviation is None for r in found if r.vec_id < 3)
