@@ -6,12 +6,16 @@ one-row commit record written afterwards makes the batch count: readers prune to
 batches, and a replay of a committed batch is skipped. The batches of a run commit in order,
 so its last record stands for all before it and older ones are dropped. Each table has one
 writer at a time.
+
+With merging on, column types widen too. Files stay as they are: Spark's reader widens most types
+itself, and batches whose types it does not are read under their own schema and cast.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..paths import qualify
-from ..sources.schema_store import widen
+from ..sources.schema_store import common_type, reads_natively, widen
 from ..spec import DatasetSpec
 from ..tables import one_row, read_or_empty
 from .files import drop_dir
@@ -28,6 +32,9 @@ RUN, BATCH = "_run", "_batch_id"
 COMMIT_SCHEMA = (
     "fields string, partition_by array<string>, committed_at timestamp, run string, batch bigint"
 )
+# Column types that batches were written with until a type became one that Spark's reader does
+# not make of them: the schema, the last batch of each run, and when.
+TYPES_SCHEMA = "fields string, upto map<string,bigint>, widened_at timestamp"
 
 # Fixed value: the directory name Spark gives to a null partition value.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
@@ -73,6 +80,12 @@ def _nullable(t: T.DataType) -> T.DataType:
     return t
 
 
+def changed_fields(before: T.StructType, after: T.StructType) -> list[T.StructField]:
+    """Fields of ``before`` that have another type in ``after``."""
+    known = {f.name: f.dataType for f in after.fields}
+    return [f for f in before.fields if known.get(f.name, f.dataType) != f.dataType]
+
+
 def _text(value: str) -> str:
     """``value`` as a SQL literal."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -132,6 +145,7 @@ class BronzeTable:
     def write(self, df: DataFrame, run: str, batch_id: int) -> None:
         """Write a batch without committing it."""
         schema = self._merged(df.schema)
+        self._keep_types(schema, run, batch_id)
         self._prepare(schema)
         self.schema = schema
         have = {f.name: _nullable(f.dataType) for f in df.schema.fields}
@@ -180,9 +194,22 @@ class BronzeTable:
         if self.schema is None:
             raise ValueError(f"nothing is committed to {self.spec.table} yet")
         self.register()
-        committed = self._is_committed(F.col(RUN), F.col(BATCH))
-        rows = self.spark.table(self.spec.table).where(committed)
-        return rows.select(*[F.col(_quote(n)) for n in self.schema.fieldNames()])
+        committed = self._is_committed(F.col(RUN), F.col(BATCH), self.committed)
+        names = [F.col(_quote(n)) for n in self.schema.fieldNames()]
+        past, parts = None, []
+        for fields, upto in self._past_types():
+            have = T.StructType([*fields.fields, T.StructField(RUN, T.StringType()), T.StructField(BATCH, T.LongType())])
+            until = self._is_committed(F.col(RUN), F.col(BATCH), upto)
+            known = {f.name: f.dataType for f in fields.fields}
+            own = [
+                (conform(F.col(_quote(f.name)), known[f.name], f.dataType) if f.name in known else F.lit(None).cast(f.dataType)).alias(f.name)
+                for f in self.schema.fields
+            ]
+            rows = self.spark.read.schema(have).parquet(self.spec.table_dir)
+            parts.append(rows.where(until if past is None else until & ~past).where(committed).select(*own))
+            past = until
+        now = self.spark.table(self.spec.table).where(committed if past is None else committed & ~past).select(*names)
+        return reduce(DataFrame.union, [*parts, now])
 
     def register(self) -> None:
         """Make the catalog of this session know the table as it is now."""
@@ -194,6 +221,26 @@ class BronzeTable:
         rows = self.spark.table(self.spec.table)
         return rows.where((F.col(RUN) == run) & (F.col(BATCH) == batch_id))
 
+    def _past_types(self) -> list[tuple[T.StructType, dict[str, int]]]:
+        """Schemas before types that the reader does not widen, oldest first, and the last batches of each."""
+        kept = read_or_empty(self.spark, self.spec.types_dir, TYPES_SCHEMA).orderBy("widened_at").collect()
+        return [(T.StructType.fromJson(json.loads(r.fields)), r.upto) for r in kept]
+
+    def _keep_types(self, schema: T.StructType, run: str, batch_id: int) -> None:
+        """Keep the schema of the batches so far, if the reader cannot read them under ``schema``.
+
+        Done again by a replay of the batch, with the same record. No batch is without its types: the
+        record is there before any row of other types is.
+        """
+        if self.schema is None:
+            return
+        wider = {f.name: f.dataType for f in schema.fields}
+        if all(reads_natively(f.dataType, wider[f.name]) for f in self.schema.fields):
+            return
+        upto = F.create_map(*[F.lit(v) for pair in self.committed.items() for v in pair]).cast("map<string,bigint>")
+        row = one_row(self.spark, fields=self.schema.json(), upto=upto, widened_at=F.current_timestamp())
+        row.write.mode("overwrite").parquet(f"{self.spec.types_dir}/run={run}/batch={batch_id}")
+
     def _merged(self, seen: T.StructType) -> T.StructType:
         seen = _nullable(seen)
         reserved = {RUN, BATCH} & {n.lower() for n in seen.fieldNames()}
@@ -201,20 +248,24 @@ class BronzeTable:
             raise SchemaMismatch(f"column names are reserved: {sorted(reserved)}")
         if self.schema is None:
             return seen
-        wider, clash = widen(self.schema, seen)
+        wider, clash = widen(self.schema, seen, types=self.merge_schema)
         changed = [f.name for f in wider.fields if f not in self.schema.fields]
         if changed and not self.merge_schema:
             raise SchemaMismatch(f"columns {changed} are new or wider and merge_schema is off")
         by_name = {f.name: f.dataType for f in seen.fields}
         odd = [
             f.name for f in wider.fields
-            if isinstance(f.dataType, T.AtomicType)
-            and by_name.get(f.name, f.dataType) not in (f.dataType, T.NullType())
+            if isinstance(f.dataType, T.AtomicType) and not self._takes(f.dataType, by_name.get(f.name, f.dataType))
         ]
-        if clash or odd:
-            raise SchemaMismatch(f"column types differ from the table: {odd or 'inside nested columns'}")
+        wider_keys = [f.name for f in changed_fields(self.schema, wider) if f.name in self.partition_by]
+        if clash or odd or wider_keys:
+            raise SchemaMismatch(f"column types differ from the table: {odd or wider_keys or 'inside nested columns'}")
         return wider
 
+    def _takes(self, want: T.DataType, have: T.DataType) -> bool:
+        """Whether a column of the table takes values of a type: its own or, with merging on, a narrower one."""
+        return have in (want, T.NullType()) or self.merge_schema and common_type(want, have) == want
+
     def _prepare(self, schema: T.StructType) -> None:
         """Create the database and table, or bring the table's columns up to ``schema``."""
         spec, spark = self.spec, self.spark
@@ -228,7 +279,7 @@ class BronzeTable:
             raise ValueError(f"{spec.table} is at {location}, not at {spec.table_dir}")
         have = {f.name: _nullable(f.dataType) for f in spark.table(spec.table).schema.fields}
         if any(f.name in have and have[f.name] != f.dataType for f in schema.fields):
-            # Inner struct fields cannot be added in place; the files of the table stay.
+            # Types and inner struct fields cannot be changed in place; the files of the table stay.
             spark.sql(f"DROP TABLE {spec.table}")
             self._create(schema)
             return
@@ -261,14 +312,15 @@ class BronzeTable:
         path = F.col("partition")
         run = F.regexp_extract(path, f"^{RUN}=([^/]*)", 1)
         batch = F.regexp_extract(path, f"/{BATCH}=([^/]*)", 1).cast("long")
-        left = [r.partition for r in found.where(~self._is_committed(run, batch)).collect()]
+        left = [r.partition for r in found.where(~self._is_committed(run, batch, self.committed)).collect()]
         if left:
             drops = ", ".join(f"PARTITION ({_partition_spec(p)})" for p in left)
             self.spark.sql(f"ALTER TABLE {self.spec.table} DROP IF EXISTS {drops}")
 
-    def _is_committed(self, run: Column, batch: Column) -> Column:
+    @staticmethod
+    def _is_committed(run: Column, batch: Column, last_batches: dict[str, int]) -> Column:
         committed = F.lit(False)
-        for name, last in self.committed.items():
+        for name, last in last_batches.items():
             committed |= (run == name) & (batch <= last)
         return committed
 

@@ -155,6 +155,46 @@ def landing_csv_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*[F.col(f"_c{i}").cast(f.dataType).alias(f"_c{i}") for i, f in enumerate(lineitem.schema.fields)])
 
 
+def landing_csv_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitem in files with header lines: 3 columns, 7 in reverse and all 11, read by name."""
+    spec = workspace(spark, "erp", "lineitem")
+    lineitem = table(spark, sf_dir, "lineitem")
+    for third, names in enumerate((lineitem.columns[:3], lineitem.columns[6::-1], lineitem.columns)):
+        land_dataframe(lineitem.where(F.col("l_linenumber") % 3 == third).select(*names), spec, "csv", options={"header": "true"})
+    ingest_stream(spark, spec, "csv", merge_schema=True, reader_options={"header": "true"})
+    return read_bronze(spark, spec).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in lineitem.schema.fields])
+
+
+# Records with line ends inside quotes, and quotes doubled.
+RECORDS = {"multiLine": "true", "escape": '"', "comment": "#"}
+
+
+def landing_csv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as CSV whose texts hold line ends, separators and quotes; columns are inferred from records."""
+    spec = workspace(spark, "web", "documents")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    kept = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    land_dataframe(documents, spec, "csv", options=kept)
+    ingest_stream(spark, spec, "csv", reader_options=RECORDS)
+    rows = read_bronze(spark, spec)
+    width = F.lit(len(rows.columns) - 2).alias("n_columns")
+    return rows.select(F.col("_c0").cast("long").alias("doc_id"), F.col("_c1").alias("text"), F.col("_c2").alias("lang"), width)
+
+
+def landing_parquet_widening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in files whose keys are ints, longs and doubles, in one ingest and in a later one."""
+    spec = workspace(spark, "erp", "orders")
+    orders = table(spark, sf_dir, "orders")
+    for third, kind in enumerate(("int", "bigint", "double")):
+        part = orders.where(F.col("o_orderkey") % 3 == third)
+        land_dataframe(part.withColumn("o_custkey", F.col("o_custkey").cast(kind)), spec, "parquet")
+        if kind != "int":
+            batch.ingest(spark, spec, "parquet", merge_schema=True)
+    rows = read_bronze(spark, spec)
+    wide = F.lit(rows.schema["o_custkey"].dataType.simpleString()).alias("widened_to")
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in orders.schema.fields], wide)
+
+
 def landing_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = workspace(spark, "crm", "events")
     early, late = _early_late(table(spark, sf_dir, "events").select("event_id", "event_type", "props"))
@@ -301,6 +341,23 @@ def bronze_schema_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
     raise AssertionError("a new column was accepted although merging is off")
 
 
+def bronze_type_widening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that goes from int to long to double with merging on, and is refused with it off."""
+    spec = workspace(spark, "crm", "events")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id")
+    for k, kind in enumerate(("int", "bigint", "double", "int")):
+        part = events.where(F.col("event_id") % 4 == k).withColumn("user_id", F.col("user_id").cast(kind))
+        try:
+            BronzeTable(spark, spec).append(part, "batch", k)
+            refused = False
+        except SchemaMismatch:
+            refused = True
+        if refused != (k > 0):
+            raise AssertionError(f"{kind} was {'refused' if refused else 'accepted'} although merging is off")
+        BronzeTable(spark, spec, merge_schema=True).append(part, "batch", k)
+    return read_bronze(spark, spec)
+
+
 def bronze_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = workspace(spark, "crm", "events")
     land_dataframe(table(spark, sf_dir, "events"), spec, "json")
@@ -359,6 +416,9 @@ QUERIES = {
     "landing_late_file": landing_late_file,
     "landing_two_paths": landing_two_paths,
     "landing_csv_widths": landing_csv_widths,
+    "landing_csv_header": landing_csv_header,
+    "landing_csv_records": landing_csv_records,
+    "landing_parquet_widening": landing_parquet_widening,
     "landing_evolution": landing_evolution,
     "kafka_json": kafka_json,
     "kafka_json_bad": kafka_json_bad,
@@ -372,6 +432,7 @@ QUERIES = {
     "bronze_partitioned": bronze_partitioned,
     "bronze_merge_schema": bronze_merge_schema,
     "bronze_schema_reject": bronze_schema_reject,
+    "bronze_type_widening": bronze_type_widening,
     "bronze_replay": bronze_replay,
     "raw_archive": raw_archive,
     "land_files": land_files,
@@ -409,6 +470,12 @@ ORACLES = {
         f"SELECT {', '.join(f'{c} AS _c{i}' if i < width else f'NULL AS _c{i}' for i, c in enumerate(_LINEITEM))} FROM lineitem WHERE l_linenumber % 3 = {third}"
         for third, width in reversed(list(enumerate((3, 7, 11))))
     ),
+    "landing_csv_header": " UNION ALL ".join(
+        f"SELECT {', '.join(c if i < width else f'NULL AS {c}' for i, c in enumerate(_LINEITEM))} FROM lineitem WHERE l_linenumber % 3 = {third}"
+        for third, width in reversed(list(enumerate((3, 7, 11))))
+    ),
+    "landing_csv_records": "SELECT doc_id, text, lang, CAST(3 AS INTEGER) AS n_columns FROM documents",
+    "landing_parquet_widening": "SELECT *, 'double' AS widened_to FROM orders",
     "landing_evolution": _WIDER,
     "kafka_json": _FRAMES,
     "kafka_json_bad": """SELECT event_id AS _offset,
@@ -425,6 +492,7 @@ ORACLES = {
     "bronze_partitioned": "SELECT * FROM orders",
     "bronze_merge_schema": _WIDER,
     "bronze_schema_reject": "SELECT event_id, event_type FROM events WHERE event_type IN ('click', 'view')",
+    "bronze_type_widening": "SELECT event_id, CAST(user_id AS DOUBLE) AS user_id FROM events",
     "bronze_replay": _EVENTS,
     "raw_archive": f"SELECT DISTINCT {_FILE} AS raw_file, 'archived' AS state FROM events",
     "land_files": "SELECT *, true AS dated_name FROM supplier",

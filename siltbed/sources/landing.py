@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.metadata import LABEL_PATTERN, add_file_metadata
+from ..operators.bronze import conform
 from ..paths import load_path
 from ..spec import DatasetSpec
 from ..tables import few_listing_tasks
-from .schema_store import CORRUPT, SchemaStore
+from .schema_store import CORRUPT, SchemaStore, reads_natively, widen
+from .shapes import by_shape, has_header, option
 
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
@@ -44,8 +47,8 @@ def infer_schema(
 ) -> T.StructType:
     """Schema of all records below ``paths`` (arguments for ``load``).
 
-    JSON and CSV are read whole (CSV twice), since a column may first appear in the last
-    record. Parquet and Avro need only file headers.
+    JSON and CSV are read whole (CSV twice, once with header lines), since a column may first
+    appear in the last record. Parquet and Avro need only file headers.
     """
     source, fixed, evolves = _format(fmt)
     if not evolves:
@@ -55,9 +58,9 @@ def infer_schema(
     with few_listing_tasks(spark):
         if fmt == "csv":
             return _infer_csv(spark, {**fixed, **(options or {})}, paths)
-        reader = spark.read.format(source).options(**fixed).option("recursiveFileLookup", "true")
         if fmt == "parquet":
-            reader = reader.option("mergeSchema", "true")
+            return _infer_parquet(spark, options or {}, paths)
+        reader = spark.read.format(source).options(**fixed).option("recursiveFileLookup", "true")
         return reader.options(**(options or {})).load(paths).schema
 
 
@@ -69,36 +72,87 @@ _CSV_TYPES = (
 )
 
 
+def _csv_reader(spark: SparkSession, options: dict[str, str]):
+    return spark.read.format("csv").options(**options).option("recursiveFileLookup", "true")
+
+
+def _widest_record(spark: SparkSession, options: dict[str, str], paths: str | Sequence[str]) -> int:
+    """Fields of the widest record, as Spark's CSV reader takes records apart.
+
+    A record becomes an object of its fields, so quoted line ends, comments and escapes count as they
+    are read, and the union of all objects' keys is one mergeable aggregate.
+    """
+    plain = {k: v for k, v in options.items() if k.lower() not in ("header", "columnnameofcorruptrecord")}
+    records = _csv_reader(spark, plain).option("singleVariantColumn", "record").load(paths)
+    found = records.select(F.schema_of_variant_agg("record")).first()[0] or ""
+    return max((int(k) + 1 for k in re.findall(r"[<, ]_c(\d+): ", found)), default=0)
+
+
 def _infer_csv(spark: SparkSession, options: dict[str, str], paths: str | Sequence[str]) -> T.StructType:
-    """As many columns as the widest record of any file has, each of a type that all its values have.
+    """Every column of any record, each of a type that all its values have.
 
-    Two passes, each an aggregate to one row, so the order and number of files are no matter.
-    Files with a header line are left to Spark's own inference.
+    Without header lines these are as many as the widest record has fields. With them it is the union
+    of all headers by name, those of the widest header first. Neither the order nor the
+    number of files is a matter; passes are aggregates to one row.
     """
-    reader = spark.read.format("csv").options(**options).option("recursiveFileLookup", "true")
-    if str(options.get("header", "false")).lower() == "true":
-        return reader.option("inferSchema", "true").load(paths).schema
-    separator, quote, escape = (re.escape(options.get(k, d)) for k, d in (("sep", options["delimiter"]), ("quote", '"'), ("escape", "\\")))
-    quoted = f"(^|{separator}){quote}(?:[^{quote}{escape}]|{escape}.|{quote}{quote})*{quote}"
-    bare = F.regexp_replace("value", quoted, "$1")
-    fields = F.size(F.split(bare, separator, -1))
-    lines = spark.read.option("recursiveFileLookup", "true").text(paths)
-    width = lines.where(F.trim("value") != "").agg(F.max(fields)).first()[0] or 0
-    names = [f"_c{k}" for k in range(width)]
-    if not names:
-        return T.StructType()
-    rows = reader.schema(", ".join(f"{n} string" for n in names)).load(paths)
-
-    def fits(name: str, kind: str, pattern: str) -> Column:
-        value = F.col(name)
-        return F.coalesce(F.every(value.isNull() | (value.rlike(pattern) & F.expr(f"try_cast({name} AS {kind}) IS NOT NULL"))), F.lit(True))
-
-    found = rows.agg(
-        *[F.count(n).alias(f"{n}_values") for n in names],
-        *[fits(n, kind, pattern).alias(f"{n}_{kind}") for n in names for kind, pattern in _CSV_TYPES],
-    ).first()
-    kinds = [next((k for k, _ in _CSV_TYPES if found[f"{n}_values"] and found[f"{n}_{k}"]), "string") for n in names]
-    return T.StructType.fromDDL(", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
+    if not has_header(options):
+        width = _widest_record(spark, options, paths)
+        names = [f"_c{k}" for k in range(width)]
+        return _csv_types(options, names, [_fits(_strings(spark, options, names, paths), names, options)] if names else [])
+    with by_shape(spark, "csv", paths, options) as shapes:
+        union = T.StructType()
+        for shape in shapes:
+            union, _ = widen(union, shape.columns)
+        found = [
+            _fits(_strings(spark, options, shape.names, scan), shape.names, options)
+            for shape in shapes for scan in shape.scans()
+        ]
+        return _csv_types(options, union.fieldNames(), found)
+
+
+def _strings(spark: SparkSession, options: dict[str, str], names: list[str], paths) -> DataFrame:
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return _csv_reader(spark, options).schema(schema).load(paths)
+
+
+def _fits(rows: DataFrame, names: list[str], options: dict[str, str]) -> dict[str, dict[str, bool]]:
+    """For each column whether it has values (``values``), and by type whether all of them have it."""
+    formats = {"date": option(options, "dateFormat"), "timestamp": option(options, "timestampFormat")}
+
+    def fits(value: Column, kind: str, pattern: str) -> Column:
+        if formats.get(kind):
+            parsed = F.try_to_timestamp(value, F.lit(formats[kind]))
+            return F.coalesce(F.every(value.isNull() | parsed.isNotNull()), F.lit(True))
+        return F.coalesce(F.every(value.isNull() | (value.rlike(pattern) & value.try_cast(kind).isNotNull())), F.lit(True))
+
+    columns = {n: F.col("`" + n.replace("`", "``") + "`") for n in names}
+    sums = [F.count(columns[n]).alias(f"{k}_values") for k, n in enumerate(names)]
+    sums += [fits(columns[n], kind, pattern).alias(f"{k}_{kind}") for k, n in enumerate(names) for kind, pattern in _CSV_TYPES]
+    row = rows.agg(*sums).first()
+    return {n: {"values": row[f"{k}_values"] > 0, **{kind: row[f"{k}_{kind}"] for kind, _ in _CSV_TYPES}} for k, n in enumerate(names)}
+
+
+def _csv_types(options: dict[str, str], names: list[str], found: list[dict[str, dict[str, bool]]]) -> T.StructType:
+    """The first type that all scans agree on for each column; ``string`` where none or no value is."""
+    fields = []
+    for name in names:
+        own = [f[name] for f in found if name in f]
+        some = any(f["values"] for f in own)
+        kind = next((kind for kind, _ in _CSV_TYPES if some and all(f[kind] for f in own)), "string")
+        fields.append(T.StructField(name, T.StructType.fromDDL(f"c {kind}")[0].dataType, True))
+    return T.StructType(fields)
+
+
+def _infer_parquet(spark: SparkSession, options: dict[str, str], paths: str | Sequence[str]) -> T.StructType:
+    """The columns of all footers; types that differ between files are widened."""
+    with by_shape(spark, "parquet", paths, options) as shapes:
+        union = T.StructType()
+        for shape in shapes:
+            wider, clash = widen(union, shape.columns, types=True)
+            if clash:
+                raise ValueError(f"column types differ and cannot be widened: {union.simpleString()} and {shape.columns.simpleString()}")
+            union = wider
+        return union
 
 
 def resolve_schema(
@@ -112,7 +166,7 @@ def resolve_schema(
     seen = infer_schema(spark, fmt, spec.landing_dir if paths is None else paths, options)
     if not _format(fmt)[2]:
         return seen
-    return SchemaStore(spark, spec.schema_dir).evolve(seen, quarantine=fmt in ("json", "csv"))
+    return SchemaStore(spark, spec.schema_dir).evolve(seen, quarantine=fmt in ("json", "csv"), types=fmt == "parquet")
 
 
 def _schema(schema: T.StructType | str) -> T.StructType:
@@ -148,7 +202,42 @@ def read_landing_files(
     paths = spec.landing_dir if files is None else [load_path(f) for f in files]
     schema = _schema(schema or resolve_schema(spark, spec, fmt, paths, options))
     with few_listing_tasks(spark):
+        if fmt == "parquet" or fmt == "csv" and has_header({**FORMATS[fmt][1], **(options or {})}):
+            return _load_by_shape(spark, spec, fmt, paths, schema, options or {}, label_pattern, image)
+        return _load(spark.read, spark, spec, fmt, paths, schema, options, label_pattern, image)
+
+
+def _load_by_shape(spark, spec, fmt, paths, schema, options, label_pattern, image) -> DataFrame:
+    """Files with the columns that they have, put together by name under ``schema``.
+
+    CSV files with one header are a scan, whatever the order of their columns. Parquet files are one
+    scan where Spark's reader widens what they hold, else a scan for each kind of footer.
+    """
+    wanted = {f.name: f.dataType for f in schema.fields}
+    all_options = {**FORMATS[fmt][1], **options}
+    parts = []
+    with by_shape(spark, fmt, paths, all_options) as shapes:
+        if fmt == "parquet" and all(reads_natively(f.dataType, wanted.get(f.name, f.dataType)) for s in shapes for f in s.columns.fields):
+            return _load(spark.read, spark, spec, fmt, paths, schema, options, label_pattern, image)
+        for shape in shapes:
+            if fmt == "csv":
+                own = T.StructType([T.StructField(f.name, wanted.get(f.name, f.dataType), True) for f in shape.columns.fields])
+                if CORRUPT in wanted and CORRUPT not in own.fieldNames():
+                    own = own.add(CORRUPT, T.StringType())
+            else:
+                own = shape.columns
+            have = {f.name: f.dataType for f in own.fields}
+            columns = [
+                (conform(F.col("`" + n.replace("`", "``") + "`"), have[n], t) if n in have else F.lit(None).cast(t)).alias(n)
+                for n, t in wanted.items()
+            ]
+            for scan in shape.scans():
+                rows = _load(spark.read, spark, spec, fmt, scan, own, options, label_pattern, image)
+                meta = [c for c in rows.columns if c not in have]
+                parts.append(rows.select(*meta, *columns))
+    if not parts:
         return _load(spark.read, spark, spec, fmt, paths, schema, options, label_pattern, image)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_landing_stream(
@@ -168,8 +257,12 @@ def read_landing_stream(
     read whatever their age. ``max_files=None`` leaves the limit to ``options``
     (``maxBytesPerTrigger``). Without ``schema`` it is inferred from all files there now and
     merged into the stored one; give the sink a :func:`siltbed.column_check` if files with
-    other columns may arrive while the stream runs.
+    other columns may arrive while the stream runs. One scan has one column list, so CSV files
+    whose header line is not the schema's columns in order stop the stream;
+    :func:`siltbed.ingest_stream` reads them by name.
     """
+    if fmt == "csv" and has_header(options or {}):
+        options = {"enforceSchema": "false", **options}
     schema = _schema(schema or resolve_schema(spark, spec, fmt, None, options))
     reader = spark.readStream.option("maxFileAge", "36500d")
     if max_files:

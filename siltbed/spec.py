@@ -58,6 +58,10 @@ class DatasetSpec:
     def commits_dir(self) -> str:
         return f"{self.table_dir}_commits"
 
+    @property
+    def types_dir(self) -> str:
+        return f"{self.table_dir}_types"
+
     @property
     def archive_log_dir(self) -> str:
         return f"{self.table_dir}_archive"
