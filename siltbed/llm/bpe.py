@@ -3,8 +3,13 @@
 For every prefix of a word the last token of its BPE encoding is unique. A token that ends
 at a prefix is that last token exactly when it can stand next to the last token of the
 prefix before it, so one pass over the matches of an automaton over all tokens fills the
-table, and following it back gives the ids. The vocabulary comes from a file of the public
-``tokenizers`` library, whose own normaliser and word splitter are used as they are.
+table, and following it back gives the ids. The automaton is one over the dictionary of all
+tokens (Aho and Corasick), whose states are the suffixes that tokens can begin with; a suffix
+automaton of each word would find the same matches. The vocabulary comes from a file of the
+public ``tokenizers`` library, whose own normaliser and word splitter are used as they are.
+
+Texts are taken apart and put together by batch in Arrow; the table is filled once for each
+different piece that is not remembered.
 """
 
 from __future__ import annotations
@@ -13,15 +18,21 @@ import hashlib
 import json
 import math
 import re
+import struct
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property
+from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from .wordhash import slices
+
 # Entries of a generation of the word cache; two generations are held at most.
 CACHE_ENTRIES = 200_000
 # Longer pieces between white space are encoded without being remembered.
@@ -85,7 +96,7 @@ class PrefixEncoder:
         automaton = ahocorasick.Automaton()
         for i, symbols in spelled.items():
             if self._derivable(made, i):
-                automaton.add_word(symbols, (i, len(symbols)))
+                automaton.add_word(symbols, i << 32 | len(symbols))
         automaton.make_automaton()
         self._matches = automaton.iter
         self.known = {s for s in spelled.values() if len(s) == 1}
@@ -139,19 +150,22 @@ class PrefixEncoder:
             known = self._fits[key] = self._first_merge(left, right) is None
         return known
 
-    def encode(self, word: str) -> list[int]:
-        """Ids of one word of the splitter. Letters that the vocabulary lacks are left out."""
+    def _symbols(self, word: str) -> str:
+        """The word in symbols of the vocabulary; letters that it lacks are left out."""
         symbols = word[:-1] + self._last(word[-1]) if self.has_end else word
-        if not self.known.issuperset(symbols):
-            symbols = "".join(s for s in symbols if s in self.known)
+        return symbols if self.known.issuperset(symbols) else "".join(s for s in symbols if s in self.known)
+
+    def encode(self, word: str) -> list[int]:
+        """Ids of one word of the splitter."""
+        symbols = self._symbols(word)
         last = [-1] * (len(symbols) + 1)
         before = [0] * (len(symbols) + 1)
         known = self._fits
-        for at, (token, length) in self._matches(symbols):
+        for at, match in self._matches(symbols):
             at += 1
             if last[at] >= 0:
                 continue
-            start = at - length
+            token, start = match >> 32, at - (match & 0xFFFFFFFF)
             if start:
                 left = last[start]
                 if left < 0:
@@ -168,15 +182,65 @@ class PrefixEncoder:
         ids.reverse()
         return ids
 
+    def _all_fit(self, pairs: np.ndarray) -> np.ndarray:
+        different, which = np.unique(pairs, return_inverse=True)
+        known = self._fits
+        found = list(map(known.get, different.tolist()))
+        if None in found:
+            found = [self.fits(pair >> 32, pair & 0xFFFFFFFF) if fit is None else fit for pair, fit in zip(different.tolist(), found)]
+        return np.array(found, bool)[which]
+
+    def encode_many(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, as little-endian bytes of four each.
+
+        One table for all words, filled for the prefixes of one length after the other: of
+        the tokens that end at a prefix exactly one can follow the last token of the prefix before it.
+        """
+        symbols = list(map(self._symbols, words))
+        # No token holds the letter that parts the words, so no match crosses it.
+        matched = np.fromiter(chain.from_iterable(self._matches("\0".join(symbols))), np.int64)
+        ends, tokens = matched[::2] + 1, matched[1::2] >> 32
+        starts = ends - (matched[1::2] & 0xFFFFFFFF)
+        sizes = np.fromiter(map(len, symbols), np.int64, len(symbols))
+        first = np.cumsum(sizes + 1) - sizes - 1
+        length = ends - first[np.searchsorted(first, starts, side="right") - 1] if len(ends) else ends
+        last = np.full(int(first[-1] + sizes[-1]) + 1 if len(first) else 0, -1, np.int64)
+        before = np.zeros(len(last), np.int64)
+        order = np.argsort(length, kind="stable")
+        bounds = np.flatnonzero(np.diff(length[order], prepend=0, append=np.iinfo(np.int64).max))
+        for low, high in zip(bounds, bounds[1:]):
+            own = order[low:high]
+            left = last[starts[own]]
+            whole = starts[own] == ends[own] - length[own]
+            fits = whole.copy()
+            behind = np.flatnonzero(~whole & (left >= 0))
+            fits[behind] = self._all_fit(left[behind] << 32 | tokens[own[behind]])
+            own = own[fits]
+            last[ends[own]], before[ends[own]] = tokens[own], starts[own]
+        # Back from the ends of all words at once.
+        number, at = np.arange(len(words)), first + sizes
+        steps = []
+        while len(number := number[at > first[number]] if len(number) else number):
+            at = at[at > first[steps[-1][0]]] if steps else at[at > first]
+            steps.append((number, last[at]))
+            at = before[at]
+        if not steps:
+            return [b""] * len(words)
+        owner, ids = (np.concatenate([s[k] for s in steps[::-1]]) for k in (0, 1))
+        order = np.argsort(owner, kind="stable")
+        data = ids[order].astype("<u4").tobytes()
+        cuts = (4 * np.searchsorted(owner[order], np.arange(len(words) + 1))).tolist()
+        return [data[a:b] for a, b in zip(cuts, cuts[1:])]
+
 
 class TextEncoder:
     """Ids of whole texts, as the library gives them without special tokens at the ends.
 
-    Texts are cut at white space; what a piece gives is remembered in two generations of
-    bounded dictionaries, ``make(ids)`` saying in which form.
+    Texts are cut at white space; the ids of a piece, as little-endian bytes of four each, are
+    remembered in two generations of bounded dictionaries.
     """
 
-    def __init__(self, path: str, make=None, by_library: bool = False):
+    def __init__(self, path: str, by_library: bool = False):
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             model = json.load(f)
@@ -184,20 +248,19 @@ class TextEncoder:
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in bpe["merges"]]
         if by_library:
             tokenize = self.library.model.tokenize
-            self._encode = lambda word: [t.id for t in tokenize(word)]
+            self._encode_many = lambda words: [id_bytes([t.id for t in tokenize(word)]) for word in words]
         else:
-            self._encode = PrefixEncoder(bpe["vocab"], merges, bpe["end_of_word_suffix"] or "").encode
+            self._encode_many = PrefixEncoder(bpe["vocab"], merges, bpe["end_of_word_suffix"] or "").encode_many
         self.names = {i: t for t, i in bpe["vocab"].items()}
         self.special = {t["content"]: t["id"] for t in model["added_tokens"]}
         self.names |= {i: t for t, i in self.special.items()}
         longest_first = sorted(self.special, key=len, reverse=True)
         self._special = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.special else None
-        self._word_ids = lru_cache(maxsize=CACHE_ENTRIES)(self._encode)
         # The shortcut for simple pieces holds for this normaliser and this word pattern only.
         self._simple = model["normalizer"] == _NORMAL and _PATTERN in json.dumps(model["pre_tokenizer"])
-        self.make = make or (lambda ids: ids)
-        self._young: dict = {}
-        self._old: dict = {}
+        self._words_known: dict[str, bytes] = {}
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
 
     def _words(self, piece: str) -> list[str]:
         if self._simple and _SIMPLE.fullmatch(piece):
@@ -206,55 +269,98 @@ class TextEncoder:
         normal = self.library.normalizer
         return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal.normalize_str(piece) if normal else piece)]
 
-    def _plain_ids(self, piece: str) -> list[int]:
-        return [i for word in self._words(piece) for i in (self._word_ids(word) if len(word) <= CACHED_CHARS else self._encode(word))]
-
-    def piece_ids(self, piece: str) -> list[int]:
-        """Ids of a piece without white space."""
+    def _parts(self, piece: str) -> list[str]:
+        """The words of a piece without white space, special strings by themselves."""
         if self._special is None or "<" not in piece or not self._special.search(piece):
-            return self._plain_ids(piece)
-        parts = (p for p in self._special.split(piece) if p)
-        return [i for p in parts for i in ([self.special[p]] if p in self.special else self._plain_ids(p))]
+            return self._words(piece)
+        return [w for p in self._special.split(piece) if p for w in ([p] if p in self.special else self._words(p))]
+
+    def _new(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces, each different word in them being encoded once."""
+        parts = list(map(self._parts, pieces))
+        known = self._words_known
+        words = {w for own in parts for w in own if w not in known and w not in self.special}
+        made = dict(zip(words, self._encode_many(list(words))))
+        made.update((w, id_bytes([i])) for w, i in self.special.items())
+        found = [b"".join([made[w] if w in made else known[w] for w in own]) for own in parts]
+        if len(known) + len(made) > CACHE_ENTRIES:
+            known.clear()
+        known.update((w, ids) for w, ids in made.items() if len(w) <= CACHED_CHARS and w not in self.special)
+        return found
 
-    def lookup(self, pieces: list[str]) -> list:
-        """What ``make`` gives for each piece."""
-        young, old, found = self._young, self._old, list(map(self._young.get, pieces))
+    def lookup(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece."""
+        young = self._young
+        found = list(map(young.get, pieces))
         if None in found:
-            for k, value in enumerate(found):
-                if value is None:
-                    piece = pieces[k]
-                    value = young.get(piece)
-                    if value is None:
-                        value = old.get(piece)
-                        if value is None:
-                            value = self.make(self.piece_ids(piece))
-                        if len(piece) <= CACHED_CHARS:
-                            young[piece] = value
-                    found[k] = value
+            fresh = dict.fromkeys(p for p, value in zip(pieces, found) if value is None)
+            old = {p: value for p in fresh if (value := self._old.get(p)) is not None}
+            unknown = [p for p in fresh if p not in old]
+            fresh = old | dict(zip(unknown, self._new(unknown)))
+            found = [fresh[p] if value is None else value for p, value in zip(pieces, found)]
+            young.update((p, value) for p, value in fresh.items() if len(p) <= CACHED_CHARS)
             if len(young) > CACHE_ENTRIES:
                 self._old, self._young = young, {}
         return found
 
+    def pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Pieces of a batch of texts: their numbers in order, where each text's begin (and the last end),
+        and the ids of each different piece. Only different pieces become Python strings."""
+        texts = texts.cast(pa.large_string())
+        if pc.any(pc.match_substring_regex(texts, "[\x1c-\x1f]")).as_py():
+            lists = pa.array([words_of(t) for t in texts.to_pylist()], pa.large_list(pa.large_string()))
+        else:
+            lists = pc.utf8_split_whitespace(texts)
+        bounds = lists.offsets.to_numpy().astype(np.int64)
+        found = lists.flatten().dictionary_encode()
+        return found.indices.to_numpy(zero_copy_only=False), bounds - bounds[0], self.lookup(found.dictionary.to_pylist())
+
     def encode(self, text: str) -> list[int]:
-        return [i for w in words_of(text) for i in self.piece_ids(w)]
+        return np.frombuffer(b"".join(self.lookup(words_of(text))), "<u4").tolist()
 
     def decode(self, ids: list[int]) -> str:
         """As the library decodes where the file names no decoder: tokens with spaces between."""
         return " ".join(self.names[i] for i in ids)
 
 
+    @cached_property
+    def texts_of_ids(self) -> tuple[pa.Array, pa.Array]:
+        """By id its decimal digits and its name."""
+        ids = range(max(self.names) + 1)
+        return pa.array(map(str, ids), pa.large_string()), pa.array(map(self.names.get, ids), pa.large_string())
+
+
 _encoders: dict[tuple, TextEncoder] = {}
 
 
-def text_encoder(path: str, form: str = "ids", make=None, by_library: bool = False) -> TextEncoder:
-    """The encoder of this Python worker, made once for a vocabulary and a form."""
-    if (path, form) not in _encoders:
-        _encoders[path, form] = TextEncoder(path, make, by_library)
-    return _encoders[path, form]
+def id_bytes(ids: list[int]) -> bytes:
+    """Ids as little-endian bytes of four each."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def text_encoder(path: str, by_library: bool = False) -> TextEncoder:
+    """The encoder of this Python worker, made once for a vocabulary."""
+    if (path, by_library) not in _encoders:
+        _encoders[path, by_library] = TextEncoder(path, by_library)
+    return _encoders[path, by_library]
+
+
+def batch_ids(encoder: TextEncoder, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of a batch of texts, one after the other, and where each text's begin (and the last end)."""
+    numbers, bounds, made = encoder.pieces(texts)
+    flat = np.frombuffer(b"".join(made), "<u4")
+    sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
+    first = np.cumsum(sizes) - sizes
+    own = sizes[numbers]
+    ends = np.concatenate([[0], np.cumsum(own)])
+    places = np.repeat(first[numbers] - ends[:-1], own) + np.arange(ends[-1])
+    return flat[places], ends[bounds]
 
 
-def _digest(parts: Iterator[str]) -> str:
-    return hashlib.sha256(" ".join(parts).encode()).hexdigest()
+def _joined(names: pa.Array, ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The names of each text's ids, joined by blanks."""
+    lists = pa.LargeListArray.from_arrays(pa.array(bounds, pa.int64()), names.take(pa.array(ids)))
+    return pc.binary_join(lists, pa.scalar(" ", pa.large_string()))
 
 
 def encode_documents(
@@ -272,29 +378,18 @@ def encode_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_encoder(path)
-        names = encoder.names
-        strings = text_encoder(
-            path, "strings", lambda ids: (len(ids), " ".join(map(str, ids)), " ".join(map(names.__getitem__, ids)))
-        )
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             ids, texts = batch.column("id"), batch.column("text")
-            counts, first, second = [], [], []
-            for text in texts:
-                pieces = words_of(text.as_py())
-                if digests:
-                    found = strings.lookup(pieces)
-                    counts.append(sum(f[0] for f in found))
-                    first.append(_digest(f[1] for f in found if f[0]))
-                    second.append(_digest(f[2] for f in found if f[0]))
-                else:
-                    got = [i for part in encoder.lookup(pieces) for i in part]
-                    counts.append(len(got))
-                    first.append(got)
-                    second.append(encoder.decode(got))
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(counts, pa.int64()), pa.array(first, pa.string() if digests else pa.list_(pa.int32())), pa.array(second, pa.string())],
-                ["id", "n_tokens", "first", "second"],
-            )
+            flat, bounds = batch_ids(encoder, texts)
+            counts = np.diff(bounds)
+            digits, names = encoder.texts_of_ids
+            second = _joined(names, flat, bounds)
+            if digests:
+                first, second = (pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in own], pa.string()) for own in (_joined(digits, flat, bounds), second))
+            else:
+                first = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat.astype(np.int32)))
+                second = second.cast(pa.string())
+            yield pa.RecordBatch.from_arrays([ids, pa.array(counts, pa.int64()), first, second], ["id", "n_tokens", "first", "second"])
 
     made = rows.mapInArrow(run, f"id {kind.simpleString()}, n_tokens long, first {'string' if digests else 'array<int>'}, second string")
     names = ("ids_sha256", "decoded_sha256") if digests else ("ids", "decoded")

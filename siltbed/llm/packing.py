@@ -19,7 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import text_encoder, words_of
+from .bpe import batch_ids, text_encoder
+from .wordhash import slices
 
 TIERS = (256, 512, 1024, 2048)
 # Windows of a step group, counted in the longest tier.
@@ -161,7 +162,7 @@ def pack_documents(
     end = separator.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = text_encoder(path, "bytes", lambda found: b"".join(i.to_bytes(4, "little") for i in found), by_library=True)
+        encoder = text_encoder(path, by_library=True)
         packer, documents = Packer(tiers), {}
         first = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 36
         serial = sequences = groups = 0
@@ -197,10 +198,11 @@ def pack_documents(
                 names.append("ids")
             return pa.RecordBatch.from_arrays(arrays, names)
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             id_type = batch.schema.field("id").type
-            for owner, text in zip(batch.column("id").to_pylist(), batch.column("text")):
-                data = b"".join(encoder.lookup(words_of(text.as_py()))) + end
+            flat, bounds = batch_ids(encoder, batch.column("text"))
+            for owner, low, high in zip(batch.column("id").to_pylist(), bounds, bounds[1:]):
+                data = flat[low:high].tobytes() + end
                 serial += 1
                 documents[serial] = owner, len(data) // 4
                 packer.add(serial, data)

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 from siltbed.llm import bpe
 from siltbed.llm.queries import WORD_BPE
@@ -40,7 +41,7 @@ def test_library_words_and_cache_give_the_same(encoder, library, monkeypatch):
     rnd = random.Random(6)
     for _ in range(300):
         text = " ".join(rnd.choice(PARTS) for _ in range(12))
-        assert [i for ids in cached.lookup(bpe.words_of(text)) for i in ids] == encoder.encode(text)
+        assert cached.encode(text) == encoder.encode(text)
 
 
 def test_merges_of_equal_letters(library):
@@ -48,6 +49,27 @@ def test_merges_of_equal_letters(library):
     assert small.encode("aaa") == [1, 0]
     assert small.encode("aaaaab") == [2, 4]
     assert small.encode("aaab") == [1, 4]
+    words = ["aaa", "", "zz", "aaaaab", "azb", "aaab", "b"]
+    assert small.encode_many(words) == [bpe.id_bytes(small.encode(w)) for w in words]
+    assert small.encode_many([]) == [] and small.encode_many(["z"]) == [b""]
+
+
+def test_batches_give_what_words_give(encoder):
+    """One table for all words gives what a table for each gives; letters the vocabulary lacks are left out."""
+    rnd = random.Random(8)
+    own = encoder._encode_many.__self__
+    letters = list(own.known - {own._last("a")}) + ["\u2603"]
+    letters = [c for c in letters if ord(c) < 0xF0000]
+    for _ in range(20):
+        words = ["".join(rnd.choices(letters[:40] if k % 2 else letters, k=rnd.randint(1, 25))) for k in range(300)]
+        assert own.encode_many(words) == [bpe.id_bytes(own.encode(w)) for w in words]
+
+
+def test_batch_of_texts(encoder, library):
+    texts = ["a  b\x1cc", "", "don't  stop", "\u3000x\u2028y ", "<|endoftext|>a", "é" * 300]
+    flat, bounds = bpe.batch_ids(encoder, pa.array(texts))
+    got = [flat[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_documents(edge_docs, no_docs, library):
