@@ -7,11 +7,15 @@ register with the probability that is their probability Jaccard similarity. A sh
 process is left as soon as its next arrival is later than all registers' first ones.
 
 Texts with equal weighted sets become one node. Nodes that agree in a band meet in a bucket.
-In two rounds each node is verified against the node of its buckets whose sketch is most
-like its own, among those not yet connected with it. In buckets that still hold several
-components, all pairs between components whose sketches are similar are then verified in
-place, in blocks of a bucket, each pair in the first bucket that it shares. Only links leave
-a block, so that nothing grows with the square of a group. No bucket is dropped or cut.
+First each node is verified against the first and the last node of its buckets, which
+settles most of a group of copies with two pairs a member. In two rounds each node is then
+verified against the node of its buckets whose sketch is most like its own, among those not
+yet connected with it. In buckets that still hold several components, all pairs between
+components whose sketches are similar are at last verified in place, in blocks of a bucket,
+each pair in the first bucket that it shares. The largest component of a bucket meets only
+blocks of the others, so a bucket costs its members times those that are not connected with
+most of them: what grows with the square is only a bucket of texts that share a band and
+are not alike. Only links leave a block. No bucket is dropped or cut.
 """
 
 from __future__ import annotations
@@ -42,6 +46,10 @@ _STEP = np.uint64(0xD1B54A32D192ED03)
 _BETWEEN = r"[^\x00-\x7F\p{L}\p{M}\p{N}]+"
 _UNSPACED = "[" + "".join(rf"\p{{Is{s}}}" for s in ("Han", "Hiragana", "Katakana", "Bopomofo", "Yi", "Thai", "Lao", "Khmer", "Myanmar", "Tai_Le", "New_Tai_Lue", "Tai_Tham", "Tai_Viet", "Javanese", "Balinese")) + r"]\p{M}*"
 
+# Whether a text has anything beyond ASCII and Latin letters; whether it has a script without blanks (or later ones).
+_ODD = r"[^\x00-\x7F\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u02AF]"
+_BEYOND = r"[\u0E00-\x{10FFFF}]"
+
 
 def weighted_set(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different shingles in order, and how often each occurs."""
@@ -100,29 +108,21 @@ def probability_jaccard(e1: np.ndarray, w1: np.ndarray, e2: np.ndarray, w2: np.n
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in (part for whole in batches for part in slices(whole, "text")):
         hashes, bounds = shingles(*word_hashes(batch.column("text")), WORDS)
-        nodes, keys, sketches = [], [], []
+        nodes, keys, sketches, sets = [], [], [], []
         for start, end in zip(bounds, bounds[1:]):
             if start == end:
-                nodes.append(None), keys.append(None), sketches.append(None)
+                nodes.append(None), keys.append(None), sketches.append(None), sets.append((None, None))
                 continue
             elements, weights = weighted_set(hashes[start:end])
             holder = signature(elements, weights)
-            nodes.append(hashlib.blake2b(elements.tobytes() + weights.tobytes(), digest_size=16).digest())
+            sets.append((elements.tobytes(), weights.tobytes()))
+            nodes.append(hashlib.blake2b(b"".join(sets[-1]), digest_size=16).digest())
             keys.append(band_keys(holder))
             sketches.append((mix(holder) >> np.uint64(32)).astype("<u4").tobytes())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), batch.column("content"), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-            ["id", "content", "node", "bands", "sketch"],
-        )
-
-
-def _weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in (part for whole in batches for part in slices(whole, "text")):
-        hashes, bounds = shingles(*word_hashes(batch.column("text")), WORDS)
-        sets = [weighted_set(hashes[start:end]) for start, end in zip(bounds, bounds[1:])]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("node"), *(pa.array([s[k].tobytes() for s in sets], pa.binary()) for k in (0, 1))],
-            ["node", "elements", "weights"],
+            [batch.column("id"), batch.column("content"), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary()),
+             *(pa.array([own[k] for own in sets], pa.binary()) for k in (0, 1))],
+            ["id", "content", "node", "bands", "sketch", "elements", "weights"],
         )
 
 
@@ -139,15 +139,21 @@ def _verified(threshold: float):
     return run
 
 
+def _bytes(column: pa.Array, kind: str) -> np.ndarray:
+    """A matrix of binary values of one length, a row for each."""
+    return np.frombuffer(b"".join(x.as_buffer() for x in column), kind).reshape(len(column), -1)
+
+
 class _Block:
     """Members of a bucket, or of two of its blocks, in one place."""
 
-    def __init__(self, key: tuple, rows: list[dict]):
-        self.key, self.rows = key, rows
-        self.sketches = np.stack([np.frombuffer(r["sketch"], "<u4") for r in rows])
-        self.bands = np.array([r["bands"] for r in rows], np.int64)
-        self.labels = np.unique([r["label"].hex() for r in rows], return_inverse=True)[1]
-        self.blocks = np.array([r["block"] for r in rows])
+    def __init__(self, key: tuple, parts: list[pa.RecordBatch]):
+        self.key, self.rows = key, pa.concat_batches(parts)
+        self.sketches = _bytes(self.rows.column("sketch"), "<u4")
+        bands = self.rows.column("bands")
+        self.bands = bands.flatten().to_numpy().reshape(len(bands), -1)
+        self.labels = self.rows.column("label").dictionary_encode().indices.to_numpy(zero_copy_only=False).copy()
+        self.blocks = self.rows.column("block").to_numpy()
 
     def others(self, i: int) -> tuple[np.ndarray, np.ndarray]:
         """Members with other labels and similar sketches that this block answers for, and how similar."""
@@ -167,31 +173,37 @@ class _Block:
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
     """Rows that come ordered by bucket and pair of blocks, a pair at a time."""
-    key, rows = None, []
+    key, parts, held = None, [], 0
     for batch in batches:
-        for row in batch.to_pylist():
-            own = row["bucket"], row["low"], row["high"]
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy() for c in ("bucket", "low", "high")])
+        cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+        for start, end in zip([0, *cuts], [*cuts, batch.num_rows]):
+            own = tuple(int(k) for k in keys[:, start])
             if own != key:
-                if len(rows) > 1:
-                    yield _Block(key, rows)
-                key, rows = own, []
-            rows.append(row)
-    if len(rows) > 1:
-        yield _Block(key, rows)
+                if held > 1:
+                    yield _Block(key, parts)
+                key, parts, held = own, [], 0
+            parts.append(batch.slice(start, end - start))
+            held += end - start
+    if held > 1:
+        yield _Block(key, parts)
 
 
 def _nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each member the one of another label whose sketch is most like its own."""
-    names = ["a", "b", "alike"]
-    kinds = [pa.binary(), pa.binary(), pa.float64()]
     for block in _blocks(batches):
         found = []
-        for i, row in enumerate(block.rows):
+        for i in range(len(block.blocks)):
             others, alike = block.others(i)
             if len(others):
                 best = int(np.argmax(alike))
-                found.append((row["node"], block.rows[others[best]]["node"], float(alike[best])))
-        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], kind) for k, kind in enumerate(kinds)], names)
+                found.append((i, int(others[best]), float(alike[best])))
+        nodes = block.rows.column("node")
+        yield pa.RecordBatch.from_arrays(
+            [*(nodes.take(pa.array([f[k] for f in found], pa.int64())) for k in (0, 1)), pa.array([f[2] for f in found], pa.float64())], ["a", "b", "alike"]
+        )
 
 
 _BLOCK_ROW = "bucket long, low int, high int, node binary, label binary, block int, sketch binary, bands array<bigint>"
@@ -200,10 +212,8 @@ _BLOCK_ROW = "bucket long, low int, high int, node binary, label binary, block i
 def _unsettled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The members that some other of another label may be linked with."""
     for block in _blocks(batches):
-        rows = [row for i, row in enumerate(block.rows) if len(block.others(i)[0])]
-        columns = [c.split()[0] for c in _BLOCK_ROW.split(", ")]
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
-        yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], k) for c, k in zip(columns, kinds)], columns)
+        open_rows = [i for i in range(len(block.blocks)) if len(block.others(i)[0])]
+        yield block.rows.select([c.split()[0] for c in _BLOCK_ROW.split(", ")]).take(pa.array(open_rows, pa.int64()))
 
 
 def _settled(threshold: float):
@@ -211,7 +221,8 @@ def _settled(threshold: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches):
-            sets = [(np.frombuffer(r["elements"], np.uint64), np.frombuffer(r["weights"], np.uint32)) for r in block.rows]
+            columns = (block.rows.column(c) for c in ("elements", "weights"))
+            sets = [(np.frombuffer(e.as_buffer(), np.uint64), np.frombuffer(w.as_buffer(), np.uint32)) for e, w in zip(*columns)]
             plain = np.array([w.max(initial=1) == 1 for _, w in sets])
             sizes = np.array([len(e) for e, _ in sets])
             links = []
@@ -231,45 +242,49 @@ def _settled(threshold: float):
                     linked += [j for j in np.setdiff1d(part, simple) if probability_jaccard(*sets[i], *sets[j]) >= threshold - 1e-12]
                     for j in linked:
                         if block.labels[i] != block.labels[j]:
-                            links.append((block.rows[i]["node"], block.rows[j]["node"]))
+                            links.append((i, int(j)))
                             block.labels[block.labels == block.labels[j]] = block.labels[i]
                     if linked and len(others):
                         others = others[block.labels[others] != block.labels[i]]
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)], ["a", "b"])
+            nodes = block.rows.column("node")
+            yield pa.RecordBatch.from_arrays([nodes.take(pa.array([x[k] for x in links], pa.int64())) for k in (0, 1)], ["a", "b"])
 
     return run
 
 
 def in_words(text: Column) -> Column:
-    """Lower-case text in which every byte beyond ASCII is part of a word, and unspaced letters are words."""
-    return F.regexp_replace(F.regexp_replace(F.lower(text), _BETWEEN, " "), _UNSPACED, " $0 ")
+    """Lower-case text in which what is no letter, mark or digit beyond ASCII is a blank, and unspaced letters are words.
 
+    Texts of ASCII and Latin letters alone are that already.
+    """
+    lower = F.lower(text)
+    apart = F.regexp_replace(lower, _BETWEEN, " ")
+    unspaced = F.when(apart.rlike(_BEYOND), F.regexp_replace(apart, _UNSPACED, " $0 ")).otherwise(apart)
+    plain = (F.octet_length(lower) == F.char_length(lower)) | ~lower.rlike(_ODD)
+    return F.when(plain, lower).otherwise(unspaced)
 
-def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """One row per row: id, ``class_id`` (smallest id of its class), ``class_size``, ``kept``.
 
-    Classes are the connected components of pairs whose probability Jaccard similarity is at
-    least ``similarity``; words are runs of letters, marks and digits in lower case, and single letters in
-    scripts without blanks between words (Chinese, Japanese, Thai and others). A text of less
-    than five words is one shingle; a null text or one without words is a class of its own.
-    ``kept`` holds for rows with the class's id, so for all rows that repeat that id. In a
-    class a null id is named only where all are null. Empty tables give no rows.
-    """
+def _content(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit(""))))
+
+
+def _classes(docs: DataFrame, id_column: str, text_column: str, similarity: float) -> DataFrame:
+    """``id, content, least, n, keeper`` of every row: a digest of its text, and of its class the least id, the
+    number of rows and the row that stays; the last three are null where no other row is in the class."""
     text = in_words(F.coalesce(F.col(text_column).cast("string"), F.lit("")))
-    rows = docs.select(F.col(id_column).alias("id"), text.alias("text"), F.unhex(F.md5(text)).alias("content"))
+    rows = docs.select(F.col(id_column).alias("id"), text.alias("text"), _content(F.col(text_column)).alias("content"))
     kind = rows.schema["id"].dataType.simpleString()
-    signed = stored(rows.mapInArrow(_sign, f"id {kind}, content binary, node binary, bands array<bigint>, sketch binary"), "signed")
+    signed = stored(rows.mapInArrow(_sign, f"id {kind}, content binary, node binary, bands array<bigint>, sketch binary, elements binary, weights binary"), "signed")
 
     met = signed.where("node is not null").select("node", F.explode("bands").alias("bucket")).distinct()
-    shared = met.groupBy("bucket").count().where("count > 1").select("bucket")
-    members = stored(met.join(shared, "bucket", "left_semi"), "members")
+    ends = met.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last")
+    members = stored(met.join(ends.select("bucket"), "bucket", "left_semi"), "members")
+    # Only nodes that meet others go on, each once, with what their texts are compared by.
+    met_nodes = members.select("node").distinct()
     candidates = stored(
-        signed.join(members.select("node").distinct(), "node", "left_semi").groupBy("node")
-        .agg(F.min("content").alias("content"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")),
-        "candidates",
+        signed.join(met_nodes, "node", "left_semi").groupBy("node").agg(*[F.first(c).alias(c) for c in ("sketch", "bands", "elements", "weights")]), "candidates",
     )
-    texts = rows.groupBy("content").agg(F.first("text").alias("text"))
-    sets = stored(texts.join(candidates.select("node", "content"), "content").select("node", "text").mapInArrow(_weigh, "node binary, elements binary, weights binary"), "sets")
+    sets = candidates.select("node", "elements", "weights")
 
     def verified(pairs: DataFrame) -> DataFrame:
         for side in "ab":
@@ -277,39 +292,65 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text_column:
             pairs = pairs.join(own, side)
         return stored(pairs.mapInArrow(_verified(similarity), "a binary, b binary"), "verified")
 
-    def in_blocks(labels: DataFrame | None) -> DataFrame:
-        """Members of buckets that hold several components, dealt to pairs of blocks of the bucket."""
-        if labels is None:
-            now = members.withColumn("label", F.col("node"))
-        else:
-            now = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        parts = now.groupBy("bucket", "label").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("n").alias("n"))
-        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    def in_blocks(labels: DataFrame) -> DataFrame:
+        """Members of buckets that hold several components, dealt to pairs of blocks of the bucket.
+
+        The largest component has blocks of its own. Two of its members are never compared, so these
+        blocks are paired with the others' only.
+        """
+        now = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        parts = now.groupBy("bucket", "label").agg(F.count("*").alias("n")).groupBy("bucket").agg(
+            F.count("*").alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("main")
+        )
+        blocks = parts.where("parts > 1").select(
+            "bucket", F.col("main.label").alias("main"), F.ceil(F.col("main.n") / BLOCK).cast("int").alias("mains"),
+            F.ceil((F.col("n") - F.col("main.n")) / BLOCK).cast("int").alias("others"),
+        )
+        inside = F.col("label") == F.col("main")
+        number = F.xxhash64("node")
+        block = F.when(inside, F.pmod(number, F.col("mains"))).otherwise(F.col("mains") + F.pmod(number, F.col("others")))
+        last = F.col("mains") + F.col("others") - 1
         return (
-            now.join(parts.where("parts > 1").select("bucket", blocks.alias("blocks")), "bucket")
-            .join(candidates.drop("content"), "node")
-            .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            now.join(blocks, "bucket").join(candidates.select("node", "sketch", "bands"), "node")
+            .withColumn("block", block.cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.when(inside, F.col("mains")).otherwise(0), last)))
             .select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node", "label", "block", "sketch", "bands")
         )
 
     def together(rows: DataFrame) -> DataFrame:
         return rows.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
 
-    links, labels = None, None
+    met_ends = members.join(ends, "bucket")
+    to_ends = met_ends.select("node", F.col("first").alias("b")).union(met_ends.select("node", "last")).where("node <> b")
+    links = verified(to_ends.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct())
+    labels = components(links)
     for _ in range(2):
         near = together(in_blocks(labels)).mapInArrow(_nearest, "a binary, b binary, alike double")
         one_each = near.groupBy("a").agg(F.max(F.struct("alike", "b")).alias("best")).select("a", "best.b")
         found = verified(one_each.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        links = found if links is None else links.union(found)
+        links = links.union(found)
         labels = components(links)
     open_rows = together(in_blocks(labels)).mapInArrow(_unsettled, _BLOCK_ROW)
     last = together(stored(open_rows, "unsettled").join(sets, "node")).mapInArrow(_settled(similarity), "a binary, b binary")
     labels = components(links.union(last))
 
-    classed = signed.select("id", "node").join(labels, "node", "left").withColumn("class", F.coalesce("label", "node"))
-    sizes = classed.where("class is not null").groupBy("class").agg(F.min("id").alias("least"), F.count("*").alias("n"))
-    found = classed.join(sizes.where("n > 1"), "class", "left")
+    classed = signed.select("id", "content", "node").join(labels, "node", "left").withColumn("class", F.coalesce("label", "node"))
+    keeper = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "content")).alias("keeper")
+    sizes = classed.where("class is not null").groupBy("class").agg(F.min("id").alias("least"), F.count("*").alias("n"), keeper)
+    return classed.join(sizes.where("n > 1"), "class", "left").select("id", "content", "least", "n", "keeper")
+
+
+def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """One row per row: id, ``class_id`` (smallest id of its class), ``class_size``, ``kept``.
+
+    Classes are the connected components of pairs whose probability Jaccard similarity is at
+    least ``similarity``; words are runs of letters, marks and digits in lower case, and single letters in
+    scripts without blanks between words (Chinese, Japanese, Thai and others). A text of less
+    than five words is one shingle; a null text or one without words is a class of its own.
+    ``kept`` holds for rows with the class's id, so for all rows that repeat that id. In a
+    class a null id is named only where all are null. Empty tables give no rows.
+    """
+    found = _classes(docs, id_column, text_column, similarity)
     class_id = F.when(F.col("n").isNull(), F.col("id")).otherwise(F.col("least"))
     return found.select(
         F.col("id").alias(id_column), class_id.alias("class_id"), F.coalesce("n", F.lit(1).cast("long")).alias("class_size"),
@@ -318,7 +359,14 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text_column:
 
 
 def without_near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` that stay, one document of each class. Rows without an id stay."""
-    found = near_duplicates(docs, id_column=id_column, text_column=text_column, similarity=similarity)
-    gone = found.where("not kept").select(id_column).distinct()
-    return docs.join(gone, id_column, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` that stay, one document of each class, in the columns of ``docs``.
+
+    It is the one of the smallest id, null being last, and of several texts under that id the one of the
+    smallest digest; so an id that repeats with other texts loses none of their classes. Rows that repeat
+    both id and text are one document and stay or go together. A null text or one without words stays.
+    """
+    own = _classes(docs, id_column, text_column, similarity)
+    stays = F.col("id").eqNullSafe(F.col("keeper.id")) & (F.col("content") == F.col("keeper.content"))
+    gone = own.where(F.col("n").isNotNull() & ~stays).select(F.col("id").alias("gone_id"), F.col("content").alias("gone_content")).distinct()
+    same = docs[id_column].eqNullSafe(gone["gone_id"]) & (_content(docs[text_column]) == gone["gone_content"])
+    return docs.join(gone, same, "left_anti")

@@ -95,6 +95,34 @@ def test_edges(edge_docs, no_docs):
     assert {r.doc_id for r in kept.collect()} == {None, 1, 4, 5, 6, 7, 9, 10, 12}
 
 
+def test_repeated_ids_lose_no_text(spark):
+    """An id that repeats with another text: each class keeps one document, by row and not by id."""
+    a, b = (" ".join(f"{x}{k}" for k in range(60)) for x in "ab")
+    rows = [(3, a, 1), (5, b, 2), (5, a, 3), (7, b + " more", 4), (None, a + " end", 5), (None, "alone but for itself here", 6), (9, None, 7), (9, None, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, gone_id int").repartition(3)
+    kept = minhash.without_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.gone_id for r in kept.collect()) == [1, 2, 6, 7, 8]
+
+
+def test_hot_bucket_is_settled_in_linear_passes(spark, monkeypatch):
+    """Of a large group of near copies with a few strangers only the strangers meet block by block."""
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    rnd = np.random.default_rng(9)
+    source = [f"w{k}" for k in range(300)]
+    rows = []
+    for k in range(300):
+        text = list(source)
+        text[int(rnd.integers(0, 300))] = f"edit{k}"
+        rows.append((k, " ".join(text)))
+    asked = []
+    plain = minhash.stored
+    monkeypatch.setattr(minhash, "stored", lambda rows, name: asked.append((name, made := plain(rows, name))) or made)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert set(result(docs)) == {(k, 0, 300) for k in range(300)}
+    assert [made.count() for name, made in asked if name == "unsettled"] == [0]
+
+
 def test_equals_brute_force(spark, monkeypatch):
     """With small blocks, and a group of near copies that only their source connects."""
     monkeypatch.setattr(minhash, "BLOCK", 4)
