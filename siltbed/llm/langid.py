@@ -113,13 +113,20 @@ def best_mixture(likelihood: np.ndarray, words: np.ndarray, penalty: float = PEN
 class LanguageModel:
     languages: list[str]
     logs: np.ndarray  # bucket x language
+    expected: np.ndarray  # mean logarithm of a trigram of each language's training texts
+    least: np.ndarray  # logarithm of a trigram that these lack
 
-    def mixtures(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Proportions of each text (all nought without words) and its number of languages."""
+    def mixtures(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Proportions of each text (all nought without words), its number of languages and its fit.
+
+        The fit is the mean logarithm of a trigram's chance under the likeliest language, on a scale from
+        0 for trigrams that its training texts lack to 1 for their own mean.
+        """
         n = len(texts)
         share, size = np.zeros((n, len(self.languages))), np.zeros(n, np.int64)
+        totals, trigrams = np.zeros((n, len(self.languages))), np.zeros(n, np.int64)
         if not self.languages:
-            return share, size
+            return share, size, np.zeros(n)
         data, bounds = buffer_of(texts)
         held, held_words = [], 0
 
@@ -138,6 +145,9 @@ class LanguageModel:
             lengths = chunk.ends - chunk.starts
             likelihood = np.add.reduceat(logs, np.concatenate([[0], np.cumsum(lengths)[:-1]]), axis=0)
             text = np.searchsorted(bounds, chunk.starts + at, side="right") - 1
+            begin = np.flatnonzero(np.diff(text, prepend=-1))
+            totals[text[begin]] += np.add.reduceat(likelihood, begin, axis=0, dtype=np.float64)
+            trigrams[text[begin]] += np.add.reduceat(lengths, begin)
             held.append((likelihood, text))
             held_words += len(text)
             while held_words > WORDS_AT_ONCE:
@@ -150,18 +160,24 @@ class LanguageModel:
                 settle([(likelihood[:cut], text[:cut])])
         if held:
             settle(held)
-        return share, size
+        likeliest = totals.argmax(axis=1)
+        mean, least = totals[np.arange(n), likeliest] / np.maximum(trigrams, 1), self.least[likeliest]
+        return share, size, (mean - least) / np.maximum(self.expected[likeliest] - least, 1e-9)
 
     def described(self, texts: pa.Array, letters: pa.Array) -> list[pa.Array]:
-        """Language, its share and all shares of each text."""
-        share, size = self.mixtures(texts)
+        """Language, its share, all shares and fit of each text."""
+        share, size, fit = self.mixtures(texts)
         names, scores, maps = [], [], []
         for own, k, some in zip(share, size, letters.to_pylist()):
             best = int(own.argmax()) if k and some else -1
             names.append(self.languages[best] if best >= 0 else UNKNOWN)
             scores.append(min(1.0, float(own[best])) if best >= 0 else 0.0)
             maps.append([(self.languages[j], float(own[j])) for j in np.flatnonzero(own > 0)] if best >= 0 else [])
-        return [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(maps, pa.map_(pa.string(), pa.float64()))]
+        known = size > 0
+        return [
+            pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(maps, pa.map_(pa.string(), pa.float64())),
+            pa.array(fit, mask=~known),
+        ]
 
 
 def train(docs: DataFrame, *, rows_per_language: int = ROWS_PER_LANGUAGE) -> LanguageModel:
@@ -170,7 +186,7 @@ def train(docs: DataFrame, *, rows_per_language: int = ROWS_PER_LANGUAGE) -> Lan
     About ``rows_per_language`` rows of a language at most, those with the least hashes.
     Null texts and languages teach nothing.
     """
-    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+    rows = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     # The share of a language's rows that is about as many as wanted, by a hash of the row.
     shares = rows.groupBy("lang").agg((F.lit(float(rows_per_language)) / F.count("*")).alias("share"))
     place = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 11) * 2.0 ** -53
@@ -193,26 +209,31 @@ def train(docs: DataFrame, *, rows_per_language: int = ROWS_PER_LANGUAGE) -> Lan
     place = {name: k for k, name in enumerate(names)}
     columns = np.array([place[x] for x in counted.column("lang").to_pylist()], np.int64)
     counts[counted.column("bucket").to_numpy(), columns] += counted.column("n").to_numpy()
-    return LanguageModel(names, np.log(counts / counts.sum(axis=0)).astype(np.float32))
+    logs = np.log(counts / counts.sum(axis=0))
+    seen = counts - SMOOTHING
+    expected = (seen * logs).sum(axis=0) / np.maximum(seen.sum(axis=0), 1)
+    return LanguageModel(names, logs.astype(np.float32), expected, logs.min(axis=0))
 
 
 def mixture(model: LanguageModel, text: Column) -> Column:
-    """A struct of ``lang_pred``, ``score`` and ``proportions``; see :func:`identify`."""
+    """A struct of ``lang_pred``, ``score``, ``proportions`` and ``fit``; see :func:`identify`."""
     text = F.coalesce(text.cast("string"), F.lit(""))
 
-    @F.arrow_udf("struct<lang_pred string, score double, proportions map<string,double>>")
+    @F.arrow_udf("struct<lang_pred string, score double, proportions map<string,double>, fit double>")
     def found(texts: pa.Array, letters: pa.Array) -> pa.Array:
-        return pa.StructArray.from_arrays(model.described(texts, letters), ["lang_pred", "score", "proportions"])
+        return pa.StructArray.from_arrays(model.described(texts, letters), ["lang_pred", "score", "proportions", "fit"])
 
     return found(F.lower(text), text.rlike(r"\p{L}"))
 
 
 def identify(docs: DataFrame, model: LanguageModel, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per row: id, ``held_out``, ``lang_pred``, ``score``, ``proportions``.
+    """One row per row: id, ``held_out``, ``lang_pred``, ``score``, ``proportions``, ``fit``.
 
     ``proportions`` maps the languages of the chosen set to their shares of the words;
     ``lang_pred`` is the one with the largest (ties to the first name) and ``score`` its share.
     A null text or one without a letter is ``und`` with score 0, as all are without a model.
+    ``fit`` is 1 for texts whose trigrams are on average as likely as those of the training texts, 0 where
+    these have none of them; null where nothing could be learned or a text has no words.
     """
     rows = docs.select(F.col(id_column).alias("id"), mixture(model, F.col(text_column)).alias("found"))
     return rows.select(F.col("id").alias(id_column), held_out(F.col("id")).alias("held_out"), "found.*")
