@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from urllib.parse import urljoin
 
@@ -27,7 +29,9 @@ LINES = (
 
 _COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>", re.S)
 _REST = r"\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
-_OPENING = {names: re.compile(rf"<({'|'.join(names)}){_REST}", re.I) for names in (RAW, OTHER)}
+# Comments and raw text are looked for together: what looks like one within the other is none.
+_COMMENT_OR_RAW = re.compile(rf"{_COMMENT.pattern}|<(?P<name>{'|'.join(RAW)}){_REST}", re.S | re.I)
+_OTHER = re.compile(rf"<(?P<name>{'|'.join(OTHER)}){_REST}", re.I)
 _END = {name: re.compile(rf"</{name}\s*>" + (r"|(?=<body\b)" if name == "head" else ""), re.I) for name in HIDDEN}
 # What a head without an end consists of.
 _IN_HEAD = re.compile(rf"(?:\s+|<title{_REST}.*?</title\s*>|<(?:meta|link|base){_REST})*", re.S | re.I)
@@ -39,6 +43,11 @@ _HEAD = {
     "lang": re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z0-9-]+)", re.I),
     "charset": re.compile(r"<meta\b[^>]*?\bcharset\s*=\s*[\"']?([A-Za-z0-9_-]+)", re.I),
 }
+_META = re.compile(rb"<meta\b[^>]*?\bcharset\s*=\s*[\"']?\s*([A-Za-z0-9_:.-]+)", re.I)
+_CHUNK = re.compile(rb"([0-9A-Fa-f]{1,8})[ \t]*(?:;[^\r\n]*)?\r\n")
+# Byte order marks, and the names that pages give to Windows' Western character set.
+_MARKS = ((b"\xef\xbb\xbf", "utf-8", 3), (b"\xff\xfe", "utf-16-le", 2), (b"\xfe\xff", "utf-16-be", 2))
+_CHARSETS = dict.fromkeys(("iso-8859-1", "iso8859-1", "latin1", "latin-1", "ascii", "us-ascii", "windows-1252"), "cp1252")
 _BLANKS = re.compile(r"[^\S\n]+")
 _UNSAFE = re.compile(r"[\x00-\x20\x7f]")
 _LINE_SET = frozenset(LINES)
@@ -91,13 +100,19 @@ def _attributes(tag: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in reversed(list(_ATTRIBUTE.finditer(tag)))}
 
 
-def _without(page: str, names: tuple[str, ...]) -> str:
-    """The page without these elements; of one that is empty or never closed only the tag goes, except for raw text."""
+def _without(page: str, pattern: re.Pattern) -> str:
+    """The page without the elements and comments of a pattern.
+
+    Of an element that is empty or never closed only the tag goes, except for raw text.
+    """
     kept, at, open_names = [], 0, set()
-    while m := _OPENING[names].search(page, at):
-        name = m[1].lower()
-        kept += page[at:m.start()], "\n"
+    while m := pattern.search(page, at):
+        kept.append(page[at:m.start()])
         at = m.end()
+        if m["name"] is None:
+            continue
+        name = m["name"].lower()
+        kept.append("\n")
         if m[0].endswith("/>"):
             continue
         end = None if name in open_names else _END[name].search(page, at)
@@ -113,16 +128,80 @@ def _without(page: str, names: tuple[str, ...]) -> str:
 
 def plain_text(page: str) -> str:
     """The text of a page: no hidden elements, a line for each block, single blanks, no empty lines."""
-    page = _without(_without(_COMMENT.sub("", page), RAW), OTHER)
+    page = _without(_without(page, _COMMENT_OR_RAW), _OTHER)
     page = _TAG.sub(lambda m: "\n" if (name := m[1].lower()) in _LINE_SET else " " if name in ("td", "th") else "", page)
     lines = (_BLANKS.sub(" ", line).strip() for line in html.unescape(page).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
+def unchunked(body: bytes) -> bytes:
+    """A body without the sizes of its chunks; raises ValueError where one is cut short.
+
+    A body that does not begin with a size was put together by the crawler already.
+    """
+    if not _CHUNK.match(body):
+        return body
+    found, at = [], 0
+    while m := _CHUNK.match(body, at):
+        size = int(m[1], 16)
+        if not size:
+            return b"".join(found)
+        found.append(body[m.end():m.end() + size])
+        at = m.end() + size
+        if len(found[-1]) < size or body[at:at + 2] != b"\r\n":
+            raise ValueError("a chunk of the body is cut short")
+        at += 2
+    raise ValueError("the last chunk of the body is missing")
+
+
+def decompressed(body: bytes, codings: list[str]) -> bytes:
+    """A body without its content codings, the last one first; raises ValueError where that fails.
+
+    A body that does not begin as gzip data does was decompressed by the crawler already.
+    """
+    for coding in reversed(codings):
+        if coding in ("", "identity") or coding in ("gzip", "x-gzip") and not body.startswith(b"\x1f\x8b"):
+            continue
+        if coding not in ("gzip", "x-gzip", "deflate"):
+            raise ValueError(f"the body is coded as {coding}")
+        try:
+            if coding == "deflate":
+                try:
+                    body = zlib.decompress(body)
+                except zlib.error:  # without the header, as some servers send it
+                    body = zlib.decompress(body, -zlib.MAX_WBITS)
+            else:
+                body = gzip.decompress(body)
+        except (zlib.error, EOFError, OSError) as e:
+            raise ValueError(f"the body is not whole {coding} data") from e
+    return body
+
+
+def page_text(body: bytes, content_type: str) -> str:
+    """A body as text: in the character set of the header, else of a byte order mark, else of the page, else UTF-8."""
+    named = re.search(r"charset\s*=\s*[\"']?([A-Za-z0-9_:.-]+)", content_type, re.I)
+    mark = next(((name, size) for bom, name, size in _MARKS if body.startswith(bom)), None)
+    for name in (named and named[1], mark and mark[0]):
+        if name and (found := _decoded(body, name)) is not None:
+            return found.removeprefix("\ufeff")
+    meta = _META.search(body[:4096])
+    name = meta[1].decode("ascii").lower() if meta else "utf-8"
+    # A page whose declaration could be read is in no coding of two bytes.
+    found = _decoded(body, "utf-8" if name.startswith("utf-16") else name)
+    return body.decode("utf-8", "replace") if found is None else found
+
+
+def _decoded(body: bytes, charset: str) -> str | None:
+    try:
+        return body.decode(_CHARSETS.get(charset.lower(), charset), "replace")
+    except LookupError:
+        return None
+
+
 def describe(page: str, uri: str) -> list[tuple[str, str]]:
     """Title, language, character set and links of a page, as fields of a metadata record."""
     found = []
-    bare = _COMMENT.sub("", page)
+    bare = _without(page, _COMMENT_OR_RAW)
     for name, pattern in _HEAD.items():
         if m := pattern.search(bare):
             value = " ".join(html.unescape(m[1]).split())
@@ -161,16 +240,19 @@ def derivatives(record: bytes) -> list[dict]:
         raise ValueError("the block is not an HTTP response")
     http = parse_headers(lines[1:])
     kind = field(http, "Content-Type") or ""
-    charset = re.search(r"charset=[\"']?([A-Za-z0-9_-]+)", kind)
-    try:
-        page = body.decode(charset[1] if charset else "utf-8", "replace")
-    except LookupError:
-        page = body.decode("utf-8", "replace")
+    stored = body
+    if "chunked" in (field(http, "Transfer-Encoding") or "").lower():
+        body = unchunked(body)
     source, uri, date = field(headers, "WARC-Record-ID") or "", field(headers, "WARC-Target-URI"), field(headers, "WARC-Date")
+    # The payload is the body without chunk sizes; some writers take the digest of what is stored.
     given, computed = field(headers, "WARC-Payload-Digest"), sha1_base32(body)
+    agrees = given in (None, computed) or body is not stored and given == sha1_base32(stored)
     is_text = not kind or kind.lower().startswith(("text/", "application/xhtml"))
+    if is_text:
+        codings = [c.strip().lower() for c in (field(http, "Content-Encoding") or "").split(",")]
+        page = page_text(decompressed(body, codings), kind)
     fields = [("http-status", lines[0].split(" ", 1)[-1]), *((f"http-{k.lower()}", v) for k, v in http)]
-    fields += [("source-payload-digest", given or ""), ("computed-payload-digest", computed), ("payload-digest-agrees", str(given in (None, computed)).lower())]
+    fields += [("source-payload-digest", given or ""), ("computed-payload-digest", computed), ("payload-digest-agrees", str(agrees).lower())]
     fields += describe(page, uri or "") if is_text else []
     linked = [("WARC-Refers-To", source)]
     linked += [("WARC-Refers-To-Target-URI", uri), ("WARC-Target-URI", uri)] if uri is not None else []
@@ -232,8 +314,9 @@ def derive(records: DataFrame, *, id_column: str, record_column: str = "record")
 
     Returns the id column, the derivative's fields, its ``block`` as text and the whole ``record``;
     ``refers_to`` is the response's identifier. Null records and those of other types have no
-    derivatives; what cannot be read gives one row that says so in ``problem``. Responses that
-    are not text have a metadata record only. Rows are taken one by one, in place.
+    derivatives; what cannot be read gives one row that says so in ``problem``, which holds for bodies whose
+    chunks or content coding (gzip and deflate are known) are broken too. Responses that are not text
+    have a metadata record only. Rows are taken one by one, in place.
     """
     kind = records.schema[id_column].dataType.simpleString()
     rows = records.select(F.col(id_column).alias("id"), F.col(record_column).alias("record"))

@@ -1,6 +1,8 @@
+import gzip
 import hashlib
 import html
 import random
+import zlib
 from html.parser import HTMLParser
 
 import pytest
@@ -102,3 +104,78 @@ def test_hidden_elements_without_an_end():
         ("hello world<script>var a = 1", "hello world"), ("hello world<style>p {}", "hello world"), ("hello world<textarea>no", "hello world"),
     ):
         assert warc.plain_text(page) == text, page
+
+
+def page_of(body, *fields, kind="text/html", digest=True):
+    """The conversion text of a response with this body, or the problem."""
+    block = "\r\n".join(["HTTP/1.1 200 OK", f"Content-Type: {kind}", *fields, "", ""]).encode() + body
+    headers = [("WARC-Type", "response"), ("WARC-Record-ID", "<urn:x>"), ("WARC-Target-URI", "http://a/")]
+    headers += [("WARC-Payload-Digest", warc.sha1_base32(body))] if digest else []
+    try:
+        made = warc.derivatives(warc.serialise(headers, block))
+    except ValueError as e:
+        return str(e)
+    assert "payload-digest-agrees: true" in made[0]["block"]
+    return made[1]["block"]
+
+
+def chunked(body, size=7):
+    parts = [body[k:k + size] for k in range(0, len(body), size)]
+    return b"".join(b"%x;a=b\r\n%s\r\n" % (len(p), p) for p in parts) + b"0\r\nTrailer: x\r\n\r\n"
+
+
+PAGE = "<p>café, « quoted » and more</p>".encode()
+PLAIN = "café, « quoted » and more"
+
+
+@pytest.mark.parametrize(
+    "body, fields, want",
+    [
+        (PAGE, [], PLAIN),
+        (gzip.compress(PAGE), ["Content-Encoding: gzip"], PLAIN),
+        (gzip.compress(PAGE), ["content-encoding: X-GZIP"], PLAIN),
+        (zlib.compress(PAGE), ["Content-Encoding: deflate"], PLAIN),
+        (zlib.compress(PAGE)[2:-4], ["Content-Encoding: deflate"], PLAIN),
+        (gzip.compress(zlib.compress(PAGE)), ["Content-Encoding: deflate, gzip"], PLAIN),
+        (chunked(PAGE), ["Transfer-Encoding: chunked"], PLAIN),
+        (chunked(gzip.compress(PAGE)), ["Transfer-Encoding: chunked", "Content-Encoding: gzip"], PLAIN),
+        # The crawler undid the coding and kept the header.
+        (PAGE, ["Content-Encoding: gzip", "Transfer-Encoding: chunked"], PLAIN),
+        (gzip.compress(PAGE)[:-9], ["Content-Encoding: gzip"], "the body is not whole gzip data"),
+        (b"\x00\x01\x02", ["Content-Encoding: deflate"], "the body is not whole deflate data"),
+        (PAGE, ["Content-Encoding: br"], "the body is coded as br"),
+        (chunked(PAGE)[:26], ["Transfer-Encoding: chunked"], "a chunk of the body is cut short"),
+        (chunked(PAGE).split(b"0\r\nT")[0], ["Transfer-Encoding: chunked"], "the last chunk of the body is missing"),
+        (b"", ["Content-Encoding: gzip"], ""),
+    ],
+)
+def test_encoded_bodies(body, fields, want):
+    assert page_of(body, *fields) == want
+    assert page_of(body, *fields, digest=False) == want
+
+
+@pytest.mark.parametrize(
+    "body, kind, want",
+    [
+        ("<p>café</p>".encode("latin-1"), "text/html; charset=ISO-8859-1", "café"),
+        ("<meta charset='iso-8859-1'><p>café</p>".encode("latin-1"), "text/html", "café"),
+        ("<meta http-equiv=Content-Type content='text/html; charset=windows-1251'><p>слово</p>".encode("cp1251"), "text/html", "слово"),
+        ("\ufeff<p>café</p>".encode("utf-16-le"), "text/html", "café"),
+        ("\ufeff<meta charset=latin1><p>café</p>".encode(), "text/html", "café"),
+        # The header counts before the page, an unknown name in either for nothing.
+        ("<meta charset=utf-8><p>café</p>".encode("latin-1"), "text/html; charset=\"latin1\"", "café"),
+        ("<meta charset=nonsense><p>café</p>".encode(), "text/html; charset=rot13", "café"),
+        ("<p>“q”</p>".encode("cp1252"), "text/html; charset=us-ascii", "“q”"),
+        (b"<meta charset=utf-16><p>a\xff</p>", "text/html", "a\ufffd"),
+    ],
+)
+def test_character_sets(body, kind, want):
+    assert page_of(body, kind=kind) == want
+
+
+def test_comments_and_raw_text():
+    assert warc.plain_text('<script>var s="<!--";</script><p>kept') == "kept"
+    assert warc.plain_text("<!-- <script> --><p>kept</p><style><!-- p{} --></style>too") == "kept\ntoo"
+    assert warc.plain_text("a<!-- open <script>x</script>") == "a"
+    assert ("outlink", "http://a/b") in warc.describe('<script>"<!--"</script><a href=b>x</a>', "http://a/")
+    assert warc.describe('<script>"<a href=no>"</script>', "http://a/") == []
