@@ -7,10 +7,10 @@ register with the probability that is their probability Jaccard similarity. A sh
 process is left as soon as its next arrival is later than all registers' first ones.
 
 Texts with equal weighted sets become one node. Nodes that agree in a band meet in a bucket.
-First each node is verified against the first and the last node of its buckets, which
-settles most of a group of copies with two pairs a member. In two rounds each node is then
-verified against the node of its buckets whose sketch is most like its own, among those not
-yet connected with it. In buckets that still hold several components, all pairs between
+First each node is verified against one node, the first of the most of its buckets, which
+settles most of a group of copies with a pair a member. In two rounds each node that is not
+in the largest component of a bucket is then verified against the node of its buckets whose
+sketch is most like its own, among those not yet connected with it. In buckets that still hold several components, all pairs between
 components whose sketches are similar are at last verified in place, in blocks of a bucket,
 each pair in the first bucket that it shares. The largest component of a bucket meets only
 blocks of the others, so a bucket costs its members times those that are not connected with
@@ -108,21 +108,29 @@ def probability_jaccard(e1: np.ndarray, w1: np.ndarray, e2: np.ndarray, w2: np.n
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in (part for whole in batches for part in slices(whole, "text")):
         hashes, bounds = shingles(*word_hashes(batch.column("text")), WORDS)
-        nodes, keys, sketches, sets = [], [], [], []
+        nodes, keys, sketches = [], [], []
         for start, end in zip(bounds, bounds[1:]):
             if start == end:
-                nodes.append(None), keys.append(None), sketches.append(None), sets.append((None, None))
+                nodes.append(None), keys.append(None), sketches.append(None)
                 continue
             elements, weights = weighted_set(hashes[start:end])
             holder = signature(elements, weights)
-            sets.append((elements.tobytes(), weights.tobytes()))
-            nodes.append(hashlib.blake2b(b"".join(sets[-1]), digest_size=16).digest())
+            nodes.append(hashlib.blake2b(elements.tobytes() + weights.tobytes(), digest_size=16).digest())
             keys.append(band_keys(holder))
             sketches.append((mix(holder) >> np.uint64(32)).astype("<u4").tobytes())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), batch.column("content"), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary()),
-             *(pa.array([own[k] for own in sets], pa.binary()) for k in (0, 1))],
-            ["id", "content", "node", "bands", "sketch", "elements", "weights"],
+            [batch.column("id"), batch.column("content"), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+            ["id", "content", "node", "bands", "sketch"],
+        )
+
+
+def _weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in (part for whole in batches for part in slices(whole, "text")):
+        hashes, bounds = shingles(*word_hashes(batch.column("text")), WORDS)
+        sets = [weighted_set(hashes[start:end]) for start, end in zip(bounds, bounds[1:])]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("node"), *(pa.array([s[k].tobytes() for s in sets], pa.binary()) for k in (0, 1))],
+            ["node", "elements", "weights"],
         )
 
 
@@ -195,18 +203,18 @@ def _nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each member the one of another label whose sketch is most like its own."""
     for block in _blocks(batches):
         found = []
-        for i in range(len(block.blocks)):
+        for i in np.flatnonzero(block.rows.column("asks").to_numpy(zero_copy_only=False)):
             others, alike = block.others(i)
             if len(others):
                 best = int(np.argmax(alike))
-                found.append((i, int(others[best]), float(alike[best])))
+                found.append((int(i), int(others[best]), float(alike[best])))
         nodes = block.rows.column("node")
         yield pa.RecordBatch.from_arrays(
             [*(nodes.take(pa.array([f[k] for f in found], pa.int64())) for k in (0, 1)), pa.array([f[2] for f in found], pa.float64())], ["a", "b", "alike"]
         )
 
 
-_BLOCK_ROW = "bucket long, low int, high int, node binary, label binary, block int, sketch binary, bands array<bigint>"
+_BLOCK_ROW = "bucket long, low int, high int, node binary, label binary, block int, sketch binary, bands array<bigint>, asks boolean"
 
 
 def _unsettled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,26 +279,32 @@ def _content(text: Column) -> Column:
 def _classes(docs: DataFrame, id_column: str, text_column: str, similarity: float) -> DataFrame:
     """``id, content, least, n, keeper`` of every row: a digest of its text, and of its class the least id, the
     number of rows and the row that stays; the last three are null where no other row is in the class."""
-    text = in_words(F.coalesce(F.col(text_column).cast("string"), F.lit("")))
-    rows = docs.select(F.col(id_column).alias("id"), text.alias("text"), _content(F.col(text_column)).alias("content"))
+    plain = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
+    rows = docs.select(F.col(id_column).alias("id"), in_words(plain).alias("text"), _content(F.col(text_column)).alias("content"))
     kind = rows.schema["id"].dataType.simpleString()
-    signed = stored(rows.mapInArrow(_sign, f"id {kind}, content binary, node binary, bands array<bigint>, sketch binary, elements binary, weights binary"), "signed")
+    signed = stored(rows.mapInArrow(_sign, f"id {kind}, content binary, node binary, bands array<bigint>, sketch binary"), "signed")
 
     met = signed.where("node is not null").select("node", F.explode("bands").alias("bucket")).distinct()
-    ends = met.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last")
-    members = stored(met.join(ends.select("bucket"), "bucket", "left_semi"), "members")
-    # Only nodes that meet others go on, each once, with what their texts are compared by.
-    met_nodes = members.select("node").distinct()
+    shared = met.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last")
+    members = stored(met.join(shared.drop("last"), "bucket"), "members")
+    # Only nodes that meet others go on, each once, and only a text of each is read again.
     candidates = stored(
-        signed.join(met_nodes, "node", "left_semi").groupBy("node").agg(*[F.first(c).alias(c) for c in ("sketch", "bands", "elements", "weights")]), "candidates",
+        signed.join(members.select("node").distinct(), "node", "left_semi").groupBy("node")
+        .agg(F.min("content").alias("content"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")),
+        "candidates",
     )
-    sets = candidates.select("node", "elements", "weights")
+    texts = docs.select(_content(F.col(text_column)).alias("content"), plain.alias("text")).join(candidates.select("content", "node"), "content")
+    texts = texts.groupBy("node").agg(F.first("text").alias("text")).select("node", in_words(F.col("text")).alias("text"))
+    sets = stored(texts.mapInArrow(_weigh, "node binary, elements binary, weights binary"), "sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
+        pairs = stored(pairs, "pairs")
+        compared = pairs
         for side in "ab":
-            own = sets.withColumnsRenamed({"node": side, "elements": f"elements_{side}", "weights": f"weights_{side}"})
-            pairs = pairs.join(own, side)
-        return stored(pairs.mapInArrow(_verified(similarity), "a binary, b binary"), "verified")
+            own = sets.join(pairs.select(F.col(side).alias("node")).distinct(), "node", "left_semi")
+            own = own.withColumnsRenamed({"node": side, "elements": f"elements_{side}", "weights": f"weights_{side}"})
+            compared = compared.join(own, side)
+        return stored(compared.mapInArrow(_verified(similarity), "a binary, b binary"), "verified")
 
     def in_blocks(labels: DataFrame) -> DataFrame:
         """Members of buckets that hold several components, dealt to pairs of blocks of the bucket.
@@ -298,7 +312,7 @@ def _classes(docs: DataFrame, id_column: str, text_column: str, similarity: floa
         The largest component has blocks of its own. Two of its members are never compared, so these
         blocks are paired with the others' only.
         """
-        now = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        now = members.drop("first").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         parts = now.groupBy("bucket", "label").agg(F.count("*").alias("n")).groupBy("bucket").agg(
             F.count("*").alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("main")
         )
@@ -314,15 +328,16 @@ def _classes(docs: DataFrame, id_column: str, text_column: str, similarity: floa
             now.join(blocks, "bucket").join(candidates.select("node", "sketch", "bands"), "node")
             .withColumn("block", block.cast("int"))
             .withColumn("other", F.explode(F.sequence(F.when(inside, F.col("mains")).otherwise(0), last)))
-            .select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node", "label", "block", "sketch", "bands")
+            .select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node", "label", "block", "sketch", "bands", (~inside).alias("asks"))
         )
 
     def together(rows: DataFrame) -> DataFrame:
         return rows.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
 
-    met_ends = members.join(ends, "bucket")
-    to_ends = met_ends.select("node", F.col("first").alias("b")).union(met_ends.select("node", "last")).where("node <> b")
-    links = verified(to_ends.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct())
+    # The first node of the most of a node's buckets.
+    firsts = members.where("node <> first").groupBy("node", "first").agg(F.count("*").alias("n"))
+    leads = firsts.groupBy("node").agg(F.max(F.struct("n", "first")).alias("best")).select("node", "best.first")
+    links = verified(leads.select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")).distinct())
     labels = components(links)
     for _ in range(2):
         near = together(in_blocks(labels)).mapInArrow(_nearest, "a binary, b binary, alike double")
