@@ -24,7 +24,7 @@ from siltbed.plans.fixtures import (  # noqa: E402
     frames, label_images, land_events_by_type, table, workspace, write_images,
 )
 from siltbed.plans.queries import EVENT_SCHEMA, PAYLOAD_SCHEMA  # noqa: E402
-from siltbed.sources.listing import list_files, listing_session  # noqa: E402
+from siltbed.sources.listing import list_files, list_tree, listing_session  # noqa: E402
 from siltbed.sources.manifest import new_files  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -102,7 +102,8 @@ def discovery(spark):
     session = listing_session(spark)
     known = f"{spec.bronze}/known"
     list_files(session, spec.landing_dir).where(~F.col("file_path").contains("/q0/")).write.parquet(known)
-    return lambda: drain(new_files(list_files(session, spec.landing_dir), session.read.parquet(known)))
+    files = list_tree(session, spec.landing_dir).where("file_path is not null").select("file_path", "modified", "length")
+    return lambda: drain(new_files(files, session.read.parquet(known)))
 
 
 def archive(spark):

@@ -135,7 +135,11 @@ def stream_of(df: DataFrame, folder: str) -> DataFrame:
 
 
 def age_files(files: DataFrame, days: int) -> int:
-    """Set the modification time of files back, on local file systems only; returns how many."""
+    """Set the modification time of files back; returns how many.
+
+    Only local file systems let that be done; anywhere else it raises, so that no query takes
+    files for old ones that are not.
+    """
 
     def age(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -145,5 +149,10 @@ def age_files(files: DataFrame, days: int) -> int:
                 os.utime(path, (then, then))
             yield pd.DataFrame({"n": [len(rows)]})
 
-    local = files.where(F.col("file_path").startswith("file:")).select("file_path")
-    return local.mapInPandas(age, "n long").agg(F.sum("n")).first()[0] or 0
+    remote = files.where(~F.col("file_path").startswith("file:")).select("file_path").first()
+    if remote:
+        raise ValueError(f"the modification time of {remote.file_path} cannot be set")
+    aged = files.select("file_path").mapInPandas(age, "n long").agg(F.sum("n")).first()[0]
+    if not aged:
+        raise ValueError("there are no files to set the modification time of")
+    return aged

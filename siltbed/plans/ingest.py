@@ -18,9 +18,10 @@ from ..functions.metadata import LABEL_PATTERN
 from ..operators.archive import archive_files
 from ..operators.bronze import BronzeTable
 from ..sources.landing import FORMATS, read_landing_files, resolve_schema
-from ..sources.listing import list_files, listing_session
+from ..sources.listing import list_tree, listed_folders, listing_session
 from ..sources.manifest import (
-    FILE_KEY, MANIFEST_SCHEMA, add_to_manifest, forget_archived, new_files, read_manifest, still_listed,
+    FILE_KEY, MANIFEST_SCHEMA, add_to_manifest, forget_archived, keep_folders, keep_listing, new_files, read_manifest,
+    still_listed,
 )
 from ..spec import DatasetSpec
 
@@ -45,19 +46,27 @@ class Ingestion:
 
     def discover(self) -> list[DataFrame]:
         """Files to read, with their batches: those left over from an interrupted call, and new ones."""
-        listing = list_files(self.session, self.spec.landing_dir, FORMATS[self.fmt][1].get("pathGlobFilter"))
         done = self.table.committed.get(RUN, -1)
         known = read_manifest(self.session, self.spec)
+        left_over = known.where(F.col("batch") > done)
+        interrupted = not left_over.isEmpty()
+        # Where files stay in landing, folders that are as they were have nothing new.
+        same = not self.archive and not interrupted
+        folders = listed_folders(self.session, self.spec.folders_dir) if same else None
+        tree = list_tree(self.session, self.spec.landing_dir, FORMATS[self.fmt][1].get("pathGlobFilter"), folders)
+        kept = keep_listing(self.spec, tree)
+        listing = kept.where("file_path is not null").select(*FILE_KEY)
         if self.archive and done >= 0:
             # Committed files an interrupted call did not get to move.
             late = listing.join(known.where(F.col("batch") <= done), FILE_KEY, "left_semi")
             if not late.isEmpty():
                 archive_files(self.spec, late, f"{RUN}-late", done, not_after=F.col("modified"))
-        left_over = known.where(F.col("batch") > done)
-        if not left_over.isEmpty():
+        if interrupted:
             # A file changed or removed in the meantime is not read under its old entry.
             left_over = still_listed(self.spec, left_over, listing)
         fresh = add_to_manifest(self.spec, new_files(listing, known), done, *self.limits)
+        if same:
+            keep_folders(self.spec, kept)
         pending = [left_over, fresh]
         if self.schema is None and FORMATS[self.fmt][2] and not all(p.isEmpty() for p in pending):
             # Over all of landing, so that types do not depend on how files fall into batches.

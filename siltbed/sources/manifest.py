@@ -39,6 +39,19 @@ def still_listed(spec: DatasetSpec, pending: DataFrame, listing: DataFrame) -> D
     return pending.sparkSession.read.schema(pending.schema).parquet(path)
 
 
+def keep_listing(spec: DatasetSpec, listing: DataFrame) -> DataFrame:
+    """The rows of a listing as a written table: what is derived from it is of one look at landing."""
+    path = f"{spec.manifest_dir}_found/listing"
+    listing.write.mode("overwrite").parquet(path)
+    return listing.sparkSession.read.schema(listing.schema).parquet(path)
+
+
+def keep_folders(spec: DatasetSpec, listing: DataFrame) -> None:
+    """Remember the folders of a kept listing, once the manifest holds all of their files."""
+    folders = listing.where("file_path is null and digest is not null").select("folder", "digest")
+    folders.write.mode("overwrite").parquet(spec.folders_dir)
+
+
 def add_to_manifest(
     spec: DatasetSpec, files: DataFrame, done: int, files_per_batch: int, bytes_per_batch: int
 ) -> DataFrame:
@@ -63,6 +76,7 @@ def add_to_manifest(
 
 def forget_archived(spec: DatasetSpec) -> None:
     """Drop the entries, once every file in them is committed and has left landing."""
+    drop_dir(spec.folders_dir)
     drop_dir(spec.manifest_dir)
     drop_dir(f"{spec.manifest_dir}_found")
 

@@ -8,6 +8,7 @@ columns that they have, and scans are put together by name.
 from __future__ import annotations
 
 import io
+import re
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
@@ -21,7 +22,7 @@ from pyspark.sql import types as T
 from ..operators.files import locate
 from ..paths import load_path
 from ..tables import spread_out
-from .listing import list_files
+from .listing import list_files, list_tree
 
 # Bytes of a file that are read for its header line; more only where that is longer.
 HEAD_BYTES = 1 << 16
@@ -140,7 +141,8 @@ def by_shape(spark: SparkSession, fmt: str, paths: str | Sequence[str], options:
     The driver holds the different shapes and the names of one scan's files; all names with their shapes
     are kept on the executors until the end. CSV columns come as strings.
     """
-    listed = list_files(spark, paths, option(options, "pathGlobFilter") or None).where("length > 0")
+    listing = list_tree if isinstance(paths, str) and not re.search(r"[*?\[\]{}\\]", paths) else list_files
+    listed = listing(spark, paths, option(options, "pathGlobFilter") or None).where("length > 0")
     found = shapes(listed, fmt, options).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         one = {r["shape"]: r["file_path"] for r in found.where("shape is not null").groupBy("shape").agg(F.min("file_path").alias("file_path")).collect()}

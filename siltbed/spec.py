@@ -54,6 +54,10 @@ class DatasetSpec:
     def manifest_dir(self) -> str:
         return f"{self.table_dir}_manifest"
 
+    @property
+    def folders_dir(self) -> str:
+        return f"{self.table_dir}_folders"
+
     @property
     def commits_dir(self) -> str:
         return f"{self.table_dir}_commits"
