@@ -22,6 +22,7 @@ import struct
 from collections.abc import Iterator
 from functools import cached_property
 from itertools import chain
+from string import punctuation
 
 import ahocorasick
 import numpy as np
@@ -37,6 +38,8 @@ from .wordhash import slices
 CACHE_ENTRIES = 200_000
 # Longer pieces between white space are encoded without being remembered.
 CACHED_CHARS = 64
+# Bytes of text whose different pieces are looked up together.
+TEXT_BYTES = 1 << 24
 
 END = "</w>"
 # The library's notion of white space, without the separators that str.split() adds.
@@ -263,6 +266,11 @@ class TextEncoder:
         self._old: dict[str, bytes] = {}
 
     def _words(self, piece: str) -> list[str]:
+        if self._simple and piece.isascii():
+            # Most pieces are letters, and marks after them.
+            word = piece.rstrip(punctuation)
+            if word.isalpha():
+                return [word.lower(), piece[len(word):]] if len(word) < len(piece) else [word.lower()]
         if self._simple and _SIMPLE.fullmatch(piece):
             words = _SIMPLE_WORDS.findall(piece.lower())
             return words if piece.isascii() else [w.encode().decode("latin-1").translate(_BYTES) for w in words]
@@ -378,7 +386,7 @@ def encode_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_encoder(path)
-        for batch in (part for whole in batches for part in slices(whole, "text")):
+        for batch in (part for whole in batches for part in slices(whole, "text", TEXT_BYTES)):
             ids, texts = batch.column("id"), batch.column("text")
             flat, bounds = batch_ids(encoder, texts)
             counts = np.diff(bounds)

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import batch_ids, text_encoder
+from .bpe import TEXT_BYTES, batch_ids, text_encoder
 from .wordhash import slices
 
 TIERS = (256, 512, 1024, 2048)
@@ -198,7 +198,7 @@ def pack_documents(
                 names.append("ids")
             return pa.RecordBatch.from_arrays(arrays, names)
 
-        for batch in (part for whole in batches for part in slices(whole, "text")):
+        for batch in (part for whole in batches for part in slices(whole, "text", TEXT_BYTES)):
             id_type = batch.schema.field("id").type
             flat, bounds = batch_ids(encoder, batch.column("text"))
             for owner, low, high in zip(batch.column("id").to_pylist(), bounds, bounds[1:]):
