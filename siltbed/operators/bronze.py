@@ -221,6 +221,12 @@ class BronzeTable:
         rows = self.spark.table(self.spec.table)
         return rows.where((F.col(RUN) == run) & (F.col(BATCH) == batch_id))
 
+    def read_frames(self, columns: Sequence[str]) -> DataFrame:
+        """These columns of all committed rows, with the run and batch of each."""
+        self.register()
+        committed = self._is_committed(F.col(RUN), F.col(BATCH), self.committed)
+        return self.spark.table(self.spec.table).where(committed).select(*columns, RUN, BATCH)
+
     def _past_types(self) -> list[tuple[T.StructType, dict[str, int]]]:
         """Schemas before types that the reader does not widen, oldest first, and the last batches of each."""
         kept = read_or_empty(self.spark, self.spec.types_dir, TYPES_SCHEMA).orderBy("widened_at").collect()

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.frames import add_kafka_metadata, decode_json, prefix_columns, registry_body, registry_schema_id
 from ..functions.metadata import path_label
 from ..operators.archive import distinct_source_files
 from ..operators.bronze import BronzeTable, SchemaMismatch, read_bronze
-from ..operators.land import land_dataframe, land_images
+from ..operators.land import TEXT_OPTIONS, land_dataframe, land_images
 from ..sources.landing import read_landing_files, read_landing_stream
 from ..sources.listing import list_files
 from ..sources.manifest import file_states
@@ -31,7 +31,7 @@ from .fixtures import (
 EVENT_SCHEMA = (
     "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 )
-PAYLOAD_SCHEMA = "event_id long, user_id long, event_type string, value double"
+PAYLOAD_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 # The event types of the first of two drops.
 EARLY = ("click", "view")
@@ -205,8 +205,7 @@ def landing_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    payload = F.to_json(F.struct("event_id", "user_id", "event_type", "value"))
-    return frames(table(spark, sf_dir, "events"), "events", "event_id", payload)
+    return frames(table(spark, sf_dir, "events"), "events", "event_id", F.to_json(F.struct("*"), TEXT_OPTIONS))
 
 
 def _all_of_frames(rows: DataFrame) -> DataFrame:
@@ -215,7 +214,7 @@ def _all_of_frames(rows: DataFrame) -> DataFrame:
     return rows.select(
         F.col("_key").cast("string").alias("_key"), value["event_id"].alias("_value_id"), "_topic", "_partition", "_offset",
         F.col("_timestamp").cast("date").alias("_day"), "_timestampType", F.col("_ingested_at").isNotNull().alias("_has_time"),
-        "event_id", "user_id", "event_type", "value",
+        "event_id", "ts", "user_id", "event_type", "value", "props",
     )
 
 
@@ -247,12 +246,22 @@ def kafka_registry_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("_offset", "_schema_id", "c_custkey", "c_name", "c_acctbal", "c_mktsegment")
 
 
+def _as_text(field) -> Column:
+    """A column as text that SQL writes alike; null is empty."""
+    kind, value = field.dataType.simpleString(), F.col(field.name)
+    if kind == "double":
+        value = value.cast("decimal(18,2)")
+    elif kind.startswith("timestamp"):
+        value = F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return F.coalesce(value.cast("string"), F.lit(""))
+
+
 def kafka_multiplex(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = workspace(spark, "bus", "multiplex")
 
     def topic(name: str, key: str) -> DataFrame:
-        text = F.concat(F.lit('{"k":'), F.col(key).cast("string"), F.lit("}"))
-        return frames(table(spark, sf_dir, name), name, key, text)
+        rows = table(spark, sf_dir, name)
+        return frames(rows, name, key, F.concat_ws("|", *[_as_text(f) for f in rows.schema.fields]))
 
     both = topic("events", "event_id").unionByName(topic("orders", "o_orderkey"))
     stream = add_kafka_metadata(stream_of(both, f"{spec.landing}/frames"), method="multiplex")
@@ -272,6 +281,16 @@ def kafka_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _all_of_frames(read_bronze(spark, spec))
 
 
+def kafka_replay_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames of two partitions, then all frames under a checkpoint of their own: each is there once."""
+    spec = workspace(spark, "bus", "events")
+    every = _event_frames(spark, sf_dir)
+    for k, part in enumerate((every.where("partition < 2"), every, every)):
+        stream = add_kafka_metadata(stream_of(part, f"{spec.landing}/frames-{k}"), schema_format="json", schema=PAYLOAD_SCHEMA)
+        start_bronze_query(stream, spec, archive=False, checkpoint=f"{spec.checkpoint_dir}-{k}").awaitTermination()
+    return _all_of_frames(read_bronze(spark, spec))
+
+
 def _events_by_type(spark: SparkSession, sf_dir: str):
     spec = workspace(spark, "crm", "events")
     land_events_by_type(spec, table(spark, sf_dir, "events"))
@@ -425,6 +444,7 @@ QUERIES = {
     "kafka_registry_frame": kafka_registry_frame,
     "kafka_multiplex": kafka_multiplex,
     "kafka_to_bronze": kafka_to_bronze,
+    "kafka_replay_new_checkpoint": kafka_replay_new_checkpoint,
     "file_metadata": file_metadata,
     "distinct_files": distinct_files,
     "path_label": url_label,
@@ -448,9 +468,23 @@ _WIDER = """SELECT event_id, event_type,
     CASE WHEN event_type NOT IN ('click', 'view') THEN props END AS props FROM events"""
 _FRAMES = """SELECT CAST(event_id AS VARCHAR) AS _key, event_id AS _value_id, 'events' AS _topic,
     CAST(event_id % 4 AS INTEGER) AS _partition, event_id AS _offset, DATE '2024-01-01' AS _day,
-    CAST(0 AS INTEGER) AS "_timestampType", true AS _has_time, event_id, user_id, event_type, value FROM events"""
+    CAST(0 AS INTEGER) AS "_timestampType", true AS _has_time, event_id, ts, user_id, event_type, value, props FROM events"""
 _FILE = "'raw/crm/events/2024/01/01/' || event_type || '-' || CAST(event_id // 10000 AS VARCHAR) || '.json'"
 
+
+
+def _text(column: str) -> str:
+    return f"coalesce(CAST({column} AS VARCHAR), '')"
+
+
+def _money(column: str) -> str:
+    return _text(f"CAST({column} AS DECIMAL(18,2))")
+
+
+def _time(column: str) -> str:
+    return f"coalesce(strftime({column}, '%Y-%m-%d %H:%M:%S.%f'), '')"
+
+
 _EVENTS = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
 
 ORACLES = {
@@ -481,10 +515,12 @@ ORACLES = {
     "kafka_json_bad": """SELECT event_id AS _offset,
         CASE WHEN event_type <> 'error' THEN user_id END AS user_id FROM events""",
     "kafka_registry_frame": "SELECT c_custkey AS _offset, CAST(263 AS INTEGER) AS _schema_id, c_custkey, c_name, c_acctbal, c_mktsegment FROM customer",
-    "kafka_multiplex": """SELECT 'events' AS _topic, event_id AS _offset,
-        '{"k":' || CAST(event_id AS VARCHAR) || '}' AS _value_text FROM events
-        UNION ALL SELECT 'orders', o_orderkey, '{"k":' || CAST(o_orderkey AS VARCHAR) || '}' FROM orders""",
+    "kafka_multiplex": f"""SELECT 'events' AS _topic, event_id AS _offset, concat_ws('|', {_text("event_id")}, {_time("ts")}, {_text("user_id")},
+        {_text("event_type")}, {_money("value")}, {_text("props")}) AS _value_text FROM events
+        UNION ALL SELECT 'orders', o_orderkey, concat_ws('|', {_text("o_orderkey")}, {_text("o_custkey")}, {_text("o_orderstatus")},
+        {_money("o_totalprice")}, {_time("o_orderdate")}, {_text("o_orderpriority")}) FROM orders""",
     "kafka_to_bronze": _FRAMES,
+    "kafka_replay_new_checkpoint": _FRAMES,
     "file_metadata": f"SELECT event_id, {_FILE} AS rel_file, true AS has_time, true AS metadata_first FROM events",
     "distinct_files": f"SELECT DISTINCT {_FILE} AS rel_file FROM events",
     "path_label": "SELECT page_id, regexp_extract(url, '^https?://[^/]+/([^/]+)', 1) AS label FROM pages",

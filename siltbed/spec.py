@@ -62,6 +62,10 @@ class DatasetSpec:
     def commits_dir(self) -> str:
         return f"{self.table_dir}_commits"
 
+    @property
+    def offsets_dir(self) -> str:
+        return f"{self.table_dir}_offsets"
+
     @property
     def types_dir(self) -> str:
         return f"{self.table_dir}_types"

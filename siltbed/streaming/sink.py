@@ -16,6 +16,7 @@ from ..paths import load_path
 from ..sources.landing import resolve_schema
 from ..sources.schema_store import SchemaStore
 from ..spec import DatasetSpec
+from .replay import has_frames, keep_spans, without_committed
 
 
 class SchemaEvolved(RuntimeError):
@@ -36,7 +37,8 @@ def bronze_sink(
     The file names come from the column just written, so the batch itself is evaluated once
     and needs no cache; ``cache`` is for callers whose ``check`` or plan evaluates it again.
     Files are archived only after the commit record exists, and a replayed batch that has
-    one is not read again. Kafka sources pass ``archive=False``.
+    one is not read again. Kafka sources pass ``archive=False``; frames that another query has
+    committed, whose checkpoint was lost, are left out (:mod:`siltbed.streaming.replay`).
     """
     state: dict[str, BronzeTable] = {}
 
@@ -52,9 +54,12 @@ def bronze_sink(
             if cache:
                 batch.persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                table.write(batch, run, batch_id)
+                frames = has_frames(batch)
+                table.write(without_committed(batch, table, run) if frames else batch, run, batch_id)
                 if check:
                     check(distinct_source_files(table.read_batch(run, batch_id)))
+                if frames:
+                    keep_spans(table, run, batch_id)
                 table.commit(run, batch_id)
             finally:
                 if cache:
@@ -101,15 +106,17 @@ def start_bronze_query(
     *,
     sink: Callable[[DataFrame, int], None] | None = None,
     trigger: dict | None = None,
+    checkpoint: str | None = None,
     **options,
 ) -> StreamingQuery:
     """Start the stream ``df`` into bronze; ``options`` are those of :func:`bronze_sink`.
 
-    The default trigger takes everything there is, in bounded micro-batches, and ends.
+    The default trigger takes everything there is, in bounded micro-batches, and ends. ``checkpoint``
+    is a folder for a query of its own, by default the dataset's.
     """
     return (
         df.writeStream.foreachBatch(sink or bronze_sink(spec, **options))
-        .option("checkpointLocation", spec.checkpoint_dir)
+        .option("checkpointLocation", checkpoint or spec.checkpoint_dir)
         .queryName(spec.query_name)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
