@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.metadata import raw_file_name
 from ..spec import DatasetSpec
-from .files import MOVED_SCHEMA, move_files
+from .files import MOVED_SCHEMA, move_files, same_system
 
 
 def distinct_source_files(df: DataFrame) -> DataFrame:
@@ -24,7 +24,8 @@ def archive_files(
 ) -> DataFrame:
     """Move the landing files in column ``file_path`` to raw; returns the log of this batch.
 
-    Each move runs in a task. A file changed later than ``not_after`` stays in landing, and
+    Each move runs in a task; where raw is on another file system it is a proven copy, and sources go once
+    the copies are logged. A file changed later than ``not_after`` stays in landing, and
     an older file of the same name in raw is kept beside the new one. The log
     (``source, not_after, outcome, target``) is written once and read back, so evaluating the result
     again moves nothing.
@@ -39,5 +40,6 @@ def archive_files(
         (F.lit(None) if not_after is None else F.unix_millis(not_after)).cast("long").alias("not_after"),
     )
     log = f"{spec.archive_log_dir}/run={run}/batch={batch_id}"
-    move_files(plan).write.mode("overwrite").parquet(log)
+    copies = None if same_system(spec.landing, spec.raw) else f"{spec.archive_log_dir}_copied/run={run}/batch={batch_id}"
+    move_files(plan, copies).write.mode("overwrite").parquet(log)
     return spark.read.schema(MOVED_SCHEMA).parquet(log)
