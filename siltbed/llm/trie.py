@@ -1,10 +1,14 @@
 """Exact duplicates found by compressed radix tries over whole texts.
 
-Texts are dealt by length and content hash. A trie per (length, hash) takes the full byte
-strings, so equality is decided by the bytes; a terminal node holds the identifier that
-stays and the number of rows. Tasks first merge the copies among their own rows, which
-leaves a hot text one row per task. When a task's tries grow too large, whole subtrees are
-sent on and removed; the owners of the second step meet such texts again.
+Texts are dealt to partitions by length and content hash. One trie for each partition takes the
+full byte strings of all its texts, so equality is decided by the bytes, and texts that begin
+alike share nodes; a terminal node holds the identifier that stays and the number of rows.
+
+Tasks first merge the copies among their own rows in such a trie, which leaves a hot text one
+row per task. When that trie grows too large, whole subtrees, the largest first, are sent on and
+removed; the owners of the second step meet such texts again. These get their texts in order,
+so that subtrees no later text can reach leave as soon as they are finished, and the
+trie holds little more than the text at hand.
 """
 
 from __future__ import annotations
@@ -20,6 +24,8 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Bytes of text that the tries of a task hold before subtrees are sent on.
 TRIE_BYTES = 32 << 20
+# Bytes of text that leave a trie together.
+BATCH_BYTES = 4 << 20
 
 
 class Node:
@@ -74,16 +80,33 @@ class PatriciaTrie:
     def items(self) -> Iterator[tuple[bytes, object]]:
         return self._walk(self.root, b"")
 
-    def spill(self) -> Iterator[tuple[bytes, object]]:
-        """Remove the subtrees below the root one after another, giving what they held."""
-        while self.root.children:
-            _, child = self.root.children.popitem()
-            for key, value in self._walk(child, b""):
-                yield key, value
-        self.held = 0
-        if self.root.value is not None:
-            yield b"", self.root.value
-            self.root.value = None
+    @staticmethod
+    def _size(node: Node) -> int:
+        """Bytes of all edges of a subtree."""
+        total, stack = 0, [node]
+        while stack:
+            node = stack.pop()
+            total += len(node.edge)
+            stack += node.children.values()
+        return total
+
+    def spill(self, keep: int = 0) -> Iterator[tuple[bytes, object]]:
+        """Remove whole subtrees, the largest first, until no more than ``keep`` bytes are held (0: all); what they held."""
+        node, head = self.root, b""
+        # All keys may begin alike: subtrees are those below where they part.
+        while len(node.children) == 1 and node.value is None:
+            head += node.edge
+            node = next(iter(node.children.values()))
+        head += node.edge
+        for size, first in sorted(((self._size(c), f) for f, c in node.children.items()), reverse=True):
+            if keep and self.held <= keep:
+                return
+            self.held -= size
+            yield from self._walk(node.children.pop(first), head)
+        if self.held > keep or not keep:
+            if node.value is not None:
+                yield head, node.value
+            self.root, self.held = Node(b""), 0
 
     def finished(self, key: bytes) -> Iterator[tuple[bytes, object]]:
         """Remove the subtrees that no later key can reach when keys come in order."""
@@ -158,52 +181,53 @@ def owners(
         )
 
     def entries(batch: pa.RecordBatch):
-        column = batch.column
-        keys = zip(column("length").to_pylist(), column("hash").to_pylist())
-        held = column("kept_row")
-        values = zip(column("keep_id").to_pylist(), column("group_size").to_pylist())
-        for k, (key, text, (i, n)) in enumerate(zip(keys, column("content"), values)):
-            yield key, text.as_buffer().to_pybytes(), (i, n, (held, k) if payload else None)
+        held = batch.column("kept_row")
+        values = zip(batch.column("keep_id").to_pylist(), batch.column("group_size").to_pylist())
+        for k, (text, (i, n)) in enumerate(zip(batch.column("content"), values)):
+            yield text.as_buffer().to_pybytes(), (i, n, (held, k) if payload else None)
+
+    def batches_of(found: Iterator[tuple[bytes, tuple]], like: pa.RecordBatch, digest: bool) -> Iterator[pa.RecordBatch]:
+        """What leaves a trie, some MB at a time."""
+        some, size = [], 0
+        for key, value in found:
+            some.append((key, value))
+            size += len(key)
+            if size > BATCH_BYTES:
+                yield batch_of(some, like, digest)
+                some, size = [], 0
+        if some:
+            yield batch_of(some, like, digest)
 
     def merge_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tries: dict[tuple[int, int], PatriciaTrie] = {}
-        held, like = 0, None
+        trie, like = PatriciaTrie(), None
         for batch in batches:
             like = batch
-            for key, text, value in entries(batch):
-                trie = tries.setdefault(key, PatriciaTrie())
-                before = trie.held
+            for text, value in entries(batch):
                 trie.insert(text, value, better)
-                held += trie.held - before
-                if held > limit or len(tries) > limit >> 8:
-                    yield batch_of([x for t in tries.values() for x in t.spill()], like, False)
-                    tries.clear()
-                    held = 0
-            if payload and tries:
+                if trie.held > limit:
+                    yield from batches_of(trie.spill(limit // 2), like, False)
+            if payload:
                 # Kept rows point into the batch, which must not be held for long.
-                yield batch_of([x for t in tries.values() for x in t.spill()], like, False)
-                tries.clear()
-                held = 0
-        if tries:
-            yield batch_of([x for t in tries.values() for x in t.items()], like, False)
+                yield from batches_of(trie.items(), like, False)
+                trie = PatriciaTrie()
+        if like is not None:
+            yield from batches_of(trie.items(), like, False)
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, at, like = PatriciaTrie(), None, None
+        trie = PatriciaTrie()
         for batch in batches:
-            like, found = batch, []
-            for key, text, value in entries(batch):
-                if key != at:
-                    found += trie.items()
-                    trie, at = PatriciaTrie(), key
-                else:
-                    found += trie.finished(text)
-                trie.insert(text, value, better)
-            yield batch_of(found, like, True)
-        if like is not None:
-            yield batch_of(list(trie.items()), like, True)
+            def finished() -> Iterator[tuple[bytes, tuple]]:
+                for text, value in entries(batch):
+                    yield from trie.finished(text)
+                    trie.insert(text, value, better)
+
+            yield from batches_of(finished(), batch, True)
+            like = batch
+        if trie.root.children or trie.root.value is not None:
+            yield from batches_of(trie.items(), like, True)
 
-    merged = rows.select("*", *place).mapInArrow(merge_copies, ddl("keep_id", "group_size", "content", "kept_row"))
-    dealt = merged.select("*", *place).repartition("length", "hash").sortWithinPartitions("length", "hash", "content")
+    merged = rows.mapInArrow(merge_copies, ddl("keep_id", "group_size", "content", "kept_row"))
+    dealt = merged.select("*", *place).repartition("length", "hash").sortWithinPartitions("content").drop("length", "hash")
     names = ["text_sha256", "keep_id", "group_size"] + ["kept_row"] * payload
     return dealt.mapInArrow(own, ddl("keep_id", "group_size", "text_sha256", "kept_row")).select(*names)
 

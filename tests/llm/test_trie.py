@@ -2,6 +2,7 @@ import hashlib
 from collections import defaultdict
 
 import duckdb
+import pyarrow.parquet as pq
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from siltbed.llm import queries, trie
@@ -17,7 +18,25 @@ def test_trie_is_a_dictionary(keys):
         tree.insert(k, 1, lambda a, b: a + b)
         want[k] += 1
     assert dict(tree.items()) == want
-    assert dict(tree.spill()) == want and not list(tree.items())
+    assert tree.held == tree._size(tree.root)
+    assert dict(tree.spill()) == want and not list(tree.items()) and tree.held == 0
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.binary(max_size=6)), st.integers(0, 40))
+def test_spill_by_subtree(keys, keep):
+    """Subtrees leave whole, until what is held is little enough; nothing is lost or given twice."""
+    tree, want = trie.PatriciaTrie(), defaultdict(int)
+    for k in keys:
+        tree.insert(k, 1, lambda a, b: a + b)
+        want[k] += 1
+    gone = list(tree.spill(keep))
+    assert tree.held <= keep and tree.held == tree._size(tree.root)
+    rest = list(tree.items())
+    assert len(gone) + len(rest) == len(want) and dict(gone) | dict(rest) == want
+    if len({k[:1] for k in keys}) > 1:
+        # The root's subtrees are not taken apart.
+        assert not {k[:1] for k, _ in gone if k} & {k[:1] for k, _ in rest if k}
 
 
 @settings(max_examples=100, deadline=None)
@@ -67,3 +86,29 @@ def test_query(spark):
     want = con.execute(queries.ORACLES["op5_trie"]).fetchall()
     got = queries.op5_trie(spark, SF).select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_tries_hold_many_documents():
+    """Real documents of one partition share edges; a small limit spills subtrees and keeps others."""
+    texts = [(t or "").lower().encode() for t in pq.read_table(f"{SF}/documents.parquet", columns=["text"])["text"].to_pylist()]
+    tree = trie.PatriciaTrie()
+    for text in texts:
+        tree.insert(text, 1, lambda a, b: a + b)
+    different = set(texts)
+    nodes, stack = [], [tree.root]
+    while stack:
+        node = stack.pop()
+        nodes.append(node)
+        stack += node.children.values()
+    shared = [n for n in nodes if len(n.children) > 1 and n.edge]
+    assert len(different) > 100 and len(shared) > 20
+    assert tree.held < sum(map(len, different))
+    before, gone = len(dict(tree.items())), dict(tree.spill(tree.held // 2))
+    assert 0 < len(gone) < before == len(different) and len(gone) + len(dict(tree.items())) == before
+
+
+def test_spilled_subtrees_meet_again(spark):
+    """A limit far below a task's texts changes nothing."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    with_limit = trie.owners(docs, limit=20_000)
+    assert sorted(map(tuple, with_limit.collect())) == sorted(map(tuple, trie.owners(docs).collect()))
