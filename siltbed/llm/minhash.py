@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import stored
+from .shared import rows_at_once, stored
 from .wordhash import combined, mix, shingles, slices, word_hashes
 
 WORDS = 5
@@ -40,6 +40,9 @@ BANDS, ROWS = 20, 6
 SKETCH_SIMILARITY = 0.66
 # Members of a block; two blocks of a bucket are compared in one place.
 BLOCK = 512
+# Rows that go to a Python worker together, and bytes of text that it hashes together.
+BATCH_ROWS = 256
+TEXT_BYTES = 1 << 20
 
 _STEP = np.uint64(0xD1B54A32D192ED03)
 # Beyond ASCII: what is neither letter, mark nor digit, and letters of scripts that set no blanks between words.
@@ -106,7 +109,7 @@ def probability_jaccard(e1: np.ndarray, w1: np.ndarray, e2: np.ndarray, w2: np.n
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in (part for whole in batches for part in slices(whole, "text")):
+    for batch in (part for whole in batches for part in slices(whole, "text", TEXT_BYTES)):
         hashes, bounds = shingles(*word_hashes(batch.column("text")), WORDS)
         nodes, keys, sketches = [], [], []
         for start, end in zip(bounds, bounds[1:]):
@@ -125,7 +128,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in (part for whole in batches for part in slices(whole, "text")):
+    for batch in (part for whole in batches for part in slices(whole, "text", TEXT_BYTES)):
         hashes, bounds = shingles(*word_hashes(batch.column("text")), WORDS)
         sets = [weighted_set(hashes[start:end]) for start, end in zip(bounds, bounds[1:])]
         yield pa.RecordBatch.from_arrays(
@@ -277,6 +280,12 @@ def _content(text: Column) -> Column:
 
 
 def _classes(docs: DataFrame, id_column: str, text_column: str, similarity: float) -> DataFrame:
+    """The rows of :func:`_found_classes`, whose Python workers get small batches."""
+    with rows_at_once(docs.sparkSession, BATCH_ROWS):
+        return _found_classes(docs, id_column, text_column, similarity)
+
+
+def _found_classes(docs: DataFrame, id_column: str, text_column: str, similarity: float) -> DataFrame:
     """``id, content, least, n, keeper`` of every row: a digest of its text, and of its class the least id, the
     number of rows and the row that stays; the last three are null where no other row is in the class."""
     plain = F.coalesce(F.col(text_column).cast("string"), F.lit(""))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,3 +26,19 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     folder = f"{shared_folder(rows.sparkSession)}/{name}-{uuid.uuid4().hex}"
     rows.write.parquet(folder)
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
+@contextmanager
+def rows_at_once(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Batches of at most so many rows for the Python workers of what is run inside.
+
+    Rows that carry sets of a text's elements are some KB each: the usual 10,000 would be held
+    several times over, by the executor, on the way and by the worker.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), rows) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
