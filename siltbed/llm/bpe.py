@@ -35,7 +35,7 @@ from tokenizers import Tokenizer
 from .wordhash import slices
 
 # Entries of a generation of the word cache; two generations are held at most.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 100_000
 # Longer pieces between white space are encoded without being remembered.
 CACHED_CHARS = 64
 # Bytes of text whose different pieces are looked up together.

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .sampling import held_out
+from .shared import tidy
 from .wordhash import _IN_WORD, buffer_of, chunks
 
 BUCKETS = 1 << 16
@@ -203,7 +204,7 @@ def train(docs: DataFrame, *, rows_per_language: int = ROWS_PER_LANGUAGE) -> Lan
             places = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(places), pa.string()), pa.array(places.astype(np.int32)), pa.array(counts[places])], ["lang", "bucket", "n"])
 
-    counted = taken.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    counted = taken.mapInArrow(tidy(count), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     names = sorted(set(counted.column("lang").to_pylist()))
     counts = np.full((BUCKETS, len(names)), SMOOTHING)
     place = {name: k for k, name in enumerate(names)}

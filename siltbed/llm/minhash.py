@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import rows_at_once, stored
+from .shared import rows_at_once, stored, tidy
 from .wordhash import combined, mix, shingles, slices, word_hashes
 
 WORDS = 5
@@ -291,7 +291,7 @@ def _found_classes(docs: DataFrame, id_column: str, text_column: str, similarity
     plain = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_column).alias("id"), in_words(plain).alias("text"), _content(F.col(text_column)).alias("content"))
     kind = rows.schema["id"].dataType.simpleString()
-    signed = stored(rows.mapInArrow(_sign, f"id {kind}, content binary, node binary, bands array<bigint>, sketch binary"), "signed")
+    signed = stored(rows.mapInArrow(tidy(_sign), f"id {kind}, content binary, node binary, bands array<bigint>, sketch binary"), "signed")
 
     met = signed.where("node is not null").select("node", F.explode("bands").alias("bucket")).distinct()
     shared = met.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last")
@@ -304,7 +304,7 @@ def _found_classes(docs: DataFrame, id_column: str, text_column: str, similarity
     )
     texts = docs.select(_content(F.col(text_column)).alias("content"), plain.alias("text")).join(candidates.select("content", "node"), "content")
     texts = texts.groupBy("node").agg(F.first("text").alias("text")).select("node", in_words(F.col("text")).alias("text"))
-    sets = stored(texts.mapInArrow(_weigh, "node binary, elements binary, weights binary"), "sets")
+    sets = stored(texts.mapInArrow(tidy(_weigh), "node binary, elements binary, weights binary"), "sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = stored(pairs, "pairs")
@@ -313,7 +313,7 @@ def _found_classes(docs: DataFrame, id_column: str, text_column: str, similarity
             own = sets.join(pairs.select(F.col(side).alias("node")).distinct(), "node", "left_semi")
             own = own.withColumnsRenamed({"node": side, "elements": f"elements_{side}", "weights": f"weights_{side}"})
             compared = compared.join(own, side)
-        return stored(compared.mapInArrow(_verified(similarity), "a binary, b binary"), "verified")
+        return stored(compared.mapInArrow(tidy(_verified(similarity)), "a binary, b binary"), "verified")
 
     def in_blocks(labels: DataFrame) -> DataFrame:
         """Members of buckets that hold several components, dealt to pairs of blocks of the bucket.
@@ -349,13 +349,13 @@ def _found_classes(docs: DataFrame, id_column: str, text_column: str, similarity
     links = verified(leads.select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")).distinct())
     labels = components(links)
     for _ in range(2):
-        near = together(in_blocks(labels)).mapInArrow(_nearest, "a binary, b binary, alike double")
+        near = together(in_blocks(labels)).mapInArrow(tidy(_nearest), "a binary, b binary, alike double")
         one_each = near.groupBy("a").agg(F.max(F.struct("alike", "b")).alias("best")).select("a", "best.b")
         found = verified(one_each.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         links = links.union(found)
         labels = components(links)
-    open_rows = together(in_blocks(labels)).mapInArrow(_unsettled, _BLOCK_ROW)
-    last = together(stored(open_rows, "unsettled").join(sets, "node")).mapInArrow(_settled(similarity), "a binary, b binary")
+    open_rows = together(in_blocks(labels)).mapInArrow(tidy(_unsettled), _BLOCK_ROW)
+    last = together(stored(open_rows, "unsettled").join(sets, "node")).mapInArrow(tidy(_settled(similarity)), "a binary, b binary")
     labels = components(links.union(last))
 
     classed = signed.select("id", "content", "node").join(labels, "node", "left").withColumn("class", F.coalesce("label", "node"))

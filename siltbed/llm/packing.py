@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import TEXT_BYTES, batch_ids, text_encoder
+from .shared import tidy
 from .wordhash import slices
 
 TIERS = (256, 512, 1024, 2048)
@@ -214,5 +215,5 @@ def pack_documents(
             yield flushed()
 
     schema = f"id {kind}, {_SCHEMA}" + (", ids array<int>" if ids else "")
-    made = rows.mapInArrow(run, schema)
+    made = rows.mapInArrow(tidy(run), schema)
     return made.withColumnsRenamed({"id": id_column, "piece_start": "start"})

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -42,3 +44,27 @@ def rows_at_once(spark: SparkSession, rows: int) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(key, before)
+
+
+def give_back() -> None:
+    """Return memory that this worker no longer uses to the machine; allocators keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator]) -> Callable[[Iterator[pa.RecordBatch]], Iterator]:
+    """A function for ``mapInArrow`` that gives back its memory at the end of its task.
+
+    Workers serve the tasks of all stages, and would hold the most that each of them ever took.
+    """
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidied

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import tidy
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Bytes of text that the tries of a task hold before subtrees are sent on.
 TRIE_BYTES = 32 << 20
@@ -226,10 +228,10 @@ def owners(
         if trie.root.children or trie.root.value is not None:
             yield from batches_of(trie.items(), like, True)
 
-    merged = rows.mapInArrow(merge_copies, ddl("keep_id", "group_size", "content", "kept_row"))
+    merged = rows.mapInArrow(tidy(merge_copies), ddl("keep_id", "group_size", "content", "kept_row"))
     dealt = merged.select("*", *place).repartition("length", "hash").sortWithinPartitions("content").drop("length", "hash")
     names = ["text_sha256", "keep_id", "group_size"] + ["kept_row"] * payload
-    return dealt.mapInArrow(own, ddl("keep_id", "group_size", "text_sha256", "kept_row")).select(*names)
+    return dealt.mapInArrow(tidy(own), ddl("keep_id", "group_size", "text_sha256", "kept_row")).select(*names)
 
 
 def exact_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", keep: str = "largest") -> DataFrame:
