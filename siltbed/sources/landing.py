@@ -79,9 +79,20 @@ def _csv_reader(spark: SparkSession, options: dict[str, str]):
 def _widest_record(spark: SparkSession, options: dict[str, str], paths: str | Sequence[str]) -> int:
     """Fields of the widest record, as Spark's CSV reader takes records apart.
 
-    A record becomes an object of its fields, so quoted line ends, comments and escapes count as they
-    are read, and the union of all objects' keys is one mergeable aggregate.
+    Where lines are records and none holds a quote, that is told by the separators. Else a record becomes
+    an object of its fields, so quoted line ends, comments and escapes count as they are read, and the
+    union of all objects' keys is one mergeable aggregate.
     """
+    separator, quote = option(options, "delimiter", "sep"), option(options, "quote", default='"')
+    other = any(option(options, name) for name in ("comment", "encoding", "charset", "lineSep"))
+    if not other and option(options, "multiLine").lower() != "true" and "\\" not in separator:
+        lines = spark.read.option("recursiveFileLookup", "true").text(paths).where(F.col("value").rlike(r"[^\x00-\x20]"))
+        bare = F.replace("value", F.lit(separator), F.lit(""))
+        separators = ((F.octet_length("value") - F.octet_length(bare)) / len(separator.encode())).cast("int")
+        quoted = F.col("value").contains(quote) if quote else F.lit(False)
+        width, quotes = lines.agg(F.max(separators), F.coalesce(F.bool_or(quoted), F.lit(False))).first()
+        if not quotes:
+            return 0 if width is None else width + 1
     plain = {k: v for k, v in options.items() if k.lower() not in ("header", "columnnameofcorruptrecord")}
     records = _csv_reader(spark, plain).option("singleVariantColumn", "record").load(paths)
     found = records.select(F.schema_of_variant_agg("record")).first()[0] or ""
