@@ -52,10 +52,12 @@ def add_file_metadata(
     image: bool = False,
     label_pattern: str = LABEL_PATTERN,
     file_path: Column | None = None,
+    size: Column | None = None,
 ) -> DataFrame:
     """Put ingest time and source file (and label and size of an image) before the data.
 
-    ``file_path`` replaces ``_metadata.file_path`` for frames that no longer are a scan.
+    ``file_path`` replaces ``_metadata.file_path`` for frames that no longer are a scan, ``size`` is
+    the size of an image where that is known.
     """
     meta = {
         "_ingested_at": F.current_timestamp(),
@@ -63,7 +65,7 @@ def add_file_metadata(
     }
     if image:
         meta["_label"] = path_label("path", label_pattern)
-        meta["_size"] = jpeg_size(F.col("content"))
+        meta["_size"] = jpeg_size(F.col("content")) if size is None else size
     clash = sorted(set(meta) & set(df.columns))
     if clash:
         raise ValueError(f"data columns use reserved names: {clash}")

@@ -17,7 +17,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from ..functions.metadata import LABEL_PATTERN
 from ..operators.archive import archive_files
 from ..operators.bronze import BronzeTable
-from ..sources.landing import FORMATS, read_landing_files, resolve_schema
+from ..sources.landing import FORMATS, read_landing_files, read_named_files, readable_by_name, resolve_schema
 from ..sources.listing import list_tree, listed_folders, listing_session
 from ..sources.manifest import (
     FILE_KEY, MANIFEST_SCHEMA, add_to_manifest, forget_archived, keep_folders, keep_listing, new_files, read_manifest,
@@ -73,26 +73,31 @@ class Ingestion:
             self.schema = resolve_schema(self.spark, self.spec, self.fmt, None, self.options)
         return pending
 
-    def read(self, pending: DataFrame) -> int:
-        """Append the batches that are not committed yet; returns how many.
+    def read(self, pending: DataFrame, arrived: DataFrame | None = None) -> int:
+        """Append the batches that are not committed yet, or of these those ``arrived`` names; returns how many.
 
-        The driver holds the file names of one batch at a time, never data.
+        The driver holds the file names of one batch at a time, of binary files none, and never data.
         """
         n = 0
-        for batch in sorted(r.batch for r in pending.select("batch").distinct().collect()):
+        named = pending if arrived is None else arrived
+        for batch in sorted(r.batch for r in named.select("batch").distinct().collect()):
             if self.table.is_committed(RUN, batch):
                 continue
             files = pending.where(F.col("batch") == batch)
-            paths = [r.file_path for r in files.select("file_path").collect()]
-            df = read_landing_files(
-                self.spark, self.spec, self.fmt, files=paths, schema=self.schema, options=self.options, label_pattern=self.label_pattern
-            )
-            self.table.append(df, RUN, batch)
+            self.table.append(self._rows(files), RUN, batch)
             if self.archive:
                 archive_files(self.spec, files, RUN, batch, not_after=F.col("modified"))
             n += 1
         return n
 
+    def _rows(self, files: DataFrame) -> DataFrame:
+        if readable_by_name(self.spec, self.fmt, self.options):
+            return read_named_files(files, self.spec, label_pattern=self.label_pattern)
+        paths = [r.file_path for r in files.select("file_path").collect()]
+        return read_landing_files(
+            self.spark, self.spec, self.fmt, files=paths, schema=self.schema, options=self.options, label_pattern=self.label_pattern
+        )
+
     def finish(self) -> None:
         if self.archive:
             forget_archived(self.spec)
@@ -158,7 +163,7 @@ def ingest_stream(
         first = fresh.agg(F.min("batch")).first()[0]
         entries = spark.readStream.schema(MANIFEST_SCHEMA).option("maxFileAge", "36500d").parquet(spec.manifest_dir)
         query = (
-            entries.writeStream.foreachBatch(lambda rows, _: call.read(rows.where(F.col("batch") >= first)))
+            entries.writeStream.foreachBatch(lambda rows, _: call.read(fresh, rows.where(F.col("batch") >= first)))
             .option("checkpointLocation", f"{spec.checkpoint_dir}_manifest")
             .queryName(spec.query_name).trigger(availableNow=True).start()
         )

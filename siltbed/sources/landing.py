@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.image import frame_size
 from ..functions.metadata import LABEL_PATTERN, add_file_metadata
 from ..operators.bronze import conform
-from ..paths import load_path
+from ..operators.files import locate
+from ..paths import encoded, load_path
 from ..spec import DatasetSpec
-from ..tables import few_listing_tasks
+from ..tables import few_listing_tasks, spread_out
 from .schema_store import CORRUPT, SchemaStore, reads_natively, widen
 from .shapes import by_shape, has_header, option
 
@@ -23,6 +27,10 @@ BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content b
 # Files of a micro-batch.
 FILES_AT_ONCE = 10_000
 
+# Rows and bytes of binary files that leave a reading task together; a larger file leaves alone.
+NAMED_ROWS = 1000
+NAMED_BYTES = 1 << 24
+
 # Spark source, reader options and whether the schema evolves, per format name.
 FORMATS: dict[str, tuple[str, dict[str, str], bool]] = {
     "json": ("json", {"columnNameOfCorruptRecord": CORRUPT}, True),
@@ -251,6 +259,52 @@ def _load_by_shape(spark, spec, fmt, paths, schema, options, label_pattern, imag
     return reduce(DataFrame.unionByName, parts)
 
 
+def readable_by_name(spec: DatasetSpec, fmt: str, options: dict[str, str] | None) -> bool:
+    """Whether :func:`read_named_files` reads the files of landing as Spark's reader with these options would."""
+    if _format(fmt)[2] or options:
+        return False
+    try:
+        locate(encoded(spec.landing_dir))
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        return False
+    return True
+
+
+def read_named_files(files: DataFrame, spec: DatasetSpec, *, label_pattern: str = LABEL_PATTERN) -> DataFrame:
+    """The binary files that the rows of ``files`` name by ``file_path``, as :func:`read_landing_files` gives them.
+
+    Each file is opened by the task that has its name: the driver holds no names and looks nothing up,
+    and small files are few tasks, since names are dealt and not lengths. A file that is gone is an error.
+    """
+
+    names = ["named", "size", "path", "modificationTime", "length", "content"]
+
+    def batch_of(found: list[tuple]) -> pa.RecordBatch:
+        uris, sizes, *data = zip(*found)
+        width, height = (pa.array(side, pa.int32()) for side in zip(*sizes))
+        arrays = [pa.array(c, t) for c, t in zip(data, (pa.string(), pa.timestamp("us", "UTC"), pa.int64(), pa.binary()))]
+        return pa.RecordBatch.from_arrays([pa.array(uris, pa.string()), pa.StructArray.from_arrays([width, height], ["width", "height"]), *arrays], names)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, held = [], 0
+        for uri in (u for batch in batches for u in batch.column("file_path").to_pylist()):
+            fs, path = locate(uri)
+            with fs.open_input_stream(path, compression=None) as source:
+                content = source.read()
+            changed = (fs.get_file_info(path).mtime_ns or 0) // 1_000_000 * 1000
+            if found and (held + len(content) > NAMED_BYTES or len(found) == NAMED_ROWS):
+                yield batch_of(found)
+                found, held = [], 0
+            found.append((uri, frame_size(content) or (None, None), unquote(uri), changed, len(content), content))
+            held += len(content)
+        if found:
+            yield batch_of(found)
+
+    rows = spread_out(files.select("file_path")).mapInArrow(read, f"named string, size struct<width:int,height:int>, {BINARY_SCHEMA}")
+    made = add_file_metadata(rows, spec, image=True, label_pattern=label_pattern, file_path=F.col("named"), size=F.col("size"))
+    return made.drop("named", "size")
+
+
 def read_landing_stream(
     spark: SparkSession,
     spec: DatasetSpec,

@@ -12,6 +12,7 @@ from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -150,10 +151,11 @@ def list_tree(spark: SparkSession, root: str, glob: str | None = None, unchanged
         fs, top = locate(encoded(root))
         top = top.rstrip("/")
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["folder"] is None:
-                    yield rows_of([(row["file_path"], int(row["modified"].timestamp() * 1000 + 0.5), row["length"], None, None)])
-                    continue
+            at_once = pc.is_null(batch.column("folder"))
+            files = batch.filter(at_once).select(["file_path", "modified", "length", "folder"])
+            if files.num_rows:
+                yield files.append_column("digest", pa.nulls(files.num_rows, pa.string()))
+            for row in batch.filter(pc.invert(at_once)).to_pylist():
                 own = sorted((i for i in _entries(fs, locate(row["folder"])[1], True) if _is_file(i)), key=lambda i: i.path)
                 seen = hashlib.sha256(repr(glob).encode())
                 for i in own:

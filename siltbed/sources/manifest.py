@@ -70,7 +70,11 @@ def add_to_manifest(
     if n:
         batches = max(math.ceil(n / files_per_batch), math.ceil(size / bytes_per_batch))
         batch = F.lit(first) + F.pmod(F.xxhash64("file_path"), F.lit(batches))
-        rows.withColumn("batch", batch).write.mode("overwrite").parquet(f"{spec.manifest_dir}/first={first}")
+        rows = rows.withColumn("batch", batch)
+        if batches > 1:
+            # Scans for one batch skip what others have, so reading them all is no look at everything for each.
+            rows = rows.sort("batch")
+        rows.write.mode("overwrite").parquet(f"{spec.manifest_dir}/first={first}")
     return read_manifest(spark, spec).where(F.col("batch") >= first)
 
 

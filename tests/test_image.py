@@ -6,6 +6,8 @@ from conftest import rows
 import siltbed as sb
 from siltbed.functions import image
 from siltbed.plans.fixtures import grey_jpeg
+from siltbed.sources import landing
+from siltbed.tables import io_tasks
 
 FOLDER = "flower_photos/daisy"
 
@@ -55,3 +57,48 @@ def test_fill_bytes_and_bare_markers():
     assert image.frame_size(data[:2] + b"\xff\xff" + data[3:]) == (40, 30)
     assert image.frame_size(data[:2] + b"\xff\x01" + data[2:]) == (40, 30)
     assert image.frame_size(None) is None
+
+
+def test_ingested_pictures_are_what_the_reader_gives(spark, spec, drop_file, monkeypatch):
+    """The driver hands no file names to a reader, whatever the names and sizes are."""
+    for k, name in enumerate(("a.jpg", "b c.jpg", "50%25.jpg", "[d]{e}.jpg", "\u00fc#?.jpg")):
+        drop_file(name, grey_jpeg(8 + k, 9), FOLDER)
+    drop_file("broken.jpg", b"\xff\xd8\xff", FOLDER)
+    drop_file("large.jpg", grey_jpeg(5, 6) + bytes(3 << 20), "flower_photos/rose")
+    # A frame header behind more bytes than the head of a picture has.
+    late = b"\xff\xd8" + (b"\xff\xe1\xff\xff" + bytes(65533)) * 2 + grey_jpeg(70, 80)[2:]
+    drop_file("late.jpg", late, "flower_photos/rose")
+    drop_file("c.png", grey_jpeg(1, 1), FOLDER)
+    columns = ["_ingested_filename", "_label", "_size", "path", "modificationTime", "length", "content"]
+    seen = rows(sb.read_landing_files(spark, spec, "jpg"), *columns)
+    assert len(seen) == 8
+    schema = sb.read_landing_files(spark, spec, "jpg").schema
+    monkeypatch.setattr(landing, "load_path", None)
+    monkeypatch.setattr(landing, "NAMED_ROWS", 3)
+    monkeypatch.setattr(landing, "NAMED_BYTES", 1000)
+    sb.ingest(spark, spec, "jpg", files_per_batch=3, archive=False)
+    made = sb.read_bronze(spark, spec)
+    assert rows(made, *columns) == seen
+    assert [(f.name, f.dataType) for f in made.schema] == [(f.name, f.dataType) for f in schema]
+
+
+def test_small_pictures_take_few_tasks(spark, spec, drop_file):
+    """As many files of bronze as tasks that names are dealt to, not one for some dozen pictures."""
+    most = io_tasks(spark)
+    for k in range(40 * most):
+        drop_file(f"{k}.jpg", grey_jpeg(8, 8), FOLDER)
+    sb.ingest_stream(spark, spec, "jpg", archive=False)
+    made = sb.read_bronze(spark, spec)
+    assert made.count() == 40 * most
+    assert made.select("_metadata.file_path").distinct().count() <= most
+
+
+def test_batches_are_apart_in_the_manifest(spark, spec, drop_file):
+    """A scan for one batch can skip the others."""
+    for k in range(200):
+        drop_file(f"{k}.jpg", grey_jpeg(8, 8), FOLDER)
+    sb.ingest(spark, spec, "jpg", files_per_batch=20, archive=False)
+    entries = spark.read.parquet(spec.manifest_dir).select("batch", "_metadata.file_path")
+    batches = [r.batch for r in entries.coalesce(1).collect()]
+    assert len(set(batches)) == 10
+    assert sum(a != b for a, b in zip(batches, batches[1:])) == 9
