@@ -80,6 +80,12 @@ _CSV_TYPES = (
 )
 
 
+_PATTERNS = dict(_CSV_TYPES)
+_BITS = {kind: 1 << k for k, (kind, _) in enumerate(_CSV_TYPES)}
+# Rows that are looked at for types that can be ruled out before all rows are.
+FIRST_ROWS = 1000
+
+
 def _csv_reader(spark: SparkSession, options: dict[str, str]):
     return spark.read.format("csv").options(**options).option("recursiveFileLookup", "true")
 
@@ -134,21 +140,64 @@ def _strings(spark: SparkSession, options: dict[str, str], names: list[str], pat
     return _csv_reader(spark, options).schema(schema).load(paths)
 
 
-def _fits(rows: DataFrame, names: list[str], options: dict[str, str]) -> dict[str, dict[str, bool]]:
-    """For each column whether it has values (``values``), and by type whether all of them have it."""
-    formats = {"date": option(options, "dateFormat"), "timestamp": option(options, "timestampFormat")}
+def _kinds(value: Column, kinds: set[str], formats: dict[str, str]) -> Column:
+    """Of these types those that a value has, as the sum of their bits; null for null.
+
+    A text that looks like a whole number is not looked at as anything else, and so on: but for formats that
+    the caller names, of the patterns at most one matches.
+    """
+    own = [k for k in kinds if formats.get(k)]
+    plain = kinds.difference(own)
+
+    def bits(*names: str) -> Column:
+        return F.lit(sum(_BITS[n] for n in names if n in plain))
+
+    def has(kind: str) -> Column:
+        return value.try_cast(kind).isNotNull()
+
+    found = F.when(value.isNull(), F.lit(None).cast("int"))
+    if plain & {"int", "bigint"}:
+        size = F.when(has("int"), bits("int", "bigint", "double")) if "int" in plain else F.when(has("bigint"), bits("bigint", "double"))
+        if "int" in plain and "bigint" in plain:
+            size = size.when(has("bigint"), bits("bigint", "double"))
+        found = found.when(value.rlike(_PATTERNS["int"]), size.otherwise(bits("double")))
+    if "double" in plain:
+        found = found.when(value.rlike(_PATTERNS["double"]), F.when(has("double"), bits("double")).otherwise(0))
+    if plain & {"date", "timestamp"}:
+        day = F.when(value.rlike(_PATTERNS["date"]) & has("date"), bits("date")).otherwise(0) if "date" in plain else F.lit(0)
+        time = F.when(has("timestamp"), bits("timestamp")).otherwise(0) if "timestamp" in plain else F.lit(0)
+        found = found.when(value.rlike(_PATTERNS["timestamp"]), day + time)
+    if "boolean" in plain:
+        found = found.when(value.rlike(_PATTERNS["boolean"]) & has("boolean"), bits("boolean"))
+    found = found.otherwise(0)
+    for kind in own:
+        found += F.when(F.try_to_timestamp(value, F.lit(formats[kind])).isNotNull(), _BITS[kind]).otherwise(0)
+    return found
+
 
-    def fits(value: Column, kind: str, pattern: str) -> Column:
-        if formats.get(kind):
-            parsed = F.try_to_timestamp(value, F.lit(formats[kind]))
-            return F.coalesce(F.every(value.isNull() | parsed.isNotNull()), F.lit(True))
-        return F.coalesce(F.every(value.isNull() | (value.rlike(pattern) & value.try_cast(kind).isNotNull())), F.lit(True))
+def _fits(rows: DataFrame, names: list[str], options: dict[str, str]) -> dict[str, dict[str, bool]]:
+    """For each column whether it has values (``values``), and by type whether all of them have it.
 
+    One value that is not of a type rules it out for good, so the first rows leave few types to ask all
+    others about, and none for a column of plain texts.
+    """
+    formats = {"date": option(options, "dateFormat"), "timestamp": option(options, "timestampFormat")}
     columns = {n: F.col("`" + n.replace("`", "``") + "`") for n in names}
-    sums = [F.count(columns[n]).alias(f"{k}_values") for k, n in enumerate(names)]
-    sums += [fits(columns[n], kind, pattern).alias(f"{k}_{kind}") for k, n in enumerate(names) for kind, pattern in _CSV_TYPES]
-    row = rows.agg(*sums).first()
-    return {n: {"values": row[f"{k}_values"] > 0, **{kind: row[f"{k}_{kind}"] for kind, _ in _CSV_TYPES}} for k, n in enumerate(names)}
+    every = sum(_BITS.values())
+    left = dict.fromkeys(names)
+    first = rows.select(*[_kinds(columns[n], set(_BITS), formats) for n in names]).limit(FIRST_ROWS).collect()
+    for row in first:
+        for name, seen in zip(names, row):
+            if seen is not None:
+                left[name] = seen if left[name] is None else left[name] & seen
+    asked = [n for n in names if left[n] != 0] if len(first) == FIRST_ROWS else []
+    if asked:
+        kinds = {n: {k for k, bit in _BITS.items() if (every if left[n] is None else left[n]) & bit} for n in asked}
+        for name, seen in zip(asked, rows.agg(*[F.bit_and(_kinds(columns[n], kinds[n], formats)) for n in asked]).first()):
+            left[name] = seen
+    return {
+        n: {"values": found is not None, **{k: found is None or bool(found & bit) for k, bit in _BITS.items()}} for n, found in left.items()
+    }
 
 
 def _csv_types(options: dict[str, str], names: list[str], found: list[dict[str, dict[str, bool]]]) -> T.StructType:

@@ -6,8 +6,10 @@ import pytest
 from conftest import rows
 
 import siltbed as sb
+from siltbed.sources import landing
 from siltbed.sources.landing import infer_schema
 from siltbed.sources.schema_store import CORRUPT, widen
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EVENTS = '{"id":1,"x":1.5}\n{"id":2,"x":2.5}\n'
@@ -243,3 +245,55 @@ def test_odd_characters_in_every_path(spark, tmp_path, how):
 def test_patterns_in_roots_are_refused():
     with pytest.raises(ValueError, match="pattern"):
         sb.DatasetSpec("a", "b{1}", "/l", "/r", "/b")
+
+
+ODD = [
+    "", "1", "+5", "-3", " 1", "1 ", "1\n", "2147483647", "2147483648", "-9223372036854775808", "99999999999999999999", "1.", ".5", ".", "1e5",
+    "1e", "-1.5E-3", "1d", "1.5f", "0x1p3", "NaN", "nan", "Inf", "-Infinity", "+Inf", "infinity", "\u0661\u0662", "20240105", "20241399",
+    "2024-1-5", "2024-01-05", "2024-13-05", "2024-01-05\n", "2024-01-05 10:00:00", "2024-01-05T10:00", "2024-01-05Txx", "2024-01-05 1x",
+    "2024-01-05 25:00:00", "true", "FALSE", "t", "yes", "True ", "x", None,
+]
+
+
+@pytest.mark.parametrize("formats", [{}, {"date": "yyyyMMdd"}, {"timestamp": "yyyyMMdd"}])
+def test_types_of_a_value_are_those_asked_one_by_one(spark, formats):
+    """Whichever types are still open, a value has those whose pattern it fits and that Spark casts it to."""
+    df = spark.createDataFrame([(v,) for v in ODD], "v string").repartition(1)
+
+    def alone(kind, pattern):
+        fits = F.col("v").rlike(pattern) & F.col("v").try_cast(kind).isNotNull()
+        return F.try_to_timestamp("v", F.lit(formats[kind])).isNotNull() if kind in formats else fits
+
+    kinds = [kind for kind, _ in landing._CSV_TYPES]
+    single = {r.v: {k for k in kinds if r[k]} for r in df.select("v", *[alone(k, p).alias(k) for k, p in landing._CSV_TYPES]).collect()}
+    subsets = [set(s) for n in range(len(kinds) + 1) for s in itertools.combinations(kinds, n)]
+    for some in (subsets[at:at + 16] for at in range(0, len(subsets), 16)):
+        for row in df.select("v", *[landing._kinds(F.col("v"), s, formats).alias(f"m{k}") for k, s in enumerate(some)]).collect():
+            for k, asked in enumerate(some):
+                if row.v is None:
+                    assert row[f"m{k}"] is None
+                else:
+                    assert row[f"m{k}"] == sum(landing._BITS[kind] for kind in single[row.v] & asked), (row.v, asked)
+
+
+def test_types_that_first_rows_rule_out_are_not_asked_again(spark, monkeypatch):
+    """Every row has its say about the types left open; texts are not looked at again."""
+    n = landing.FIRST_ROWS + 500
+    late = F.col("id") == n - 1
+    rows = spark.range(0, n, 1, 3).select(
+        F.lit("words").alias("text"),
+        F.col("id").cast("string").alias("whole"),
+        F.when(late, "3000000000").otherwise(F.col("id").cast("string")).alias("long"),
+        F.when(late, "x").otherwise(F.col("id").cast("string")).alias("broken"),
+        F.when(late, "2024-01-05 10:00:00").otherwise("2024-01-05").alias("day"),
+        F.when(late, "true").alias("flag"),
+        F.lit(None).cast("string").alias("nothing"),
+    )
+    asked = []
+    ask = landing._kinds
+    monkeypatch.setattr(landing, "_kinds", lambda value, kinds, formats: asked.append(set(kinds)) or ask(value, kinds, formats))
+    found = landing._fits(rows, rows.columns, {})
+    numbers, every = {"int", "bigint", "double"}, set(landing._BITS)
+    assert asked[len(rows.columns):] == [numbers, numbers, numbers, {"date", "timestamp"}, every, every]
+    types = landing._csv_types({}, rows.columns, [found])
+    assert types.simpleString() == "struct<text:string,whole:int,long:bigint,broken:string,day:timestamp,flag:boolean,nothing:string>"
