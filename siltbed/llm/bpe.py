@@ -21,7 +21,7 @@ import re
 import struct
 from collections.abc import Iterator
 from functools import cached_property
-from itertools import chain
+from itertools import accumulate, chain, pairwise
 from string import punctuation
 
 import ahocorasick
@@ -251,7 +251,7 @@ class TextEncoder:
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in bpe["merges"]]
         if by_library:
             tokenize = self.library.model.tokenize
-            self._encode_many = lambda words: [id_bytes([t.id for t in tokenize(word)]) for word in words]
+            self._encode_many = lambda words: many_id_bytes([[t.id for t in tokenize(word)] for word in words])
         else:
             self._encode_many = PrefixEncoder(bpe["vocab"], merges, bpe["end_of_word_suffix"] or "").encode_many
         self.names = {i: t for t, i in bpe["vocab"].items()}
@@ -266,11 +266,6 @@ class TextEncoder:
         self._old: dict[str, bytes] = {}
 
     def _words(self, piece: str) -> list[str]:
-        if self._simple and piece.isascii():
-            # Most pieces are letters, and marks after them.
-            word = piece.rstrip(punctuation)
-            if word.isalpha():
-                return [word.lower(), piece[len(word):]] if len(word) < len(piece) else [word.lower()]
         if self._simple and _SIMPLE.fullmatch(piece):
             words = _SIMPLE_WORDS.findall(piece.lower())
             return words if piece.isascii() else [w.encode().decode("latin-1").translate(_BYTES) for w in words]
@@ -285,15 +280,25 @@ class TextEncoder:
 
     def _new(self, pieces: list[str]) -> list[bytes]:
         """Ids of pieces, each different word in them being encoded once."""
-        parts = list(map(self._parts, pieces))
+        parts, simple, parts_of = [], self._simple, self._parts
+        for piece in pieces:
+            if simple and piece.isascii() and "<" not in piece:
+                # Most pieces are letters, and marks after them.
+                word = piece.rstrip(punctuation)
+                if word.isalpha():
+                    parts.append((word.lower(),) if len(word) == len(piece) else (word.lower(), piece[len(word):]))
+                    continue
+            parts.append(parts_of(piece))
         known = self._words_known
-        words = {w for own in parts for w in own if w not in known and w not in self.special}
-        made = dict(zip(words, self._encode_many(list(words))))
-        made.update((w, id_bytes([i])) for w, i in self.special.items())
-        found = [b"".join([made[w] if w in made else known[w] for w in own]) for own in parts]
+        words = list(set(chain.from_iterable(parts)).difference(known, self.special))
+        made = dict(zip(words, self._encode_many(words)))
+        ids_of = {**known, **made, **{w: id_bytes([i]) for w, i in self.special.items()}}.__getitem__
+        found = [ids_of(own[0]) if len(own) == 1 else b"".join(map(ids_of, own)) for own in parts]
         if len(known) + len(made) > CACHE_ENTRIES:
             known.clear()
-        known.update((w, ids) for w, ids in made.items() if len(w) <= CACHED_CHARS and w not in self.special)
+        for word in [w for w in words if len(w) > CACHED_CHARS]:
+            del made[word]
+        known.update(made)
         return found
 
     def lookup(self, pieces: list[str]) -> list[bytes]:
@@ -306,7 +311,9 @@ class TextEncoder:
             unknown = [p for p in fresh if p not in old]
             fresh = old | dict(zip(unknown, self._new(unknown)))
             found = [fresh[p] if value is None else value for p, value in zip(pieces, found)]
-            young.update((p, value) for p, value in fresh.items() if len(p) <= CACHED_CHARS)
+            young.update(fresh)
+            for piece in [p for p in fresh if len(p) > CACHED_CHARS]:
+                del young[piece]
             if len(young) > CACHE_ENTRIES:
                 self._old, self._young = young, {}
         return found
@@ -346,6 +353,13 @@ def id_bytes(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+def many_id_bytes(words: list[list[int]]) -> list[bytes]:
+    """:func:`id_bytes` of each word, packed together."""
+    data = np.fromiter(chain.from_iterable(words), "<u4").tobytes()
+    cuts = [0, *accumulate(4 * len(ids) for ids in words)]
+    return [data[a:b] for a, b in pairwise(cuts)]
+
+
 def text_encoder(path: str, by_library: bool = False) -> TextEncoder:
     """The encoder of this Python worker, made once for a vocabulary."""
     if (path, by_library) not in _encoders:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from siltbed.llm import bpe
@@ -85,3 +86,20 @@ def test_documents(edge_docs, no_docs, library):
         assert row.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert row.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
     assert bpe.encode_documents(no_docs, WORD_BPE).count() == 0
+
+
+@pytest.mark.parametrize("by_library", [False, True])
+def test_plain_pieces_are_taken_apart_together(by_library, monkeypatch):
+    """Letters with marks behind them need no call of their own, and have the library's ids beside all others."""
+    encoder = bpe.TextEncoder(WORD_BPE, by_library)
+    plain = ["Word", "word,", "WORD?!", "a", "x" * 100 + ";", "it", "y" * 70]
+    odd = ["it's", "abc<", "abc<>", *encoder.special, *(f"abc{t}" for t in encoder.special), "12", "caf\u00e9", "\u0130x", "--", "x1,", "z" * 90 + "1"]
+    asked = []
+    parts = encoder._parts
+    monkeypatch.setattr(encoder, "_parts", lambda piece: asked.append(piece) or parts(piece))
+    for _ in range(2):
+        for piece, ids in zip(plain + odd, encoder.lookup(plain + odd)):
+            assert np.frombuffer(ids, "<u4").tolist() == encoder.library.encode(piece, add_special_tokens=False).ids, piece
+    assert not set(asked) & set(plain)
+    assert all(len(p) <= bpe.CACHED_CHARS for p in encoder._young)
+    assert all(len(w) <= bpe.CACHED_CHARS and w not in encoder.special for w in encoder._words_known)
