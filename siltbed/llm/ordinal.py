@@ -16,8 +16,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .features import FeatureTable, Rows, feature_sets, known, screened, sigmoid
+from .features import FeatureTable, Rows, Sample, feature_sets, known, sigmoid
 from .sampling import first_rows, held_out
+from .shared import tidy
 from .wordhash import buffer_of, mix, slices, word_hashes
 
 # Rows of a grade that the model is fitted on, at most.
@@ -121,18 +122,18 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int) -> OrdinalModel:
             pairs = zip(feature_sets(batch.column("lowered")), form_features(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("grade"), pa.array([np.union1d(a, b).tobytes() for a, b in pairs], pa.binary())], ["grade", "features"])
 
-    found = rows.mapInArrow(gather, "grade int, features binary").groupBy("features").agg(F.max("grade").alias("grade")).orderBy(F.xxhash64("features")).toArrow()
-    if not found.num_rows:
+    found = rows.mapInArrow(tidy(gather), "grade int, features binary").groupBy("features").agg(F.max("grade").alias("grade"))
+    found = Sample(found, "quality-sample")
+    if not len(found):
         even = np.arange(grades - 1, 0, -1) / grades
         return OrdinalModel(FeatureTable(np.empty(0, np.uint64), np.empty(0)), -np.log(even / (1 - even)))
-    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in found.column("features").combine_chunks()]
-    grade = np.array(found.column("grade").to_pylist(), np.int64)
+    grade = found.columns["grade"].astype(np.int64)
     counts = {r.grade: r.n for r in rated.groupBy("grade").agg(F.count("*").alias("n")).collect()}
     weight = np.zeros(len(grade))
     for g in np.unique(grade):
         weight[grade == g] = counts[g] / (grade == g).sum()
-    chosen = [screened(sets, (grade >= k).astype(np.float64), np.ones(len(grade)), FEATURES) for k in range(1, grades)]
-    return fit(sets, grade, weight, grades, np.unique(np.concatenate(chosen)))
+    features = np.unique(np.concatenate([found.screened((grade >= k).astype(np.float64), FEATURES) for k in range(1, grades)]))
+    return fit(found.sets(features), grade, weight, grades, features)
 
 
 def grade_documents(docs: DataFrame, model: OrdinalModel, *, at_least: int | None = None, keep: float = KEEP, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -19,8 +19,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .features import FeatureTable, Rows, feature_sets, known, screened, sigmoid
+from .features import FeatureTable, Rows, Sample, feature_sets, known, names_of, sigmoid
 from .sampling import first_rows, held_out
+from .shared import tidy
 from .wordhash import slices
 
 # Rows that the linear model is fitted on, at most: rated toxic, rated clean, not rated.
@@ -30,6 +31,8 @@ FEATURES = 4096
 THRESHOLD = 0.3
 # Rows that must have a lexicon entry or feature.
 HITS = 2
+# Toxic rows that a lexicon entry must have more of, for each clean one.
+CLEAN_HITS = 4
 # How often a given rating is taken to be right.
 RATING_ACCURACY = 0.97
 # Correlation within a class above which two voters share their say.
@@ -51,7 +54,7 @@ def mine_entries(sets: list[np.ndarray], toxic: np.ndarray, most: int = ENTRIES)
     chosen: list[int] = []
     hits = np.bincount(columns, weights=open_rows[rows], minlength=len(names))
     while len(chosen) < most:
-        score = np.where(hits >= HITS, hits - 4 * clean, -np.inf)
+        score = np.where(hits >= HITS, hits - CLEAN_HITS * clean, -np.inf)
         best = int(np.argmax(score)) if len(score) else -1
         if best < 0 or not score[best] > 0:
             break
@@ -206,7 +209,9 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic") -> Toxici
     """Fit the label model on all rows that are not held out, the others on a sample of them.
 
     Entries are mined from at most TOXIC_ROWS + CLEAN_ROWS rated rows; the linear model also
-    has UNRATED_ROWS others. The driver holds a row for each different combination of votes.
+    has UNRATED_ROWS others. The rows' sets of features stay in a table that tasks count (``Sample``);
+    the driver holds those that may be entries, those of the linear model, and a row for each
+    different combination of votes.
     ``docs`` has ``doc_id, text``; ``labels`` has ``doc_id`` and the 0/1 ``label``. Null ids,
     labels and texts teach nothing; of labels that repeat the largest counts. Without rated
     rows of both classes every score is the share of toxic ones (0 without any).
@@ -222,30 +227,30 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic") -> Toxici
     rows = own.join(F.broadcast(sample), "doc_id").select("rating", text.alias("text"), *_form(_text("text")))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             sets = [s.tobytes() for s in feature_sets(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("rating"), pa.array(sets, pa.binary()), *(batch.column(c) for c in _FORM)], ["rating", "features", *_FORM])
 
-    found = rows.mapInArrow(gather, f"rating int, features binary, {', '.join(f'{c} double' for c in _FORM)}")
-    found = found.groupBy("features").agg(F.max("rating").alias("rating"), *[F.first(c).alias(c) for c in _FORM]).orderBy(F.xxhash64("features")).toArrow()
-    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in found.column("features").combine_chunks()] if found.num_rows else []
-    rating = np.array(found.column("rating").to_pylist(), np.int64)
+    found = rows.mapInArrow(tidy(gather), f"rating int, features binary, {', '.join(f'{c} double' for c in _FORM)}")
+    found = Sample(found.groupBy("features").agg(F.max("rating").alias("rating"), *[F.first(c).alias(c) for c in _FORM]), "toxicity-sample")
+    rating = found.columns["rating"].astype(np.int64)
     counts = {r.rating: r.n for r in rated.groupBy("rating").agg(F.count("*").alias("n")).collect()}
     if not (rating == 1).any() or not (rating == 0).any():
         share = counts.get(1, 0) / max(1, sum(counts.values()))
         return ToxicityModel(FeatureTable(np.empty(0, np.uint64), np.empty(0)), float(np.log(max(share, 1e-15) / max(1 - share, 1e-15))))
-    form = np.stack([np.array(found.column(c).to_pylist(), np.float64) for c in _FORM], axis=1)
+    form = np.stack([found.columns[c] for c in _FORM], axis=1)
     # Each class stands for as many rated rows as there are.
     weight = np.where(rating == 1, counts[1] / (rating == 1).sum(), counts[0] / (rating == 0).sum())
     rated_rows = np.flatnonzero(rating >= 0)
+    told = found.counts((rating >= 0).astype(np.int64), (rating == 1).astype(np.int64))
+    sets = found.sets(names_of(told.where((F.col("share") >= HITS) & (F.col("share") > CLEAN_HITS * (F.col("present") - F.col("share"))))))
     entries = mine_entries([sets[k] for k in rated_rows], rating[rated_rows])
     votes = cast_votes(sets, form, entries)
     model = LabelModel.fit(*count_votes(own.where(~held_out(F.col("doc_id"))), rated, entries))
     # Targets are what the voters say; the ratings had their say in the fit.
     belief = model.posterior(votes, np.full(len(votes), -1))
-    features = screened(sets, belief, np.ones(len(sets)), FEATURES, HITS)
-    features = np.union1d(features, entries)
-    return ToxicityModel(*_fitted(sets, belief, weight, features))
+    features = np.union1d(found.screened(belief, FEATURES, HITS), entries)
+    return ToxicityModel(*_fitted(found.sets(features), belief, weight, features))
 
 
 def _fitted(sets, belief, weight, features) -> tuple[FeatureTable, float]:

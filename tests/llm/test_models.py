@@ -141,3 +141,41 @@ def test_thresholds_are_ordered_and_likely():
     model = ordinal.fit(sets, grade, np.ones(3000), 4, names, rounds=1500)
     assert model.thresholds == pytest.approx([-1.0, 0.5, 1.5], abs=0.25)
     assert model.table.weights == pytest.approx([1.5, -1.0, 0, 0], abs=0.25)
+
+
+def test_sample_counts_in_tasks(spark):
+    rnd = np.random.default_rng(4)
+    names = np.sort(rnd.integers(0, 1 << 64, 60, np.uint64))
+    sets = [names[rnd.random(60) < 0.4] for _ in range(299)] + [names[:0]]
+    target = rnd.random(300)
+    data = [(k, bytearray(s.tobytes())) for k, s in enumerate(sets)]
+    sample = features.Sample(spark.createDataFrame(data, "place int, features binary").repartition(5), "test-sample")
+    place = sample.columns["place"]
+    assert sorted(place) == list(range(300)) and "features" not in sample.columns
+    some = names[::7]
+    assert all(np.array_equal(found, np.intersect1d(sets[k], some)) for k, found in zip(place, sample.sets(some)))
+    present = (target > 0.5).astype(np.int64)
+    counted = {r.feature % (1 << 64): (r.present, r.share) for r in sample.counts(present[place], place.astype(np.int64)).collect()}
+    own = {int(x): [k for k, s in enumerate(sets) if x in s] for x in names}
+    assert counted == {x: (present[rows].sum(), sum(rows)) for x, rows in own.items()}
+
+
+def test_sample_screens_by_gain_then_hash(spark):
+    """Of features that tell as much the least hash without sign is taken, and none of too few rows."""
+    twins = np.array([5, 1 << 62, (1 << 63) + 1, (1 << 64) - 2], np.uint64)
+    rows = [twins if k < 40 else np.array([9, 77][:1 + (k == 50)], np.uint64) for k in range(80)]
+    sample = features.Sample(spark.createDataFrame([(k, bytearray(s.tobytes())) for k, s in enumerate(rows)], "place int, features binary").repartition(4), "test-sample")
+    target = (sample.columns["place"] < 40).astype(float)
+    assert sample.screened(target, 3).tolist() == [5, 9, 1 << 62]
+    assert sample.screened(target, 99).tolist() == [5, 9, *twins[1:].tolist()]
+    assert sample.screened(np.zeros(80), 99).tolist() == []
+
+
+@pytest.mark.parametrize("train", [lambda docs, labels: toxicity.train(docs, labels), lambda docs, labels: ordinal.train(docs, labels.selectExpr("doc_id", "quality + 0 grade"), 2)])
+def test_sets_of_features_stay_off_the_driver(spark, monkeypatch, train):
+    """The largest table that training brings there; the sets of the sample are over 1.5 MB."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    brought, bring = [], type(docs).toArrow
+    monkeypatch.setattr(type(docs), "toArrow", lambda frame: (brought.append(found := bring(frame)), found)[1])
+    train(docs, labels)
+    assert 0 < max(found.nbytes for found in brought) < 400_000
