@@ -14,6 +14,8 @@ from siltbed.ship import ship
 # Rows that go to a Python worker together. Workers serve all stages and keep what memory they
 # once took, so small batches bound them.
 BATCH_ROWS = 1000
+# Bytes of text that packing takes apart together.
+PACKED_BYTES = 1 << 20
 
 # Texts below this fit (see ``langid.identify``) go. Random letters, codes and scripts that no
 # language was learned for are at 0 to 0.21, texts of a few words full of numbers and
@@ -66,7 +68,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents that are left, with their place in the sequences; every row is packed."""
     ready(spark)
-    return packing.pack_documents(docs, WORD_BPE)
+    return packing.pack_documents(docs, WORD_BPE, text_bytes=PACKED_BYTES)
 
 
 STAGES = [

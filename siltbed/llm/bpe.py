@@ -21,7 +21,7 @@ import re
 import struct
 from collections.abc import Iterator
 from functools import cached_property
-from itertools import accumulate, chain, pairwise
+from itertools import accumulate, chain, islice, pairwise
 from string import punctuation
 
 import ahocorasick
@@ -40,6 +40,9 @@ CACHE_ENTRIES = 100_000
 CACHED_CHARS = 64
 # Bytes of text whose different pieces are looked up together.
 TEXT_BYTES = 1 << 24
+# Different pieces that are looked up, and places of pieces that are put together, at a time: what is held
+# beside the ids is bounded by it, however many there are in a batch.
+PIECES_AT_ONCE = 1 << 14
 
 END = "</w>"
 # The library's notion of white space, without the separators that str.split() adds.
@@ -261,6 +264,7 @@ class TextEncoder:
         self._special = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.special else None
         # The shortcut for simple pieces holds for this normaliser and this word pattern only.
         self._simple = model["normalizer"] == _NORMAL and _PATTERN in json.dumps(model["pre_tokenizer"])
+        self._special_ids = {w: id_bytes([i]) for w, i in self.special.items()}
         self._words_known: dict[str, bytes] = {}
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
@@ -291,14 +295,12 @@ class TextEncoder:
             parts.append(parts_of(piece))
         known = self._words_known
         words = list(set(chain.from_iterable(parts)).difference(known, self.special))
-        made = dict(zip(words, self._encode_many(words)))
-        ids_of = {**known, **made, **{w: id_bytes([i]) for w, i in self.special.items()}}.__getitem__
+        known.update(zip(words, self._encode_many(words)))
+        known.update(self._special_ids)
+        ids_of = known.__getitem__
         found = [ids_of(own[0]) if len(own) == 1 else b"".join(map(ids_of, own)) for own in parts]
-        if len(known) + len(made) > CACHE_ENTRIES:
-            known.clear()
-        for word in [w for w in words if len(w) > CACHED_CHARS]:
-            del made[word]
-        known.update(made)
+        for word in chain(self._special_ids, [w for w in words if len(w) > CACHED_CHARS]):
+            del known[word]
         return found
 
     def lookup(self, pieces: list[str]) -> list[bytes]:
@@ -314,10 +316,15 @@ class TextEncoder:
             young.update(fresh)
             for piece in [p for p in fresh if len(p) > CACHED_CHARS]:
                 del young[piece]
-            if len(young) > CACHE_ENTRIES:
-                self._old, self._young = young, {}
         return found
 
+    def forget(self) -> None:
+        """Let go of what has not been met for long."""
+        if len(self._young) > CACHE_ENTRIES:
+            self._old, self._young = self._young, {}
+        if len(known := self._words_known) > CACHE_ENTRIES:
+            self._words_known = dict(islice(known.items(), len(known) - CACHE_ENTRIES // 2, None))
+
     def pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """Pieces of a batch of texts: their numbers in order, where each text's begin (and the last end),
         and the ids of each different piece. Only different pieces become Python strings."""
@@ -328,10 +335,16 @@ class TextEncoder:
             lists = pc.utf8_split_whitespace(texts)
         bounds = lists.offsets.to_numpy().astype(np.int64)
         found = lists.flatten().dictionary_encode()
-        return found.indices.to_numpy(zero_copy_only=False), bounds - bounds[0], self.lookup(found.dictionary.to_pylist())
+        made = []
+        for low in range(0, len(found.dictionary), PIECES_AT_ONCE):
+            made += self.lookup(found.dictionary.slice(low, PIECES_AT_ONCE).to_pylist())
+        self.forget()
+        return found.indices.to_numpy(zero_copy_only=False), bounds - bounds[0], made
 
     def encode(self, text: str) -> list[int]:
-        return np.frombuffer(b"".join(self.lookup(words_of(text))), "<u4").tolist()
+        ids = np.frombuffer(b"".join(self.lookup(words_of(text))), "<u4").tolist()
+        self.forget()
+        return ids
 
     def decode(self, ids: list[int]) -> str:
         """As the library decodes where the file names no decoder: tokens with spaces between."""
@@ -373,10 +386,13 @@ def batch_ids(encoder: TextEncoder, texts: pa.Array) -> tuple[np.ndarray, np.nda
     flat = np.frombuffer(b"".join(made), "<u4")
     sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
     first = np.cumsum(sizes) - sizes
-    own = sizes[numbers]
-    ends = np.concatenate([[0], np.cumsum(own)])
-    places = np.repeat(first[numbers] - ends[:-1], own) + np.arange(ends[-1])
-    return flat[places], ends[bounds]
+    ends = np.zeros(len(numbers) + 1, np.int64)
+    np.cumsum(sizes[numbers], out=ends[1:])
+    ids = np.empty(ends[-1], "<u4")
+    for low in range(0, len(numbers), PIECES_AT_ONCE):
+        own, at = numbers[low:low + PIECES_AT_ONCE], ends[low:low + PIECES_AT_ONCE + 1]
+        ids[at[0]:at[-1]] = flat[np.repeat(first[own] - at[:-1], sizes[own]) + np.arange(at[0], at[-1])]
+    return ids, ends[bounds]
 
 
 def _joined(names: pa.Array, ids: np.ndarray, bounds: np.ndarray) -> pa.Array:

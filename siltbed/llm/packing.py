@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import TEXT_BYTES, batch_ids, text_encoder
-from .shared import tidy
+from .shared import give_back, tidy
 from .wordhash import slices
 
 TIERS = (256, 512, 1024, 2048)
@@ -28,6 +28,8 @@ TIERS = (256, 512, 1024, 2048)
 STEP_WINDOWS = 64
 # Pieces that wait for a window, per task, before a round of packing.
 POOL_PIECES = 4096
+# Bytes of text after which a task gives back the memory that taking them apart has left unused.
+RELEASE_BYTES = 1 << 20
 SEPARATOR = 1
 
 # A piece: length, a number that makes it unique, document, start, ids as bytes of 4 each.
@@ -141,6 +143,7 @@ def pack_documents(
     step_windows: int = STEP_WINDOWS,
     separator: int = SEPARATOR,
     ids: bool = False,
+    text_bytes: int = TEXT_BYTES,
 ) -> DataFrame:
     """Pieces of documents with their place in packed sequences.
 
@@ -150,6 +153,7 @@ def pack_documents(
     ``offset`` in the sequence (gapless from 0), ``tier`` (tokens of the sequence) and
     ``step_group``; with ``ids`` also the token ids. Sequences are full: their lengths are the
     ``tiers`` (powers of two), but for a few smaller powers of two that end a task's share.
+    ``text_bytes`` of text (at least a whole one) are taken apart together; it changes no result.
 
     Each task packs its own rows, so nothing is shuffled, a hot source is no matter and a lost
     task is done again alone. Sequence ids hold the task's number. Ids may be null or repeat;
@@ -166,7 +170,7 @@ def pack_documents(
         encoder = text_encoder(path, by_library=True)
         packer, documents = Packer(tiers), {}
         first = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 36
-        serial = sequences = groups = 0
+        serial = sequences = groups = handled = 0
         id_type = None
 
         def flushed() -> pa.RecordBatch:
@@ -199,8 +203,11 @@ def pack_documents(
                 names.append("ids")
             return pa.RecordBatch.from_arrays(arrays, names)
 
-        for batch in (part for whole in batches for part in slices(whole, "text", TEXT_BYTES)):
+        for batch in (part for whole in batches for part in slices(whole, "text", text_bytes)):
             id_type = batch.schema.field("id").type
+            if (handled := handled + batch.nbytes) > RELEASE_BYTES:
+                handled = 0
+                give_back()
             flat, bounds = batch_ids(encoder, batch.column("text"))
             for owner, low, high in zip(batch.column("id").to_pylist(), bounds, bounds[1:]):
                 data = flat[low:high].tobytes() + end

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -103,3 +104,33 @@ def test_plain_pieces_are_taken_apart_together(by_library, monkeypatch):
     assert not set(asked) & set(plain)
     assert all(len(p) <= bpe.CACHED_CHARS for p in encoder._young)
     assert all(len(w) <= bpe.CACHED_CHARS and w not in encoder.special for w in encoder._words_known)
+
+
+def test_memory_beside_the_ids_is_bounded():
+    """What a batch needs beside its ids does not grow with four arrays of its tokens, nor with its different pieces."""
+    encoder = bpe.TextEncoder(WORD_BPE, by_library=True)
+    texts = pa.array(["some words come again and again 12345 67890 " * 20_000] * 4)
+    bpe.batch_ids(encoder, texts)
+    tracemalloc.start()
+    flat, _ = bpe.batch_ids(encoder, texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 * len(flat)
+
+
+def test_pieces_are_looked_up_in_parts(monkeypatch):
+    monkeypatch.setattr(bpe, "PIECES_AT_ONCE", 7)
+    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 20)
+    encoder, sizes = bpe.TextEncoder(WORD_BPE, by_library=True), []
+    lookup = encoder.lookup
+    encoder.lookup = lambda pieces: sizes.append(len(pieces)) or lookup(pieces)
+    texts = [" ".join(f"word{k % 41}x <|endoftext|> {k}," for k in range(n)) for n in (0, 1, 50, 90)]
+    for _ in range(3):
+        flat, bounds = bpe.batch_ids(encoder, pa.array(texts))
+        have = [flat[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+        assert have == [encoder.library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [encoder.encode(t) for t in texts] == have
+    assert len(encoder._young) <= 20 and len(encoder._words_known) <= 20
+    sizes.clear()
+    bpe.batch_ids(encoder, pa.array(texts))
+    assert max(sizes) == 7

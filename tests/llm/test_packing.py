@@ -67,3 +67,9 @@ def test_ids_go_round(edge_docs):
     for row in docs.collect():
         ids = [i for _, part in sorted(pieces[row.doc_id]) for i in part]
         assert ids == [*library.encode(row.text, add_special_tokens=False).ids, packing.SEPARATOR]
+
+
+def test_text_is_taken_apart_in_parts(edge_docs):
+    """The same pieces, whatever goes into the table together."""
+    rows = [sorted(map(tuple, packing.pack_documents(edge_docs, WORD_BPE, text_bytes=n).collect()), key=repr) for n in (packing.TEXT_BYTES, 64)]
+    assert rows[0] == rows[1]
